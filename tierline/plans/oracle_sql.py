@@ -248,3 +248,63 @@ LEFT JOIN customer_reviews_silver cr ON p.product_id = cr.product_id
 WHERE p.is_quarantined = FALSE
 GROUP BY 1, 2""")
     raise KeyError(name)
+
+
+# --------------------------------------------------------------------------- ingest side
+
+def epoch_ms(value) -> int:
+    return int(value.timestamp() * 1000)
+
+
+def bronze_query(table: str, batch: int = 2) -> str:
+    return batch_sql(table, batch)
+
+
+def extract_query(table: str, wm: str, mark, keyset: tuple[str, object] | None = None) -> str:
+    m = epoch_ms(mark)
+    cond = f"CAST({wm} AS BIGINT) > {m}"
+    if keyset:
+        cond = f"({cond} OR (CAST({wm} AS BIGINT) = {m} AND {keyset[0]} > {keyset[1]}))"
+    return f"SELECT * FROM (\n{batch_sql(table, 2)}\n) b WHERE {cond}"
+
+
+def _ms_to_text(expr: str) -> str:
+    return f"strftime(make_timestamp(({expr}) * 1000), '%Y-%m-%d %H:%M:%S')"
+
+
+def batch_stats_query(tables: list[str]) -> str:
+    parts = []
+    for t in tables:
+        wm = REGISTRY[t].watermark_col
+        parts.append(f"SELECT '{t}' AS table_name, count(*) AS rows_loaded, "
+                     f"{_ms_to_text(f'max(CAST({wm} AS BIGINT))')} AS max_watermark "
+                     f"FROM (\n{batch_sql(t, 2)}\n) b_{t}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def latest_watermark_query(incremental: list[str], full: list[str], default: str) -> str:
+    ctes, rows = [], []
+    for t in incremental:
+        wm = f"CAST({REGISTRY[t].watermark_col} AS BIGINT)"
+        ctes += [(f"{t}_b1", batch_sql(t, 1)), (f"{t}_b2", batch_sql(t, 2))]
+        rows.append(f"SELECT '{t}' AS table_name, (SELECT max({wm}) FROM {t}_b1) AS wm")
+        rows.append(f"SELECT '{t}' AS table_name, (SELECT max({wm}) FROM {t}_b2 "
+                    f"WHERE {wm} > (SELECT max({wm}) FROM {t}_b1)) AS wm")
+    for t in full:
+        rows += [f"SELECT '{t}' AS table_name, CAST(NULL AS BIGINT) AS wm"] * 2
+    ctes.append(("audit", "\nUNION ALL\n".join(rows)))
+    body = (f"SELECT table_name, strftime(coalesce(make_timestamp(max(wm) * 1000), "
+            f"TIMESTAMP '{default}'), '%Y-%m-%d %H:%M:%S') AS latest_watermark "
+            f"FROM audit GROUP BY table_name")
+    return with_ctes(ctes, body)
+
+
+def quarantine_report_query(tables: list[str]) -> str:
+    ctes = []
+    for t in tables:
+        ctes += silver_ctes(t)
+    body = "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, count(*) AS total_rows, "
+        f"count(CASE WHEN is_quarantined THEN 1 END) AS quarantined_rows FROM {t}_silver"
+        for t in tables)
+    return with_ctes(ctes, body)

@@ -29,7 +29,11 @@ def _jvm_fs(spark: SparkSession, path: str):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` exists (for a glob: when it matches anything)."""
     fs, hpath, _ = _jvm_fs(spark, path)
+    if any(ch in path for ch in "*?["):
+        found = fs.globStatus(hpath)
+        return found is not None and len(found) > 0
     return bool(fs.exists(hpath))
 
 

@@ -6,14 +6,27 @@ driver tables found in ``sf_dir``; its DuckDB oracle is in ``oracles()``.
 
 from __future__ import annotations
 
-from functools import partial
+import datetime as dt
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tierline.functions.predicates import DEFAULT_WATERMARK
+from tierline.functions.time import epoch_ms_text, parse_event_ts, ts_text
 from tierline.operators import gold
+from tierline.operators.audit import audit_from_stats
+from tierline.operators.quality import quarantine_report
+from tierline.operators.watermark import batch_stats, latest_watermark
 from tierline.plans import oracle_sql as O
-from tierline.plans.retail import mart, silver_report, silver_table
+from tierline.plans.retail import mart, silver_report, silver_table, silver_tables
 from tierline.schemas import REGISTRY
+from tierline.session import scratch_root
+from tierline.sources import retail
+from tierline.sources.bronze import read_bronze_json
+from tierline.sources.jdbc import ParquetSource, extract
+from tierline.sources.landing import EPOCH_MS, ISO, write_landing
+from tierline.sources.reviews import read_review_landing, write_review_landing
 
 
 def _mart(name: str, spark: SparkSession, sf_dir: str, **kwargs) -> DataFrame:
@@ -46,6 +59,99 @@ for _table in REGISTRY:
     QUERIES[f"silver_{_table}"] = partial(_silver, _table)
 
 
+# --------------------------------------------------------------------------- ingest side
+
+EXTRACT_MARK = dt.datetime(2000, 6, 1, tzinfo=dt.timezone.utc)
+KEYSET_LAST_ID = 7000
+STATS_TABLES = ["customers", "orders", "order_items", "product_suppliers"]
+FULL_TABLES = ["products", "categories", "suppliers"]
+QUARANTINE_TABLES = ["customers", "categories", "products", "suppliers"]
+
+
+def _scratch(spark: SparkSession, label: str) -> str:
+    return scratch_root(spark, label)
+
+
+def bronze_roundtrip(spark: SparkSession, sf_dir: str, encoding: str) -> DataFrame:
+    """SNK1 + SRC8: land the orders extract as JSON lines, read it back as bronze."""
+    root = _scratch(spark, f"landing-{encoding}")
+    src = retail.source(spark, sf_dir, "orders", 2)
+    write_landing(src, root, "orders", "20020102T000000Z", "2002-01-02", encoding=encoding)
+    bronze = read_bronze_json(spark, f"{root}/orders", REGISTRY["orders"])
+    if encoding == ISO:
+        # ISO-8601 text -> the epoch-ms encoding, through the shared parser
+        for c in ("order_date", "updated_at"):
+            bronze = bronze.withColumn(c, epoch_ms_text(parse_event_ts(c)))
+    return bronze
+
+
+def bronze_roundtrip_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK3 + SRC9: the review extract as a dated Parquet file, read back as bronze."""
+    root = _scratch(spark, "landing-reviews")
+    write_review_landing(retail.batch(spark, sf_dir, "customer_reviews", 2), root, dt.date(2002, 1, 2))
+    return read_review_landing(spark, root)
+
+
+def _orders_source(sf_dir: str) -> ParquetSource:
+    return ParquetSource({"orders": lambda spark: retail.source(spark, sf_dir, "orders", 2)})
+
+
+def incremental_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC3 / FLT3: rows strictly after the high-water mark."""
+    df = extract(spark, _orders_source(sf_dir), "orders", "incremental", "updated_at", EXTRACT_MARK)
+    return retail.to_bronze(df, "orders")
+
+
+def keyset_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC5: (wm > mark) OR (wm = mark AND order_id > last_id)."""
+    df = extract(spark, _orders_source(sf_dir), "orders", "incremental", "updated_at", EXTRACT_MARK,
+                 keyset=("order_id", KEYSET_LAST_ID))
+    return retail.to_bronze(df, "orders")
+
+
+def batch_stats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG8 / AGG10: row count and max watermark of each incremental extract, one pass each."""
+    parts = [batch_stats(retail.source(spark, sf_dir, t, 2), REGISTRY[t].watermark_col, t)
+             for t in STATS_TABLES]
+    out = reduce(DataFrame.unionByName, parts)
+    return out.withColumn("max_watermark", ts_text(F.col("max_watermark")))
+
+
+def latest_watermark_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG9 / SNK5 / SRC11: audit rows of two ingest runs -> latest mark per table."""
+    rows = []
+    for t in STATS_TABLES:
+        wm = REGISTRY[t].watermark_col
+        day1 = retail.source(spark, sf_dir, t, 1)
+        mark1 = day1.select(F.max(wm)).scalar()          # uncorrelated scalar subquery
+        day2 = retail.source(spark, sf_dir, t, 2).where(F.col(wm) > mark1)
+        for run, df in (("run1", day1), ("run2", day2)):
+            rows.append(audit_from_stats(batch_stats(df, wm, t), run, "2002-01-02", "incremental", wm))
+    for t in FULL_TABLES:
+        for run in ("run1", "run2"):
+            rows.append(audit_from_stats(batch_stats(retail.source(spark, sf_dir, t, 2), None, t),
+                                         run, "2002-01-02", "full", None))
+    audit = reduce(DataFrame.unionByName, rows)
+    return latest_watermark(audit).withColumn("latest_watermark", ts_text(F.col("latest_watermark")))
+
+
+def quarantine_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT9 over the four flagged silver tables."""
+    return quarantine_report(silver_tables(spark, sf_dir, tables=QUARANTINE_TABLES))
+
+
+QUERIES.update({
+    "bronze_roundtrip_json": partial(bronze_roundtrip, encoding=EPOCH_MS),
+    "bronze_roundtrip_iso": partial(bronze_roundtrip, encoding=ISO),
+    "bronze_roundtrip_parquet": bronze_roundtrip_parquet,
+    "incremental_extract": incremental_extract,
+    "keyset_extract": keyset_extract,
+    "batch_stats": batch_stats_query,
+    "latest_watermark": latest_watermark_query,
+    "quarantine_report": quarantine_report_query,
+})
+
+
 def oracles() -> dict[str, str]:
     out = {name: O.gold_query(name) for name in
            ("sales_summary", "customer_engagement", "product_performance",
@@ -53,6 +159,16 @@ def oracles() -> dict[str, str]:
             "customer_reviews_summary")}
     for table in REGISTRY:
         out[f"silver_{table}"] = O.silver_query(table)
+    out["bronze_roundtrip_json"] = O.bronze_query("orders")
+    out["bronze_roundtrip_iso"] = O.bronze_query("orders")
+    out["bronze_roundtrip_parquet"] = O.bronze_query("customer_reviews")
+    out["incremental_extract"] = O.extract_query("orders", "updated_at", EXTRACT_MARK)
+    out["keyset_extract"] = O.extract_query("orders", "updated_at", EXTRACT_MARK,
+                                            ("order_id", KEYSET_LAST_ID))
+    out["batch_stats"] = O.batch_stats_query(STATS_TABLES)
+    out["latest_watermark"] = O.latest_watermark_query(
+        STATS_TABLES, FULL_TABLES, DEFAULT_WATERMARK.strftime("%Y-%m-%d %H:%M:%S"))
+    out["quarantine_report"] = O.quarantine_report_query(QUARANTINE_TABLES)
     return out
 
 

@@ -22,6 +22,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline.functions.time import epoch_ms_text
 from tierline.schemas import REGISTRY
@@ -31,8 +32,8 @@ from tierline.schemas import REGISTRY
 AS_OF_1 = dt.datetime(2002, 1, 1, tzinfo=dt.timezone.utc)
 AS_OF_2 = dt.datetime(2002, 1, 2, tzinfo=dt.timezone.utc)
 GOLD_AS_OF = dt.date(2002, 1, 2)
-EPOCH_1 = "1009843200000"   # 2002-01-01T00:00:00Z
-EPOCH_2 = "1009929600000"   # 2002-01-02T00:00:00Z
+EPOCH_1 = "1009843200000"   # AS_OF_1 as epoch-ms text
+EPOCH_2 = "1009929600000"   # AS_OF_2 as epoch-ms text
 ORDER_CUTOFF = dt.datetime(2001, 1, 1)
 REVIEW_CUTOFF = dt.datetime(2024, 1, 25)
 ALTER_MOD = 7
@@ -66,10 +67,25 @@ def _null_if(cond: Column, value: Column) -> Column:
     return F.when(cond, F.lit(None)).otherwise(value)
 
 
-def _project(df: DataFrame, table: str) -> DataFrame:
+def _ts(value: dt.datetime) -> Column:
+    return F.lit(value).cast("timestamp")
+
+
+def to_bronze(df: DataFrame, table: str) -> DataFrame:
+    """Source shape -> bronze shape: instants as epoch-ms text, registry types, by name."""
     spec = REGISTRY[table]
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields])
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    cols = []
+    for f in spec.schema.fields:
+        c = F.col(f.name)
+        if isinstance(types[f.name], (T.TimestampType, T.TimestampNTZType)):
+            c = epoch_ms_text(c)
+        cols.append(c.cast(f.dataType).alias(f.name))
+    return df.select(cols)
+
 
+# Each function returns the *source* table of one extract day: the shape an
+# OLTP database holds (instants as TIMESTAMP, money as DOUBLE).
 
 def customers(spark: SparkSession, sf_dir: str, batch: int = 2) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
@@ -81,8 +97,8 @@ def customers(spark: SparkSession, sf_dir: str, batch: int = 2) -> DataFrame:
         _null_if((k % NULL_EMAIL_MOD == 0) | nulled,
                  F.concat(F.lit("c"), k.cast("string"), F.lit("@"), F.lower("c_mktsegment"),
                           F.lit(".example.com"))).alias("email"),
-        F.when(alter, F.lit(EPOCH_2)).otherwise(F.lit(EPOCH_1)).alias("updated_at"))
-    return _project(df, "customers")
+        F.when(alter, _ts(AS_OF_2)).otherwise(_ts(AS_OF_1)).alias("updated_at"))
+    return df
 
 
 def orders(spark: SparkSession, sf_dir: str, batch: int = 2) -> DataFrame:
@@ -91,14 +107,14 @@ def orders(spark: SparkSession, sf_dir: str, batch: int = 2) -> DataFrame:
         o = o.where(F.col("o_orderdate") < _ntz(ORDER_CUTOFF))
     k = F.col("o_orderkey")
     alter, nulled = _flags(k, batch)
-    placed = epoch_ms_text("o_orderdate")
+    placed = F.col("o_orderdate").cast("timestamp")
     df = o.select(
         k.alias("order_id"),
         _null_if(nulled, F.col("o_custkey")).alias("customer_id"),
         placed.alias("order_date"),
         F.when(alter, F.col("o_totalprice") + F.lit(10.0)).otherwise(F.col("o_totalprice")).alias("total_amount"),
-        F.when(alter, F.lit(EPOCH_2)).otherwise(placed).alias("updated_at"))
-    return _project(df, "orders")
+        F.when(alter, _ts(AS_OF_2)).otherwise(placed).alias("updated_at"))
+    return df
 
 
 def order_item_key() -> Column:
@@ -121,8 +137,8 @@ def order_items(spark: SparkSession, sf_dir: str, batch: int = 2) -> DataFrame:
         F.col("l_partkey").alias("product_id"),
         F.when(alter, qty + 1).otherwise(qty).alias("quantity"),
         _null_if(nulled, F.col("l_extendedprice")).alias("price"),
-        F.when(alter, F.lit(EPOCH_2)).otherwise(epoch_ms_text("l_shipdate")).alias("updated_at"))
-    return _project(df, "order_items")
+        F.when(alter, _ts(AS_OF_2)).otherwise(F.col("l_shipdate").cast("timestamp")).alias("updated_at"))
+    return df
 
 
 def _brand_number() -> Column:
@@ -137,8 +153,8 @@ def products(spark: SparkSession, sf_dir: str, batch: int = 2) -> DataFrame:
         F.col("p_name").alias("name"),
         _null_if(k % NULL_CATEGORY_MOD == 0, _brand_number()).alias("category_id"),
         F.col("p_retailprice").alias("price"),
-        F.lit(EPOCH_1).alias("updated_at"))
-    return _project(df, "products")
+        _ts(AS_OF_1).alias("updated_at"))
+    return df
 
 
 def categories(spark: SparkSession, sf_dir: str, batch: int = 2) -> DataFrame:
@@ -150,8 +166,8 @@ def categories(spark: SparkSession, sf_dir: str, batch: int = 2) -> DataFrame:
         cid,
         _null_if(cid % NULL_CATEGORY_NAME_MOD == 0,
                  F.concat(F.lit("Category "), cid.cast("string"))).alias("name"),
-        F.lit(EPOCH_1).alias("updated_at"))
-    return _project(df, "categories")
+        _ts(AS_OF_1).alias("updated_at"))
+    return df
 
 
 def suppliers(spark: SparkSession, sf_dir: str, batch: int = 2) -> DataFrame:
@@ -167,8 +183,8 @@ def suppliers(spark: SparkSession, sf_dir: str, batch: int = 2) -> DataFrame:
         F.lit(None).cast("string").alias("address"),
         F.lit(None).cast("string").alias("city"),
         F.col("n_name").alias("country"),
-        F.lit(EPOCH_1).alias("created_at"))
-    return _project(df, "suppliers")
+        _ts(AS_OF_1).alias("created_at"))
+    return df
 
 
 def product_suppliers(spark: SparkSession, sf_dir: str, batch: int = 2) -> DataFrame:
@@ -183,8 +199,8 @@ def product_suppliers(spark: SparkSession, sf_dir: str, batch: int = 2) -> DataF
         F.col("l_suppkey").alias("supplier_id"),
         F.col("l_partkey").alias("product_id"),
         _null_if(nulled, F.col("unit_price")).alias("supply_price"),
-        epoch_ms_text("last_ship").alias("last_updated"))
-    return _project(df, "product_suppliers")
+        F.col("last_ship").cast("timestamp").alias("last_updated"))
+    return df
 
 
 def customer_reviews(spark: SparkSession, sf_dir: str, batch: int = 2) -> DataFrame:
@@ -203,8 +219,8 @@ def customer_reviews(spark: SparkSession, sf_dir: str, batch: int = 2) -> DataFr
         (k % n_products).alias("product_id"),
         (F.lit(1) + F.when(alter, step + 1).otherwise(step) % 5).alias("rating"),
         _null_if((k % NULL_REVIEW_TEXT_MOD == 0) | nulled, F.col("event_type")).alias("review_text"),
-        epoch_ms_text("ts").alias("review_date"))
-    return _project(df, "customer_reviews")
+        F.col("ts").cast("timestamp").alias("review_date"))
+    return df
 
 
 ADAPTERS = {
@@ -214,9 +230,15 @@ ADAPTERS = {
 }
 
 
+def source(spark: SparkSession, sf_dir: str, table: str, day: int = 2) -> DataFrame:
+    """The source table of ``table`` on extract day ``day`` (typed instants)."""
+    return ADAPTERS[table](spark, sf_dir, day)
+
+
 def batch(spark: SparkSession, sf_dir: str, table: str, number: int) -> DataFrame:
-    return ADAPTERS[table](spark, sf_dir, number)
+    """The bronze batch of ``table`` for run ``number`` (epoch-ms landing encoding)."""
+    return to_bronze(source(spark, sf_dir, table, number), table)
 
 
 def batches(spark: SparkSession, sf_dir: str, number: int) -> dict[str, DataFrame]:
-    return {name: fn(spark, sf_dir, number) for name, fn in ADAPTERS.items()}
+    return {name: batch(spark, sf_dir, name, number) for name in ADAPTERS}

@@ -1 +1,5 @@
-"""streaming."""
+"""Structured Streaming entry points (incremental silver refresh from landing)."""
+
+from tierline.streaming.landing_stream import apply_runs, refine_stream, start_refine_stream
+
+__all__ = ["apply_runs", "refine_stream", "start_refine_stream"]
