@@ -92,7 +92,9 @@ class SnapshotStore:
     def publish(self, table: str, df: DataFrame, snapshot: str) -> DataFrame:
         """Write a full snapshot (idempotent per snapshot id) and return it, read back."""
         path = f"{self._table_dir(table)}/snapshot={snapshot}"
-        writer = df.write.mode("overwrite")
+        # A snapshot is written whole: static overwrite, which also leaves the
+        # job's _SUCCESS marker at the snapshot root (the commit flag readers use).
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if IS_ACTIVE in df.columns:
             writer = writer.partitionBy(IS_ACTIVE)
         writer.parquet(path)
@@ -107,5 +109,5 @@ def create_if_absent(df: DataFrame, path: str) -> DataFrame:
 
 def overwrite(df: DataFrame, path: str) -> DataFrame:
     """Refresh a table (full rewrite, committed by the job's ``_SUCCESS``)."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return read_with_schema(df.sparkSession, path, df.schema)

@@ -33,10 +33,20 @@ EPOCH_MS = "epoch_ms"
 ISO_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
 
 
-def encode(df: DataFrame, encoding: str = ISO) -> DataFrame:
-    """Apply the landing encoding to typed source columns."""
+def encode(df: DataFrame, encoding: str = ISO, instants_as_text: bool = False) -> DataFrame:
+    """Apply the landing encoding to typed source columns.
+
+    JSON carries instants as text by nature; a Parquet landing file would keep
+    them typed, so ``instants_as_text`` renders them in the encoding's text
+    form there (bronze declares event times as STRING).
+    """
     if encoding == ISO:
-        return df
+        if not instants_as_text:
+            return df
+        return df.select([
+            (F.date_format(F.col(f.name).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+             if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) else F.col(f.name)).alias(f.name)
+            for f in df.schema.fields])
     if encoding != EPOCH_MS:
         raise ValueError(f"unknown encoding {encoding!r}")
     cols = []
@@ -44,6 +54,8 @@ def encode(df: DataFrame, encoding: str = ISO) -> DataFrame:
         c = F.col(f.name)
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.unix_millis(c.cast("timestamp"))
+            if instants_as_text:
+                c = c.cast("string")
         elif isinstance(f.dataType, T.DecimalType):
             c = c.cast("double")
         cols.append(c.alias(f.name))
@@ -57,7 +69,7 @@ def table_path(root: str, table: str) -> str:
 def write_landing(df: DataFrame, root: str, table: str, run_id: str, load_date: str | dt.date,
                   encoding: str = ISO, fmt: str = "json") -> str:
     """Land one extract of ``table`` as run ``run_id``; returns the table's landing path."""
-    out = encode(df, encoding) \
+    out = encode(df, encoding, instants_as_text=(fmt == "parquet")) \
         .withColumn(LOAD_DATE, F.lit(str(load_date)).cast("date")) \
         .withColumn(RUN_ID, F.lit(run_id))
     path = table_path(root, table)
