@@ -27,10 +27,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tierline.operators import gold  # noqa: E402
 from tierline.plans import queries as Q  # noqa: E402
-from tierline.plans.publish import materialize  # noqa: E402
-from tierline.plans.silver import replay  # noqa: E402
-from tierline.schemas import IS_ACTIVE, REGISTRY, SCD2  # noqa: E402
-from tierline.session import get_session  # noqa: E402
+from tierline.plans.publish import SnapshotStore  # noqa: E402
+from tierline.plans.retail import publish_run  # noqa: E402
+from tierline.schemas import REGISTRY, SCD2  # noqa: E402
+from tierline.session import get_session, scratch_root  # noqa: E402
 from tierline.sources import retail  # noqa: E402
 
 
@@ -60,24 +60,17 @@ def main() -> None:
     # warm-up: JIT and codegen caches, not timed
     run(retail.batch(spark, sf_dir, "orders", 2))
 
-    # silver run 1 for every table (published), then timed run 2 per table
-    run1 = {}
+    # silver run 1 for every SCD2 table (published), then timed run 2 per table
+    store = SnapshotStore(spark, scratch_root(spark, "bench-silver"))
     t_run1 = 0.0
     for name, spec in REGISTRY.items():
-        if spec.silver_policy != SCD2:
-            continue
-        df = replay(spark, name, [(retail.batch(spark, sf_dir, name, 1), retail.AS_OF_1)])
-        t0 = time.perf_counter()
-        run1[name] = materialize(df, f"bench-{name}-run1", partition_by=[IS_ACTIVE])
-        t_run1 += time.perf_counter() - t0
+        if spec.silver_policy == SCD2:
+            t_run1 += timed(lambda: publish_run(spark, sf_dir, store, name, 1))
     results["silver_initial_load_all"] = t_run1
     silver = {}
-    for name, spec in REGISTRY.items():
-        runs = [(retail.batch(spark, sf_dir, name, 2), retail.AS_OF_2)]
-        df = replay(spark, name, runs, target=run1.get(name))
-        parts = [IS_ACTIVE] if spec.silver_policy == SCD2 else None
+    for name in REGISTRY:
         t0 = time.perf_counter()
-        silver[name] = materialize(df, f"bench-{name}-run2", partition_by=parts)
+        silver[name] = publish_run(spark, sf_dir, store, name, 2)
         results[f"silver_{name}"] = time.perf_counter() - t0
         log(f"silver_{name}: {results[f'silver_{name}']:.2f}s")
 

@@ -30,6 +30,7 @@ all hash into one shuffle partition.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -93,13 +94,20 @@ def _opened(src: DataFrame, cols: list[str], as_of: Column) -> DataFrame:
 
 def scd2_merge(target: DataFrame, batch: DataFrame, spec: TableSpec, as_of: dt.datetime,
                strict: bool = True, null_safe: bool = False,
-               prepared: bool = False) -> Scd2Result:
+               prepared: bool = False,
+               cut: Callable[[DataFrame, str], DataFrame] | None = None) -> Scd2Result:
     """Apply one batch to an SCD2 table; see the module docstring.
 
     ``strict``: fail the job (lazily, inside the plan) when two batch rows
     would both expire the same active version, which MERGE rejects; with
     ``strict=False`` that version is closed once and both rows open.
     ``null_safe``: count NULL <-> value as a change (not the reference's rule).
+    ``cut``: optional ``(df, label) -> df`` applied to the prepared batch and to
+    the active versions the batch touches, both used by several branches of
+    the result. A pipeline passes a function that writes them once to the
+    shared checkpoint folder. Without it, every branch re-derives them (and
+    the batch DISTINCT) from the source, because different filters are pushed
+    into each branch and Spark cannot reuse one exchange for all of them.
     """
     keys, tracked = list(spec.keys), list(spec.tracked)
     cols = payload_columns(spec)
@@ -107,6 +115,8 @@ def scd2_merge(target: DataFrame, batch: DataFrame, spec: TableSpec, as_of: dt.d
     stamp = F.lit(as_of).cast("timestamp")
 
     src = batch if prepared else prepare_batch(batch, spec)
+    if cut is not None:
+        src = cut(src, "batch")
     target = target.select(*silver)
     is_active = F.col(IS_ACTIVE) == F.lit(True)
     active = target.where(is_active)
@@ -119,6 +129,8 @@ def scd2_merge(target: DataFrame, batch: DataFrame, spec: TableSpec, as_of: dt.d
     src_keys = src_keyed.select(*keys)
     act_in = act_keyed.join(src_keys, keys, "left_semi")     # versions the batch may touch
     act_out = act_keyed.join(src_keys, keys, "left_anti")    # versions it cannot touch
+    if cut is not None:
+        act_in = cut(act_in, "touched")
 
     s = src_keyed.select(*[F.col(c).alias(_SRC + c) for c in cols])
     match = reduce(and_, [F.col(k) == F.col(_SRC + k) for k in keys])

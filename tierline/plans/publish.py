@@ -4,11 +4,18 @@
   and read it back. It cuts lineage (a retry after a lost executor re-reads
   files instead of recomputing the whole upstream), and the reader gets
   column pruning, filter pushdown and real size statistics.
-* ``SnapshotStore``: versioned silver tables. Each run writes a complete
-  new snapshot, partitioned by ``is_active`` so readers of the live version
-  prune the history files; the newest snapshot whose ``_SUCCESS`` marker
-  exists is the current one. A job that dies half-way leaves no marker
-  and is simply ignored, so the publish is atomic for readers.
+* ``SnapshotStore``: versioned silver tables. A full-refresh table writes a
+  complete snapshot per run. An SCD2 table is stored as two parts:
+  ``history/run=<id>/`` holds only the versions that run *closed* (history is
+  append-only, never rewritten), and ``active/snapshot=<id>/`` holds the live
+  versions after the run. The newest snapshot with a ``_SUCCESS`` marker is
+  current; history of later (uncommitted) runs is ignored by a partition
+  filter. A job that dies half-way leaves no marker, so the publish is
+  atomic for readers, and a retry overwrites its own run folders. Readers
+  see ``is_active`` as a constant per part, so a query on live versions
+  prunes the history part at planning time and reads none of its files.
+* ``Scratch``: intermediate results written once under the shared
+  checkpoint root (lineage cuts), deleted when the run has published.
 * ``create_if_absent`` / ``overwrite``: CTAS-if-absent (the reference's
   gold ``CREATE TABLE IF NOT EXISTS ... AS``) and refresh.
 """
@@ -60,8 +67,31 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
     return read_with_schema(spark, path, df.schema)
 
 
+class Scratch:
+    """Lineage cuts for one run: written under the shared checkpoint root, then removed."""
+
+    def __init__(self, spark: SparkSession, label: str = "run"):
+        self.spark = spark
+        self.root = scratch_root(spark, label)
+        self._n = 0
+
+    def cut(self, df: DataFrame, label: str) -> DataFrame:
+        self._n += 1
+        return materialize(df, label, path=f"{self.root}/{self._n:03d}-{label}")
+
+    def cleanup(self) -> None:
+        fs, hpath, _ = _jvm_fs(self.spark, self.root)
+        if fs.exists(hpath):
+            fs.delete(hpath, True)
+
+
+HISTORY = "history"
+ACTIVE = "active"
+RUN = "run"
+
+
 class SnapshotStore:
-    """Versioned tables under ``root/<table>/snapshot=<run_id>/``."""
+    """Versioned tables under ``root/<table>/`` (see the module docstring)."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -70,12 +100,16 @@ class SnapshotStore:
     def _table_dir(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def _snap_parent(self, table: str) -> str:
+        scd2 = f"{self._table_dir(table)}/{ACTIVE}"
+        return scd2 if path_exists(self.spark, scd2) else self._table_dir(table)
+
     def snapshots(self, table: str) -> list[str]:
         """Completed snapshot ids, oldest first."""
+        parent = self._snap_parent(table)
         done = []
-        for name in list_dirs(self.spark, self._table_dir(table)):
-            if name.startswith("snapshot=") and path_exists(
-                    self.spark, f"{self._table_dir(table)}/{name}/_SUCCESS"):
+        for name in list_dirs(self.spark, parent):
+            if name.startswith("snapshot=") and path_exists(self.spark, f"{parent}/{name}/_SUCCESS"):
                 done.append(name.split("=", 1)[1])
         return done
 
@@ -87,8 +121,45 @@ class SnapshotStore:
         snapshot = snapshot or self.latest_id(table)
         if snapshot is None:
             return None
+        if path_exists(self.spark, f"{self._table_dir(table)}/{ACTIVE}"):
+            return self._read_scd2(table, schema, snapshot)
         return read_with_schema(self.spark, f"{self._table_dir(table)}/snapshot={snapshot}", schema)
 
+    def _read_scd2(self, table: str, schema: T.StructType, snapshot: str) -> DataFrame:
+        from pyspark.sql import functions as F
+        base = self._table_dir(table)
+        payload = T.StructType([f for f in schema.fields if f.name != IS_ACTIVE])
+        active = self.spark.read.schema(payload).parquet(f"{base}/{ACTIVE}/snapshot={snapshot}") \
+            .withColumn(IS_ACTIVE, F.lit(True))
+        out = active.select(*schema.names)
+        if path_exists(self.spark, f"{base}/{HISTORY}"):
+            hist_schema = T.StructType(list(payload.fields) + [T.StructField(RUN, T.StringType(), True)])
+            hist = self.spark.read.schema(hist_schema).parquet(f"{base}/{HISTORY}") \
+                .where(F.col(RUN) <= F.lit(snapshot)).withColumn(IS_ACTIVE, F.lit(False))
+            out = out.unionByName(hist.select(*schema.names))
+        return out
+
+    def publish_scd2(self, table: str, result, snapshot: str, schema: T.StructType) -> DataFrame:
+        """Publish one SCD2 run from an ``Scd2Result``: closed versions, then the live set."""
+        base = self._table_dir(table)
+        first = self.latest_id(table) is None
+        closed = result.closed.unionByName(result.history) if first else result.closed
+        closed.drop(IS_ACTIVE).write.mode("overwrite").option("partitionOverwriteMode", "static") \
+            .parquet(f"{base}/{HISTORY}/{RUN}={snapshot}")
+        result.active().drop(IS_ACTIVE).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "static").parquet(f"{base}/{ACTIVE}/snapshot={snapshot}")
+        return self._read_scd2(table, schema, snapshot)
+
+    def vacuum(self, table: str, keep: int = 2) -> list[str]:
+        """Delete all but the newest ``keep`` committed snapshots (history is never deleted)."""
+        snaps = self.snapshots(table)
+        parent = self._snap_parent(table)
+        dropped = snaps[:-keep] if keep > 0 else snaps
+        for snap in dropped:
+            fs, hpath, _ = _jvm_fs(self.spark, f"{parent}/snapshot={snap}")
+            fs.delete(hpath, True)
+        return dropped
+
     def publish(self, table: str, df: DataFrame, snapshot: str) -> DataFrame:
         """Write a full snapshot (idempotent per snapshot id) and return it, read back."""
         path = f"{self._table_dir(table)}/snapshot={snapshot}"

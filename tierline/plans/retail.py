@@ -14,43 +14,54 @@ from pyspark.sql import functions as F
 
 from tierline.functions.time import ts_text
 from tierline.operators import gold
-from tierline.plans.publish import materialize
-from tierline.plans.silver import replay
-from tierline.schemas import EFFECTIVE_END, EFFECTIVE_START, IS_ACTIVE, REGISTRY, SCD2
+from tierline.operators.refresh import full_refresh
+from tierline.operators.scd2 import empty_target, scd2_merge
+from tierline.plans.publish import Scratch, SnapshotStore
+from tierline.schemas import EFFECTIVE_END, EFFECTIVE_START, REGISTRY, SCD2
+from tierline.session import scratch_root
 from tierline.sources import retail
 from tierline.sources.retail import AS_OF_1, AS_OF_2, GOLD_AS_OF
 
 
-def silver_table(spark: SparkSession, sf_dir: str, table: str, materialize_runs: bool = True,
-                 **kwargs) -> DataFrame:
-    """Silver ``table`` after runs 1 and 2.
+def publish_run(spark: SparkSession, sf_dir: str, store: SnapshotStore, table: str, number: int,
+                **kwargs) -> DataFrame:
+    """Run ``number`` (1 or 2) of silver ``table``: merge its extract and publish it.
 
-    With ``materialize_runs`` each run's result is written (Parquet, under
-    the shared checkpoint root) before the next run reads it, exactly as a
-    daily pipeline publishes silver: the run-2 plan then starts from files,
-    not from the whole run-1 lineage.
+    SCD2 tables write only the closed versions and the new live set; the
+    prepared batch and the touched live versions are cut once (written under the
+    shared checkpoint root) and removed after the publish.
     """
     spec = REGISTRY[table]
+    batch = retail.batch(spark, sf_dir, table, number)
+    run_id = f"run{number}"
     if spec.silver_policy != SCD2:
-        return replay(spark, table, [(retail.batch(spark, sf_dir, table, 2), AS_OF_2)])
-    run1 = replay(spark, table, [(retail.batch(spark, sf_dir, table, 1), AS_OF_1)], **kwargs)
-    if materialize_runs:
-        run1 = materialize(run1, f"silver-{table}-run1", partition_by=[IS_ACTIVE])
-    return replay(spark, table, [(retail.batch(spark, sf_dir, table, 2), AS_OF_2)], target=run1,
-                  **kwargs)
-
-
-def silver_tables(spark: SparkSession, sf_dir: str, materialize_runs: bool = True,
-                  tables=None) -> dict[str, DataFrame]:
-    """All silver tables after run 2; with ``materialize_runs`` they are published too."""
-    out = {}
-    for name in (tables or REGISTRY):
-        df = silver_table(spark, sf_dir, name, materialize_runs)
-        if materialize_runs:
-            parts = [IS_ACTIVE] if REGISTRY[name].silver_policy == SCD2 else None
-            df = materialize(df, f"silver-{name}-run2", partition_by=parts)
-        out[name] = df
-    return out
+        return store.publish(table, full_refresh(batch, spec), run_id)
+    as_of = AS_OF_1 if number == 1 else AS_OF_2
+    scratch = Scratch(spark, f"scd2-{table}-{run_id}")
+    try:
+        target = store.read(table, spec.silver_schema())
+        # first load: nothing to compare against, so nothing is reused; no cut
+        cut = scratch.cut if target is not None else None
+        result = scd2_merge(target if target is not None else empty_target(spark, spec), batch, spec,
+                            as_of, cut=cut, **kwargs)
+        return store.publish_scd2(table, result, run_id, spec.silver_schema())
+    finally:
+        scratch.cleanup()
+
+
+def silver_table(spark: SparkSession, sf_dir: str, table: str, store: SnapshotStore | None = None,
+                 **kwargs) -> DataFrame:
+    """Silver ``table`` after runs 1 and 2, each published as a daily pipeline does."""
+    store = store or SnapshotStore(spark, scratch_root(spark, "silver"))
+    if REGISTRY[table].silver_policy == SCD2:
+        publish_run(spark, sf_dir, store, table, 1, **kwargs)
+    return publish_run(spark, sf_dir, store, table, 2, **kwargs)
+
+
+def silver_tables(spark: SparkSession, sf_dir: str, tables=None) -> dict[str, DataFrame]:
+    """All (or some) silver tables after run 2, published under one store."""
+    store = SnapshotStore(spark, scratch_root(spark, "silver"))
+    return {name: silver_table(spark, sf_dir, name, store) for name in (tables or REGISTRY)}
 
 
 def silver_report(df: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tierline.operators.refresh import full_refresh
 from tierline.operators.scd2 import empty_target, scd2_merge
-from tierline.plans.publish import SnapshotStore
+from tierline.plans.publish import Scratch, SnapshotStore
 from tierline.schemas import SCD2, TableSpec
 from tierline.sources.bronze import FAILFAST, typed
 from tierline.sources.landing import LOAD_DATE, RUN_ID
@@ -49,11 +49,16 @@ def apply_runs(spark: SparkSession, spec: TableSpec, store: SnapshotStore, rows:
         batch = rows.where(F.col(RUN_ID) == F.lit(run))
         batch = typed(batch, spec, FAILFAST) if spec.landing_format == "json" else batch
         if spec.silver_policy == SCD2:
-            target = store.read(spec.name, spec.silver_schema()) or empty_target(spark, spec)
-            new = scd2_merge(target, batch, spec, as_of, **merge_kwargs).all_versions()
+            schema = spec.silver_schema()
+            target = store.read(spec.name, schema) or empty_target(spark, spec)
+            scratch = Scratch(spark, f"stream-{spec.name}-{run}")
+            try:
+                result = scd2_merge(target, batch, spec, as_of, cut=scratch.cut, **merge_kwargs)
+                store.publish_scd2(spec.name, result, run, schema)
+            finally:
+                scratch.cleanup()
         else:
-            new = full_refresh(batch, spec)
-        store.publish(spec.name, new, run)
+            store.publish(spec.name, full_refresh(batch, spec), run)
         published.append(run)
         done = run
     return published
