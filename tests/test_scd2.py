@@ -62,6 +62,15 @@ def test_case_table(spark):
     assert got == expected
 
 
+def test_first_load_equals_merge_into_empty_target(spark):
+    batch = BATCH + [(9, None, None), (9, None, None)]
+    direct = scd2_merge(None, batch_df(spark, batch), SPEC, AS_OF)
+    via_empty = scd2_merge(target_df(spark, []), batch_df(spark, batch), SPEC, AS_OF)
+    assert result(direct) == result(via_empty)
+    assert direct.closed.count() == 0 and direct.kept.count() == 0
+    assert all(r[3] and r[4] == "new" for r in result(direct))
+
+
 def test_rerun_is_noop_except_null_keys(spark):
     first = scd2_merge(target_df(spark, []), batch_df(spark, [(1, "a", 1), (None, "n", 1)]), SPEC, AS_OF)
     again = scd2_merge(first.all_versions(), batch_df(spark, [(1, "a", 1), (None, "n", 1)]), SPEC, AS_OF)

@@ -92,12 +92,16 @@ def _opened(src: DataFrame, cols: list[str], as_of: Column) -> DataFrame:
                       as_of.alias(EFFECTIVE_END), F.lit(True).alias(IS_ACTIVE))
 
 
-def scd2_merge(target: DataFrame, batch: DataFrame, spec: TableSpec, as_of: dt.datetime,
+def scd2_merge(target: DataFrame | None, batch: DataFrame, spec: TableSpec, as_of: dt.datetime,
                strict: bool = True, null_safe: bool = False,
                prepared: bool = False,
                cut: Callable[[DataFrame, str], DataFrame] | None = None) -> Scd2Result:
     """Apply one batch to an SCD2 table; see the module docstring.
 
+    ``target=None`` is the first load of a table that does not exist yet:
+    every batch row opens a version, so no join is planned and the batch
+    is derived once (see ``initial_load``).
+
     ``strict``: fail the job (lazily, inside the plan) when two batch rows
     would both expire the same active version, which MERGE rejects; with
     ``strict=False`` that version is closed once and both rows open.
@@ -114,6 +118,8 @@ def scd2_merge(target: DataFrame, batch: DataFrame, spec: TableSpec, as_of: dt.d
     silver = spec.silver_schema().names
     stamp = F.lit(as_of).cast("timestamp")
 
+    if target is None:
+        return initial_load(batch, spec, as_of, prepared=prepared)
     src = batch if prepared else prepare_batch(batch, spec)
     if cut is not None:
         src = cut(src, "batch")
@@ -153,6 +159,23 @@ def scd2_merge(target: DataFrame, batch: DataFrame, spec: TableSpec, as_of: dt.d
         opened=_opened(opened_keyed.unionByName(src_null), cols, stamp).select(*silver))
 
 
+def initial_load(batch: DataFrame, spec: TableSpec, as_of: dt.datetime,
+                 prepared: bool = False) -> Scd2Result:
+    """``scd2_merge`` into an absent table: every batch row opens a live version.
+
+    This is what the closed form gives for an empty target (nothing to close
+    or keep, and no active version two batch rows could both change), but it
+    plans one pass over the batch instead of semi/anti joins against nothing,
+    each of which would re-derive the batch (and its DISTINCT) from the source.
+    """
+    src = batch if prepared else prepare_batch(batch, spec)
+    silver = spec.silver_schema().names
+    none = empty_target(batch.sparkSession, spec)
+    return Scd2Result(history=none, closed=none, kept=none,
+                      opened=_opened(src, payload_columns(spec), F.lit(as_of).cast("timestamp"))
+                      .select(*silver))
+
+
 def _conflict_guard(s: DataFrame, act_in: DataFrame, cond: Column, keys: list[str],
                     silver: list[str], spec: TableSpec) -> DataFrame:
     """Zero rows, or a job failure naming the first key two batch rows both change.
@@ -180,8 +203,8 @@ def _conflict_guard(s: DataFrame, act_in: DataFrame, cond: Column, keys: list[st
 
 def scd2_apply(spark: SparkSession, target: DataFrame | None, batches: list[tuple[DataFrame, dt.datetime]],
                spec: TableSpec, **kwargs) -> DataFrame:
-    """Fold several batches, in run order, into a target (all versions)."""
-    current = target if target is not None else empty_target(spark, spec)
+    """Fold several batches, in run order, into a target (all versions; None = no table yet)."""
+    current = target
     for batch, as_of in batches:
         current = scd2_merge(current, batch, spec, as_of, **kwargs).all_versions()
     return current

@@ -153,8 +153,7 @@ def refine_table(spark: SparkSession, spec: TableSpec, layout: Layout, as_of: dt
             try:
                 batch = read_bronze_runs(spark, layout.landing, spec, runs=[run])
                 cut = scratch.cut if target is not None else None
-                result = scd2_merge(target if target is not None else empty_target(spark, spec), batch,
-                                    spec, as_of, cut=cut, **merge_kwargs)
+                result = scd2_merge(target, batch, spec, as_of, cut=cut, **merge_kwargs)
                 target = store.publish_scd2(spec.name, result, run, schema)
             finally:
                 scratch.cleanup()

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tierline.functions.time import ts_text
 from tierline.operators import gold
 from tierline.operators.refresh import full_refresh
-from tierline.operators.scd2 import empty_target, scd2_merge
+from tierline.operators.scd2 import scd2_merge
 from tierline.plans.publish import Scratch, SnapshotStore
 from tierline.schemas import EFFECTIVE_END, EFFECTIVE_START, REGISTRY, SCD2
 from tierline.session import scratch_root
@@ -42,8 +42,7 @@ def publish_run(spark: SparkSession, sf_dir: str, store: SnapshotStore, table: s
         target = store.read(table, spec.silver_schema())
         # first load: nothing to compare against, so nothing is reused; no cut
         cut = scratch.cut if target is not None else None
-        result = scd2_merge(target if target is not None else empty_target(spark, spec), batch, spec,
-                            as_of, cut=cut, **kwargs)
+        result = scd2_merge(target, batch, spec, as_of, cut=cut, **kwargs)
         return store.publish_scd2(table, result, run_id, spec.silver_schema())
     finally:
         scratch.cleanup()

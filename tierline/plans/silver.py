@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from tierline.operators.refresh import full_refresh
-from tierline.operators.scd2 import Scd2Result, empty_target, scd2_merge
+from tierline.operators.scd2 import Scd2Result, scd2_merge
 from tierline.schemas import FULL_REFRESH_TABLES, REGISTRY, SCD2, SCD2_TABLES
 
 
@@ -22,18 +22,13 @@ def refine(spark: SparkSession, table: str, target: DataFrame | None, batch: Dat
     """One silver run of ``table``: the new full content of the silver table."""
     spec = REGISTRY[table]
     if spec.silver_policy == SCD2:
-        if target is None:
-            target = empty_target(spark, spec)
         return scd2_merge(target, batch, spec, as_of, **kwargs).all_versions()
     return full_refresh(batch, spec)
 
 
 def refine_scd2(spark: SparkSession, table: str, target: DataFrame | None, batch: DataFrame,
                 as_of: dt.datetime, **kwargs) -> Scd2Result:
-    spec = REGISTRY[table]
-    if target is None:
-        target = empty_target(spark, spec)
-    return scd2_merge(target, batch, spec, as_of, **kwargs)
+    return scd2_merge(target, batch, REGISTRY[table], as_of, **kwargs)
 
 
 def replay(spark: SparkSession, table: str, runs: list[tuple[DataFrame, dt.datetime]],

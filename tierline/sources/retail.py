@@ -48,9 +48,34 @@ REVIEW_EVENT_TYPES = ("view", "purchase")
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
+# Row key of each driver table: hash-spreading a narrow scan on it balances
+# the rows (a key is unique or nearly so, never a hot value).
+SPREAD_KEYS = {"customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey",
+               "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id"}
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan that has fewer input splits than the cluster has cores.
+
+    A table stored as one or a few large row groups scans as a few tasks,
+    and everything Spark fuses into the scan stage (key building, casts,
+    the map side of a DISTINCT or an aggregate) runs in those tasks alone.
+    Such a scan is hash-repartitioned on the table's row key: balanced and
+    deterministic on retry (no sort, unlike round-robin). A large table has
+    at least one split per core and is returned unchanged, so at scale this
+    adds no shuffle; filters and column pruning still reach the Parquet scan
+    below the exchange.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, F.col(key))
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = SPREAD_KEYS.get(name)
+    return spread(df, key) if key else df
 
 
 def _ntz(value: dt.datetime) -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tierline.operators.refresh import full_refresh
-from tierline.operators.scd2 import empty_target, scd2_merge
+from tierline.operators.scd2 import scd2_merge
 from tierline.plans.publish import Scratch, SnapshotStore
 from tierline.schemas import SCD2, TableSpec
 from tierline.sources.bronze import FAILFAST, typed
@@ -50,10 +50,11 @@ def apply_runs(spark: SparkSession, spec: TableSpec, store: SnapshotStore, rows:
         batch = typed(batch, spec, FAILFAST) if spec.landing_format == "json" else batch
         if spec.silver_policy == SCD2:
             schema = spec.silver_schema()
-            target = store.read(spec.name, schema) or empty_target(spark, spec)
+            target = store.read(spec.name, schema)
             scratch = Scratch(spark, f"stream-{spec.name}-{run}")
             try:
-                result = scd2_merge(target, batch, spec, as_of, cut=scratch.cut, **merge_kwargs)
+                cut = scratch.cut if target is not None else None
+                result = scd2_merge(target, batch, spec, as_of, cut=cut, **merge_kwargs)
                 store.publish_scd2(spec.name, result, run, schema)
             finally:
                 scratch.cleanup()
