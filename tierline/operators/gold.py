@@ -67,7 +67,13 @@ def sales_summary(silver: Mapping[str, DataFrame], mode: str = FAITHFUL) -> Data
     o = orders.select("order_id", order_date.alias("order_date"), "customer_id")
     p = silver["products"].select("product_id", "category_id", F.col("name").alias("product_name"))
     c = silver["categories"].select("category_id", F.col("name").alias("category_name"))
-    joined = _lines(silver, mode).join(o, "order_id").join(p, "product_id").join(c, "category_id")
+    # Lines collapse to one row per (order, product) map-side before the join,
+    # so a hot order cannot pile its lines into one join partition. Exact: an
+    # order row joins every line of its group alike, and the customer is a
+    # property of the order, not the line.
+    lines = _lines(silver, mode).groupBy("order_id", "product_id").agg(
+        F.sum("quantity").alias("quantity"), F.sum("value").alias("value"))
+    joined = lines.join(o, "order_id").join(p, "product_id").join(c, "category_id")
     return joined.groupBy("order_date", "category_id", "category_name", "product_id", "product_name").agg(
         F.sum("quantity").alias("total_units_sold"),
         as_double(F.sum("value")).alias("total_sales"),

@@ -52,6 +52,40 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory())
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, hpath, _ = _jvm_fs(spark, path)
+    if fs.exists(hpath):
+        fs.delete(hpath, True)
+
+
+def make_dirs(spark: SparkSession, path: str) -> None:
+    fs, hpath, _ = _jvm_fs(spark, path)
+    fs.mkdirs(hpath)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    fs, hpath, _ = _jvm_fs(spark, path)
+    fs.create(hpath, True).close()
+
+
+def move_dir(spark: SparkSession, src: str, dst: str) -> bool:
+    """Rename folder ``src`` to ``dst`` (replacing ``dst``); False when ``src`` is absent.
+
+    A rename is a metadata operation on HDFS-like filesystems; no data is copied
+    through the driver.
+    """
+    fs, hsrc, jvm = _jvm_fs(spark, src)
+    if not fs.exists(hsrc):
+        return False
+    hdst = jvm.org.apache.hadoop.fs.Path(dst)
+    if fs.exists(hdst):
+        fs.delete(hdst, True)
+    fs.mkdirs(hdst.getParent())
+    if not fs.rename(hsrc, hdst):
+        raise OSError(f"could not move {src} to {dst}")
+    return True
+
+
 def read_with_schema(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
@@ -88,6 +122,8 @@ class Scratch:
 HISTORY = "history"
 ACTIVE = "active"
 RUN = "run"
+STAGING = "_staging"    # leading underscore: ignored by Parquet readers of the table
+_DEST = "_dest"
 
 
 class SnapshotStore:
@@ -140,14 +176,34 @@ class SnapshotStore:
         return out
 
     def publish_scd2(self, table: str, result, snapshot: str, schema: T.StructType) -> DataFrame:
-        """Publish one SCD2 run from an ``Scd2Result``: closed versions, then the live set."""
+        """Publish one SCD2 run from an ``Scd2Result`` as a single job.
+
+        Closed and live versions are written together, partitioned by their
+        destination, into a staging folder; the two partitions are then
+        renamed into place (``history/run=<id>``, ``active/snapshot=<id>``)
+        and the snapshot's ``_SUCCESS`` marker is created last. One query
+        plans both outputs, so Spark reuses each exchange of the batch and
+        of the target across the semi/anti joins that feed them (two separate
+        writes would shuffle both sides again). A crash before the marker
+        leaves the run invisible; a retry overwrites staging and replaces
+        whatever folders the crashed attempt moved.
+        """
+        from pyspark.sql import functions as F
         base = self._table_dir(table)
         first = self.latest_id(table) is None
         closed = result.closed.unionByName(result.history) if first else result.closed
-        closed.drop(IS_ACTIVE).write.mode("overwrite").option("partitionOverwriteMode", "static") \
-            .parquet(f"{base}/{HISTORY}/{RUN}={snapshot}")
-        result.active().drop(IS_ACTIVE).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "static").parquet(f"{base}/{ACTIVE}/snapshot={snapshot}")
+        rows = closed.drop(IS_ACTIVE).withColumn(_DEST, F.lit(HISTORY)).unionByName(
+            result.active().drop(IS_ACTIVE).withColumn(_DEST, F.lit(ACTIVE)))
+        staging = f"{base}/{STAGING}/{RUN}={snapshot}"
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static") \
+            .partitionBy(_DEST).parquet(staging)
+        history_dir = f"{base}/{HISTORY}/{RUN}={snapshot}"
+        active_dir = f"{base}/{ACTIVE}/snapshot={snapshot}"
+        move_dir(self.spark, f"{staging}/{_DEST}={HISTORY}", history_dir)
+        if not move_dir(self.spark, f"{staging}/{_DEST}={ACTIVE}", active_dir):
+            make_dirs(self.spark, active_dir)       # no live version: an empty snapshot
+        touch(self.spark, f"{active_dir}/_SUCCESS")  # the commit
+        delete_path(self.spark, staging)
         return self._read_scd2(table, schema, snapshot)
 
     def vacuum(self, table: str, keep: int = 2) -> list[str]:
