@@ -31,6 +31,7 @@ from tierline.operators.scd2 import empty_target, scd2_merge
 from tierline.operators.watermark import latest_watermark_value, observed
 from tierline.plans.publish import Scratch, SnapshotStore, create_if_absent, overwrite
 from tierline.schemas import INCREMENTAL, REGISTRY, SCD2, TableSpec
+from tierline.session import input_bytes, size_shuffle_partitions
 from tierline.sources.bronze import read_bronze_runs
 from tierline.sources.jdbc import extract
 from tierline.sources.landing import archive_runs, pending_runs, write_landing
@@ -167,6 +168,8 @@ def refine_table(spark: SparkSession, spec: TableSpec, layout: Layout, as_of: dt
 
 
 def refine(spark: SparkSession, layout: Layout, as_of: dt.datetime, tables=None, **kwargs) -> dict:
+    # landing + silver bound what the merges shuffle; size the shuffle to it
+    size_shuffle_partitions(spark, input_bytes(spark, [layout.landing, layout.silver]))
     return {name: refine_table(spark, REGISTRY[name], layout, as_of, **kwargs)
             for name in (tables or REGISTRY)}
 
@@ -183,6 +186,7 @@ def silver(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 
 def serve(spark: SparkSession, layout: Layout, as_of: dt.date, refresh: bool = False,
           mode: str = gold.FAITHFUL) -> dict[str, DataFrame]:
+    size_shuffle_partitions(spark, input_bytes(spark, [layout.silver]))
     tables = silver(spark, layout)
     out = {}
     for name, fn in gold.MARTS.items():

@@ -30,8 +30,16 @@ DEFAULTS = {
     "spark.sql.parquet.aggregatePushdown": "true",
     # Partitioned writes: overwrite only the partitions a job produces.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Shuffle partitions AQE aims for after coalescing, and the most a scan
+    # split reads: both well inside an executor's memory share per task.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "128m",
 }
 
+# Bounds for the sized shuffle partition count (see size_shuffle_partitions).
+MIN_PARTITIONS_PER_CORE = 2
+MAX_SHUFFLE_PARTITIONS = 50_000
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tierline", driver_memory: str | None = None) -> SparkSession:
@@ -60,6 +68,41 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files under ``paths`` (filesystem metadata; no data is read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(conf)
+        if fs.exists(hpath):
+            total += fs.getContentSummary(hpath).getLength()
+    return total
+
+
+def size_shuffle_partitions(spark: SparkSession, total_bytes: int) -> int:
+    """Size the shuffle partition count to the data, unless the deployment set it.
+
+    One partition per advisory size (128 MB) of input, at least two per core
+    and at most 50,000: a shuffle has (map tasks x partitions) blocks, so at
+    100 TB (819,200 advisory-sized pieces) the cap keeps the block count
+    manageable and each reducer near 2 GB of input, which sort-based shuffle
+    spills safely; AQE then coalesces small partitions and splits skewed ones
+    from the measured map output. A value set explicitly in the Spark conf
+    (cluster defaults, tests, the bench) wins.
+    """
+    conf = spark.sparkContext.getConf()
+    if conf.contains("spark.sql.shuffle.partitions"):
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    advisory = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m"))
+    floor = MIN_PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
+    n = max(floor, min(MAX_SHUFFLE_PARTITIONS, -(-total_bytes // advisory)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
