@@ -107,11 +107,13 @@ def scd2_merge(target: DataFrame | None, batch: DataFrame, spec: TableSpec, as_o
     ``strict=False`` that version is closed once and both rows open.
     ``null_safe``: count NULL <-> value as a change (not the reference's rule).
     ``cut``: optional ``(df, label) -> df`` applied to the prepared batch and to
-    the active versions the batch touches, both used by several branches of
-    the result. A pipeline passes a function that writes them once to the
-    shared checkpoint folder. Without it, every branch re-derives them (and
-    the batch DISTINCT) from the source, because different filters are pushed
-    into each branch and Spark cannot reuse one exchange for all of them.
+    the active versions the batch touches (e.g. ``Scratch.cut``, which writes
+    them once under the shared checkpoint folder). Use it when the batch is
+    expensive to derive again, such as a live JDBC extract. Without it (the
+    default, and what the pipelines do) the whole run is one query when its
+    outputs are written together: each side is shuffled by key once, the
+    exchanges are reused across the joins, and the join outputs keep their
+    key partitioning (at sf0.1, 9 stages against 14 with the cut).
     """
     keys, tracked = list(spec.keys), list(spec.tracked)
     cols = payload_columns(spec)
@@ -132,14 +134,17 @@ def scd2_merge(target: DataFrame | None, batch: DataFrame, spec: TableSpec, as_o
     src_keyed, src_null = src.where(present), src.where(~present)
     act_keyed, act_null = active.where(present), active.where(~present)
 
-    src_keys = src_keyed.select(*keys)
-    act_in = act_keyed.join(src_keys, keys, "left_semi")     # versions the batch may touch
-    act_out = act_keyed.join(src_keys, keys, "left_anti")    # versions it cannot touch
+    # One projection of the keyed batch feeds every join, so each distinct
+    # column set of it is shuffled once per query and the exchange reused. The
+    # joins' outputs stay hash-partitioned by key: without a cut, act_in and
+    # kept_in meet the batch again with no further exchange of the target.
+    s = src_keyed.select(*[F.col(c).alias(_SRC + c) for c in cols])
+    match = reduce(and_, [F.col(k) == F.col(_SRC + k) for k in keys])
+    act_in = act_keyed.join(s, match, "left_semi")     # versions the batch may touch
+    act_out = act_keyed.join(s, match, "left_anti")    # versions it cannot touch
     if cut is not None:
         act_in = cut(act_in, "touched")
 
-    s = src_keyed.select(*[F.col(c).alias(_SRC + c) for c in cols])
-    match = reduce(and_, [F.col(k) == F.col(_SRC + k) for k in keys])
     differs = changed([F.col(c) for c in tracked], [F.col(_SRC + c) for c in tracked], null_safe)
     cond = match & differs
 
@@ -147,7 +152,8 @@ def scd2_merge(target: DataFrame | None, batch: DataFrame, spec: TableSpec, as_o
         *[F.col(c) for c in cols], F.col(EFFECTIVE_START), stamp.alias(EFFECTIVE_END),
         F.lit(False).alias(IS_ACTIVE))
     kept_in = act_in.join(s, cond, "left_anti")
-    opened_keyed = src_keyed.join(kept_in.select(*keys), keys, "left_anti")
+    opened_keyed = s.join(kept_in.select(*keys), match, "left_anti") \
+        .select(*[F.col(_SRC + c).alias(c) for c in cols])
 
     if strict:
         closed = closed.unionByName(_conflict_guard(s, act_in, cond, keys, silver, spec))

@@ -29,7 +29,7 @@ from tierline.operators.audit import FAILED, SUCCESS, append, audit_row, log_row
 from tierline.operators.refresh import full_refresh
 from tierline.operators.scd2 import empty_target, scd2_merge
 from tierline.operators.watermark import latest_watermark_value, observed
-from tierline.plans.publish import Scratch, SnapshotStore, create_if_absent, overwrite
+from tierline.plans.publish import SnapshotStore, create_if_absent, overwrite
 from tierline.schemas import INCREMENTAL, REGISTRY, SCD2, TableSpec
 from tierline.session import input_bytes, size_shuffle_partitions
 from tierline.sources.bronze import read_bronze_runs
@@ -150,14 +150,11 @@ def refine_table(spark: SparkSession, spec: TableSpec, layout: Layout, as_of: dt
         schema = spec.silver_schema()
         target = store.read(spec.name, schema)
         for run in runs:
-            scratch = Scratch(spark, f"refine-{spec.name}-{run}")
-            try:
-                batch = read_bronze_runs(spark, layout.landing, spec, runs=[run])
-                cut = scratch.cut if target is not None else None
-                result = scd2_merge(target, batch, spec, as_of, cut=cut, **merge_kwargs)
-                target = store.publish_scd2(spec.name, result, run, schema)
-            finally:
-                scratch.cleanup()
+            # one query from the landed files and the silver snapshot: a lost
+            # executor recomputes a short stage chain, so nothing is cut
+            batch = read_bronze_runs(spark, layout.landing, spec, runs=[run])
+            result = scd2_merge(target, batch, spec, as_of, **merge_kwargs)
+            target = store.publish_scd2(spec.name, result, run, schema)
         return runs[-1]
     newest = runs[-1]
     batch = read_bronze_runs(spark, layout.landing, spec, runs=[newest])

@@ -16,7 +16,7 @@ from tierline.functions.time import ts_text
 from tierline.operators import gold
 from tierline.operators.refresh import full_refresh
 from tierline.operators.scd2 import scd2_merge
-from tierline.plans.publish import Scratch, SnapshotStore
+from tierline.plans.publish import SnapshotStore
 from tierline.schemas import EFFECTIVE_END, EFFECTIVE_START, REGISTRY, SCD2
 from tierline.session import scratch_root
 from tierline.sources import retail
@@ -27,9 +27,9 @@ def publish_run(spark: SparkSession, sf_dir: str, store: SnapshotStore, table: s
                 **kwargs) -> DataFrame:
     """Run ``number`` (1 or 2) of silver ``table``: merge its extract and publish it.
 
-    SCD2 tables write only the closed versions and the new live set; the
-    prepared batch and the touched live versions are cut once (written under the
-    shared checkpoint root) and removed after the publish.
+    SCD2 tables write only the closed versions and the new live set, in one
+    job (``SnapshotStore.publish_scd2``): its lineage is a single query from
+    Parquet files, so no intermediate cut is written.
     """
     spec = REGISTRY[table]
     batch = retail.batch(spark, sf_dir, table, number)
@@ -37,15 +37,9 @@ def publish_run(spark: SparkSession, sf_dir: str, store: SnapshotStore, table: s
     if spec.silver_policy != SCD2:
         return store.publish(table, full_refresh(batch, spec), run_id)
     as_of = AS_OF_1 if number == 1 else AS_OF_2
-    scratch = Scratch(spark, f"scd2-{table}-{run_id}")
-    try:
-        target = store.read(table, spec.silver_schema())
-        # first load: nothing to compare against, so nothing is reused; no cut
-        cut = scratch.cut if target is not None else None
-        result = scd2_merge(target, batch, spec, as_of, cut=cut, **kwargs)
-        return store.publish_scd2(table, result, run_id, spec.silver_schema())
-    finally:
-        scratch.cleanup()
+    target = store.read(table, spec.silver_schema())
+    result = scd2_merge(target, batch, spec, as_of, **kwargs)
+    return store.publish_scd2(table, result, run_id, spec.silver_schema())
 
 
 def silver_table(spark: SparkSession, sf_dir: str, table: str, store: SnapshotStore | None = None,

@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tierline.operators.refresh import full_refresh
 from tierline.operators.scd2 import scd2_merge
-from tierline.plans.publish import Scratch, SnapshotStore
+from tierline.plans.publish import SnapshotStore
 from tierline.schemas import SCD2, TableSpec
 from tierline.sources.bronze import FAILFAST, typed
 from tierline.sources.landing import LOAD_DATE, RUN_ID
@@ -51,13 +51,8 @@ def apply_runs(spark: SparkSession, spec: TableSpec, store: SnapshotStore, rows:
         if spec.silver_policy == SCD2:
             schema = spec.silver_schema()
             target = store.read(spec.name, schema)
-            scratch = Scratch(spark, f"stream-{spec.name}-{run}")
-            try:
-                cut = scratch.cut if target is not None else None
-                result = scd2_merge(target, batch, spec, as_of, cut=cut, **merge_kwargs)
-                store.publish_scd2(spec.name, result, run, schema)
-            finally:
-                scratch.cleanup()
+            result = scd2_merge(target, batch, spec, as_of, **merge_kwargs)
+            store.publish_scd2(spec.name, result, run, schema)
         else:
             store.publish(spec.name, full_refresh(batch, spec), run)
         published.append(run)
