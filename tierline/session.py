@@ -97,12 +97,17 @@ def size_shuffle_partitions(spark: SparkSession, total_bytes: int) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     advisory = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
         spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m"))
-    floor = MIN_PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
-    n = max(floor, min(MAX_SHUFFLE_PARTITIONS, -(-total_bytes // advisory)))
+    n = shuffle_partitions_for(total_bytes, spark.sparkContext.defaultParallelism, advisory)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n
 
 
+def shuffle_partitions_for(total_bytes: int, cores: int, advisory_bytes: int) -> int:
+    """ceil(total / advisory), at least two per core, at most MAX_SHUFFLE_PARTITIONS."""
+    wanted = -(-total_bytes // advisory_bytes)
+    return max(MIN_PARTITIONS_PER_CORE * cores, min(MAX_SHUFFLE_PARTITIONS, wanted))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
