@@ -68,6 +68,24 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the library's settings to a session built elsewhere (e.g. by a scheduler).
+
+    The session time zone is always UTC: every instant in the model is
+    defined in UTC (as the reference's ingest does), and the day arithmetic
+    and text encodings depend on it. The other runtime defaults are filled in
+    only where the deployment's Spark conf leaves them unset. Static settings
+    (the UI) cannot change on a running session and are left alone.
+    """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    conf = spark.sparkContext.getConf()
+    for key, value in DEFAULTS.items():
+        if not conf.contains(key) and spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def input_bytes(spark: SparkSession, paths) -> int:
     """Total size of the files under ``paths`` (filesystem metadata; no data is read)."""
     jvm = spark.sparkContext._jvm
