@@ -126,3 +126,31 @@ def test_parse_event_ts_both_encodings(spark):
     assert out == ["1743069600123", "1743069600123", None]
     bad = spark.createDataFrame([("garbage",)], "t string")
     assert bad.select(parse_event_ts("t", strict=False)).first()[0] is None
+
+
+def test_daily_landing_names_rerun_archive_and_landing_date(spark, workdir):
+    from tierline.sources.bronze import read_bronze_daily
+    from tierline.sources.landing import (archive_daily, archived_daily_glob, daily_objects,
+                                          write_daily_landing)
+    landing, archive = f"{workdir}/landing", f"{workdir}/archive"
+    assert read_bronze_daily(spark, landing, ORDERS).count() == 0          # nothing landed yet
+    assert "landing_date" in read_bronze_daily(spark, landing, ORDERS).columns
+
+    def day_rows(n, amount):
+        return spark.createDataFrame(
+            [(i, 7, dt.datetime(2025, 3, 27, 10), amount, dt.datetime(2025, 3, 27, 10)) for i in range(n)],
+            "order_id bigint, customer_id bigint, order_date timestamp, total_amount double, updated_at timestamp")
+
+    d1, d2 = dt.date(2025, 3, 27), dt.date(2025, 3, 28)
+    write_daily_landing(day_rows(3, 1.0), landing, "orders", d1)
+    write_daily_landing(day_rows(2, 2.0), landing, "orders", d1)           # same-day rerun replaces
+    assert daily_objects(spark, landing, "orders") == [(d1, "orders_27032025.json")]
+    assert archive_daily(spark, landing, archive, "orders", keep=d2) == [d1]
+    assert os.path.isdir(f"{archive}/orders/2025/03/27/orders_27032025.json")
+    write_daily_landing(day_rows(4, 3.0), landing, "orders", d2)
+    bronze = read_bronze_daily(spark, landing, ORDERS).unionByName(
+        read_bronze_daily(spark, archived_daily_glob(archive, "orders"), ORDERS))
+    got = sorted((r["landing_date"], r["total_amount"], r["order_date"]) for r in
+                 bronze.groupBy("landing_date", "total_amount", "order_date").count().collect())
+    assert got == [(d1, 2.0, "1743069600000"), (d2, 3.0, "1743069600000")]
+    assert bronze.count() == 6

@@ -260,6 +260,12 @@ def bronze_query(table: str, batch: int = 2) -> str:
     return batch_sql(table, batch)
 
 
+def daily_landing_query(table: str, days: list[tuple[int, object]]) -> str:
+    """Each day's batch of ``table`` with that day as ``landing_date``."""
+    return "\nUNION ALL\n".join(f"SELECT *, DATE '{day.isoformat()}' AS landing_date FROM (\n{batch_sql(table, b)}\n) d{b}"
+                                 for b, day in days)
+
+
 def extract_query(table: str, wm: str, mark, keyset: tuple[str, object] | None = None) -> str:
     m = epoch_ms(mark)
     cond = f"CAST({wm} AS BIGINT) > {m}"

@@ -23,9 +23,10 @@ from tierline.plans.retail import mart, silver_report, silver_table, silver_tabl
 from tierline.schemas import REGISTRY
 from tierline.session import scratch_root
 from tierline.sources import retail
-from tierline.sources.bronze import read_bronze_json
+from tierline.sources.bronze import read_bronze_daily, read_bronze_json
 from tierline.sources.jdbc import ParquetSource, extract
-from tierline.sources.landing import EPOCH_MS, ISO, write_landing
+from tierline.sources.landing import (EPOCH_MS, ISO, archive_daily, archived_daily_glob, write_daily_landing,
+                                     write_landing)
 from tierline.sources.reviews import read_review_landing, write_review_landing
 
 
@@ -85,6 +86,25 @@ def bronze_roundtrip(spark: SparkSession, sf_dir: str, encoding: str) -> DataFra
     return bronze
 
 
+def bronze_roundtrip_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK2 + SNK11 + FN10/FN11 + SRC8: the older daily landing over two days.
+
+    Day 1's orders extract lands as ``orders_01012002.json`` and is archived
+    to ``orders/2002/01/01/`` when day 2 lands, as that ingest does before
+    each extract. Bronze over landing (day 2) and archive (day 1) gives every
+    row with the landing day parsed from its object's name.
+    """
+    root = _scratch(spark, "landing-daily")
+    landing, archive = f"{root}/landing", f"{root}/archive"
+    day1, day2 = retail.AS_OF_1.date(), retail.AS_OF_2.date()
+    write_daily_landing(retail.source(spark, sf_dir, "orders", 1), landing, "orders", day1)
+    archive_daily(spark, landing, archive, "orders", keep=day2)
+    write_daily_landing(retail.source(spark, sf_dir, "orders", 2), landing, "orders", day2)
+    spec = REGISTRY["orders"]
+    return read_bronze_daily(spark, landing, spec).unionByName(
+        read_bronze_daily(spark, archived_daily_glob(archive, "orders"), spec))
+
+
 def bronze_roundtrip_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK3 + SRC9: the review extract as a dated Parquet file, read back as bronze."""
     root = _scratch(spark, "landing-reviews")
@@ -144,6 +164,7 @@ QUERIES.update({
     "bronze_roundtrip_json": partial(bronze_roundtrip, encoding=EPOCH_MS),
     "bronze_roundtrip_iso": partial(bronze_roundtrip, encoding=ISO),
     "bronze_roundtrip_parquet": bronze_roundtrip_parquet,
+    "bronze_roundtrip_daily": bronze_roundtrip_daily,
     "incremental_extract": incremental_extract,
     "keyset_extract": keyset_extract,
     "batch_stats": batch_stats_query,
@@ -162,6 +183,8 @@ def oracles() -> dict[str, str]:
     out["bronze_roundtrip_json"] = O.bronze_query("orders")
     out["bronze_roundtrip_iso"] = O.bronze_query("orders")
     out["bronze_roundtrip_parquet"] = O.bronze_query("customer_reviews")
+    out["bronze_roundtrip_daily"] = O.daily_landing_query("orders", [(1, retail.AS_OF_1.date()),
+                                                                     (2, retail.AS_OF_2.date())])
     out["incremental_extract"] = O.extract_query("orders", "updated_at", EXTRACT_MARK)
     out["keyset_extract"] = O.extract_query("orders", "updated_at", EXTRACT_MARK,
                                             ("order_id", KEYSET_LAST_ID))

@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.schemas import TableSpec
-from tierline.sources.landing import LOAD_DATE, RUN_ID
+from tierline.sources.landing import (DAILY_NAME_PATTERN, DAILY_NAME_SPARK_FORMAT, LANDING_DATE, LOAD_DATE,
+                                     RUN_ID)
 
 FAILFAST = "FAILFAST"
 PERMISSIVE = "PERMISSIVE"
@@ -60,8 +61,9 @@ def _convert(text: Column, dtype: T.DataType, name: str, strict: bool) -> Column
     return F.when(text.isNotNull() & ok, value).otherwise(F.lit(None).cast(dtype))
 
 
-def typed(raw: DataFrame, spec: TableSpec, mode: str = FAILFAST, keep_run: bool = False) -> DataFrame:
-    """Text columns -> registry types (see module docstring)."""
+def typed(raw: DataFrame, spec: TableSpec, mode: str = FAILFAST, keep_run: bool = False,
+          keep: tuple[str, ...] = ()) -> DataFrame:
+    """Text columns -> registry types (see module docstring); ``keep`` passes columns through."""
     strict = mode == FAILFAST
     cols = [_convert(F.col(f.name), f.dataType, f.name, strict).alias(f.name) for f in spec.schema.fields]
     if not strict:
@@ -70,9 +72,30 @@ def typed(raw: DataFrame, spec: TableSpec, mode: str = FAILFAST, keep_run: bool
         cols.append((reduce(or_, bad) if bad else F.lit(False)).alias(MALFORMED))
     if keep_run:
         cols += [F.col(LOAD_DATE), F.col(RUN_ID)]
+    cols += [F.col(c) for c in keep]
     return raw.select(cols)
 
 
+def read_bronze_daily(spark: SparkSession, root: str, spec: TableSpec, mode: str = FAILFAST) -> DataFrame:
+    """Bronze view of the older daily landing: every ``<table>_<ddMMyyyy>.json`` under ``root``.
+
+    This is the external table's wildcard. ``root`` may itself be a glob, such
+    as ``archived_daily_glob``. Each row gets ``landing_date``, parsed from its
+    object's name by the file-metadata column (no listing on the driver), so
+    days stay apart after a union of landing and archive.
+    """
+    from tierline.plans.publish import path_exists
+    glob = f"{root.rstrip('/')}/{spec.name}_*.json"
+    schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in spec.schema.fields])
+    if not path_exists(spark, glob):            # no object yet: an empty, typed batch
+        empty = spark.createDataFrame([], schema).withColumn(LANDING_DATE, F.lit(None).cast("date"))
+        return typed(empty, spec, mode, keep=(LANDING_DATE,))
+    raw = spark.read.schema(schema).option("mode", FAILFAST if mode == FAILFAST else PERMISSIVE).json(glob)
+    day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), DAILY_NAME_PATTERN, 1),
+                    DAILY_NAME_SPARK_FORMAT)
+    return typed(raw.withColumn(LANDING_DATE, day), spec, mode, keep=(LANDING_DATE,))
+
+
 def read_bronze_json(spark: SparkSession, path: str, spec: TableSpec, runs: list[str] | None = None,
                      mode: str = FAILFAST, keep_run: bool = False) -> DataFrame:
     """Bronze view of a table's JSON landing folder, optionally limited to some runs.

@@ -32,6 +32,14 @@ EPOCH_MS = "epoch_ms"
 # Fixed format: Spark's JSON instant encoding (UTC renders as 'Z').
 ISO_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
 
+# Fixed formats of the older daily landing: one JSON-lines object per table
+# and day named "<table>_<ddMMyyyy>.json", archived under
+# "<archive>/<table>/<yyyy>/<MM>/<dd>/"; the day is read back from the name.
+DAILY_NAME_FORMAT = "%d%m%Y"
+DAILY_NAME_SPARK_FORMAT = "ddMMyyyy"
+DAILY_NAME_PATTERN = r"_([0-9]{8})\.json(/|$)"
+LANDING_DATE = "landing_date"
+
 
 def encode(df: DataFrame, encoding: str = ISO, instants_as_text: bool = False) -> DataFrame:
     """Apply the landing encoding to typed source columns.
@@ -126,3 +134,67 @@ def archive_runs(spark: SparkSession, root: str, archive_root: str, table: str,
             raise OSError(f"could not archive {src} -> {dst}")
         moved.append(run)
     return moved
+
+
+# --------------------------------------------------------------------------- daily landing
+
+def daily_landing_path(root: str, table: str, day: dt.date) -> str:
+    return f"{root.rstrip('/')}/{table}_{day.strftime(DAILY_NAME_FORMAT)}.json"
+
+
+def write_daily_landing(df: DataFrame, root: str, table: str, day: dt.date,
+                        encoding: str = EPOCH_MS) -> str:
+    """The older daily landing object ``<table>_<ddMMyyyy>.json``, replaced on a same-day rerun.
+
+    Written by the executors as a folder of JSON-lines part files under that
+    name, not through a driver-side pandas frame. ``epoch_ms`` (the default)
+    is that extract's encoding, with explicit nulls.
+    """
+    path = daily_landing_path(root, table, day)
+    encode(df, encoding).write.mode("overwrite").option("timestampFormat", ISO_TIMESTAMP_FORMAT) \
+        .option("ignoreNullFields", str(encoding == ISO).lower()).json(path)
+    return path
+
+
+def daily_objects(spark: SparkSession, root: str, table: str) -> list[tuple[dt.date, str]]:
+    """(day, name) of every daily landing object of ``table`` under ``root``, by day (metadata only)."""
+    fs, hpath, _ = _jvm_fs(spark, root)
+    if not fs.exists(hpath):
+        return []
+    found = []
+    for st in fs.listStatus(hpath):
+        name = st.getPath().getName()
+        stem = name[len(table) + 1:-len(".json")] if name.startswith(f"{table}_") and name.endswith(".json") else ""
+        if len(stem) == 8 and stem.isdigit():
+            found.append((dt.datetime.strptime(stem, DAILY_NAME_FORMAT).date(), name))
+    return sorted(found)
+
+
+def archive_daily(spark: SparkSession, root: str, archive_root: str, table: str,
+                  keep: dt.date | None = None) -> list[dt.date]:
+    """Move daily objects of ``table`` (all but day ``keep``) to ``<archive>/<table>/<yyyy>/<MM>/<dd>/``.
+
+    The day comes from the object's name. Each move is a rename of one
+    folder (metadata work); a same-day object already in the archive is
+    replaced, as a rerun of that day would.
+    """
+    moved = []
+    for day, name in daily_objects(spark, root, table):
+        if day == keep:
+            continue
+        src = f"{root.rstrip('/')}/{name}"
+        dst = f"{table_path(archive_root, table)}/{day:%Y}/{day:%m}/{day:%d}/{name}"
+        fs, src_path, jvm = _jvm_fs(spark, src)
+        dst_path = jvm.org.apache.hadoop.fs.Path(dst)
+        if fs.exists(dst_path):
+            fs.delete(dst_path, True)
+        fs.mkdirs(dst_path.getParent())
+        if not fs.rename(src_path, dst_path):
+            raise OSError(f"could not archive {src} -> {dst}")
+        moved.append(day)
+    return moved
+
+
+def archived_daily_glob(archive_root: str, table: str) -> str:
+    """Where ``archive_daily`` put a table's objects, as one glob over the dated folders."""
+    return f"{table_path(archive_root, table)}/*/*/*"
