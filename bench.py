@@ -111,7 +111,7 @@ def main() -> None:
         results[name] = statistics.median(times)
         log(f"{name}: {results[name]:.2f}s")
 
-    for name in ("bronze_roundtrip_json", "bronze_roundtrip_iso", "bronze_roundtrip_parquet",
+    for name in ("bronze_roundtrip_json", "bronze_roundtrip_iso", "bronze_roundtrip_parquet", "bronze_roundtrip_daily",
                  "incremental_extract", "keyset_extract", "batch_stats", "latest_watermark"):
         fn = Q.QUERIES[name]
         run(fn(spark, sf_dir))  # warm-up
