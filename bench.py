@@ -12,7 +12,9 @@ What is timed, as a daily pipeline runs it:
 * gold marts over the published silver snapshots (median of BENCH_REPEAT runs
   after one warm-up), including the naive GD3/GD4 forms for comparison;
 * ingest-side operators: landing round trips, extracts, batch stats (median of
-  BENCH_REPEAT runs after one warm-up).
+  BENCH_REPEAT runs after one warm-up);
+* JDBC extracts from embedded in-memory Derby: full over 1 and 4 connections,
+  incremental with the pushed-down mark.
 Every plan is executed completely on the executors (noop sink or file write);
 nothing is collected to the driver.
 """
@@ -35,6 +37,9 @@ from tierline.plans.retail import publish_run  # noqa: E402
 from tierline.schemas import REGISTRY, SCD2  # noqa: E402
 from tierline.session import get_session, scratch_root  # noqa: E402
 from tierline.sources import retail  # noqa: E402
+from tierline.sources.jdbc import JdbcSource, extract  # noqa: E402
+
+DERBY = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
 
 
 def log(msg: str) -> None:
@@ -68,6 +73,35 @@ def replay_silver(spark, sf_dir: str, label: str) -> tuple[dict[str, float], dic
     return times, silver
 
 
+def jdbc_extracts(spark, sf_dir: str, repeat: int) -> dict[str, float]:
+    """SRC1/SRC3 on embedded in-memory Derby (ships with Spark; no server, no port).
+
+    The orders source table is loaded once (untimed). Then a full extract over
+    one and over four connections (partitioned on order_id, bounds queried
+    first) and an incremental extract with the mark pushed into the query are
+    timed, each the median of ``repeat`` runs after a warm-up. Derby runs
+    inside the Spark JVM here, so four connections share its one process.
+    """
+    url = f"jdbc:derby:memory:bench{os.getpid()};create=true"
+    retail.source(spark, sf_dir, "orders", 2).write.format("jdbc").option("url", url) \
+        .option("driver", DERBY).option("dbtable", '"retailer"."orders"').option("batchsize", "10000") \
+        .mode("overwrite").save()
+    source = JdbcSource(url=url, driver=DERBY, schema="retailer")
+    plans = {
+        "jdbc_full_1_connection": lambda: extract(spark, source, "orders", "full"),
+        "jdbc_full_4_connections": lambda: extract(spark, source, "orders", "full",
+                                                   partition_column="order_id", num_partitions=4),
+        "jdbc_incremental": lambda: extract(spark, source, "orders", "incremental", "updated_at",
+                                            Q.EXTRACT_MARK),
+    }
+    out = {}
+    for name, build in plans.items():
+        run(build())  # warm-up
+        out[name] = statistics.median([timed(lambda: run(build())) for _ in range(repeat)])
+        log(f"{name}: {out[name]:.2f}s")
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -118,6 +152,8 @@ def main() -> None:
         results[name] = statistics.median([timed(lambda: run(fn(spark, sf_dir))) for _ in range(repeat)])
         log(f"{name}: {results[name]:.2f}s")
 
+    results.update(jdbc_extracts(spark, sf_dir, repeat))
+
     total = sum(results.values())
     print(json.dumps({"metric": "total_sec", "value": round(total, 3), "unit": "sec",
                       "queries": {k: round(v, 3) for k, v in results.items()}, "sf": sf}))
