@@ -30,6 +30,11 @@ DEFAULTS = {
     "spark.sql.parquet.aggregatePushdown": "true",
     # Partitioned writes: overwrite only the partitions a job produces.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A task writing at most two partitions (an SCD2 publish: history + live
+    # set) keeps both files open instead of sorting all its rows by
+    # partition first; each open writer buffers up to one row group, so the
+    # number stays small, and a task with more partitions falls back to sorting.
+    "spark.sql.maxConcurrentOutputFileWriters": "2",
     # Shuffle partitions AQE aims for after coalescing, and the most a scan
     # split reads: both well inside an executor's memory share per task.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
