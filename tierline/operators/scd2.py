@@ -14,17 +14,18 @@ table (expire, then insert), written in closed form:
    ``effective_start_date = effective_end_date = as_of``, ``is_active``.
 5. result = history + closed + kept + opened.
 
-Physical shape, for a large target and a batch that is small by
-comparison: the target is scanned twice (rows whose key is in the batch,
-rows whose key is not) against the batch's keys only. When the batch
-is small, Spark's size-checked automatic broadcast (and AQE, with
-measured sizes) makes both passes broadcast hash joins, so the big
-target is never shuffled. Only the target rows that share a key with
-the batch meet the change predicate. When the batch is big (initial or
-full loads) the same plan runs as sort-merge joins, with one reused
-exchange of the target by key. Rows with a NULL key can never match, so
-they skip the joins entirely. Millions of NULL keys would otherwise
-all hash into one shuffle partition.
+Physical shape: a run is three joins of two inputs on the key, the live
+target and the keyed batch: closed (semi join on key and change), kept (anti
+join on the same condition) and opened (batch anti join on the kept keys).
+When the batch is small next to the target, Spark's size-checked automatic
+broadcast (static estimate, then AQE's measured sizes) makes them broadcast
+hash joins, so the big target is never shuffled, and the change predicate is
+evaluated only for key matches. When the batch is big (initial or full
+loads) they run as sort-merge joins: each side is shuffled by key once, the
+exchanges are reused, and the anti join's output keeps its key partitioning
+for the opened join. Rows with a NULL key can never match, so they skip
+the joins entirely; millions of NULL keys would otherwise all hash into one
+shuffle partition.
 """
 
 from __future__ import annotations
@@ -106,14 +107,13 @@ def scd2_merge(target: DataFrame | None, batch: DataFrame, spec: TableSpec, as_o
     would both expire the same active version, which MERGE rejects; with
     ``strict=False`` that version is closed once and both rows open.
     ``null_safe``: count NULL <-> value as a change (not the reference's rule).
-    ``cut``: optional ``(df, label) -> df`` applied to the prepared batch and to
-    the active versions the batch touches (e.g. ``Scratch.cut``, which writes
-    them once under the shared checkpoint folder). Use it when the batch is
-    expensive to derive again, such as a live JDBC extract. Without it (the
-    default, and what the pipelines do) the whole run is one query when its
-    outputs are written together: each side is shuffled by key once, the
-    exchanges are reused across the joins, and the join outputs keep their
-    key partitioning (at sf0.1, 9 stages against 14 with the cut).
+    ``cut``: optional ``(df, label) -> df`` applied to the prepared batch
+    (e.g. ``Scratch.cut``, which writes it once under the shared checkpoint
+    folder). Use it when the batch is expensive to derive again, such as a
+    live JDBC extract. Without it (the default, and what the pipelines do)
+    the whole run is one query when its outputs are written together: each
+    side is shuffled by key once, the exchanges are reused across the
+    joins, and the join outputs keep their key partitioning.
     """
     keys, tracked = list(spec.keys), list(spec.tracked)
     cols = payload_columns(spec)
@@ -134,34 +134,32 @@ def scd2_merge(target: DataFrame | None, batch: DataFrame, spec: TableSpec, as_o
     src_keyed, src_null = src.where(present), src.where(~present)
     act_keyed, act_null = active.where(present), active.where(~present)
 
-    # One projection of the keyed batch feeds every join, so each distinct
-    # column set of it is shuffled once per query and the exchange reused. The
-    # joins' outputs stay hash-partitioned by key: without a cut, act_in and
-    # kept_in meet the batch again with no further exchange of the target.
+    # One projection of the keyed batch feeds every join, and closed and kept
+    # versions are the semi and anti join of the live target with it on the
+    # same condition: each side is shuffled by key once per query and the
+    # exchanges reused. "Kept" needs no separate key join: a version is kept
+    # when no batch row both shares its key and changes it, which covers keys
+    # absent from the batch and keys whose batch rows change nothing alike.
     s = src_keyed.select(*[F.col(c).alias(_SRC + c) for c in cols])
     match = reduce(and_, [F.col(k) == F.col(_SRC + k) for k in keys])
-    act_in = act_keyed.join(s, match, "left_semi")     # versions the batch may touch
-    act_out = act_keyed.join(s, match, "left_anti")    # versions it cannot touch
-    if cut is not None:
-        act_in = cut(act_in, "touched")
-
     differs = changed([F.col(c) for c in tracked], [F.col(_SRC + c) for c in tracked], null_safe)
     cond = match & differs
 
-    closed = act_in.join(s, cond, "left_semi").select(
+    closed = act_keyed.join(s, cond, "left_semi").select(
         *[F.col(c) for c in cols], F.col(EFFECTIVE_START), stamp.alias(EFFECTIVE_END),
         F.lit(False).alias(IS_ACTIVE))
-    kept_in = act_in.join(s, cond, "left_anti")
-    opened_keyed = s.join(kept_in.select(*keys), match, "left_anti") \
+    kept_keyed = act_keyed.join(s, cond, "left_anti")
+    # a batch row opens a version unless its key still has a live one
+    opened_keyed = s.join(kept_keyed.select(*keys), match, "left_anti") \
         .select(*[F.col(_SRC + c).alias(c) for c in cols])
 
     if strict:
-        closed = closed.unionByName(_conflict_guard(s, act_in, cond, keys, silver, spec))
+        closed = closed.unionByName(_conflict_guard(s, act_keyed, cond, keys, silver, spec))
 
     return Scd2Result(
         history=history,
         closed=closed.select(*silver),
-        kept=act_out.unionByName(kept_in).unionByName(act_null).select(*silver),
+        kept=kept_keyed.unionByName(act_null).select(*silver),
         opened=_opened(opened_keyed.unionByName(src_null), cols, stamp).select(*silver))
 
 
@@ -182,7 +180,7 @@ def initial_load(batch: DataFrame, spec: TableSpec, as_of: dt.datetime,
                       .select(*silver))
 
 
-def _conflict_guard(s: DataFrame, act_in: DataFrame, cond: Column, keys: list[str],
+def _conflict_guard(s: DataFrame, active: DataFrame, cond: Column, keys: list[str],
                     silver: list[str], spec: TableSpec) -> DataFrame:
     """Zero rows, or a job failure naming the first key two batch rows both change.
 
@@ -194,7 +192,7 @@ def _conflict_guard(s: DataFrame, act_in: DataFrame, cond: Column, keys: list[st
     src_keys = [_SRC + k for k in keys]
     dup_keys = s.groupBy(*src_keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1) \
         .select(*src_keys)
-    hits = s.join(dup_keys, src_keys, "left_semi").join(act_in, cond, "left_semi")
+    hits = s.join(dup_keys, src_keys, "left_semi").join(active, cond, "left_semi")
     per_key = hits.groupBy(*[F.col(_SRC + k).alias(k) for k in keys]) \
         .agg(F.count(F.lit(1)).alias("n"))
     message = F.concat(F.lit(f"scd2_merge({spec.name}): several batch rows change one active "
