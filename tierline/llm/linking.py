@@ -32,17 +32,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.shared import SIMILAR_PCT, cut
+from tierline.llm.shared import SIMILAR_PCT, cut, settled
 
 # Elements of all sets of a block together, on average: 4 MB of 64-bit hashes.
 BLOCK_ELEMENTS = 500_000
 MAX_ROUNDS = 60
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(id, component) of every end of an edge (a, b): the least id reachable.
-
-    Rounds of large-star and small-star linking: every node is linked to the
+def _components(edges: DataFrame) -> DataFrame:
+    """Rounds of large-star and small-star linking: every node is linked to the
     least of its neighbourhood, first from its greater neighbours, then from
     its smaller ones, until nothing moves. Each round is written to the shared
     folder; the driver sees a checksum of the edges only.
@@ -68,6 +66,11 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots.select("id", F.col("id").alias("component")))
 
 
+def components(edges: DataFrame) -> DataFrame:
+    """(id, component) of every end of an edge (a, b): the least id reachable."""
+    return settled(edges.sparkSession, lambda: _components(edges), "components")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     left, right = sets.select(F.col("id").alias("a"), F.col("elements").alias("x")), sets.select(F.col("id").alias("b"), F.col("elements").alias("y"))
@@ -141,13 +144,7 @@ def _rest(buckets: DataFrame, pivots: DataFrame, labels: DataFrame, nodes: DataF
     return cells.groupBy("bucket", "i", "j").applyInPandas(search, f"a {kind}, b {kind}")
 
 
-def similar(nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], pct: int = SIMILAR_PCT) -> DataFrame:
-    """(id, component) of every set that is linked with another one.
-
-    ``nodes``: (id, n, bands array<long>), one row per distinct set, written to
-    storage. ``fetch`` returns (id, elements array<long>, sorted and distinct) for
-    a table of ids; it is asked only for sets that share a band with another.
-    """
+def _similar(nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], pct: int = SIMILAR_PCT) -> DataFrame:
     keyed = nodes.where("n > 0").select("id", F.posexplode("bands").alias("band", "key")).select("id", F.xxhash64("band", "key").alias("bucket"))
     shared = cut(keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "shared")
     buckets = cut(keyed.join(shared, "bucket"), "buckets")
@@ -162,3 +159,13 @@ def similar(nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], pct: int
     if more.limit(1).count() == 0:
         return labels
     return components(links.unionByName(more))
+
+
+def similar(nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], pct: int = SIMILAR_PCT) -> DataFrame:
+    """(id, component) of every set that is linked with another one.
+
+    ``nodes``: (id, n, bands array<long>), one row per distinct set, written to
+    storage. ``fetch`` returns (id, elements array<long>, sorted and distinct) for
+    a table of ids; it is asked only for sets that share a band with another.
+    """
+    return settled(nodes.sparkSession, lambda: _similar(nodes, fetch, pct), "similar")

@@ -39,7 +39,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierline.llm.shared import cut, word_count
+from tierline.llm.shared import cut, settled, word_count
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -175,7 +175,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, id_co
         text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per document: (id_col, size, source_size, target, source, rate, copies, taken)."""
     sized = cut(_sized(docs, id_col, text_col, source_col), "mix-sized")
-    out = _rounded(sized, _plan(sized, weights, cap), cap, ["id"])
+    rates = settled(docs.sparkSession, lambda: _plan(sized, weights, cap), "mix-rates")
+    out = _rounded(sized, rates, cap, ["id"])
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target", "source", "rate", "copies",
                       (F.col("copies") * F.col("size")).alias("taken"))
 
@@ -183,8 +184,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, id_co
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, id_col: str = "doc_id",
                     text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken (not at all, if it isn't)."""
-    sized = cut(_sized(docs, id_col, text_col, source_col), "mix-sized")
+    rates = settled(docs.sparkSession, lambda: _plan(_sized(docs, id_col, text_col, source_col), weights, cap), "mix-rates")
     whole = _sized(docs, id_col, text_col, source_col, F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    out = _rounded(whole, _plan(sized, weights, cap), cap, ["row"]).where("copies > 0")
+    out = _rounded(whole, rates, cap, ["row"]).where("copies > 0")
     return (out.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
             .select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.llm.linking import similar
-from tierline.llm.shared import SIMILAR_PCT, WORD, WordHasher, as_long, cut, mix64, seeds, shingles
+from tierline.llm.shared import SIMILAR_PCT, WORD, WordHasher, as_long, cut, mix64, seeds, settled, shingles
 
 BANDS, ROWS = 32, 4
 COORDINATES = BANDS * ROWS
@@ -117,16 +117,19 @@ def shingled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pct: int = SIMILAR_PCT) -> DataFrame:
     """One row per document: (id_col, n_shingles, component_id, kept)."""
     rows = cut(sketched(docs, id_col, text_col), "sketched")
-    named = rows.where(F.col("id").isNotNull() & (F.col("n") > 0))
-    # one class per set, named by the least id of its documents
-    classes = cut(named.groupBy("digest").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
 
     def fetch(ids: DataFrame) -> DataFrame:
         texts = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("text")).join(ids, F.col("doc") == F.col("id"), "left_semi")
         return shingled(texts, "doc", "text").distinct()
-    found = similar(classes.select(F.col("rep").alias("id"), "n", "bands"), fetch, pct)
-    least = cut(classes.select("digest", "rep").join(found, F.col("rep") == F.col("id"), "left")
-                .select("digest", F.coalesce("component", "rep").alias("component")), "verdicts")
+
+    def by_class() -> DataFrame:
+        # one class per set, named by the least id of its documents
+        named = rows.where(F.col("id").isNotNull() & (F.col("n") > 0))
+        classes = cut(named.groupBy("digest").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
+        found = similar(classes.select(F.col("rep").alias("id"), "n", "bands"), fetch, pct)
+        return (classes.select("digest", "rep").join(found, F.col("rep") == F.col("id"), "left")
+                .select("digest", F.coalesce("component", "rep").alias("component")))
+    least = settled(docs.sparkSession, by_class, "verdicts")
     verdict = rows.select("id", "n", "digest").join(least, "digest", "left")
     component = F.when(F.col("id").isNull(), None).when(F.col("n") == 0, F.col("id")).otherwise(F.col("component"))
     return verdict.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
@@ -135,5 +138,5 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pct: int = SIMILAR_PCT) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each component (the one of least id)."""
-    gone = components(docs, id_col, text_col, pct).where("not kept").select(F.col(id_col).alias("_gone")).distinct()
+    gone = settled(docs.sparkSession, lambda: components(docs, id_col, text_col, pct).where("not kept").select(F.col(id_col).alias("_gone")).distinct(), "gone")
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import xxhash
@@ -31,21 +33,53 @@ def word_count(text: Column) -> Column:
     return F.size(words(text)).cast("long")
 
 
+_made: list[str] = []
+
+
+def _path(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder of ``spark.checkpoint.dir`` and read it back.
 
     What follows then depends on files that every executor can read, not on
     the plan (or the executors) that made them. The folder goes when the
-    application ends.
+    application ends, or with ``settled``.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    fs, hpath = _path(spark, path)
+    fs.deleteOnExit(hpath)
+    _made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``cut(make(), name)``; the tables that ``make`` cut on its way are deleted then, as nothing needs them any more."""
+    before = len(_made)
+    out = cut(make(), name)
+    release(spark, before, keep=1)
+    return out
+
+
+def release(spark: SparkSession, before: int, keep: int = 0) -> None:
+    """Delete the tables cut since there were ``before``, but for the last ``keep``; Spark's cleaner then drops the shuffles only they used."""
+    done = _made[before:len(_made) - keep]
+    del _made[before:len(_made) - keep]
+    for path in done:
+        fs, hpath = _path(spark, path)
+        fs.delete(hpath, True)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def cuts_made() -> int:
+    return len(_made)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -5,9 +5,10 @@ Two kinds of paragraphs (words compare with A-Z in lower case; ``MIN_WORDS`` wor
 * Every stretch of ``MIN_WORDS`` words, wherever it starts: a passage may stand
   in the middle of a line. Its band is one MinHash value, the least hash of its five-word
   shingles. Neighbouring stretches mostly share that value, so a document lists
-  about one value per 23 words, yet equal stretches always collide. Collisions
-  between documents are verified by the stretch's whole content (a 128-bit
-  hash of its words); equal stretches are one cluster.
+  about one run of stretches per 23 words, yet equal stretches always collide.
+  Collisions are verified by whole content (128-bit hashes of the words), first run by run: runs
+  of equal words are one cluster. Only where a value has runs that differ, the
+  stretches of one run of each kind are compared one by one.
 * Every line, to find those that are alike but not equal: MinHash in ``BANDS``
   bands of ``ROWS`` values (two lines of similarity 0.75 miss each other with a chance of
   (1 - 0.75 ** 2) ** 16 = 2e-6), colliding lines verified by exact Jaccard on
@@ -17,9 +18,7 @@ A cluster stays in the document of least id that holds it; in all other
 documents its words are cut. Whatever is cut thus stands somewhere in a document
 that comes before. Stretches repeated only inside one document stay.
 
-Documents of equal words are told apart first (by digest), and only the first
-of them goes through the search, so copies are never paired. Texts are read
-again only for documents that collide.
+Texts are read again only for documents that hold runs that differ, or lines to be verified.
 
 Defined results: a null text is empty; ids stand for documents, rows with a
 null id are left as they are; rows that repeat an id are cut alike (a document does not repeat itself); texts of
@@ -30,7 +29,6 @@ empty table gives an empty one; other columns are ignored
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,66 +39,57 @@ from pyspark.sql import functions as F
 
 from tierline.llm.linking import similar
 from tierline.llm.near_dedup import lower
-from tierline.llm.shared import SHINGLE, SIMILAR_PCT, WORD_RE, WordHasher, as_long, cut, mix64, seeds, shingles
+from tierline.llm.shared import SHINGLE, SIMILAR_PCT, WORD_RE, WordHasher, as_long, cut, mix64, seeds, settled, shingles
 
 MIN_WORDS = 50
 BANDS, ROWS = 16, 2
 _HASHES = seeds(BANDS * ROWS, 2001)
 _BAND_SEEDS = seeds(ROWS, 2101)
 _STRETCH_SEEDS = seeds(2 * 256, 3001).reshape(2, 256)
-_LINE_WORDS = re.compile(r"\n|[^\x20\x09-\x0D]+")
-
-
-def line_bounds(text: str) -> list[tuple[int, int]]:
-    """(first word, word after the last) of each line of a text that has words."""
-    out, n, begin = [], 0, 0
-    for found in _LINE_WORDS.findall(text):
-        if found == "\n":
-            if n > begin:
-                out.append((begin, n))
-            begin = n
-        else:
-            n += 1
-    if n > begin:
-        out.append((begin, n))
-    return out
 
 
 class Paragraphs:
     """The paragraphs of a text."""
 
     def __init__(self, text: str | None, hasher: WordHasher, min_words: int = MIN_WORDS):
-        self.text, self.min_words = lower(text or ""), min_words
-        self.hashes = hasher(WORD_RE.findall(self.text))
+        self.min_words = min_words
+        by_line = [WORD_RE.findall(x) for x in lower(text or "").split("\n")]
+        self.ends = np.cumsum([len(x) for x in by_line])
+        self.hashes = hasher([w for x in by_line for w in x])
         self.shingles = shingles(self.hashes) if len(self.hashes) >= SHINGLE else self.hashes[:0]
 
-    def digest(self) -> str:
-        return xxhash.xxh3_128_hexdigest(self.hashes.tobytes())
+    def _sums(self, at: np.ndarray, size: int) -> np.ndarray:
+        """Two hashes (2 x n) of the ``size`` words from each of ``at`` on."""
+        sums = np.zeros((2, len(at)), dtype=np.uint64)
+        for k, o in enumerate([*range(0, size - SHINGLE, SHINGLE), size - SHINGLE]):
+            sums += self.shingles[at + o][None, :] * _STRETCH_SEEDS[:, k % 256, None] + np.uint64(k)
+        return as_long(mix64(sums))
 
-    def least(self) -> np.ndarray:
-        """The least shingle hash of the stretch that starts at each word."""
+    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+        """(least shingle, first start, last start, digest of the words) of each run of stretches with one least shingle."""
         width = self.min_words - SHINGLE + 1
         if len(self.hashes) < self.min_words:
-            return self.hashes[:0]
-        return np.lib.stride_tricks.sliding_window_view(self.shingles, width).min(axis=1)
-
-    def stretches(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, hash, other hash) of the stretches whose least shingle is among ``wanted``."""
-        at = np.flatnonzero(np.isin(self.least(), wanted))
-        offsets = [*range(0, self.min_words - SHINGLE, SHINGLE), self.min_words - SHINGLE]
-        sums = np.zeros((2, len(at)), dtype=np.uint64)
-        for k, o in enumerate(offsets):
-            sums += self.shingles[at + o][None, :] * _STRETCH_SEEDS[:, k % 256, None] + np.uint64(k)
-        h = mix64(sums)
-        return at, as_long(h[0].copy()), as_long(h[1].copy())
+            return self.hashes[:0], self.hashes[:0], self.hashes[:0], []
+        least = np.lib.stride_tricks.sliding_window_view(self.shingles, width).min(axis=1)
+        first = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1))
+        last = np.concatenate((first[1:] - 1, [len(least) - 1]))
+        data = self.hashes.tobytes()
+        return least[first], first, last, [xxhash.xxh3_128_hexdigest(data[8 * b:8 * (e + self.min_words)]) for b, e in zip(first, last)]
+
+    def stretches(self, runs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, hash, other hash) of the stretches of some runs (first, last start)."""
+        at = [np.arange(r["first"], min(r["last"], len(self.hashes) - self.min_words) + 1) for r in runs]
+        at = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *at]).astype(np.int64))
+        sums = self._sums(at, self.min_words)
+        return at, sums[0], sums[1]
 
     def lines(self) -> list[tuple[str, int, int, np.ndarray]]:
         """(digest, first word, word after the last, shingle set) of the lines that are long enough."""
-        out = []
-        for begin, end in line_bounds(self.text):
+        out, begin, data = [], 0, self.hashes.tobytes()
+        for end in self.ends:
             if end - begin >= self.min_words:
-                out.append((xxhash.xxh3_128_hexdigest(self.hashes[begin:end].tobytes()), begin, end,
-                            np.unique(self.shingles[begin:end - SHINGLE + 1])))
+                out.append((xxhash.xxh3_128_hexdigest(data[8 * begin:8 * end]), int(begin), int(end), np.unique(self.shingles[begin:end - SHINGLE + 1])))
+            begin = end
         return out
 
 
@@ -110,7 +99,7 @@ def line_bands(sets: list[np.ndarray]) -> np.ndarray:
     starts = np.concatenate(([0], np.cumsum([len(s) for s in sets])[:-1]))
     out = np.zeros((BANDS, len(sets)), dtype=np.uint64)
     for k in range(BANDS * ROWS):
-        out[k // ROWS] += mix64(np.minimum.reduceat(mix64(flat ^ _HASHES[k]), starts)) * _BAND_SEEDS[k % ROWS]
+        out[k // ROWS] += mix64(np.minimum.reduceat(flat * _HASHES[k], starts)) * _BAND_SEEDS[k % ROWS]
     return mix64(out).T
 
 
@@ -125,41 +114,48 @@ def _run(docs: DataFrame, columns: list[Column], make, out: str, kind) -> DataFr
 
 
 def listed(docs: DataFrame, kind, min_words: int) -> DataFrame:
-    """(doc, digest, n, least, lines) of (doc, text)."""
+    """(doc, runs, lines) of (doc, text)."""
     def make(pdf, hasher):
         made = [Paragraphs(t, hasher, min_words) for t in pdf["text"]]
+        runs = [p.runs() for p in made]
         lines = [p.lines() for p in made]
         sets = [x[3] for row in lines for x in row]
         keys = iter(as_long(np.ascontiguousarray(line_bands(sets))) if sets else [])
         return pd.DataFrame({
-            "doc": pdf["doc"].to_list(), "digest": [p.digest() for p in made], "n": [len(p.hashes) for p in made],
-            "least": [as_long(np.unique(p.least())) for p in made],
+            "doc": pdf["doc"].to_list(), "least": [as_long(r[0]) for r in runs], "first": [r[1].astype(np.int32) for r in runs],
+            "last": [r[2].astype(np.int32) for r in runs], "run": [r[3] for r in runs],
             "lines": [[{"line": d, "begin": b, "end": e, "n": len(s), "bands": next(keys)} for d, b, e, s in row] for row in lines]})
-    return _run(docs, [F.col("text")], make,
-                "digest string, n long, least array<long>, lines array<struct<line: string, begin: int, end: int, n: long, bands: array<long>>>", kind)
+    return _run(docs, [F.col("text")], make, "least array<long>, first array<int>, last array<int>, run array<string>, "
+                "lines array<struct<line: string, begin: int, end: int, n: long, bands: array<long>>>", kind)
 
 
-def _equal_stretches(first: DataFrame, docs: DataFrame, kind, min_words: int) -> DataFrame:
+def _equal_stretches(rows: DataFrame, docs: DataFrame, kind, min_words: int) -> DataFrame:
     """(doc, begin, end, keeper) of stretches that an earlier document holds."""
-    values = first.select("doc", F.explode("least").alias("least"))
-    shared = cut(values.groupBy("least").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("least"), "values")
-    wanted = cut(values.join(shared, "least").groupBy("doc").agg(F.collect_list("least").alias("wanted")), "wanted")
+    runs = rows.select("doc", F.inline(F.arrays_zip("least", "first", "last", "run")))
+    shared = cut(runs.groupBy("least").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), (F.min("run") != F.max("run")).alias("differ"))
+                 .where("lo <> hi").select("least", "differ"), "shared")
+    runs = cut(runs.join(shared, "least").select("doc", "first", "last", "run", "differ"), "runs")
+    keepers = cut(runs.groupBy("run").agg(F.min("doc").alias("keeper")), "run-keepers")
+    named = runs.join(keepers, "run")
+    whole = named.where("doc <> keeper").select("doc", F.col("first").alias("begin"), (F.col("last") + min_words).alias("end"), "keeper")
+    # a run of each kind, where there is more than one kind: stretch by stretch
+    wanted = cut(named.where("doc = keeper and differ").groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("wanted")), "wanted")
 
     def make(pdf, hasher):
-        found = [Paragraphs(t, hasher, min_words).stretches(np.asarray(w).view(np.uint64)) for t, w in zip(pdf["text"], pdf["wanted"])]
-        return pd.DataFrame({"doc": pdf["doc"].to_list(), "at": [f[0].astype(np.int32) for f in found],
-                             "h": [f[1] for f in found], "g": [f[2] for f in found]})
-    rows = _run(docs.join(wanted, "doc"), [F.col("text"), F.col("wanted")], make, "at array<int>, h array<long>, g array<long>", kind)
-    stretches = cut(rows.select("doc", F.inline(F.arrays_zip("at", "h", "g"))), "stretches")
+        found = [Paragraphs(t, hasher, min_words).stretches(w) for t, w in zip(pdf["text"], pdf["wanted"])]
+        return pd.DataFrame({"doc": pdf["doc"].to_list(), "at": [f[0].astype(np.int32) for f in found], "h": [f[1] for f in found], "g": [f[2] for f in found]})
+    found = _run(docs.join(wanted, "doc"), [F.col("text"), F.col("wanted")], make, "at array<int>, h array<long>, g array<long>", kind)
+    stretches = cut(found.select("doc", F.inline(F.arrays_zip("at", "h", "g"))), "stretches")
     clusters = cut(stretches.groupBy("h", "g").agg(F.min("doc").alias("keeper"), F.max("doc").alias("hi")).where("keeper <> hi")
                    .select("h", "g", "keeper"), "clusters")
-    return (stretches.join(clusters, ["h", "g"]).where("doc <> keeper")
-            .select("doc", F.col("at").alias("begin"), (F.col("at") + min_words).alias("end"), "keeper"))
+    single = (stretches.join(clusters, ["h", "g"]).where("doc <> keeper")
+              .select("doc", F.col("at").alias("begin"), (F.col("at") + min_words).alias("end"), "keeper"))
+    return whole.unionByName(single)
 
 
-def _similar_lines(first: DataFrame, docs: DataFrame, kind, pct: int, min_words: int) -> DataFrame:
+def _similar_lines(rows: DataFrame, docs: DataFrame, kind, pct: int, min_words: int) -> DataFrame:
     """(doc, begin, end, keeper) of lines that are alike to a line of an earlier document."""
-    lines = first.select("doc", F.inline("lines"))
+    lines = rows.select("doc", F.inline("lines"))
     nodes = cut(lines.groupBy(F.col("line").alias("id")).agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("bands").alias("bands")), "lines")
 
     def fetch(ids: DataFrame) -> DataFrame:
@@ -185,12 +181,8 @@ def cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wo
     kind = docs.schema[id_col].dataType
     texts = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("text")).where("doc is not null")
     rows = cut(listed(texts, kind, min_words), "listed")
-    classes = cut(rows.groupBy("digest").agg(F.min("doc").alias("keeper")), "texts")
-    named = rows.join(classes, "digest")
-    first = named.where("doc = keeper").drop("keeper")
-    # where an id repeats, all its texts are read again, so no stretch of any is missed
-    copies = named.where(f"doc <> keeper and n >= {min_words}").select("doc", F.lit(0).alias("begin"), F.col("n").cast("int").alias("end"), "keeper")
-    alike = _equal_stretches(first, texts, kind, min_words).unionByName(_similar_lines(first, texts, kind, pct, min_words)).unionByName(copies)
+    equal = settled(docs.sparkSession, lambda: _equal_stretches(rows, texts, kind, min_words), "equal")
+    alike = equal.unionByName(settled(docs.sparkSession, lambda: _similar_lines(rows, texts, kind, pct, min_words), "alike-lines"))
     return alike.groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("spans"), F.collect_set("keeper").alias("keepers"))
 
 
@@ -232,7 +224,7 @@ def _trim_column(text: Column, spans: Column) -> Column:
 
 def trimmed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, pct: int = SIMILAR_PCT) -> DataFrame:
     """One row per document: (id_col, n_words, removed_words, first_doc_ids, text without what is cut)."""
-    found = cut(cuts(docs, id_col, text_col, min_words, pct), "cuts")
+    found = settled(docs.sparkSession, lambda: cuts(docs, id_col, text_col, min_words, pct), "cuts")
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(found, F.col("id") == F.col("doc"), "left")
     rows = rows.withColumn("new", _trim_column(F.col("text"), F.col("spans")))
     return rows.select(F.col("id").alias(id_col), "new.n_words", "new.removed_words",
@@ -245,7 +237,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
 
     A column ``chars_col``, if there is one, is set to the new length of texts that were cut.
     """
-    found = cut(cuts(docs, id_col, text_col, min_words, pct), "cuts")
+    found = settled(docs.sparkSession, lambda: cuts(docs, id_col, text_col, min_words, pct), "cuts")
     row = F.struct(*[docs[c] for c in docs.columns])
     rows = docs.select(row.alias("row"), docs[id_col].alias("id"), docs[text_col].alias("text")).join(found, F.col("id") == F.col("doc"), "left")
     rows = rows.withColumn("new", _trim_column(F.col("text"), F.col("spans"))).where("new.removed_words = 0 or new.removed_words < new.n_words")

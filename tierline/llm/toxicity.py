@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.shared import cut
+from tierline.llm.shared import cut, cuts_made, release
 
 SAMPLE = 8_000
 VOCABULARY = 2_000
@@ -146,6 +146,13 @@ def fit_chain(categories: tuple[str, ...], vocabulary: dict[str, int], rows: np.
 
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_col: str = "doc_id", text_col: str = "text") -> Chain:
     """The chain of ``categories`` (name to a column over ``labels``, true or false) in their order."""
+    before = cuts_made()
+    chain = _train(docs, labels, categories, id_col, text_col)
+    release(docs.sparkSession, before)
+    return chain
+
+
+def _train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_col: str, text_col: str) -> Chain:
     names = tuple(categories)
     marked = (labels.select(labels[id_col].alias("doc"), *[c.cast("int").alias(f"y{k}") for k, c in enumerate(categories.values())])
               .where(" and ".join(f"y{k} is not null" for k in range(len(names)))).where("doc is not null")

@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.shared import cut
+from tierline.llm.shared import cut, settled
 
 FAN_IN = 64  # partial wrappers aligned in one group, on average
 HOSTS = 512  # hosts whose wrappers a task holds before it puts them out
@@ -349,7 +349,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             out.append(extract(page, known[text]))
         return pd.Series(out, dtype=object)
 
-    decided = cut(infer(pages, url_col, html_col).mapInPandas(decide, "name string, rules string"), "rules")
+    decided = settled(pages.sparkSession, lambda: infer(pages, url_col, html_col).mapInPandas(decide, "name string, rules string"), "rules")
     rows = pages.select(pages[id_col].alias("id"), pages[url_col].alias("u"), pages[html_col].alias("html"), host(pages[url_col]).alias("host"))
     rows = rows.join(decided, F.col("host") == F.col("name")).withColumn("text", apply("html", "rules"))
     return rows.select(F.col("id").alias(id_col), F.col("u").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))
