@@ -1,19 +1,19 @@
 """End to end: JDBC (embedded in-memory Derby) -> landing -> bronze -> silver -> gold,
-over two days, with audit watermarks, archive, idempotent reruns and the stream variant."""
+over two days, with audit watermarks, archive, idempotent reruns, late and empty runs."""
 
 import datetime as dt
 import itertools
 
+import pytest
 from pyspark.sql import functions as F
 
 from seed import source
 from tierline.operators.audit import read_audit
-from tierline.plans.pipeline import Layout, refine_table, run_all, silver
-from tierline.plans.publish import SnapshotStore
+from tierline.plans.pipeline import Layout, archive, ingest, refine_table, run_all, silver
+from tierline.plans.publish import SnapshotStore, create_if_absent, overwrite
 from tierline.schemas import REGISTRY
 from tierline.sources.jdbc import JdbcSource, ParquetSource
 from tierline.sources.landing import landed_runs
-from tierline.streaming import refine_stream
 
 DRIVER = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
 _ids = itertools.count()
@@ -100,7 +100,6 @@ def test_two_ingests_before_one_refine_lose_nothing(spark, workdir):
     day1 = source(spark)
     _load_db(spark, url, day1)
     layout = Layout(workdir)
-    from tierline.plans.pipeline import ingest
     spec = REGISTRY["orders"]
     ingest(spark, _sources(url, None), [spec], layout, DAY1)
     more = day1["orders"].unionByName(spark.createDataFrame([(1011, 3, DAY2, 40.0, DAY2)], day1["orders"].schema))
@@ -111,24 +110,63 @@ def test_two_ingests_before_one_refine_lose_nothing(spark, workdir):
     assert store.read("orders", spec.silver_schema()).count() == 11
 
 
-def test_stream_refresh_matches_batch_refine(spark, workdir):
-    url = f"jdbc:derby:memory:tl{next(_ids)};create=true"
-    day1 = source(spark)
-    _load_db(spark, url, day1)
-    layout = Layout(workdir)
-    from tierline.plans.pipeline import ingest
-    spec = REGISTRY["customers"]
-    ingest(spark, _sources(url, None), [spec], layout, DAY1)
-    changed = day1["customers"].withColumn("name", F.concat(F.col("name"), F.lit("!"))) \
-        .withColumn("updated_at", F.lit(DAY2).cast("timestamp"))
-    _write(changed, url, "retailer", "customers")
-    ingest(spark, _sources(url, None), [spec], layout, DAY2)
-    streamed = f"{workdir}/silver_stream"
-    refine_stream(spark, spec, layout.landing, streamed, f"{workdir}/ckpt", DAY2)
+def _land(spark, layout, spec, df, when):
+    from tierline.functions.time import run_metadata
+    from tierline.sources.landing import write_landing
+    meta = run_metadata(when)
+    write_landing(df, layout.landing, spec.name, meta["run_id"], meta["load_date"])
+
+
+def test_a_run_that_lands_late_is_refined_and_archived(spark, workdir):
+    layout, spec = Layout(workdir), REGISTRY["orders"]
+    orders = source(spark)["orders"]
+    _land(spark, layout, spec, orders.where("order_id <> 1001"), DAY2)
     refine_table(spark, spec, layout, DAY2)
-    a = SnapshotStore(spark, streamed).read("customers", spec.silver_schema())
-    b = SnapshotStore(spark, layout.silver).read("customers", spec.silver_schema())
-    assert a.count() == 20 and sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
-    # a second trigger finds nothing new and publishes nothing
-    refine_stream(spark, spec, layout.landing, streamed, f"{workdir}/ckpt", DAY2)
-    assert SnapshotStore(spark, streamed).read("customers", spec.silver_schema()).count() == 20
+    _land(spark, layout, spec, orders.where("order_id = 1001"), DAY1)
+    archive(spark, layout, ["orders"])
+    assert len(landed_runs(spark, layout.landing, "orders")) == 1      # silver still owes the late run
+    refine_table(spark, spec, layout, DAY2)
+    store = SnapshotStore(spark, layout.silver)
+    assert store.read("orders", spec.silver_schema()).count() == orders.count()
+    archive(spark, layout, ["orders"])
+    assert landed_runs(spark, layout.landing, "orders") == []
+    _land(spark, layout, spec, orders.limit(0), DAY2 + dt.timedelta(days=1))
+    refine_table(spark, spec, layout, DAY2)
+    assert store.read("orders", spec.silver_schema()).count() == orders.count()
+
+
+def test_an_empty_extract_does_not_replace_a_table(spark, workdir):
+    layout, spec = Layout(workdir), REGISTRY["products"]
+    products = source(spark)["products"]
+    _land(spark, layout, spec, products, DAY1)
+    refine_table(spark, spec, layout, DAY1)
+    _land(spark, layout, spec, products.limit(0), DAY2)
+    with pytest.raises(ValueError, match="empty batch"):
+        refine_table(spark, spec, layout, DAY2)
+    assert SnapshotStore(spark, layout.silver).read("products", spec.silver_schema()).count() == products.count()
+
+
+def test_a_failed_refresh_leaves_the_mart(spark, workdir):
+    path = f"{workdir}/mart"
+    bad = spark.range(3).select(F.raise_error(F.lit("boom")).cast("long").alias("id"))
+    for write in (create_if_absent, overwrite):
+        with pytest.raises(Exception, match="boom"):
+            write(bad, path)
+    assert create_if_absent(spark.range(5), path).count() == 5         # the failed job doesn't count as the table
+    with pytest.raises(Exception, match="boom"):
+        overwrite(bad, path)
+    assert spark.read.parquet(path).count() == 5
+    assert create_if_absent(spark.range(9), path).count() == 5 and overwrite(spark.range(9), path).count() == 9
+
+
+def test_a_failed_table_is_logged_whole_and_raised(spark, workdir):
+    layout = Layout(workdir)
+
+    class Broken:
+        def __getattr__(self, name):
+            raise RuntimeError("x" * 5000)
+
+    with pytest.raises(RuntimeError):
+        ingest(spark, {REGISTRY["orders"].source: Broken()}, [REGISTRY["orders"]], layout, DAY1)
+    logged = spark.read.parquet(layout.logs).collect()
+    assert len(logged) == 1 and "x" * 5000 in logged[0]["message"]

@@ -93,7 +93,7 @@ def test_runs_pending_and_archive(spark, workdir):
     for run, day in (("20250327T050000Z", "2025-03-27"), ("20250328T050000Z", "2025-03-28")):
         write_landing(src, workdir, "orders", run, day)
     assert [r for _, r in landed_runs(spark, workdir, "orders")] == ["20250327T050000Z", "20250328T050000Z"]
-    assert pending_runs(spark, workdir, "orders", "20250327T050000Z") == ["20250328T050000Z"]
+    assert pending_runs(spark, workdir, "orders", {"20250327T050000Z"}) == ["20250328T050000Z"]
     only = read_bronze_json(spark, f"{workdir}/orders", ORDERS, runs=["20250328T050000Z"])
     assert only.count() == 2
     # a retried run replaces its own partition instead of duplicating it

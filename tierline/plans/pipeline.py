@@ -4,8 +4,8 @@
   audited high-water mark) landed as run ``run_id``; row count and max
   watermark are observed during the landing write (one pass), then one
   audit row is appended. The mark only moves after the landing commit.
-* ``refine_table``: silver consumes *every* landed run it has not
-  published yet, in run order (never just "the latest files", which
+* ``refine_table``: silver consumes *every* landed run that its ledger doesn't
+  list, in run order, also one that landed late (never just "the latest files", which
   would lose an increment when two ingests run before one refine). Each
   run is published as its own snapshot, so a crash resumes where it stopped.
   A full-refresh table takes its newest run and refuses an empty one.
@@ -126,12 +126,13 @@ def ingest(spark: SparkSession, sources: dict, specs: list[TableSpec], layout: L
             events.append({"timestamp": now.isoformat(), "event_type": "INFO",
                            "message": f"ingested {info.rows_loaded} rows", "table": spec.name})
         except Exception as exc:  # noqa: BLE001 - recorded and re-raised unless on_error="log"
-            if on_error != "log":
-                raise
             info = RunInfo(spec.name, run_metadata(now)["run_id"], spec.load_type, status=FAILED,
-                           error=str(exc)[:2000])
+                           error=str(exc))
             events.append({"timestamp": now.isoformat(), "event_type": "ERROR",
                            "message": info.error, "table": spec.name})
+            if on_error != "log":
+                append(log_rows(spark, events), layout.logs)
+                raise
         out.append(info)
     if events:
         append(log_rows(spark, events), layout.logs)
@@ -142,10 +143,9 @@ def refine_table(spark: SparkSession, spec: TableSpec, layout: Layout, as_of: dt
                  allow_empty: bool = False, **merge_kwargs) -> str | None:
     """Publish silver for every pending landed run of ``spec``; returns the current snapshot id."""
     store = SnapshotStore(spark, layout.silver)
-    last = store.latest_id(spec.name)
-    runs = pending_runs(spark, layout.landing, spec.name, after=last)
+    runs = _pending(spark, store, layout, spec.name)
     if not runs:
-        return last
+        return store.latest_id(spec.name)
     if spec.silver_policy == SCD2:
         schema = spec.silver_schema()
         target = store.read(spec.name, schema)
@@ -153,17 +153,32 @@ def refine_table(spark: SparkSession, spec: TableSpec, layout: Layout, as_of: dt
             # one query from the landed files and the silver snapshot: a lost
             # executor recomputes a short stage chain, so nothing is cut
             batch = read_bronze_runs(spark, layout.landing, spec, runs=[run])
+            if batch.isEmpty():         # an increment without rows changes nothing
+                store.record(spec.name, run)
+                continue
             result = scd2_merge(target, batch, spec, as_of, **merge_kwargs)
-            target = store.publish_scd2(spec.name, result, run, schema)
-        return runs[-1]
-    newest = runs[-1]
+            target = store.publish_scd2(spec.name, result, store.next_id(spec.name, run), schema)
+        return store.latest_id(spec.name)
+    newest, last = runs[-1], store.latest_id(spec.name)
+    if last is not None and newest < last:
+        # late runs of a table that is replaced whole: a newer extract is published already
+        for run in runs:
+            store.record(spec.name, run)
+        return last
     batch = read_bronze_runs(spark, layout.landing, spec, runs=[newest])
     if not allow_empty and batch.isEmpty():
         raise ValueError(f"refusing to replace silver {spec.name} with an empty batch (run {newest})")
     store.publish(spec.name, full_refresh(batch, spec), newest)
+    for run in runs:                    # the older ones are replaced by the newest
+        store.record(spec.name, run)
     return newest
 
 
+def _pending(spark: SparkSession, store: SnapshotStore, layout: Layout, table: str) -> list[str]:
+    """Landed runs that silver hasn't taken in, in order, whenever they landed."""
+    return pending_runs(spark, layout.landing, table, store.published(table))
+
+
 def refine(spark: SparkSession, layout: Layout, as_of: dt.datetime, tables=None, **kwargs) -> dict:
     # landing + silver bound what the merges shuffle; size the shuffle to it
     size_shuffle_partitions(spark, input_bytes(spark, [layout.landing, layout.silver]))
@@ -198,10 +213,7 @@ def archive(spark: SparkSession, layout: Layout, tables=None) -> dict[str, list[
     store = SnapshotStore(spark, layout.silver)
     moved = {}
     for name in (tables or REGISTRY):
-        done = store.latest_id(name)
-        if done is None:
-            continue
-        keep = pending_runs(spark, layout.landing, name, after=done)
+        keep = _pending(spark, store, layout, name)
         moved[name] = archive_runs(spark, layout.landing, layout.archive, name, keep=keep)
     return moved
 

@@ -16,12 +16,18 @@
   prunes the history part at planning time and reads none of its files.
 * ``Scratch``: intermediate results written once under the shared
   checkpoint root (lineage cuts), deleted when the run has published.
+  ``_runs/<id>`` is the ledger of runs a table has taken in. A run that lands
+  late, with an id before the newest snapshot's, is published after it under
+  the id ``<newest>.<run>``, so snapshots always sort in the order of publishing.
 * ``create_if_absent`` / ``overwrite``: CTAS-if-absent (the reference's
-  gold ``CREATE TABLE IF NOT EXISTS ... AS``) and refresh.
+  gold ``CREATE TABLE IF NOT EXISTS ... AS``) and refresh, both written to a
+  staging folder and renamed: a failed job leaves what was there.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -86,6 +92,15 @@ def move_dir(spark: SparkSession, src: str, dst: str) -> bool:
     return True
 
 
+def publish_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """``write`` a complete folder beside ``path``, then rename it into place; a failed write changes nothing."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    staging = f"{parent}/{STAGING}-{name}"
+    delete_path(spark, staging)
+    write(staging)
+    move_dir(spark, staging, path)
+
+
 def read_with_schema(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
@@ -124,6 +139,7 @@ ACTIVE = "active"
 RUN = "run"
 STAGING = "_staging"    # leading underscore: ignored by Parquet readers of the table
 _DEST = "_dest"
+LEDGER = "_runs"
 
 
 class SnapshotStore:
@@ -149,6 +165,19 @@ class SnapshotStore:
                 done.append(name.split("=", 1)[1])
         return done
 
+    def published(self, table: str) -> set[str]:
+        """The runs the table has taken in: the ledger, and snapshots whose ledger entry a crash prevented."""
+        ledger = list_dirs(self.spark, f"{self._table_dir(table)}/{LEDGER}")
+        return {*ledger, *(s.rpartition(".")[2] for s in self.snapshots(table))}
+
+    def record(self, table: str, run: str) -> None:
+        make_dirs(self.spark, f"{self._table_dir(table)}/{LEDGER}/{run}")
+
+    def next_id(self, table: str, run: str) -> str:
+        """The snapshot id for ``run``: its own, or one after the newest if it comes late."""
+        last = self.latest_id(table)
+        return run if last is None or run > last else f"{last}.{run}"
+
     def latest_id(self, table: str) -> str | None:
         snaps = self.snapshots(table)
         return snaps[-1] if snaps else None
@@ -199,10 +228,12 @@ class SnapshotStore:
             .partitionBy(_DEST).parquet(staging)
         history_dir = f"{base}/{HISTORY}/{RUN}={snapshot}"
         active_dir = f"{base}/{ACTIVE}/snapshot={snapshot}"
-        move_dir(self.spark, f"{staging}/{_DEST}={HISTORY}", history_dir)
+        if not move_dir(self.spark, f"{staging}/{_DEST}={HISTORY}", history_dir):
+            delete_path(self.spark, history_dir)    # what a crashed attempt at this run has left
         if not move_dir(self.spark, f"{staging}/{_DEST}={ACTIVE}", active_dir):
             make_dirs(self.spark, active_dir)       # no live version: an empty snapshot
         touch(self.spark, f"{active_dir}/_SUCCESS")  # the commit
+        self.record(table, snapshot.rpartition(".")[2])
         delete_path(self.spark, staging)
         return self._read_scd2(table, schema, snapshot)
 
@@ -225,16 +256,18 @@ class SnapshotStore:
         if IS_ACTIVE in df.columns:
             writer = writer.partitionBy(IS_ACTIVE)
         writer.parquet(path)
+        self.record(table, snapshot.rpartition(".")[2])
         return read_with_schema(self.spark, path, df.schema)
 
 
 def create_if_absent(df: DataFrame, path: str) -> DataFrame:
-    """``CREATE TABLE IF NOT EXISTS ... AS``: the second run is a no-op."""
-    df.write.mode("ignore").parquet(path)
+    """``CREATE TABLE IF NOT EXISTS ... AS``: a no-op if a job has completed the table."""
+    if not path_exists(df.sparkSession, f"{path}/_SUCCESS"):
+        return overwrite(df, path)
     return read_with_schema(df.sparkSession, path, df.schema)
 
 
 def overwrite(df: DataFrame, path: str) -> DataFrame:
-    """Refresh a table (full rewrite, committed by the job's ``_SUCCESS``)."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    """Refresh a table: written whole to a staging folder, then renamed over the old one."""
+    publish_folder(df.sparkSession, path, df.write.parquet)
     return read_with_schema(df.sparkSession, path, df.schema)

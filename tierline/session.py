@@ -10,6 +10,7 @@ values the deployment left unset.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -28,8 +29,6 @@ DEFAULTS = {
     # Parquet footers are written with min/max stats; keep pushdown on.
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
-    # Partitioned writes: overwrite only the partitions a job produces.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # A task writing at most two partitions (an SCD2 publish: history + live
     # set) keeps both files open instead of sorting all its rows by
     # partition first; each open writer buffers up to one row group, so the
@@ -41,9 +40,8 @@ DEFAULTS = {
     "spark.sql.files.maxPartitionBytes": "128m",
 }
 
-# Bounds for the sized shuffle partition count (see size_shuffle_partitions).
+# Least shuffle partitions per core (see size_shuffle_partitions).
 MIN_PARTITIONS_PER_CORE = 2
-MAX_SHUFFLE_PARTITIONS = 50_000
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -107,12 +105,9 @@ def input_bytes(spark: SparkSession, paths) -> int:
 def size_shuffle_partitions(spark: SparkSession, total_bytes: int) -> int:
     """Size the shuffle partition count to the data, unless the deployment set it.
 
-    One partition per advisory size (128 MB) of input, at least two per core
-    and at most 50,000: a shuffle has (map tasks x partitions) blocks, so at
-    100 TB (819,200 advisory-sized pieces) the cap keeps the block count
-    manageable and each reducer near 2 GB of input, which sort-based shuffle
-    spills safely; AQE then coalesces small partitions and splits skewed ones
-    from the measured map output. A value set explicitly in the Spark conf
+    One partition per advisory size (128 MB) of input, at least two per core,
+    at every size of input; AQE then coalesces small partitions and splits
+    skewed ones from the measured map output. A value set explicitly in the Spark conf
     (cluster defaults, tests, the bench) wins.
     """
     conf = spark.sparkContext.getConf()
@@ -126,9 +121,9 @@ def size_shuffle_partitions(spark: SparkSession, total_bytes: int) -> int:
 
 
 def shuffle_partitions_for(total_bytes: int, cores: int, advisory_bytes: int) -> int:
-    """ceil(total / advisory), at least two per core, at most MAX_SHUFFLE_PARTITIONS."""
+    """ceil(total / advisory), at least two per core."""
     wanted = -(-total_bytes // advisory_bytes)
-    return max(MIN_PARTITIONS_PER_CORE * cores, min(MAX_SHUFFLE_PARTITIONS, wanted))
+    return max(MIN_PARTITIONS_PER_CORE * cores, wanted)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -136,11 +131,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster this must be a shared filesystem (HDFS/object store) so a
     lost executor does not lose cut lineage. Only when the setting is absent
-    (tests, laptops) do we create a scratch folder of our own.
+    (tests, laptops) do we create a scratch folder of our own, and only on a
+    local master: executors elsewhere could not see it.
     """
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tierline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

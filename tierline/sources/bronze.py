@@ -30,6 +30,7 @@ from tierline.sources.landing import (DAILY_NAME_PATTERN, DAILY_NAME_SPARK_FORMA
 FAILFAST = "FAILFAST"
 PERMISSIVE = "PERMISSIVE"
 MALFORMED = "_malformed"
+CORRUPT = "_corrupt_record"
 INTEGRAL_TEXT = r"^\s*[-+]?[0-9]+(\.0*)?\s*$"
 
 
@@ -44,7 +45,8 @@ def _convert(text: Column, dtype: T.DataType, name: str, strict: bool) -> Column
         return text
     if isinstance(dtype, T.LongType):
         ok = text.rlike(INTEGRAL_TEXT)
-        value = F.trim(text).cast("decimal(38,9)").cast("bigint")
+        value = F.trim(text).cast("decimal(38,9)").cast("bigint") if strict \
+            else F.trim(text).try_cast("decimal(38,9)").try_cast("bigint")
     elif isinstance(dtype, T.DoubleType):
         value = text.try_cast("double") if not strict else text.cast("double")
         ok = value.isNotNull() if not strict else F.lit(True)
@@ -69,6 +71,8 @@ def typed(raw: DataFrame, spec: TableSpec, mode: str = FAILFAST, keep_run: bool
     if not strict:
         bad = [F.col(f.name).isNotNull() & _convert(F.col(f.name), f.dataType, f.name, False).isNull()
                for f in spec.schema.fields if not isinstance(f.dataType, T.StringType)]
+        if CORRUPT in raw.columns:      # a line that is not JSON
+            bad.append(F.col(CORRUPT).isNotNull())
         cols.append((reduce(or_, bad) if bad else F.lit(False)).alias(MALFORMED))
     if keep_run:
         cols += [F.col(LOAD_DATE), F.col(RUN_ID)]
@@ -90,7 +94,7 @@ def read_bronze_daily(spark: SparkSession, root: str, spec: TableSpec, mode: str
     if not path_exists(spark, glob):            # no object yet: an empty, typed batch
         empty = spark.createDataFrame([], schema).withColumn(LANDING_DATE, F.lit(None).cast("date"))
         return typed(empty, spec, mode, keep=(LANDING_DATE,))
-    raw = spark.read.schema(schema).option("mode", FAILFAST if mode == FAILFAST else PERMISSIVE).json(glob)
+    raw = _json_reader(spark, schema, mode).json(glob)
     day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), DAILY_NAME_PATTERN, 1),
                     DAILY_NAME_SPARK_FORMAT)
     return typed(raw.withColumn(LANDING_DATE, day), spec, mode, keep=(LANDING_DATE,))
@@ -134,6 +138,13 @@ def read_bronze_parquet(spark: SparkSession, path: str, spec: TableSpec) -> Data
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields])
 
 
+def _json_reader(spark: SparkSession, schema: T.StructType, mode: str):
+    if mode == FAILFAST:
+        return spark.read.schema(schema).option("mode", FAILFAST)
+    kept = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    return spark.read.schema(kept).option("mode", PERMISSIVE).option("columnNameOfCorruptRecord", CORRUPT)
+
+
 def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str, mode: str) -> DataFrame:
     from tierline.plans.publish import path_exists
     if not path_exists(spark, path):
@@ -141,5 +152,5 @@ def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: st
     reader = spark.read.schema(schema)
     if fmt == "json":
         # FAILFAST here only concerns lines that are not JSON at all
-        return reader.option("mode", FAILFAST if mode == FAILFAST else PERMISSIVE).json(path)
+        return _json_reader(spark, schema, mode).json(path)
     return reader.parquet(path)

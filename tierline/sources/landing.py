@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.plans.publish import _jvm_fs, list_dirs
+from tierline.plans.publish import _jvm_fs, list_dirs, make_dirs, publish_folder
 
 LOAD_DATE = "load_date"
 RUN_ID = "run_id"
@@ -90,6 +90,8 @@ def write_landing(df: DataFrame, root: str, table: str, run_id: str, load_date:
         writer.parquet(path)
     else:
         raise ValueError(f"unknown landing format {fmt!r}")
+    # a run without rows leaves its folder all the same: it took place
+    make_dirs(df.sparkSession, f"{path}/{LOAD_DATE}={load_date}/{RUN_ID}={run_id}")
     return path
 
 
@@ -106,10 +108,9 @@ def landed_runs(spark: SparkSession, root: str, table: str) -> list[tuple[str, s
     return sorted(runs, key=lambda x: (x[1], x[0]))
 
 
-def pending_runs(spark: SparkSession, root: str, table: str, after: str | None) -> list[str]:
-    """Run ids landed after run ``after`` (all when ``after`` is None), in order."""
-    ids = sorted({r for _, r in landed_runs(spark, root, table)})
-    return [r for r in ids if after is None or r > after]
+def pending_runs(spark: SparkSession, root: str, table: str, published: set[str]) -> list[str]:
+    """Landed run ids that are not among the ``published`` ones, in order."""
+    return sorted({r for _, r in landed_runs(spark, root, table)} - set(published))
 
 
 def archive_runs(spark: SparkSession, root: str, archive_root: str, table: str,
@@ -151,8 +152,9 @@ def write_daily_landing(df: DataFrame, root: str, table: str, day: dt.date,
     is that extract's encoding, with explicit nulls.
     """
     path = daily_landing_path(root, table, day)
-    encode(df, encoding).write.mode("overwrite").option("timestampFormat", ISO_TIMESTAMP_FORMAT) \
-        .option("ignoreNullFields", str(encoding == ISO).lower()).json(path)
+    writer = encode(df, encoding).write.option("timestampFormat", ISO_TIMESTAMP_FORMAT) \
+        .option("ignoreNullFields", str(encoding == ISO).lower())
+    publish_folder(df.sparkSession, path, writer.json)
     return path
 
 

@@ -44,7 +44,6 @@ NULL_CATEGORY_MOD = 97
 NULL_CATEGORY_NAME_MOD = 10
 NULL_SUPPLIER_NAME_MOD = 17
 NULL_REVIEW_TEXT_MOD = 11
-REVIEW_EVENT_TYPES = ("view", "purchase")
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -230,7 +229,7 @@ def product_suppliers(spark: SparkSession, sf_dir: str, batch: int = 2) -> DataF
 
 
 def customer_reviews(spark: SparkSession, sf_dir: str, batch: int = 2) -> DataFrame:
-    e = read_table(spark, sf_dir, "events").where(F.col("event_type").isin(*REVIEW_EVENT_TYPES))
+    e = read_table(spark, sf_dir, "events")
     if batch == 1:
         e = e.where(F.col("ts") < _ntz(REVIEW_CUTOFF))
     # Number of products, as an uncorrelated scalar subquery: evaluated once
