@@ -70,3 +70,18 @@ def test_eager_equals_naive_on_seed(silver):
     a = gold.product_performance(silver, strategy="eager")
     b = gold.product_performance(silver, strategy="naive")
     assert rows(a) == rows(b)
+
+
+def test_corrected_engagement_takes_the_latest_instant_of_mixed_encodings(spark):
+    import datetime as dt
+
+    from tierline.operators import gold
+    from tierline.schemas import REGISTRY
+    silver = {name: spark.createDataFrame([], REGISTRY[name].silver_schema()) for name in REGISTRY}
+    customer = {"customer_id": 1, "name": "A", "is_active": True}
+    silver["customers"] = spark.createDataFrame([customer], REGISTRY["customers"].silver_schema())
+    silver["orders"] = spark.createDataFrame(
+        [{"order_id": k, "customer_id": 1, "order_date": d, "is_active": True}
+         for k, d in enumerate(["999999999999", "1743069600123", "2025-03-26T00:00:00.000Z"])], REGISTRY["orders"].silver_schema())
+    row = gold.customer_engagement(silver, dt.date(2025, 3, 28), mode="corrected").collect()
+    assert [(r["last_order_date"], r["days_since_last_order"], r["total_orders"]) for r in row] == [("1743069600123", 1, 3)]

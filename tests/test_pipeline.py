@@ -170,3 +170,13 @@ def test_a_failed_table_is_logged_whole_and_raised(spark, workdir):
         ingest(spark, {REGISTRY["orders"].source: Broken()}, [REGISTRY["orders"]], layout, DAY1)
     logged = spark.read.parquet(layout.logs).collect()
     assert len(logged) == 1 and "x" * 5000 in logged[0]["message"]
+
+
+def test_keyset_mark_survives_the_archive(spark, workdir):
+    url = f"jdbc:derby:memory:tl{next(_ids)};create=true"
+    _load_db(spark, url, {"orders": source(spark)["orders"]})
+    layout, spec = Layout(workdir), REGISTRY["orders"]
+    assert ingest(spark, _sources(url, None), [spec], layout, DAY1, keyset_id="order_id")[0].rows_loaded == 10
+    refine_table(spark, spec, layout, DAY1)
+    archive(spark, layout, ["orders"])
+    assert ingest(spark, _sources(url, None), [spec], layout, DAY2, keyset_id="order_id")[0].rows_loaded == 0

@@ -154,3 +154,12 @@ def test_daily_landing_names_rerun_archive_and_landing_date(spark, workdir):
                  bronze.groupBy("landing_date", "total_amount", "order_date").count().collect())
     assert got == [(d1, 2.0, "1743069600000"), (d2, 3.0, "1743069600000")]
     assert bronze.count() == 6
+
+
+def test_permissive_bronze_flags_lines_that_are_not_json_and_long_integers(spark, workdir):
+    folder = f"{workdir}/orders/load_date=2025-03-27/run_id=20250327T050000Z"
+    os.makedirs(folder)
+    with open(f"{folder}/part-0.json", "w") as f:
+        f.write('{"order_id": 1, "customer_id": 2}\nnot json\n{"order_id": 123456789012345678901234, "customer_id": 2}\n')
+    got = read_bronze_json(spark, f"{workdir}/orders", ORDERS, mode=PERMISSIVE).collect()
+    assert sorted((str(r["order_id"]), r["_malformed"]) for r in got) == [("1", False), ("None", True), ("None", True)]

@@ -22,6 +22,7 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tierline.functions.time import run_metadata
 from tierline.operators import gold
@@ -106,14 +107,15 @@ def ingest_table(spark: SparkSession, source, spec: TableSpec, layout: Layout, n
 
 
 def _last_id_at(spark: SparkSession, layout: Layout, spec: TableSpec, id_col: str, mark) -> object:
-    """Greatest id landed with watermark == mark (for the keyset predicate); one row."""
+    """Greatest id landed with watermark == mark, in runs still in landing or archived (for the keyset predicate); one row."""
     from pyspark.sql import functions as F
 
     from tierline.functions.time import parse_event_ts
-    bronze = read_bronze_runs(spark, layout.landing, spec)
+    bronze = read_bronze_runs(spark, layout.landing, spec).unionByName(read_bronze_runs(spark, layout.archive, spec))
     row = bronze.where(parse_event_ts(spec.watermark_col) == F.lit(mark)) \
         .agg(F.max(id_col).alias("m")).first()
-    return row["m"] if row and row["m"] is not None else -1
+    least = "" if isinstance(spec.schema[id_col].dataType, T.StringType) else -1
+    return row["m"] if row and row["m"] is not None else least
 
 
 def ingest(spark: SparkSession, sources: dict, specs: list[TableSpec], layout: Layout,
