@@ -65,16 +65,17 @@ class Paragraphs:
             sums += self.shingles[at + o][None, :] * _STRETCH_SEEDS[:, k % 256, None] + np.uint64(k)
         return as_long(mix64(sums))
 
-    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
-        """(least shingle, first start, last start, digest of the words) of each run of stretches with one least shingle."""
+    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(least shingle, first start, last start, 128-bit digest of the words as two longs) of each run of stretches with one least shingle."""
         width = self.min_words - SHINGLE + 1
         if len(self.hashes) < self.min_words:
-            return self.hashes[:0], self.hashes[:0], self.hashes[:0], []
+            return self.hashes[:0], self.hashes[:0], self.hashes[:0], np.zeros((0, 2), dtype=np.int64)
         least = np.lib.stride_tricks.sliding_window_view(self.shingles, width).min(axis=1)
         first = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1))
         last = np.concatenate((first[1:] - 1, [len(least) - 1]))
         data = self.hashes.tobytes()
-        return least[first], first, last, [xxhash.xxh3_128_hexdigest(data[8 * b:8 * (e + self.min_words)]) for b, e in zip(first, last)]
+        digests = b"".join(xxhash.xxh3_128_digest(data[8 * b:8 * (e + self.min_words)]) for b, e in zip(first, last))
+        return least[first], first, last, np.frombuffer(digests, dtype="<i8").reshape(-1, 2)
 
     def stretches(self, runs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, hash, other hash) of the stretches of some runs (first, last start)."""
@@ -123,20 +124,21 @@ def listed(docs: DataFrame, kind, min_words: int) -> DataFrame:
         keys = iter(as_long(np.ascontiguousarray(line_bands(sets))) if sets else [])
         return pd.DataFrame({
             "doc": pdf["doc"].to_list(), "least": [as_long(r[0]) for r in runs], "first": [r[1].astype(np.int32) for r in runs],
-            "last": [r[2].astype(np.int32) for r in runs], "run": [r[3] for r in runs],
+            "last": [r[2].astype(np.int32) for r in runs], "run": [r[3][:, 0].copy() for r in runs], "check": [r[3][:, 1].copy() for r in runs],
             "lines": [[{"line": d, "begin": b, "end": e, "n": len(s), "bands": next(keys)} for d, b, e, s in row] for row in lines]})
-    return _run(docs, [F.col("text")], make, "least array<long>, first array<int>, last array<int>, run array<string>, "
+    return _run(docs, [F.col("text")], make, "least array<long>, first array<int>, last array<int>, run array<long>, check array<long>, "
                 "lines array<struct<line: string, begin: int, end: int, n: long, bands: array<long>>>", kind)
 
 
 def _equal_stretches(rows: DataFrame, docs: DataFrame, kind, min_words: int) -> DataFrame:
     """(doc, begin, end, keeper) of stretches that an earlier document holds."""
-    runs = rows.select("doc", F.inline(F.arrays_zip("least", "first", "last", "run")))
-    shared = cut(runs.groupBy("least").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), (F.min("run") != F.max("run")).alias("differ"))
+    runs = rows.select("doc", F.inline(F.arrays_zip("least", "first", "last", "run", "check")))
+    differ = (F.min("run") != F.max("run")) | (F.min("check") != F.max("check"))
+    shared = cut(runs.groupBy("least").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), differ.alias("differ"))
                  .where("lo <> hi").select("least", "differ"), "shared")
-    runs = cut(runs.join(shared, "least").select("doc", "first", "last", "run", "differ"), "runs")
-    keepers = cut(runs.groupBy("run").agg(F.min("doc").alias("keeper")), "run-keepers")
-    named = runs.join(keepers, "run")
+    runs = cut(runs.join(shared, "least").select("doc", "first", "last", "run", "check", "differ"), "runs")
+    keepers = cut(runs.groupBy("run", "check").agg(F.min("doc").alias("keeper")), "run-keepers")
+    named = runs.join(keepers, ["run", "check"])
     whole = named.where("doc <> keeper").select("doc", F.col("first").alias("begin"), (F.col("last") + min_words).alias("end"), "keeper")
     # a run of each kind, where there is more than one kind: stretch by stretch
     wanted = cut(named.where("doc = keeper and differ").groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("wanted")), "wanted")
