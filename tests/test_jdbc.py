@@ -4,6 +4,7 @@ import datetime as dt
 import itertools
 
 import pytest
+from pyspark.sql import functions as F
 
 from tierline.sources.jdbc import JdbcSource, extract, normalize_load_type
 
@@ -46,6 +47,15 @@ def test_partitioned_read(spark, source):
     assert df.rdd.getNumPartitions() == 4 and df.count() == 30
 
 
+def test_connections_share_the_increment(spark, source):
+    mark = dt.datetime(2025, 3, 27, 5, tzinfo=dt.timezone.utc)
+    df = extract(spark, source, "orders", "incremental", "updated_at", mark, partition_column="order_id", num_partitions=4)
+    per = df.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in per) == 13 and len(per) == 4 and max(r["count"] for r in per) <= 5
+    late = dt.datetime(2025, 4, 27, tzinfo=dt.timezone.utc)
+    assert extract(spark, source, "orders", "incremental", "updated_at", late, partition_column="order_id", num_partitions=4).count() == 0
+
+
 def test_incremental_needs_a_watermark_column(spark, source):
     with pytest.raises(ValueError):
         extract(spark, source, "orders", "incremental", None, dt.datetime(2025, 1, 1))

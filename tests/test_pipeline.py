@@ -3,13 +3,14 @@ over two days, with audit watermarks, archive, idempotent reruns, late and empty
 
 import datetime as dt
 import itertools
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from seed import source
 from tierline.operators.audit import read_audit
-from tierline.plans.pipeline import Layout, archive, ingest, refine_table, run_all, silver
+from tierline.plans.pipeline import LOAD_TIME, Layout, archive, ingest, ingest_config, refine_table, run_all, silver
 from tierline.plans.publish import SnapshotStore, create_if_absent, overwrite
 from tierline.schemas import REGISTRY
 from tierline.sources.jdbc import JdbcSource, ParquetSource
@@ -180,3 +181,31 @@ def test_keyset_mark_survives_the_archive(spark, workdir):
     refine_table(spark, spec, layout, DAY1)
     archive(spark, layout, ["orders"])
     assert ingest(spark, _sources(url, None), [spec], layout, DAY2, keyset_id="order_id")[0].rows_loaded == 0
+
+
+@pytest.mark.parametrize("dialect", ["csv", "json"])
+def test_ingest_from_a_config_with_one_failing_table(spark, workdir, dialect):
+    tables = {k: (lambda spark, df=df: df) for k, df in source(spark).items() if k in ("categories", "customers", "orders")}
+    layout = Layout(workdir)                    # products has no source table
+    path = os.path.join(os.path.dirname(__file__), "fixtures", f"retailer_config.{dialect}")
+    runs = ingest_config(spark, {"retailer": ParquetSource(tables)}, path, layout, DAY1, on_error="log")
+    names = ["products", "categories", "customers"] + (["orders"] if dialect == "csv" else [])
+    assert [r.table for r in runs] == names
+    status = {r["tablename"]: r["status"] for r in spark.read.parquet(layout.status).collect()}
+    assert status == {n: "FAILED" if n == "products" else "SUCCESS" for n in names}
+    assert {r["table_name"] for r in read_audit(spark, layout.audit).collect()} == set(names) - {"products"}
+    logged = spark.read.json(f"{layout.log_files}/pipeline_log_20250328050000.json").collect()
+    assert sorted(r["event_type"] for r in logged) == ["ERROR"] + ["INFO"] * (len(names) - 1)
+
+
+def test_wall_clock_mark(spark, workdir):
+    rows = spark.createDataFrame(
+        [(1, "a", "a@x", dt.datetime(2025, 3, 1)), (2, "b", "b@x", DAY1 + dt.timedelta(hours=1))],
+        "customer_id bigint, name string, email string, updated_at timestamp")
+    layout, sources = Layout(workdir), {"retailer": ParquetSource({"customers": lambda spark: rows.where("customer_id = 1")})}
+    spec = REGISTRY["customers"]
+    assert ingest(spark, sources, [spec], layout, DAY1, watermark_source=LOAD_TIME)[0].max_watermark == DAY1
+    sources = {"retailer": ParquetSource({"customers": lambda spark: rows})}
+    assert ingest(spark, sources, [spec], layout, DAY2, watermark_source=LOAD_TIME)[0].rows_loaded == 1
+    with pytest.raises(ValueError):
+        ingest(spark, sources, [spec], layout, DAY2, watermark_source="guess")

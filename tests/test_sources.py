@@ -13,7 +13,7 @@ from tierline.sources.bronze import MALFORMED, PERMISSIVE, read_bronze_json
 from tierline.sources.config import active_tables, read_config
 from tierline.sources.landing import (EPOCH_MS, ISO, archive_runs, landed_runs, pending_runs,
                                       write_landing)
-from tierline.sources.reviews import read_review_feed, read_review_landing, write_review_landing
+from tierline.sources.reviews import ingest_reviews, read_review_feed, read_review_landing, write_review_landing
 
 HERE = os.path.dirname(__file__)
 
@@ -118,6 +118,8 @@ def test_review_feed_to_dated_parquet(spark, workdir):
     back = read_review_landing(spark, workdir)
     assert sorted(r["id"] for r in back.collect()) == ["1", "2"]
     assert back.columns == CUSTOMER_REVIEWS.columns
+    assert ingest_reviews(spark, feed, workdir, dt.date(2025, 3, 27)) == (path, 2)
+    assert read_review_landing(spark, workdir).count() == 2
 
 
 def test_parse_event_ts_both_encodings(spark):

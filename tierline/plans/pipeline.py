@@ -4,6 +4,7 @@
   audited high-water mark) landed as run ``run_id``; row count and max
   watermark are observed during the landing write (one pass), then one
   audit row is appended. The mark only moves after the landing commit.
+* ``ingest_config``: ``ingest`` of the active tables of a CSV or JSON config.
 * ``refine_table``: silver consumes *every* landed run that its ledger doesn't
   list, in run order, also one that landed late (never just "the latest files", which
   would lose an increment when two ingests run before one refine). Each
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 
 from tierline.functions.time import run_metadata
 from tierline.operators import gold
-from tierline.operators.audit import FAILED, SUCCESS, append, audit_row, log_rows, read_audit
+from tierline.operators.audit import FAILED, SUCCESS, append, audit_row, log_rows, read_audit, status_row
 from tierline.operators.refresh import full_refresh
 from tierline.operators.scd2 import empty_target, scd2_merge
 from tierline.operators.watermark import latest_watermark_value, observed
@@ -34,9 +35,14 @@ from tierline.plans.publish import SnapshotStore, create_if_absent, overwrite
 from tierline.schemas import INCREMENTAL, REGISTRY, SCD2, TableSpec
 from tierline.session import input_bytes, size_shuffle_partitions
 from tierline.sources.bronze import read_bronze_runs
+from tierline.sources.config import configured, read_config
 from tierline.sources.jdbc import extract
 from tierline.sources.landing import archive_runs, pending_runs, write_landing
 
+# Where the next mark comes from: the greatest watermark extracted, or the clock of the run.
+# With the latter, rows stamped before the run that become visible after it are missed.
+DATA, LOAD_TIME = "data", "load_time"
+
 
 @dataclass
 class Layout:
@@ -69,6 +75,14 @@ class Layout:
     def logs(self) -> str:
         return self._p("meta/logs")
 
+    @property
+    def log_files(self) -> str:
+        return self._p("meta/log_files")
+
+    @property
+    def status(self) -> str:
+        return self._p("meta/status")
+
 
 @dataclass
 class RunInfo:
@@ -84,7 +98,9 @@ class RunInfo:
 
 def ingest_table(spark: SparkSession, source, spec: TableSpec, layout: Layout, now: dt.datetime,
                  encoding: str = "iso", keyset_id: str | None = None, num_partitions: int = 1,
-                 partition_column: str | None = None) -> RunInfo:
+                 partition_column: str | None = None, watermark_source: str = DATA) -> RunInfo:
+    if watermark_source not in (DATA, LOAD_TIME):
+        raise ValueError(f"unknown watermark source {watermark_source!r}")
     meta = run_metadata(now)
     mark = None
     if spec.load_type == INCREMENTAL:
@@ -100,7 +116,7 @@ def ingest_table(spark: SparkSession, source, spec: TableSpec, layout: Layout, n
                   fmt=spec.landing_format)
     stats = obs.get
     info = RunInfo(spec.name, meta["run_id"], spec.load_type, int(stats.get("rows_loaded") or 0),
-                   stats.get("max_watermark"))
+                   now if watermark_source == LOAD_TIME and spec.load_type == INCREMENTAL else stats.get("max_watermark"))
     append(audit_row(spark, meta["run_id"], meta["load_date"], spec.name, spec.load_type,
                      info.rows_loaded, spec.watermark_col, info.max_watermark), layout.audit)
     return info
@@ -120,8 +136,18 @@ def _last_id_at(spark: SparkSession, layout: Layout, spec: TableSpec, id_col: st
 
 def ingest(spark: SparkSession, sources: dict, specs: list[TableSpec], layout: Layout,
            now: dt.datetime, on_error: str = "raise", **kwargs) -> list[RunInfo]:
-    """Ingest tables one after another; ``on_error="log"`` records a failure and goes on."""
+    """Ingest tables one after another; ``on_error="log"`` records a failure and goes on.
+
+    Each table gets a status row (SUCCESS or FAILED), and the run's events go to the log table
+    and a dated JSON log, also when a failure is raised.
+    """
     out, events = [], []
+
+    def write_logs() -> None:
+        rows = log_rows(spark, events)
+        append(rows, layout.logs)
+        append(rows, f"{layout.log_files}/pipeline_log_{now:%Y%m%d%H%M%S}.json", fmt="json")
+
     for spec in specs:
         try:
             info = ingest_table(spark, sources[spec.source], spec, layout, now, **kwargs)
@@ -133,14 +159,22 @@ def ingest(spark: SparkSession, sources: dict, specs: list[TableSpec], layout: L
             events.append({"timestamp": now.isoformat(), "event_type": "ERROR",
                            "message": info.error, "table": spec.name})
             if on_error != "log":
-                append(log_rows(spark, events), layout.logs)
+                append(status_row(spark, spec.name, spec.load_type, 0, now, FAILED), layout.status)
+                write_logs()
                 raise
+        append(status_row(spark, spec.name, spec.load_type, info.rows_loaded, now, info.status), layout.status)
         out.append(info)
     if events:
-        append(log_rows(spark, events), layout.logs)
+        write_logs()
     return out
 
 
+def ingest_config(spark: SparkSession, sources: dict, config_path: str, layout: Layout,
+                  now: dt.datetime, **kwargs) -> list[RunInfo]:
+    """Ingest the active tables of a config with its load types and watermark columns."""
+    return ingest(spark, sources, configured(read_config(spark, config_path)), layout, now, **kwargs)
+
+
 def refine_table(spark: SparkSession, spec: TableSpec, layout: Layout, as_of: dt.datetime,
                  allow_empty: bool = False, **merge_kwargs) -> str | None:
     """Publish silver for every pending landed run of ``spec``; returns the current snapshot id."""

@@ -8,10 +8,12 @@ control-plane metadata (a handful of rows), so ``active_tables`` collects it.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.schemas import CONFIG_CSV_SCHEMA
+from tierline.schemas import CONFIG_CSV_SCHEMA, INCREMENTAL, REGISTRY, TableSpec
 from tierline.sources.jdbc import normalize_load_type
 
 NORMALIZED = ["source", "table_name", "load_type", "watermark_col", "is_active", "target_path"]
@@ -63,3 +65,21 @@ def active_tables(config: DataFrame) -> list[dict]:
         d["load_type"] = normalize_load_type(d["load_type"])
         out.append(d)
     return out
+
+
+def configured(config: DataFrame, registry: dict[str, TableSpec] = REGISTRY) -> list[TableSpec]:
+    """The registry's specs of the active tables, in file order, with the config's source, load type and watermark column.
+
+    A table the registry doesn't know, or an incremental one without a watermark column, is an error.
+    The target path is kept in ``extra``; runs land under the layout's landing folder.
+    """
+    specs = []
+    for row in active_tables(config):
+        name = row["table_name"]
+        if name not in registry:
+            raise ValueError(f"config names an unknown table: {name!r}")
+        if row["load_type"] == INCREMENTAL and not row["watermark_col"]:
+            raise ValueError(f"incremental table {name!r} needs a watermark column")
+        specs.append(replace(registry[name], source=row["source"], load_type=row["load_type"],
+                             watermark_col=row["watermark_col"], extra={"target_path": row["target_path"]}))
+    return specs

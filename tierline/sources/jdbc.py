@@ -7,7 +7,8 @@ the database, and no timestamp is ever spliced into SQL text.
 
 Reads are partitioned: with ``num_partitions > 1`` Spark opens that many
 connections, each reading one stride of ``partition_column``. The stride
-bounds come from a pushed-down MIN/MAX (one row returns to the driver).
+bounds come from a pushed-down MIN/MAX (one row returns to the driver) over
+the rows of the extract, so the connections share an increment evenly.
 The reference reads every table on a single connection.
 
 ``ParquetSource`` offers the same interface over Parquet tables (the
@@ -59,20 +60,22 @@ class JdbcSource:
             r = r.option(k, v)
         return r
 
-    def bounds(self, spark: SparkSession, table: str, column: str):
-        row = self._reader(spark).option("dbtable", self.qualified(table)).load() \
-            .agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first()
+    def bounds(self, spark: SparkSession, table: str, column: str, where: Column | None = None):
+        df = self._reader(spark).option("dbtable", self.qualified(table)).load()
+        row = (df if where is None else df.where(where)).agg(
+            F.min(column).alias("lo"), F.max(column).alias("hi")).first()
         return row["lo"], row["hi"]
 
     def read(self, spark: SparkSession, table: str, partition_column: str | None = None,
-             num_partitions: int = 1, bounds: tuple | None = None) -> DataFrame:
+             num_partitions: int = 1, bounds: tuple | None = None, where: Column | None = None) -> DataFrame:
         r = self._reader(spark).option("dbtable", self.qualified(table))
         if partition_column and num_partitions > 1:
-            lo, hi = bounds or self.bounds(spark, table, partition_column)
+            lo, hi = bounds or self.bounds(spark, table, partition_column, where)
             if lo is not None and hi is not None:
                 r = r.option("partitionColumn", partition_column).option("lowerBound", str(lo)) \
                     .option("upperBound", str(hi)).option("numPartitions", str(num_partitions))
-        return r.load()
+        df = r.load()
+        return df if where is None else df.where(where)
 
 
 @dataclass
@@ -81,9 +84,10 @@ class ParquetSource:
     tables: dict
 
     def read(self, spark: SparkSession, table: str, partition_column: str | None = None,
-             num_partitions: int = 1, bounds: tuple | None = None) -> DataFrame:
+             num_partitions: int = 1, bounds: tuple | None = None, where: Column | None = None) -> DataFrame:
         src = self.tables[table]
-        return src(spark) if callable(src) else spark.read.parquet(src)
+        df = src(spark) if callable(src) else spark.read.parquet(src)
+        return df if where is None else df.where(where)
 
 
 def normalize_load_type(value: str | None) -> str:
@@ -111,14 +115,12 @@ def extract(spark: SparkSession, source, table: str, load_type: str = FULL,
     silently becoming a full load.
     """
     load_type = normalize_load_type(load_type)
-    df = source.read(spark, table, partition_column=partition_column, num_partitions=num_partitions)
-    if columns:
-        df = df.select(*columns)
+    cond: Column | None = None
     if load_type == INCREMENTAL:
         if not watermark_col:
             raise ValueError(f"incremental extract of {table!r} needs a watermark column")
         if mark is not None:
-            cond: Column = (after_keyset(watermark_col, keyset[0], mark, keyset[1]) if keyset
-                            else after_watermark(watermark_col, mark))
-            df = df.where(cond)
-    return df
+            cond = (after_keyset(watermark_col, keyset[0], mark, keyset[1]) if keyset
+                    else after_watermark(watermark_col, mark))
+    df = source.read(spark, table, partition_column=partition_column, num_partitions=num_partitions, where=cond)
+    return df.select(*columns) if columns else df

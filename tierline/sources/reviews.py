@@ -15,6 +15,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierline.operators.watermark import observed
+from tierline.plans.publish import overwrite
 from tierline.schemas import CUSTOMER_REVIEWS, TableSpec
 from tierline.sources.bronze import read_bronze_parquet
 
@@ -33,10 +35,17 @@ def review_landing_path(root: str, day: dt.date) -> str:
 
 def write_review_landing(df: DataFrame, root: str, day: dt.date) -> str:
     path = review_landing_path(root, day)
-    df.write.mode("overwrite").parquet(path)
+    overwrite(df, path)
     return path
 
 
+def ingest_reviews(spark: SparkSession, feed: str, root: str, day: dt.date, spec: TableSpec = CUSTOMER_REVIEWS) -> tuple[str, int]:
+    """Land the dumped feed as the day's review file; its path and number of rows, counted during the write."""
+    df, stats = observed(read_review_feed(spark, feed, spec), None, name=f"reviews_{day.isoformat()}")
+    path = write_review_landing(df, root, day)
+    return path, int(stats.get["rows_loaded"])
+
+
 def read_review_landing(spark: SparkSession, root: str, day: dt.date | None = None,
                         spec: TableSpec = CUSTOMER_REVIEWS) -> DataFrame:
     """Bronze reviews: one day's file, or every dated file (the external-table wildcard)."""
