@@ -19,7 +19,7 @@ FAST = ["sales_summary", "customer_engagement", "product_performance", "supplier
         "silver_product_suppliers", "silver_products", "bronze_roundtrip_json", "bronze_roundtrip_iso",
         "bronze_roundtrip_parquet", "bronze_roundtrip_daily", "incremental_extract", "keyset_extract",
         "batch_stats",
-        "latest_watermark", "quarantine_report"]
+        "latest_watermark", "audit_roundtrip", "quarantine_report"]
 
 
 @pytest.fixture(scope="module")

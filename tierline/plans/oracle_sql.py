@@ -304,6 +304,19 @@ def latest_watermark_query(incremental: list[str], full: list[str], default: str
     return with_ctes(ctes, body)
 
 
+def audit_query(incremental: list[str], full: list[str], days: list) -> str:
+    ctes, rows = [], []
+    for t in incremental + full:
+        ctes += [(f"{t}_b1", batch_sql(t, 1)), (f"{t}_b2", batch_sql(t, 2))]
+        wm = f"CAST({REGISTRY[t].watermark_col} AS BIGINT)" if t in incremental else "CAST(NULL AS BIGINT)"
+        later = [f"WHERE {wm} IS NOT NULL", f"WHERE {wm} > (SELECT max({wm}) FROM {t}_b1)"] if t in incremental else ["", ""]
+        rows += [f"SELECT '{now:%Y%m%dT%H%M%SZ}' AS run_id, '{now:%Y-%m-%d}' AS load_date, '{t}' AS table_name, "
+                 f"'{'incremental' if t in incremental else 'full'}' AS load_type, count(*) AS rows_loaded, "
+                 f"strftime(make_timestamp(max({wm}) * 1000), '%Y-%m-%d %H:%M:%S') AS watermark FROM {t}_b{n} {later[n - 1]}"
+                 for n, now in enumerate(days, 1)]
+    return with_ctes(ctes, "\nUNION ALL\n".join(rows))
+
+
 def quarantine_report_query(tables: list[str]) -> str:
     ctes = []
     for t in tables:

@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from tierline.functions.predicates import DEFAULT_WATERMARK
 from tierline.functions.time import epoch_ms_text, parse_event_ts, ts_text
 from tierline.operators import gold
-from tierline.operators.audit import audit_from_stats
+from tierline.operators.audit import audit_from_stats, read_audit
 from tierline.operators.quality import quarantine_report
 from tierline.operators.watermark import batch_stats, latest_watermark
 from tierline.plans import oracle_sql as O
+from tierline.plans.pipeline import Layout, ingest
 from tierline.plans.retail import mart, silver_report, silver_table, silver_tables
 from tierline.schemas import REGISTRY
 from tierline.session import scratch_root
@@ -155,6 +156,18 @@ def latest_watermark_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_watermark(audit).withColumn("latest_watermark", ts_text(F.col("latest_watermark")))
 
 
+def audit_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IN2 / SRC3 / SNK1 / SNK5 / SRC11: two daily ingests of seven tables, the second from the audited marks; the audit rows, read back."""
+    layout = Layout(_scratch(spark, "audit"))
+    specs = [REGISTRY[t] for t in STATS_TABLES + FULL_TABLES]
+    for number, now in ((1, retail.AS_OF_1), (2, retail.AS_OF_2)):
+        tables = {s.name: lambda spark, t=s.name, n=number: retail.source(spark, sf_dir, t, n) for s in specs}
+        ingest(spark, {s.source: ParquetSource(tables) for s in specs}, specs, layout, now)
+    return read_audit(spark, layout.audit).select(
+        "run_id", F.col("load_date").cast("string").alias("load_date"), "table_name", "load_type", "rows_loaded",
+        ts_text(F.col("watermark")).alias("watermark"))
+
+
 def quarantine_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT9 over the four flagged silver tables."""
     return quarantine_report(silver_tables(spark, sf_dir, tables=QUARANTINE_TABLES))
@@ -169,6 +182,7 @@ QUERIES.update({
     "keyset_extract": keyset_extract,
     "batch_stats": batch_stats_query,
     "latest_watermark": latest_watermark_query,
+    "audit_roundtrip": audit_roundtrip,
     "quarantine_report": quarantine_report_query,
 })
 
@@ -191,6 +205,7 @@ def oracles() -> dict[str, str]:
     out["batch_stats"] = O.batch_stats_query(STATS_TABLES)
     out["latest_watermark"] = O.latest_watermark_query(
         STATS_TABLES, FULL_TABLES, DEFAULT_WATERMARK.strftime("%Y-%m-%d %H:%M:%S"))
+    out["audit_roundtrip"] = O.audit_query(STATS_TABLES, FULL_TABLES, [retail.AS_OF_1, retail.AS_OF_2])
     out["quarantine_report"] = O.quarantine_report_query(QUARANTINE_TABLES)
     return out
 
