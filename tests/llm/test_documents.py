@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 import corpus_pipeline
 from tests.conftest import SF001
 from tierline.llm import bpe, linking, mixing, near_dedup, quality_rules, sharding, substring_dedup, toxicity
-from tierline.llm.shared import WORD_RE, WordHasher
+from tierline.llm.shared import WORD_RE, lowered, word_hashes
 
 PATH = corpus_pipeline.public_tokenizers.path(corpus_pipeline.TOKENIZER)
 
@@ -217,9 +217,8 @@ def test_near_dedup_of_messy_rows(messy, empty):
 
 
 def test_sketch_fills_and_estimates():
-    hasher = WordHasher()
-    a = np.unique(hasher([f"w{i}" for i in range(1000)]))
-    b = np.unique(hasher([f"w{i}" for i in range(200, 1200)]))
+    a = np.unique(word_hashes(b" ".join(b"w%d" % i for i in range(1000)))[0])
+    b = np.unique(word_hashes(b" ".join(b"w%d" % i for i in range(200, 1200)))[0])
     for elements in (a[:1], a[:3], a[:200], a):
         assert (near_dedup.sketch(elements) != np.uint64((1 << 64) - 1)).all()
     same = (near_dedup.sketch(a) == near_dedup.sketch(b)).mean()
@@ -228,6 +227,18 @@ def test_sketch_fills_and_estimates():
     assert (near_dedup.sketch(a[:500]) >= near_dedup.sketch(a)).all()
 
 
+def test_word_hashes_tell_words_apart():
+    rng = random.Random(3)
+    long = "x" * 3_000_000
+    text = "".join(rng.choice("aZ \t\n\x0b\x0c\r\x1c\x85\xa0\u0130\u212a\x00") for _ in range(20_000)) + f" {long} y{long} {long}y\n" + "w " * 700_000
+    data = lowered(text)
+    found = WORD_RE.findall(text.translate({i: i + 32 for i in range(65, 91)}))
+    hashes, starts = word_hashes(data)
+    assert [data[s:s + len(w.encode())].decode() for s, w in zip(starts, found)] == found and len(starts) == len(found)
+    assert len(set(zip(found, hashes.tolist()))) == len(set(found)) == len(set(hashes.tolist()))
+    assert [len(x) for x in word_hashes(b"") + word_hashes(b" \n")] == [0] * 4
+
+
 def test_find_links_across_blocks_connects_as_brute_force():
     rng = random.Random(1)
     sets = [np.array(sorted(rng.sample(range(40), rng.randint(5, 12))), dtype=np.int64) for _ in range(60)]

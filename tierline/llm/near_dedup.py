@@ -26,7 +26,6 @@ empty result.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,26 +35,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.llm.linking import similar
-from tierline.llm.shared import SIMILAR_PCT, WORD, WordHasher, as_long, cut, mix64, seeds, settled, shingles
+from tierline.llm.shared import SIMILAR_PCT, as_long, cut, lowered, mix64, seeds, settled, shingles, word_hashes
 
 BANDS, ROWS = 32, 4
 COORDINATES = BANDS * ROWS
 _SEEDS = seeds(2 * COORDINATES, 1001)
 _BAND_SEEDS = seeds(ROWS, 5001)
 _VALUE = (1 << 48) - 1  # the upper 16 bits of a hash choose the bin, the lower 48 are the value
-_LOWER = {i: i + 32 for i in range(65, 91)}
-# The words of a text in which A to Z are lower case already.
-_WORDS = re.compile(WORD)
 
 
-def lower(text: str) -> str:
-    """A-Z in lower case, everything else as it is."""
-    return text.translate(_LOWER)
-
-
-def shingle_set(text: str | None, hasher: WordHasher) -> np.ndarray:
+def shingle_set(text: str | None) -> np.ndarray:
     """The sorted distinct shingle hashes of a text."""
-    return np.unique(shingles(hasher(_WORDS.findall(lower(text)) if text else [])))
+    return np.unique(shingles(word_hashes(lowered(text))[0]))
 
 
 def sketch(elements: np.ndarray, t: int = COORDINATES) -> np.ndarray:
@@ -92,11 +83,10 @@ def bands(coordinates: np.ndarray) -> np.ndarray:
 def _over(docs: DataFrame, id_col: str, text_col: str, make, out: str) -> DataFrame:
     """(id, what ``make`` returns for lists of texts); ids pass through Python as strings, which keeps nulls and large numbers."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = WordHasher()
         for pdf in batches:
             for k in range(0, len(pdf), 500):  # bounded output batches
                 part = pdf.iloc[k:k + 500]
-                yield pd.DataFrame({"id": part["id"].to_list()} | make([shingle_set(t, hasher) for t in part["text"]]))
+                yield pd.DataFrame({"id": part["id"].to_list()} | make([shingle_set(t) for t in part["text"]]))
     return (docs.select(docs[id_col].cast("string").alias("id"), docs[text_col].alias("text"))
             .mapInPandas(run, f"id string, {out}").withColumn("id", F.col("id").cast(docs.schema[id_col].dataType)))
 

@@ -8,7 +8,6 @@ import uuid
 from collections.abc import Callable
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,23 +102,45 @@ def seeds(n: int, start: int = 1) -> np.ndarray:
     return mix64(raw) | np.uint64(1)
 
 
-class WordHasher:
-    """64-bit hashes of words, with a bounded cache of those met lately."""
+def lowered(text: str | None) -> bytes:
+    """A text in UTF-8 with A-Z in lower case, everything else as it is; ``split()`` of it gives its words."""
+    return (text or "").encode("utf-8", "surrogatepass").lower()
 
-    def __init__(self, most: int = 200_000):
-        self.most, self.known = most, {}
 
-    def __call__(self, found: list[str]) -> np.ndarray:
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        out = []
-        for w in found:
-            h = known.get(w)
-            if h is None:
-                h = known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
-            out.append(h)
-        return np.array(out, dtype=np.uint64)
+_PIECE = 1 << 20  # bytes of a text that are hashed at a time, to bound memory
+_INSIDE = np.array([chr(b) not in SPACES for b in range(256)])
+
+
+def _place_seeds(place: np.ndarray) -> np.ndarray:
+    """A fixed odd 64-bit constant for each place in a word."""
+    return mix64((place.astype(np.uint64) + np.uint64(1)) * np.uint64(_GOLDEN)) | np.uint64(1)
+
+
+_PLACES = _place_seeds(np.arange(256))
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit hash of each word of a text in UTF-8, and the byte it starts at.
+
+    A hash is the mixed sum of the word's bytes (plus one), each times a constant of its place.
+    """
+    raw = np.frombuffer(data, dtype=np.uint8)
+    inside = np.zeros(len(raw) + 2, dtype=bool)
+    inside[1:-1] = _INSIDE[raw]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    sums = np.zeros(len(starts), dtype=np.uint64)
+    pieces = [*np.searchsorted(starts, np.arange(0, len(raw), _PIECE)), len(starts)]
+    for a, b in zip(pieces, pieces[1:]):
+        if a == b:
+            continue
+        sizes = ends[a:b] - starts[a:b]
+        first = np.cumsum(sizes) - sizes
+        place = np.arange(sizes.sum()) - np.repeat(first, sizes)
+        chars = raw[starts[a]:ends[b - 1]][inside[1 + starts[a]:1 + ends[b - 1]]]
+        times = _PLACES[place] if sizes.max() <= len(_PLACES) else _place_seeds(place)
+        sums[a:b] = np.add.reduceat((chars.astype(np.uint64) + np.uint64(1)) * times, first)
+    return mix64(sums), starts
 
 
 _SHINGLE_SEEDS = seeds(SHINGLE, 101)

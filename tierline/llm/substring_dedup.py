@@ -38,8 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline.llm.linking import similar
-from tierline.llm.near_dedup import lower
-from tierline.llm.shared import SHINGLE, SIMILAR_PCT, WORD_RE, WordHasher, as_long, cut, mix64, seeds, settled, shingles
+from tierline.llm.shared import SHINGLE, SIMILAR_PCT, WORD_RE, as_long, cut, lowered, mix64, seeds, settled, shingles, word_hashes
 
 MIN_WORDS = 50
 BANDS, ROWS = 16, 2
@@ -48,14 +47,24 @@ _BAND_SEEDS = seeds(ROWS, 2101)
 _STRETCH_SEEDS = seeds(2 * 256, 3001).reshape(2, 256)
 
 
+def window_min(x: np.ndarray, width: int) -> np.ndarray:
+    """The least of each ``width`` neighbours, by windows of doubling width."""
+    have = 1
+    while 2 * have <= width:
+        x, have = np.minimum(x[:-have], x[have:]), 2 * have
+    rest = width - have
+    return np.minimum(x[:len(x) - rest], x[rest:])
+
+
 class Paragraphs:
     """The paragraphs of a text."""
 
-    def __init__(self, text: str | None, hasher: WordHasher, min_words: int = MIN_WORDS):
+    def __init__(self, text: str | None, min_words: int = MIN_WORDS):
         self.min_words = min_words
-        by_line = [WORD_RE.findall(x) for x in lower(text or "").split("\n")]
-        self.ends = np.cumsum([len(x) for x in by_line])
-        self.hashes = hasher([w for x in by_line for w in x])
+        data = lowered(text)
+        self.hashes, starts = word_hashes(data)
+        breaks = np.flatnonzero(np.frombuffer(data, dtype=np.uint8) == ord("\n"))
+        self.ends = [*np.searchsorted(starts, breaks), len(starts)]
         self.shingles = shingles(self.hashes) if len(self.hashes) >= SHINGLE else self.hashes[:0]
 
     def _sums(self, at: np.ndarray, size: int) -> np.ndarray:
@@ -70,7 +79,7 @@ class Paragraphs:
         width = self.min_words - SHINGLE + 1
         if len(self.hashes) < self.min_words:
             return self.hashes[:0], self.hashes[:0], self.hashes[:0], np.zeros((0, 2), dtype=np.int64)
-        least = np.lib.stride_tricks.sliding_window_view(self.shingles, width).min(axis=1)
+        least = window_min(self.shingles, width)
         first = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1))
         last = np.concatenate((first[1:] - 1, [len(least) - 1]))
         data = self.hashes.tobytes()
@@ -105,19 +114,18 @@ def line_bands(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _run(docs: DataFrame, columns: list[Column], make, out: str, kind) -> DataFrame:
-    """``make(pdf, hasher)`` over small parts of batches; ids (``doc``) pass through Python as strings."""
+    """``make(pdf)`` over small parts of batches; ids (``doc``) pass through Python as strings."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = WordHasher()
         for pdf in batches:
             for k in range(0, len(pdf), 500):
-                yield make(pdf.iloc[k:k + 500], hasher)
+                yield make(pdf.iloc[k:k + 500])
     return docs.select(F.col("doc").cast("string").alias("doc"), *columns).mapInPandas(run, f"doc string, {out}").withColumn("doc", F.col("doc").cast(kind))
 
 
 def listed(docs: DataFrame, kind, min_words: int) -> DataFrame:
     """(doc, runs, lines) of (doc, text)."""
-    def make(pdf, hasher):
-        made = [Paragraphs(t, hasher, min_words) for t in pdf["text"]]
+    def make(pdf):
+        made = [Paragraphs(t, min_words) for t in pdf["text"]]
         runs = [p.runs() for p in made]
         lines = [p.lines() for p in made]
         sets = [x[3] for row in lines for x in row]
@@ -143,8 +151,8 @@ def _equal_stretches(rows: DataFrame, docs: DataFrame, kind, min_words: int) ->
     # a run of each kind, where there is more than one kind: stretch by stretch
     wanted = cut(named.where("doc = keeper and differ").groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("wanted")), "wanted")
 
-    def make(pdf, hasher):
-        found = [Paragraphs(t, hasher, min_words).stretches(w) for t, w in zip(pdf["text"], pdf["wanted"])]
+    def make(pdf):
+        found = [Paragraphs(t, min_words).stretches(w) for t, w in zip(pdf["text"], pdf["wanted"])]
         return pd.DataFrame({"doc": pdf["doc"].to_list(), "at": [f[0].astype(np.int32) for f in found], "h": [f[1] for f in found], "g": [f[2] for f in found]})
     found = _run(docs.join(wanted, "doc"), [F.col("text"), F.col("wanted")], make, "at array<int>, h array<long>, g array<long>", kind)
     stretches = cut(found.select("doc", F.inline(F.arrays_zip("at", "h", "g"))), "stretches")
@@ -163,11 +171,11 @@ def _similar_lines(rows: DataFrame, docs: DataFrame, kind, pct: int, min_words:
     def fetch(ids: DataFrame) -> DataFrame:
         asked = nodes.select("id", "doc").join(ids, "id").groupBy("doc").agg(F.collect_set("id").alias("wanted"))
 
-        def make(pdf, hasher):
+        def make(pdf):
             out = []
             for t, w in zip(pdf["text"], pdf["wanted"]):
                 w = set(w)
-                out += [(d, as_long(s)) for d, _, _, s in Paragraphs(t, hasher, min_words).lines() if d in w]
+                out += [(d, as_long(s)) for d, _, _, s in Paragraphs(t, min_words).lines() if d in w]
             return pd.DataFrame({"doc": [None] * len(out), "id": [x[0] for x in out], "elements": [x[1] for x in out]}, dtype=object)
         return (_run(docs.join(asked, "doc"), [F.col("text"), F.col("wanted")], make, "id string, elements array<long>", kind)
                 .select("id", "elements").distinct())
@@ -193,6 +201,8 @@ def _trim(text: str, spans) -> tuple[str, int, int]:
 
     A run of cut words goes from the start of its first word to the start of the next word that stays.
     """
+    if not len(spans):
+        return text, len(text.encode("utf-8", "surrogatepass").split()), 0
     found = [m.span() for m in WORD_RE.finditer(text)]
     gone = np.zeros(len(found) + 1, dtype=np.int64)
     for s in spans:
