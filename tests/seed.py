@@ -71,7 +71,7 @@ def bronze(spark):
         "products": mk("products", [(i, n, c, p, T0) for i, n, c, p in PRODUCTS]),
         "customers": mk("customers", [(i, n, e, T0) for i, n, e in CUSTOMERS]),
         "orders": mk("orders", [(i, c, T0, a, T0) for i, c, a in ORDERS]),
-        "order_items": mk("order_items", [(str(i), o, p, q, pr, T0) for i, o, p, q, pr in ORDER_ITEMS]),
+        "order_items": mk("order_items", [(i, o, p, q, pr, T0) for i, o, p, q, pr in ORDER_ITEMS]),
         "suppliers": mk("suppliers", [row + (T0,) for row in SUPPLIERS]),
         "product_suppliers": mk("product_suppliers", [(s, p, pr, T0) for s, p, pr in PRODUCT_SUPPLIERS]),
         "customer_reviews": mk("customer_reviews", []),

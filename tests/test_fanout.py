@@ -25,7 +25,7 @@ def silver_frames(spark, products, links, suppliers, lines, reviews):
         "product_suppliers": mk("product_suppliers", [(s, p, 1.0, "0", T0, T0, a) for s, p, a in links]),
         "suppliers": mk("suppliers", [(s, n, None, None, None, None, None, None, "0", q)
                                       for s, n, q in suppliers]),
-        "order_items": mk("order_items", [(f"i{i}", 1, p, q, pr, "0", T0, T0, True)
+        "order_items": mk("order_items", [(i, 1, p, q, pr, "0", T0, T0, True)
                                           for i, (p, q, pr) in enumerate(lines)]),
         "customer_reviews": mk("customer_reviews", [(f"r{i}", 1, p, r, t, "0", T0, T0, True)
                                                     for i, (p, r, t) in enumerate(reviews)]),

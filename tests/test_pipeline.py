@@ -64,7 +64,7 @@ def test_two_days_end_to_end(spark, workdir):
     orders = day1["orders"].unionByName(spark.createDataFrame(
         [(1011, 3, DAY2, 40.0, DAY2)], day1["orders"].schema))
     items = day1["order_items"].unionByName(spark.createDataFrame(
-        [("11", 1011, 104, 2, 20.0, DAY2)], day1["order_items"].schema))
+        [(11, 1011, 104, 2, 20.0, DAY2)], day1["order_items"].schema))
     links = day1["product_suppliers"].withColumn(
         "supply_price", F.when(F.col("supplier_id") == 8, F.lit(13.0)).otherwise(F.col("supply_price"))) \
         .withColumn("last_updated", F.when(F.col("supplier_id") == 8, ts2).otherwise(F.col("last_updated")))
@@ -183,6 +183,22 @@ def test_keyset_mark_survives_the_archive(spark, workdir):
     assert ingest(spark, _sources(url, None), [spec], layout, DAY2, keyset_id="order_id")[0].rows_loaded == 0
 
 
+def test_keyset_mark_keeps_microseconds_and_ties(spark, workdir):
+    at = dt.datetime(2025, 3, 1, 12, 0, 0, 123456)
+    layout, spec = Layout(workdir), REGISTRY["customers"]
+
+    def load(ids, now):
+        rows = spark.createDataFrame([(i, "a", "a@x", at) for i in ids],
+                                     "customer_id bigint, name string, email string, updated_at timestamp")
+        sources = {"retailer": ParquetSource({"customers": lambda spark: rows})}
+        return ingest(spark, sources, [spec], layout, now, keyset_id="customer_id")[0].rows_loaded
+    assert load([1, 2], DAY1) == 2
+    assert load([1, 2], DAY1 + dt.timedelta(hours=1)) == 0
+    assert load([1, 2, 3], DAY2) == 1           # a tie at the mark
+    assert load([1, 2, 3], DAY2 + dt.timedelta(hours=1)) == 0
+    assert [r["last_id"] for r in read_audit(spark, layout.audit).orderBy("run_id").collect()] == ["2", None, "3", None]
+
+
 @pytest.mark.parametrize("dialect", ["csv", "json"])
 def test_ingest_from_a_config_with_one_failing_table(spark, workdir, dialect):
     tables = {k: (lambda spark, df=df: df) for k, df in source(spark).items() if k in ("categories", "customers", "orders")}

@@ -1,4 +1,4 @@
-"""Scale helpers: narrow-scan spreading and data-sized shuffle partitions."""
+"""Scale helpers: plain scans at every size and data-sized shuffle partitions."""
 
 from pyspark.sql import functions as F
 
@@ -13,22 +13,11 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_narrow_scan_is_spread_and_filters_still_reach_the_scan(spark):
+def test_the_scan_is_the_table_and_filters_reach_it(spark):
     df = retail.read_table(spark, SF001, "lineitem").where(F.col("l_quantity") > 10).select("l_orderkey")
     plan = _plan(df)
-    assert "REPARTITION_BY_NUM" in plan
+    assert "Exchange" not in plan
     assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity" in plan
-    assert df.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-
-
-def test_wide_scan_is_left_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, numPartitions=cores)
-    assert retail.spread(wide, "id") is wide
-
-
-def test_small_tables_are_not_spread(spark):
-    assert "REPARTITION_BY_NUM" not in _plan(retail.read_table(spark, SF001, "part"))
 
 
 def test_shuffle_sizing_respects_explicit_setting(spark):

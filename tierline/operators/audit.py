@@ -2,7 +2,7 @@
 
 Rows are built with explicit schemas (an all-NULL column would defeat
 inference) and appended with ``mode("append")``; the audit schema is the
-seven-column one of the config-driven ingest.
+seven-column one of the config-driven ingest, and the last id of keyset extracts.
 """
 
 from __future__ import annotations
@@ -21,11 +21,11 @@ FAILED = "FAILED"
 
 def audit_row(spark: SparkSession, run_id: str, load_date: str | dt.date, table_name: str,
               load_type: str, rows_loaded: int, watermark_col_name: str | None,
-              watermark: dt.datetime | None) -> DataFrame:
+              watermark: dt.datetime | None, last_id: str | None = None) -> DataFrame:
     ld = load_date if isinstance(load_date, dt.date) else dt.date.fromisoformat(str(load_date))
     wm = to_utc(watermark) if watermark is not None else None
     return spark.createDataFrame(
-        [(run_id, ld, table_name, load_type, int(rows_loaded), watermark_col_name, wm)], AUDIT_SCHEMA)
+        [(run_id, ld, table_name, load_type, int(rows_loaded), watermark_col_name, wm, last_id)], AUDIT_SCHEMA)
 
 
 def audit_from_stats(stats: DataFrame, run_id: str, load_date: str | dt.date, load_type: str,
@@ -36,7 +36,7 @@ def audit_from_stats(stats: DataFrame, run_id: str, load_date: str | dt.date, lo
         F.col("table_name"), F.lit(load_type).alias("load_type"),
         F.col("rows_loaded").cast("bigint").alias("rows_loaded"),
         F.lit(watermark_col_name).cast("string").alias("watermark_col_name"),
-        F.col("max_watermark").cast("timestamp").alias("watermark"))
+        F.col("max_watermark").cast("timestamp").alias("watermark"), F.lit(None).cast("string").alias("last_id"))
 
 
 def status_row(spark: SparkSession, table_name: str, load_type: str, record_count: int,

@@ -7,7 +7,7 @@
 * ``latest_watermark``: ``COALESCE(MAX(watermark), 1900-01-01)`` over the
   audit rows of a table, as a one-row DataFrame; ``latest_watermark_value``
   fetches that single value for the next extract's predicate.
-* ``keyset_mark``: the last (watermark, id) pair, for tie-safe extracts.
+* ``last_id_value``: the audited id at the mark, for tie-safe extracts.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline.functions.predicates import DEFAULT_WATERMARK
 from tierline.functions.time import parse_event_ts
@@ -36,12 +37,18 @@ def batch_stats(df: DataFrame, watermark_col: str | None, table_name: str | None
 
 
 def observed(df: DataFrame, watermark_col: str | None, name: str = "batch",
-             text_watermark: bool = False) -> tuple[DataFrame, Observation]:
-    """Attach count/max-watermark metrics, filled in by the first action on the result."""
+             text_watermark: bool = False, id_col: str | None = None) -> tuple[DataFrame, Observation]:
+    """Attach count/max-watermark metrics, filled in by the first action on the result.
+
+    With ``id_col`` also ``last_id``: the greatest id (as text) at the greatest watermark.
+    """
     obs = Observation(name)
     wm = F.max(_wm(watermark_col, text_watermark)) if watermark_col else F.lit(None).cast("timestamp")
-    return df.observe(obs, F.count(F.lit(1)).alias("rows_loaded"),
-                      wm.cast("timestamp").alias("max_watermark")), obs
+    metrics = [F.count(F.lit(1)).alias("rows_loaded"), wm.cast("timestamp").alias("max_watermark")]
+    if watermark_col and id_col:
+        place = F.struct(_wm(watermark_col, text_watermark).alias("wm"), F.col(id_col).alias("id"))
+        metrics.append(F.max_by(F.col(id_col), place).cast("string").alias("last_id"))
+    return df.observe(obs, *metrics), obs
 
 
 def latest_watermark(audit: DataFrame, table_name: str | None = None,
@@ -66,7 +73,12 @@ def latest_watermark_value(audit: DataFrame | None, table_name: str,
     return value
 
 
-def keyset_mark(df: DataFrame, watermark_col: str, id_col: str) -> DataFrame:
-    """One row: the greatest (watermark, id) pair of a batch."""
-    top = F.max(F.struct(F.col(watermark_col).alias("wm"), F.col(id_col).alias("id")))
-    return df.agg(top.alias("m")).select(F.col("m.wm").alias("watermark"), F.col("m.id").alias("last_id"))
+def last_id_value(audit: DataFrame | None, table_name: str, mark: dt.datetime, id_type: T.DataType):
+    """The greatest audited id at the mark; without one (its extract kept no id), a value before every id."""
+    value = None
+    if audit is not None:
+        at_mark = audit.where((F.col("table_name") == F.lit(table_name)) & (F.col("watermark") == F.lit(mark)))
+        value = at_mark.agg(F.max(F.col("last_id").cast(id_type)).alias("last_id")).first()["last_id"]
+    if value is None:
+        value = "" if isinstance(id_type, T.StringType) else -1
+    return value

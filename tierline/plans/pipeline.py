@@ -23,14 +23,13 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from tierline.functions.time import run_metadata
 from tierline.operators import gold
 from tierline.operators.audit import FAILED, SUCCESS, append, audit_row, log_rows, read_audit, status_row
 from tierline.operators.refresh import full_refresh
 from tierline.operators.scd2 import empty_target, scd2_merge
-from tierline.operators.watermark import latest_watermark_value, observed
+from tierline.operators.watermark import last_id_value, latest_watermark_value, observed
 from tierline.plans.publish import SnapshotStore, create_if_absent, overwrite
 from tierline.schemas import INCREMENTAL, REGISTRY, SCD2, TableSpec
 from tierline.session import input_bytes, size_shuffle_partitions
@@ -102,38 +101,27 @@ def ingest_table(spark: SparkSession, source, spec: TableSpec, layout: Layout, n
     if watermark_source not in (DATA, LOAD_TIME):
         raise ValueError(f"unknown watermark source {watermark_source!r}")
     meta = run_metadata(now)
-    mark = None
+    mark = keyset = None
     if spec.load_type == INCREMENTAL:
-        mark = latest_watermark_value(read_audit(spark, layout.audit), spec.name)
-    keyset = None
-    if keyset_id and mark is not None:
-        keyset = (keyset_id, _last_id_at(spark, layout, spec, keyset_id, mark))
+        audit = read_audit(spark, layout.audit)
+        mark = latest_watermark_value(audit, spec.name)
+        if keyset_id:
+            keyset = (keyset_id, last_id_value(audit, spec.name, mark, spec.schema[keyset_id].dataType))
     df = extract(spark, source, spec.name, spec.load_type, spec.watermark_col, mark, keyset=keyset,
                  columns=None, partition_column=partition_column, num_partitions=num_partitions)
     df, obs = observed(df, spec.watermark_col if spec.load_type == INCREMENTAL else None,
-                       name=f"ingest_{spec.name}_{meta['run_id']}")
+                       name=f"ingest_{spec.name}_{meta['run_id']}",
+                       id_col=keyset_id if watermark_source == DATA else None)
     write_landing(df, layout.landing, spec.name, meta["run_id"], meta["load_date"], encoding,
                   fmt=spec.landing_format)
     stats = obs.get
     info = RunInfo(spec.name, meta["run_id"], spec.load_type, int(stats.get("rows_loaded") or 0),
                    now if watermark_source == LOAD_TIME and spec.load_type == INCREMENTAL else stats.get("max_watermark"))
     append(audit_row(spark, meta["run_id"], meta["load_date"], spec.name, spec.load_type,
-                     info.rows_loaded, spec.watermark_col, info.max_watermark), layout.audit)
+                     info.rows_loaded, spec.watermark_col, info.max_watermark, stats.get("last_id")), layout.audit)
     return info
 
 
-def _last_id_at(spark: SparkSession, layout: Layout, spec: TableSpec, id_col: str, mark) -> object:
-    """Greatest id landed with watermark == mark, in runs still in landing or archived (for the keyset predicate); one row."""
-    from pyspark.sql import functions as F
-
-    from tierline.functions.time import parse_event_ts
-    bronze = read_bronze_runs(spark, layout.landing, spec).unionByName(read_bronze_runs(spark, layout.archive, spec))
-    row = bronze.where(parse_event_ts(spec.watermark_col) == F.lit(mark)) \
-        .agg(F.max(id_col).alias("m")).first()
-    least = "" if isinstance(spec.schema[id_col].dataType, T.StringType) else -1
-    return row["m"] if row and row["m"] is not None else least
-
-
 def ingest(spark: SparkSession, sources: dict, specs: list[TableSpec], layout: Layout,
            now: dt.datetime, on_error: str = "raise", **kwargs) -> list[RunInfo]:
     """Ingest tables one after another; ``on_error="log"`` records a failure and goes on.

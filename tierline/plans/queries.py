@@ -21,7 +21,6 @@ from tierline.operators.watermark import batch_stats, latest_watermark
 from tierline.plans import oracle_sql as O
 from tierline.plans.pipeline import Layout, ingest
 from tierline.plans.retail import mart, silver_report, silver_table, silver_tables
-from tierline.schemas import REGISTRY
 from tierline.session import scratch_root
 from tierline.sources import retail
 from tierline.sources.bronze import read_bronze_daily, read_bronze_json
@@ -57,7 +56,7 @@ QUERIES = {
     "customer_reviews_summary": customer_reviews_summary,
 }
 # SV1-SV8
-for _table in REGISTRY:
+for _table in retail.SPECS:
     QUERIES[f"silver_{_table}"] = partial(_silver, _table)
 
 
@@ -74,15 +73,21 @@ def _scratch(spark: SparkSession, label: str) -> str:
     return scratch_root(spark, label)
 
 
-def bronze_roundtrip(spark: SparkSession, sf_dir: str, encoding: str) -> DataFrame:
-    """SNK1 + SRC8: land the orders extract as JSON lines, read it back as bronze."""
+# The instants of each table that lands as JSON lines.
+JSON_TABLES = {"orders": ("order_date", "updated_at"), "customers": ("updated_at",), "order_items": ("updated_at",),
+               "product_suppliers": ("last_updated",), "categories": ("updated_at",), "products": ("updated_at",),
+               "suppliers": ("created_at",)}
+
+
+def bronze_roundtrip(spark: SparkSession, sf_dir: str, encoding: str, table: str = "orders") -> DataFrame:
+    """SNK1 + SRC8: land a table's extract as JSON lines, read it back as bronze."""
     root = _scratch(spark, f"landing-{encoding}")
-    src = retail.source(spark, sf_dir, "orders", 2)
-    write_landing(src, root, "orders", "20020102T000000Z", "2002-01-02", encoding=encoding)
-    bronze = read_bronze_json(spark, f"{root}/orders", REGISTRY["orders"])
+    src = retail.source(spark, sf_dir, table, 2)
+    write_landing(src, root, table, "20020102T000000Z", "2002-01-02", encoding=encoding)
+    bronze = read_bronze_json(spark, f"{root}/{table}", retail.SPECS[table])
     if encoding == ISO:
         # ISO-8601 text -> the epoch-ms encoding, through the shared parser
-        for c in ("order_date", "updated_at"):
+        for c in JSON_TABLES[table]:
             bronze = bronze.withColumn(c, epoch_ms_text(parse_event_ts(c)))
     return bronze
 
@@ -101,7 +106,7 @@ def bronze_roundtrip_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_daily_landing(retail.source(spark, sf_dir, "orders", 1), landing, "orders", day1)
     archive_daily(spark, landing, archive, "orders", keep=day2)
     write_daily_landing(retail.source(spark, sf_dir, "orders", 2), landing, "orders", day2)
-    spec = REGISTRY["orders"]
+    spec = retail.SPECS["orders"]
     return read_bronze_daily(spark, landing, spec).unionByName(
         read_bronze_daily(spark, archived_daily_glob(archive, "orders"), spec))
 
@@ -132,7 +137,7 @@ def keyset_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def batch_stats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG8 / AGG10: row count and max watermark of each incremental extract, one pass each."""
-    parts = [batch_stats(retail.source(spark, sf_dir, t, 2), REGISTRY[t].watermark_col, t)
+    parts = [batch_stats(retail.source(spark, sf_dir, t, 2), retail.SPECS[t].watermark_col, t)
              for t in STATS_TABLES]
     out = reduce(DataFrame.unionByName, parts)
     return out.withColumn("max_watermark", ts_text(F.col("max_watermark")))
@@ -142,7 +147,7 @@ def latest_watermark_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG9 / SNK5 / SRC11: audit rows of two ingest runs -> latest mark per table."""
     rows = []
     for t in STATS_TABLES:
-        wm = REGISTRY[t].watermark_col
+        wm = retail.SPECS[t].watermark_col
         day1 = retail.source(spark, sf_dir, t, 1)
         mark1 = day1.select(F.max(wm)).scalar()          # uncorrelated scalar subquery
         day2 = retail.source(spark, sf_dir, t, 2).where(F.col(wm) > mark1)
@@ -159,7 +164,7 @@ def latest_watermark_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def audit_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IN2 / SRC3 / SNK1 / SNK5 / SRC11: two daily ingests of seven tables, the second from the audited marks; the audit rows, read back."""
     layout = Layout(_scratch(spark, "audit"))
-    specs = [REGISTRY[t] for t in STATS_TABLES + FULL_TABLES]
+    specs = [retail.SPECS[t] for t in STATS_TABLES + FULL_TABLES]
     for number, now in ((1, retail.AS_OF_1), (2, retail.AS_OF_2)):
         tables = {s.name: lambda spark, t=s.name, n=number: retail.source(spark, sf_dir, t, n) for s in specs}
         ingest(spark, {s.source: ParquetSource(tables) for s in specs}, specs, layout, now)
@@ -187,15 +192,21 @@ QUERIES.update({
 })
 
 
+# the other tables that land as JSON lines, in the default encoding
+ROUNDTRIPS = {f"bronze_roundtrip_{t}": t for t in JSON_TABLES if t != "orders"}
+QUERIES.update({name: partial(bronze_roundtrip, encoding=ISO, table=t) for name, t in ROUNDTRIPS.items()})
+
+
 def oracles() -> dict[str, str]:
     out = {name: O.gold_query(name) for name in
            ("sales_summary", "customer_engagement", "product_performance",
             "product_performance_naive", "supplier_analysis", "supplier_analysis_naive",
             "customer_reviews_summary")}
-    for table in REGISTRY:
+    for table in retail.SPECS:
         out[f"silver_{table}"] = O.silver_query(table)
     out["bronze_roundtrip_json"] = O.bronze_query("orders")
     out["bronze_roundtrip_iso"] = O.bronze_query("orders")
+    out.update({name: O.bronze_query(t) for name, t in ROUNDTRIPS.items()})
     out["bronze_roundtrip_parquet"] = O.bronze_query("customer_reviews")
     out["bronze_roundtrip_daily"] = O.daily_landing_query("orders", [(1, retail.AS_OF_1.date()),
                                                                      (2, retail.AS_OF_2.date())])

@@ -17,10 +17,10 @@ from tierline.operators import gold
 from tierline.operators.refresh import full_refresh
 from tierline.operators.scd2 import scd2_merge
 from tierline.plans.publish import SnapshotStore
-from tierline.schemas import EFFECTIVE_END, EFFECTIVE_START, REGISTRY, SCD2
+from tierline.schemas import EFFECTIVE_END, EFFECTIVE_START, SCD2
 from tierline.session import scratch_root
 from tierline.sources import retail
-from tierline.sources.retail import AS_OF_1, AS_OF_2, GOLD_AS_OF
+from tierline.sources.retail import AS_OF_1, AS_OF_2, GOLD_AS_OF, SPECS
 
 
 def publish_run(spark: SparkSession, sf_dir: str, store: SnapshotStore, table: str, number: int,
@@ -31,7 +31,7 @@ def publish_run(spark: SparkSession, sf_dir: str, store: SnapshotStore, table: s
     job (``SnapshotStore.publish_scd2``): its lineage is a single query from
     Parquet files, so no intermediate cut is written.
     """
-    spec = REGISTRY[table]
+    spec = SPECS[table]
     batch = retail.batch(spark, sf_dir, table, number)
     run_id = f"run{number}"
     if spec.silver_policy != SCD2:
@@ -46,7 +46,7 @@ def silver_table(spark: SparkSession, sf_dir: str, table: str, store: SnapshotSt
                  **kwargs) -> DataFrame:
     """Silver ``table`` after runs 1 and 2, each published as a daily pipeline does."""
     store = store or SnapshotStore(spark, scratch_root(spark, "silver"))
-    if REGISTRY[table].silver_policy == SCD2:
+    if SPECS[table].silver_policy == SCD2:
         publish_run(spark, sf_dir, store, table, 1, **kwargs)
     return publish_run(spark, sf_dir, store, table, 2, **kwargs)
 
@@ -54,7 +54,7 @@ def silver_table(spark: SparkSession, sf_dir: str, table: str, store: SnapshotSt
 def silver_tables(spark: SparkSession, sf_dir: str, tables=None) -> dict[str, DataFrame]:
     """All (or some) silver tables after run 2, published under one store."""
     store = SnapshotStore(spark, scratch_root(spark, "silver"))
-    return {name: silver_table(spark, sf_dir, name, store) for name in (tables or REGISTRY)}
+    return {name: silver_table(spark, sf_dir, name, store) for name in (tables or SPECS)}
 
 
 def silver_report(df: DataFrame) -> DataFrame:

@@ -87,9 +87,7 @@ ORDERS = TableSpec(
     silver_policy=SCD2, dedup=True, load_type=INCREMENTAL, watermark_col="updated_at")
 
 ORDER_ITEMS = TableSpec(
-    # order_item_id is a string here: the driver tables have no unique
-    # integer line key, so the adapter builds a composite text key.
-    "order_items", _schema("order_item_id string, order_id bigint, product_id bigint, "
+    "order_items", _schema("order_item_id bigint, order_id bigint, product_id bigint, "
                            "quantity bigint, price double, updated_at string"),
     keys=("order_item_id",), tracked=("order_id", "product_id", "quantity", "price", "updated_at"),
     silver_policy=SCD2, dedup=True, load_type=INCREMENTAL, watermark_col="updated_at")
@@ -130,9 +128,10 @@ REGISTRY: dict[str, TableSpec] = {s.name: s for s in (
 SCD2_TABLES = tuple(n for n, s in REGISTRY.items() if s.silver_policy == SCD2)
 FULL_REFRESH_TABLES = tuple(n for n, s in REGISTRY.items() if s.silver_policy == FULL_REFRESH)
 
-# Audit and log tables.
+# Audit and log tables. ``last_id`` (as text) is the greatest id extracted at the
+# watermark, the tie breaker of keyset extracts; other extracts leave it NULL.
 AUDIT_SCHEMA = _schema("run_id string, load_date date, table_name string, load_type string, "
-                       "rows_loaded bigint, watermark_col_name string, watermark timestamp")
+                       "rows_loaded bigint, watermark_col_name string, watermark timestamp, last_id string")
 AUDIT_V1_SCHEMA = _schema("tablename string, load_type string, record_count bigint, "
                           "load_timestamp timestamp, status string")
 LOG_SCHEMA = _schema("timestamp string, event_type string, message string, table string")

@@ -19,13 +19,14 @@ Parquet reader. Every batch-2 table covers its whole source table.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.functions.time import epoch_ms_text
-from tierline.schemas import REGISTRY
+from tierline.schemas import ORDER_ITEMS, REGISTRY
 
 # Fixed values of the fixture: the two run clocks, their epoch-ms texts,
 # the day-1 cutoffs and the change rules (modulus of altered / nulled keys).
@@ -47,35 +48,14 @@ NULL_REVIEW_TEXT_MOD = 11
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
-# Row key of the two large fact tables: hash-spreading a narrow scan on it
-# balances the rows (a key is unique or nearly so, never a hot value). Only
-# these feed wide per-row work (composite keys, casts, pair aggregates); for
-# the small tables the extra exchange costs more than it saves.
-SPREAD_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan that has fewer input splits than the cluster has cores.
-
-    A table stored as one or a few large row groups scans as a few tasks,
-    and everything Spark fuses into the scan stage (key building, casts,
-    the map side of a DISTINCT or an aggregate) runs in those tasks alone.
-    Such a scan is hash-repartitioned on the table's row key: balanced and
-    deterministic on retry (no sort, unlike round-robin). A large table has
-    at least one split per core and is returned unchanged, so at scale this
-    adds no shuffle; filters and column pruning still reach the Parquet scan
-    below the exchange.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, F.col(key))
+# The driver tables have no unique integer line key, so the adapter builds a
+# composite text key: its own spec of that table.
+SPECS = REGISTRY | {"order_items": replace(ORDER_ITEMS, schema=T.StructType(
+    [T.StructField("order_item_id", T.StringType()), *ORDER_ITEMS.schema.fields[1:]]))}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = SPREAD_KEYS.get(name)
-    return spread(df, key) if key else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _ntz(value: dt.datetime) -> Column:
@@ -98,7 +78,7 @@ def _ts(value: dt.datetime) -> Column:
 
 def to_bronze(df: DataFrame, table: str) -> DataFrame:
     """Source shape -> bronze shape: instants as epoch-ms text, registry types, by name."""
-    spec = REGISTRY[table]
+    spec = SPECS[table]
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     cols = []
     for f in spec.schema.fields:
