@@ -154,3 +154,20 @@ def test_alignment_of_parts_equals_alignment_of_all(spark):
     both = wrappers.align(left, right)
     assert both["p"] == one["p"] and both["n"] == one["n"]
     assert wrappers.rules(both) == wrappers.rules(one)
+
+
+def texts(*pages):
+    """The main text of each page of one host."""
+    made = [wrappers.fold(wrappers.read(p)) for p in pages]
+    whole = made[0]
+    for one in made[1:]:
+        whole = wrappers.align(whole, json.loads(json.dumps(one)))
+    tried = json.loads(json.dumps(wrappers.rules(whole)))
+    return [wrappers.extract(p, tried) for p in pages]
+
+
+def test_raw_elements_end_at_their_own_closing_tag():
+    for raw in ("<script>for(i=0;i<n;i++){f(i)}</script>", "<script>a='<!--';</SCRIPT >", "<title>a<b</title>", "<style>a<b{}</style>", "<textarea>a<b <!-- </textarea>",
+                "<script src=x />if(a<b)c='</p>'</script>", "<svg><svg><text>t</text></svg><text>u</text></svg>", "<svg/>", "<canvas>", "<svg><script>'</svg>'</script></svg>", "<!-->", "<i title=it's>"):
+        assert texts(f"{raw}<article><p>kept it's</p></article>") == ["kept it's"], raw
+        assert texts(f"<article><p>one</p>{raw}<p>two</p></article>") == ["one\ntwo"], raw

@@ -44,11 +44,16 @@ from tierline.llm.shared import cut, settled
 FAN_IN = 64  # partial wrappers aligned in one group, on average
 HOSTS = 512  # hosts whose wrappers a task holds before it puts them out
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.S)
+# Quotes of a tag count after "=" only.
+_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)>|<[!?][^>]*>|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|itemprop)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _NAME = re.compile(r"[a-z]+")
-# Elements whose content isn't markup.
-RAW = {"script", "style", "textarea", "title", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "xmp"}
+# Elements whose content isn't markup: it ends at their own closing tag, whatever stands before.
+RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp"}
+_CLOSING = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I) for tag in RAW}
+# Elements whose content is markup but no text of the page; they may hold each other and themselves.
+SKIPPED = {"template", "svg", "math", "object", "canvas"}
+_SKIPPED_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in SKIPPED}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q",
           "ruby", "rb", "rp", "rt", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
@@ -93,7 +98,8 @@ def read(page: str | None) -> list[tuple[str, bool, str, int]]:
     known: dict[tuple[str, str], tuple[str, bool]] = {}
     held: list[str] = []
     links = link_chars = 0
-    raw = ""
+    skipped, depth = "", 0
+    page = page or ""
 
     def flush():
         nonlocal link_chars
@@ -104,30 +110,38 @@ def read(page: str | None) -> list[tuple[str, bool, str, int]]:
             held.clear()
         link_chars = 0
 
-    for m in _TOKEN.finditer(page or ""):
+    tokens = _TOKEN.finditer(page)
+    while (m := next(tokens, None)) is not None:
         tag = m[2]
-        if raw:
-            if tag and m[1] and tag.lower() == raw:
-                raw = ""
-            continue
-        if tag is None:
+        if tag is None and not skipped:
             piece = m[0]
             if piece[0] != "<" or piece == "<":
                 held.append(piece)
                 if links:
                     link_chars += len(piece)
             continue
-        tag = tag.lower()
+        tag = tag.lower() if tag else ""
+        if tag in RAW:
+            if not m[1]:
+                flush()
+                end = _CLOSING[tag].search(page, m.end())
+                tokens = _TOKEN.finditer(page, end.end() if end else len(page))
+            continue
+        if skipped:
+            if tag == skipped and not (tag in ("svg", "math") and m[3].endswith("/")):
+                depth += -1 if m[1] else 1
+                skipped = skipped if depth else ""
+            continue
         if tag in INLINE:
             if tag == "a":
                 links = 0 if m[1] else 1
             elif tag == "br":
                 held.append(" ")
             continue
-        if tag in RAW:
-            if not m[1] and not m[3].rstrip().endswith("/"):
-                flush()
-                raw = tag
+        if tag in SKIPPED:  # one that is never closed holds nothing
+            flush()
+            if not m[1] and not (tag in ("svg", "math") and m[3].endswith("/")) and _SKIPPED_END[tag].search(page, m.end()):
+                skipped, depth = tag, 1
             continue
         flush()
         if m[1]:
