@@ -171,3 +171,17 @@ def test_raw_elements_end_at_their_own_closing_tag():
                 "<script src=x />if(a<b)c='</p>'</script>", "<svg><svg><text>t</text></svg><text>u</text></svg>", "<svg/>", "<canvas>", "<svg><script>'</svg>'</script></svg>", "<!-->", "<i title=it's>"):
         assert texts(f"{raw}<article><p>kept it's</p></article>") == ["kept it's"], raw
         assert texts(f"<article><p>one</p>{raw}<p>two</p></article>") == ["one\ntwo"], raw
+
+
+def test_words_in_attributes_drop_no_article_text():
+    for block in ('<p style="overflow:hidden">', '<p aria-hidden="false">', '<p title="the hidden cost">', '<h2 id="search-results">', '<section id="related-work">', '<section id="comments">',
+                  '<h2 id="social-impact">', '<div data-id="ad">', '<div data-role="banner">', '<section class="social-impact">', "<p data-x='class=\"ad\"'>", '<p class="has-sidebar">'):
+        tag = block[1:].split()[0]
+        assert texts(f"<article><p>one</p>{block}two</{tag}><p>three</p></article>") == ["one\ntwo\nthree"], block
+    for block in ("<p hidden>", '<p aria-hidden="true">', '<div class="related-posts">', '<div id="ad-300x250">', '<section class="comments">', "<div role=complementary>", "<aside id=x>"):
+        tag = block[1:].split()[0].rstrip(">")
+        assert texts(f"<article><p>one</p>{block}two</{tag}><p>three</p></article>") == ["one\nthree"], block
+    # the wrapper confirms a hint or not: a main block with such a word, a notice that is the text of its host
+    assert texts('<div class="content sidebar-left"><p>one</p><p>two</p></div>') == ["one\ntwo"]
+    assert texts(*[f'<h1>T</h1><div class="notice"><p>Text {k} of the host.</p></div>' for k in range(3)]) == [f"Text {k} of the host." for k in range(3)]
+    assert texts(*[f'<p>Text {k}.</p><div class="notice"><p>Note {k}.</p></div>' for k in range(3)]) == [f"Text {k}." for k in range(3)]

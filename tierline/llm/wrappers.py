@@ -46,7 +46,7 @@ HOSTS = 512  # hosts whose wrappers a task holds before it puts them out
 
 # Quotes of a tag count after "=" only.
 _TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)>|<[!?][^>]*>|[^<]+|<", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|itemprop)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NAME = re.compile(r"[a-z]+")
 # Elements whose content isn't markup: it ends at their own closing tag, whatever stands before.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp"}
@@ -67,35 +67,76 @@ OUTSIDE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising
                  "navigation", "menu", "breadcrumb", "breadcrumbs", "sidebar", "aside", "widget", "related", "recommended", "recommendations", "cookie", "cookies",
                  "consent", "gdpr", "notice", "notices", "notification", "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup",
                  "login", "share", "sharing", "social", "comment", "comments", "disqus", "respond", "replies", "reply", "footer", "header", "masthead", "toolbar",
-                 "pagination", "pager", "search", "contentinfo", "complementary", "dialog", "copyright", "disclaimer", "hidden"}
+                 "pagination", "pager", "search", "contentinfo", "complementary", "dialog", "copyright", "disclaimer"}
+# Words that may stand beside one of these in a name: "sidebar-left" is a sidebar, "social-impact" and "search-results" are not hints.
+BESIDE = {"area", "bar", "block", "bottom", "box", "button", "buttons", "column", "container", "form", "inner", "item", "items", "large", "left", "links", "list", "main", "outer",
+          "post", "posts", "primary", "right", "secondary", "section", "site", "slot", "small", "thread", "top", "unit", "wrap", "wrapper"}
 MAIN = ("article", "main")
 MAIN_WORDS = {"article", "articlebody", "story", "post", "entry", "content", "main", "body", "text"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 
-def _label(tag: str, attributes: str) -> tuple[str, bool]:
-    """The name of a block (tag and class words), and whether it lies outside a main text."""
-    names, outside = set(), tag in OUTSIDE
+def _attributes(text: str) -> dict[str, str]:
+    """The attributes of a tag by name; the first of a name counts."""
+    out: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(text):
+        out.setdefault(m[1].lower(), entities.unescape(m[2] or m[3] or m[4] or ""))
+    return out
+
+
+def _hints(value: str) -> bool:
+    """Whether a name of a class, role or id says that a block lies outside a main text."""
+    for name in value.lower().split():
+        parts = [p for p in _NAME.findall(name) if len(p) > 1]
+        if any(p in OUTSIDE_WORDS for p in parts) and all(p in OUTSIDE_WORDS or p in BESIDE for p in parts):
+            return True
+    return False
+
+
+def _label(tag: str, attributes: str, within: bool) -> tuple[str, int]:
+    """The name of a block (tag and class words), and whether it lies outside a main text: 1 says its tag or that it is hidden, -1 hint its names.
+
+    An id counts only with what it says: a main block, or a hint; not on headings, nor on sections ``within`` a main block.
+    """
+    names, outside = set(), int(tag in OUTSIDE)
     if attributes and not attributes.isspace():
-        for m in _ATTRIBUTE.finditer(attributes):
-            kind, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-            if kind == "hidden":
-                names.add("hidden")
-            for name in value.split():
-                parts = _NAME.findall(name)
-                if parts and parts[0] in ("has", "with", "no", "without"):
-                    continue
-                names.update(p for p in parts if len(p) < 24)
-        if tag not in ("html", "body", *MAIN) or (tag == "article" and names & {"comment", "comments", "reply"}):
-            outside = outside or bool(names & OUTSIDE_WORDS)
+        have = _attributes(attributes)
+        if "hidden" in have or have.get("aria-hidden", "").strip().lower() == "true":
+            names.add("hidden")
+            outside = 1
+        said = [have[a] for a in ("class", "role", "itemprop") if a in have]
+        for name in " ".join(said).lower().split():
+            parts = _NAME.findall(name)
+            if parts and parts[0] in ("has", "with", "no", "without"):
+                continue
+            names.update(p for p in parts if len(p) < 24)
+        called = have.get("id", "").lower()
+        if called and tag not in HEADINGS and not (within and tag == "section"):
+            parts = set(_NAME.findall(called))
+            if _hints(called) or parts and parts <= MAIN_WORDS:
+                names |= parts
+                said.append(called)
+        if not outside and tag not in ("html", "body", *MAIN) or (tag == "article" and names & {"comment", "comments", "reply"}):
+            outside = outside or (-1 if any(map(_hints, said)) else 0)
     return (tag + "".join("." + n for n in sorted(names)) if names else tag), outside
 
 
-def read(page: str | None) -> list[tuple[str, bool, str, int]]:
-    """The blocks of a page in order: (path, outside, text, characters in links)."""
-    out: list[tuple[str, bool, str, int]] = []
-    stack: list[tuple[str, str, bool]] = [("", "", False)]  # tag, path, outside
-    known: dict[tuple[str, str], tuple[str, bool]] = {}
+def _main(label: str) -> int | None:
+    """The kind of a block that may be a main one: 0 article, 1 main, 2 named so."""
+    tag, *names = label.split(".")
+    if tag in MAIN:
+        return MAIN.index(tag)
+    return 2 if tag in ("div", "section", "td") and set(names) & MAIN_WORDS else None
+
+
+def read(page: str | None) -> list[tuple[str, int, str, int]]:
+    """The blocks of a page in order: (path, outside, text, characters in links).
+
+    ``outside`` is 0 inside, -1 outside, or how much of the path names the outermost block that only its names put outside: the wrapper decides on it.
+    """
+    out: list[tuple[str, int, str, int]] = []
+    stack: list[tuple[str, str, int, bool]] = [("", "", 0, False)]  # tag, path, outside, within a main block
+    known: dict[tuple[str, str, bool], tuple[str, int]] = {}
     held: list[str] = []
     links = link_chars = 0
     skipped, depth = "", 0
@@ -161,14 +202,16 @@ def read(page: str | None) -> list[tuple[str, bool, str, int]]:
                 del stack[k:]
             elif stack[k][0] in SCOPE:
                 break
-        key = (tag, m[3])
+        _, path, above, within = stack[-1]
+        key = (tag, m[3], within)
         if key not in known:
-            known[key] = _label(tag, m[3])
-        label, outside = known[key]
-        path = stack[-1][1]
-        if tag == "header" and "article" in path:
-            outside = False  # its headings are the article's; see rules()
-        stack.append((tag, f"{path}>{label}", stack[-1][2] or outside))
+            known[key] = _label(tag, m[3], within)
+        label, own = known[key]
+        if tag == "header" and within and "hidden" not in label:
+            own = 0  # its headings are the article's; see rules()
+        path = f"{path}>{label}"
+        outside = -1 if above == -1 or own == 1 else above or (len(path) if own else 0)
+        stack.append((tag, path, outside, within or _main(label) is not None))
     flush()
     return out
 
@@ -178,7 +221,7 @@ def read(page: str | None) -> list[tuple[str, bool, str, int]]:
 # "s": the order of the children of each path, a list of groups; a group of several members is repeated.
 
 
-def fold(blocks: list[tuple[str, bool, str, int]]) -> dict:
+def fold(blocks: list[tuple[str, int, str, int]]) -> dict:
     """The wrapper of one page: repeats are folded, a repeated text is a slot."""
     slots: dict[str, list] = {}
     order: dict[str, list[list[str]]] = {}
@@ -231,7 +274,7 @@ def align(a: dict, b: dict) -> dict:
     """Two wrappers of a host as one."""
     for path, y in b["p"].items():
         x = a["p"].get(path)
-        a["p"][path] = y if x is None else [x[0] + y[0], max(x[1], y[1]), x[2] if x[2] == y[2] else None, x[3] + y[3], x[4] + y[4], x[5] or y[5]]
+        a["p"][path] = y if x is None else [x[0] + y[0], max(x[1], y[1]), x[2] if x[2] == y[2] else None, x[3] + y[3], x[4] + y[4], x[5]]
     for path, groups in b["s"].items():
         mine = a["s"].get(path)
         if mine != groups:
@@ -273,20 +316,50 @@ def _regions(wrapper: dict) -> list[str]:
     every = {path[:i] for path in wrapper["p"] for i in [*[m.start() for m in re.finditer(">", path)][1:], len(path)]}
     kinds: list[list[str]] = [[], [], []]
     for path in sorted(every):
-        tag, *names = path.rpartition(">")[2].split(".")
-        if tag in MAIN:
-            kinds[MAIN.index(tag)].append(path)
-        elif tag in ("div", "section", "td") and set(names) & MAIN_WORDS:
-            kinds[2].append(path)
+        kind = _main(path.rpartition(">")[2])
+        if kind is not None:
+            kinds[kind].append(path)
     return [path for kind in kinds for path in kind]
 
 
+def _below(paths, block: str) -> list[str]:
+    return [p for p in paths if p == block or p.startswith(block + ">")]
+
+
+def _inside(wrapper: dict) -> dict[str, list]:
+    """The slots that lie inside: a name that hints at the outside counts where the wrapper confirms it.
+
+    It does if the block holds template or links only, or if most pages that have it hold running text besides,
+    in the same main block if it lies in one. A block that is itself named a main one must also hold less than that.
+    """
+    slots = {path: s for path, s in wrapper["p"].items() if s[5] != -1}
+    plain = [p for p, s in slots.items() if s[5] == 0]
+
+    def running(p):
+        return slots[p][3] >= 2 * slots[p][4] and p.rpartition(">")[2].split(".")[0] not in HEADINGS
+
+    out = {p: slots[p] for p in plain}
+    for block in sorted({path[:s[5]] for path, s in slots.items() if s[5]}):
+        held = _below((p for p, s in slots.items() if s[5] == len(block)), block)
+        at = [i for i, c in enumerate(block) if c == ">"] + [len(block)]
+        scope = next((block[:b] for a, b in zip(at, at[1:-1]) if _main(block[a + 1:b]) is not None), None)
+        rest = [p for p in (plain if scope is None else _below(plain, scope)) if running(p)]
+        own = [p for p in held if running(p) and not (slots[p][2] is not None and slots[p][0] > 1)]
+        besides = max((slots[p][0] for p in rest), default=0) * 2 >= max((slots[p][0] for p in own), default=0)
+        more = sum(slots[p][3] for p in rest) > sum(slots[p][3] for p in own)
+        if own and not (besides and (more or _main(block.rpartition(">")[2]) is None)):
+            out |= {p: slots[p] for p in held}
+        elif scope and "header" in block.rpartition(">")[2].split("."):  # its headings are the article's
+            out |= {p: slots[p] for p in held if p.rpartition(">")[2].split(".")[0] in HEADINGS}
+    return out
+
+
 def rules(wrapper: dict) -> list[list[str]]:
     """The slots of the main text: lists of paths, to be tried in order on a page."""
-    inside = {path: s for path, s in wrapper["p"].items() if not s[5]}
+    inside = _inside(wrapper)
     out = []
     for region in _regions(wrapper):
-        own = sorted(p for p in inside if p == region or p.startswith(region + ">"))
+        own = sorted(_below(inside, region))
         own = [p for p in own if ">header" not in p[len(region):] or p.rpartition(">")[2].split(".")[0] in HEADINGS]
         if own:
             out.append(own)
@@ -298,7 +371,7 @@ def rules(wrapper: dict) -> list[list[str]]:
 
 def extract(page: str | None, tried: list[list[str]]) -> str:
     """The main text of a page by the rules of its host."""
-    blocks = [(path, text) for path, outside, text, _ in read(page) if not outside]
+    blocks = [(path, text) for path, outside, text, _ in read(page) if outside != -1]
     for paths in tried:
         allowed = set(paths)
         found = [text for path, text in blocks if path in allowed]
