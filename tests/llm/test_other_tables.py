@@ -185,3 +185,16 @@ def test_words_in_attributes_drop_no_article_text():
     assert texts('<div class="content sidebar-left"><p>one</p><p>two</p></div>') == ["one\ntwo"]
     assert texts(*[f'<h1>T</h1><div class="notice"><p>Text {k} of the host.</p></div>' for k in range(3)]) == [f"Text {k} of the host." for k in range(3)]
     assert texts(*[f'<p>Text {k}.</p><div class="notice"><p>Note {k}.</p></div>' for k in range(3)]) == [f"Text {k}." for k in range(3)]
+
+
+def test_all_blocks_of_the_main_region_are_joined():
+    assert texts('<article class="featured"><p>teaser</p></article><article class="post"><p>whole story</p></article>') == ["teaser\nwhole story"]
+    assert texts("<main><p>before</p><article><p>story</p></article></main>") == ["before\nstory"]
+    assert texts("<article><p>story</p></article><div class=content><p>more</p></div>") == ["story\nmore"]
+    assert texts("<aside><article class=a><p>teaser</p></article></aside><article class=b><p>story</p></article><footer><article><p>old</p></article></footer>") == ["story"]
+    assert texts("<nav><ul><li>open<article><p>story</p></article>", "<form><article><p>story</p></article></form>") == ["story", "story"]
+    assert texts("<div class=related><div><article class=a><p>one</p></article></div></div><div class=z><article><p>the story itself</p></article></div>") == ["the story itself"]
+    # what stands beside an article in its main block counts if it varies on the host
+    assert texts(*[f"<main><p>Part {k}</p><div>Same</div><article><h2>Same</h2><p>Story {k}</p></article></main>" for k in range(2)]) == [f"Part {k}\nSame\nStory {k}" for k in range(2)]
+    # the region of most text, not the first by name
+    assert texts(*["<div class=a><article><p>short</p></article></div><div class=b><article><p>a story much longer than that</p></article></div>"] * 2) == ["a story much longer than that"] * 2

@@ -72,6 +72,8 @@ OUTSIDE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising
 BESIDE = {"area", "bar", "block", "bottom", "box", "button", "buttons", "column", "container", "form", "inner", "item", "items", "large", "left", "links", "list", "main", "outer",
           "post", "posts", "primary", "right", "secondary", "section", "site", "slot", "small", "thread", "top", "unit", "wrap", "wrapper"}
 MAIN = ("article", "main")
+# Blocks that keep their articles outside, unless they were left open before them.
+APART = OUTSIDE - {"form", "fieldset", "label", "input", "head", "button"}
 MAIN_WORDS = {"article", "articlebody", "story", "post", "entry", "content", "main", "body", "text"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
@@ -135,12 +137,13 @@ def read(page: str | None) -> list[tuple[str, int, str, int]]:
     ``outside`` is 0 inside, -1 outside, or how much of the path names the outermost block that only its names put outside: the wrapper decides on it.
     """
     out: list[tuple[str, int, str, int]] = []
-    stack: list[tuple[str, str, int, bool]] = [("", "", 0, False)]  # tag, path, outside, within a main block
+    stack: list[tuple[str, str, int, bool, int]] = [("", "", 0, False, 0)]  # tag, path, outside, within a main block, outside by itself
     known: dict[tuple[str, str, bool], tuple[str, int]] = {}
     held: list[str] = []
     links = link_chars = 0
     skipped, depth = "", 0
     page = page or ""
+    closed: dict[int, bool] = {}  # by depth of an open block: whether the rest of the page closes it
 
     def flush():
         nonlocal link_chars
@@ -151,6 +154,16 @@ def read(page: str | None) -> list[tuple[str, int, str, int]]:
             held.clear()
         link_chars = 0
 
+    def apart(k: int, at: int) -> bool:
+        """Whether an open block that lies outside takes an article that starts at ``at`` with it."""
+        tag = stack[k][0]
+        if tag in OUTSIDE and tag not in APART:
+            return False
+        if k not in closed:
+            ends, starts = (sum(1 for _ in re.finditer(rf"<{e}{tag}(?=[\s/>])", page[at:], re.I)) for e in ("/", ""))
+            closed[k] = ends > starts + sum(block[0] == tag for block in stack[k + 1:])
+        return closed[k]
+
     tokens = _TOKEN.finditer(page)
     while (m := next(tokens, None)) is not None:
         tag = m[2]
@@ -193,16 +206,17 @@ def read(page: str | None) -> list[tuple[str, int, str, int]]:
             continue
         if tag in VOID:
             continue
-        if tag in MAIN:  # an article starts outside what was left open before it
-            while len(stack) > 1 and stack[-1][2]:
-                stack.pop()
+        if tag in MAIN and stack[-1][2]:  # an article starts outside what was left open before it, and outside forms
+            first = next(k for k, block in enumerate(stack) if block[2])
+            if not any(apart(k, m.start()) for k in range(first, len(stack)) if stack[k][4]):
+                del stack[first:]
         closes = ENDS.get(tag, {"p"}) | (HEADINGS if tag in HEADINGS else set())
         for k in range(len(stack) - 1, 0, -1):
             if stack[k][0] in closes:
                 del stack[k:]
             elif stack[k][0] in SCOPE:
                 break
-        _, path, above, within = stack[-1]
+        _, path, above, within, _ = stack[-1]
         key = (tag, m[3], within)
         if key not in known:
             known[key] = _label(tag, m[3], within)
@@ -211,7 +225,8 @@ def read(page: str | None) -> list[tuple[str, int, str, int]]:
             own = 0  # its headings are the article's; see rules()
         path = f"{path}>{label}"
         outside = -1 if above == -1 or own == 1 else above or (len(path) if own else 0)
-        stack.append((tag, path, outside, within or _main(label) is not None))
+        closed.pop(len(stack), None)
+        stack.append((tag, path, outside, within or _main(label) is not None, own))
     flush()
     return out
 
@@ -311,15 +326,18 @@ def expression(wrapper: dict) -> str:
     return write("")
 
 
-def _regions(wrapper: dict) -> list[str]:
-    """Paths of main blocks, the best kind first."""
+def _regions(wrapper: dict) -> list[dict[str, int]]:
+    """The main blocks (path: 0 for one that holds others of a better kind, else 1) by the block they stand in."""
     every = {path[:i] for path in wrapper["p"] for i in [*[m.start() for m in re.finditer(">", path)][1:], len(path)]}
-    kinds: list[list[str]] = [[], [], []]
-    for path in sorted(every):
-        kind = _main(path.rpartition(">")[2])
-        if kind is not None:
-            kinds[kind].append(path)
-    return [path for kind in kinds for path in kind]
+    kinds = {path: kind for path in every if (kind := _main(path.rpartition(">")[2])) is not None}
+    wide = {path for path, kind in kinds.items() if any(kinds[p] < kind for p in _below(kinds, path))}
+    out: dict[str, dict[str, int]] = {}
+    for path in sorted(kinds):
+        above = [path[:m.start()] for m in re.finditer(">", path)]
+        if path in wide or all(p not in kinds or p in wide for p in above):
+            top = next((p for p in above if p in kinds), path)  # the outermost main block it lies in
+            out.setdefault(top.rpartition(">")[0], {})[path] = int(path not in wide)
+    return list(out.values())
 
 
 def _below(paths, block: str) -> list[str]:
@@ -355,18 +373,25 @@ def _inside(wrapper: dict) -> dict[str, list]:
 
 
 def rules(wrapper: dict) -> list[list[str]]:
-    """The slots of the main text: lists of paths, to be tried in order on a page."""
+    """The slots of the main text: lists of paths, to be tried in order on a page.
+
+    A region is all main blocks side by side. Regions are tried by the running text of their slots
+    that vary on the host. Of a block that holds others of a better kind, besides those, only such slots are taken.
+    """
     inside = _inside(wrapper)
+    # running text: mostly not links, and not the same on all pages (a host of one text has no template)
+    varied = any(s[2] is None for s in inside.values()) and wrapper["n"] > 1
+    running = {p: s[3] - s[4] for p, s in inside.items() if 2 * s[4] <= s[3] and not (varied and s[2] is not None and s[0] > 1)}
     out = []
-    for region in _regions(wrapper):
-        own = sorted(_below(inside, region))
-        own = [p for p in own if ">header" not in p[len(region):] or p.rpartition(">")[2].split(".")[0] in HEADINGS]
+    for blocks in _regions(wrapper):
+        own = set()
+        for region, whole in blocks.items():
+            held = _below(inside if whole else running, region)
+            own.update(p for p in held if ">header" not in p[len(region):] or p.rpartition(">")[2].split(".")[0] in HEADINGS)
         if own:
-            out.append(own)
-    # running text anywhere: mostly not links, and not the same on all pages (a host of one text has no template)
-    varied = any(s[2] is None for s in inside.values()) and wrapper["n"] > 1
-    rest = sorted(p for p, s in inside.items() if 2 * s[4] <= s[3] and not (varied and s[2] is not None and s[0] > 1))
-    return [*out, rest] if rest else out
+            out.append((-sum(running.get(p, 0) for p in own), sorted(own)))
+    rest = sorted(running)
+    return [*[own for _, own in sorted(out)], *([rest] if rest else [])]
 
 
 def extract(page: str | None, tried: list[list[str]]) -> str:
