@@ -198,3 +198,14 @@ def test_all_blocks_of_the_main_region_are_joined():
     assert texts(*[f"<main><p>Part {k}</p><div>Same</div><article><h2>Same</h2><p>Story {k}</p></article></main>" for k in range(2)]) == [f"Part {k}\nSame\nStory {k}" for k in range(2)]
     # the region of most text, not the first by name
     assert texts(*["<div class=a><article><p>short</p></article></div><div class=b><article><p>a story much longer than that</p></article></div>"] * 2) == ["a story much longer than that"] * 2
+
+
+def test_what_varies_on_the_host_decides_not_the_tag():
+    story = "<article><p>Teaser {0}</p></article><div class=z><p>The story number {0}, longer than its teaser.</p><h2>About {0}</h2></div><div><p>Same on all pages, and long enough to win by its length alone</p></div>"
+    assert texts(*[story.format(k) for k in range(3)]) == [f"Teaser {k}\nThe story number {k}, longer than its teaser.\nAbout {k}" for k in range(3)]
+    # the same page alone, or a host where the unnamed text is template: names decide
+    assert texts(story.format(1)) == ["Teaser 1"]
+    same = "<article><p>Story {}</p></article><div class=z><p>A long text that is the same on all pages of this host.</p></div>"
+    assert texts(*[same.format(k) for k in range(3)]) == [f"Story {k}" for k in range(3)]
+    # optional and repeated blocks of other pages are slots of each page
+    assert texts("<div><p>a 1</p><p>b 1</p></div>", "<div><h2>t</h2><p>a 2</p></div>", "<div><p>a 3</p><h2>u</h2><p>c 3</p></div>") == ["a 1\nb 1", "t\na 2", "a 3\nu\nc 3"]

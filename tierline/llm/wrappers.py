@@ -15,11 +15,21 @@ each task aligns what it reads by host, and partial wrappers are aligned in
 salted rounds of bounded size until a host has one. A wrapper grows with the
 template, not with the pages.
 
-A wrapper decides once per host which of its slots are the main text: those
-below the article (``article``, ``main``, or a block named so), without menus,
-headers, footers, sidebars, notices, adverts, forms, comments. Where a host
-has no such block, those of its slots that hold running text, not links or
-template. The rules of a host are a short list of paths; pages of all hosts
+A label stands once in the sequence of its parent (what comes again is folded, what
+crosses becomes a group), so a page is matched against the expression of its host by path: a text
+belongs to the slot of its path, in optional and repeated blocks too.
+
+A wrapper decides once per host which of its slots are the main text. Those that
+vary on the host and hold running text, not links, carry the decision:
+
+* tags and attributes that say so (menus, footers, asides, forms, hidden blocks) are outside; class words, roles and ids
+  that hint at it (adverts, comments, notices) count where the wrapper confirms them, see ``_inside``;
+* main blocks (``article``, ``main``, or a block named so) that stand side by side are a region; of several
+  regions the one whose slots hold the most such text is the main text, template texts and links inside it too;
+* where unnamed slots hold more such text than that region, they are main text with it. So are they on a host without main blocks.
+
+On a host of one page nothing varies against another page, so all slots count as varying and names decide.
+The rules of a host are a short list of paths; pages of all hosts
 are then read again and the texts of their slots are put out.
 
 Defined results: a null or empty page has an empty text; a null url (or one
@@ -377,6 +387,7 @@ def rules(wrapper: dict) -> list[list[str]]:
 
     A region is all main blocks side by side. Regions are tried by the running text of their slots
     that vary on the host. Of a block that holds others of a better kind, besides those, only such slots are taken.
+    Where more of that text stands in no region than in the best one, all such slots and the best region come first.
     """
     inside = _inside(wrapper)
     # running text: mostly not links, and not the same on all pages (a host of one text has no template)
@@ -390,8 +401,12 @@ def rules(wrapper: dict) -> list[list[str]]:
             own.update(p for p in held if ">header" not in p[len(region):] or p.rpartition(">")[2].split(".")[0] in HEADINGS)
         if own:
             out.append((-sum(running.get(p, 0) for p in own), sorted(own)))
+    out.sort()
     rest = sorted(running)
-    return [*[own for _, own in sorted(out)], *([rest] if rest else [])]
+    named = {p for _, own in out for p in own}
+    if out and varied and sum(n for p, n in running.items() if p not in named) > -out[0][0]:
+        out.insert(0, (0, sorted({*out[0][1], *(p for p in running if p not in named)})))
+    return [*[own for _, own in out], *([rest] if rest else [])]
 
 
 def extract(page: str | None, tried: list[list[str]]) -> str:
