@@ -298,6 +298,39 @@ def test_all_stretches_that_come_again_are_cut(spark):
         assert words(r.text) == [x for k, x in enumerate(w) if k not in want[r.doc_id]]
 
 
+def test_stretches_alike_are_cut_wherever_they_stand(spark):
+    """Against all pairs of 50-word stretches at 0.75 that begin and end alike; passages are wrapped, embedded and edited."""
+    rng = random.Random(21)
+    passages = [prose(n, 700 + n) for n in (55, 60, 64, 90, 130)]
+    rows = []
+    for i in range(24):
+        w = passages[i % 5].split()
+        for k in range(len(w) // 70 + 1 if i >= 5 else 0):
+            at = min(30 + 55 * k + rng.randrange(3), len(w) - 12)
+            w[at:at + rng.choice([0, 1, 1, 1])] = ["edit%d" % rng.randrange(10 ** 6)]
+        if i % 3 == 1:
+            w = [x + "\n" * (k % 9 == 8) for k, x in enumerate(w)]  # wrapped over short lines
+        rows.append((i, " ".join([prose(rng.randint(3, 40), 9000 + i), *w, prose(rng.randint(0, 30), 9500 + i)])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    grams = {i: [tuple(w[k:k + 5]) for k in range(len(w) - 4)] for i, t in rows for w in [words(t)]}
+    want = {i: set() for i, _ in rows}
+    for i, g in grams.items():
+        for j in range(i):
+            h = grams[j]
+            for k in range(len(g) - 45):
+                one = g[k:k + 46]
+                mine = set(one)
+                for m in [m for m in range(len(h) - 45) if one[0] in h[m:m + 3]]:
+                    common = len(mine & set(h[m:m + 46]))
+                    if 100 * common >= 75 * (92 - common) and one[-1] in h[m + 43:m + 49]:
+                        want[i] |= set(range(k, k + 50))
+    got = {r.doc_id: r for r in substring_dedup.trimmed(docs).collect()}
+    assert sum(map(len, want.values())) > 1000 and all(want[i] for i in range(5, 24))
+    for i, t in rows:
+        w = words(t)
+        assert words(got[i].text) == [x for k, x in enumerate(w) if k not in want[i]], i
+
+
 # --- toxicity --------------------------------------------------------------------------
 
 def test_chain_on_held_out_documents(spark):

@@ -1,6 +1,6 @@
 """Substring dedup: repeated paragraphs are found by MinHash bands, verified, clustered, and cut out of all documents but the first.
 
-Two kinds of paragraphs (words compare with A-Z in lower case; ``MIN_WORDS`` words at least):
+Three kinds of paragraphs (words compare with A-Z in lower case; ``MIN_WORDS`` words at least):
 
 * Every stretch of ``MIN_WORDS`` words, wherever it starts: a passage may stand
   in the middle of a line. Its band is one MinHash value, the least hash of its five-word
@@ -13,12 +13,19 @@ Two kinds of paragraphs (words compare with A-Z in lower case; ``MIN_WORDS`` wor
   bands of ``ROWS`` values (two lines of similarity 0.75 miss each other with a chance of
   (1 - 0.75 ** 2) ** 16 = 2e-6), colliding lines verified by exact Jaccard on
   their shingle sets, clusters by connected components (``linking``).
+* Every stretch that is alike but not equal, wherever it starts and however it is broken into lines.
+  Stretches of similarity 0.75 differ in one place at most, so they share about half their words in a row. Of each such half
+  one run of ``GRAM`` words is listed (the least hash, about one per 7 words). What shares a run with the
+  least document that lists it is laid along that document, and a stretch counts if its first and last
+  five words are there (up to ``DRIFT`` words off) and its shingles are similar enough.
 
 A cluster stays in the document of least id that holds it; in all other
 documents its words are cut. Whatever is cut thus stands somewhere in a document
 that comes before. Stretches repeated only inside one document stay.
 
-Texts are read again only for documents that hold runs that differ, or lines to be verified.
+Texts are read again only for documents that hold runs that differ, lines to be verified, or parts
+alike that are not cut as equal ones. Such a part is laid along one document per listed run, the first: where that
+one holds no more than the run and the others of the part aren't shared with a better one, the part stays.
 
 Defined results: a null text is empty; ids stand for documents, rows with a
 null id are left as they are; rows that repeat an id are cut alike (a document does not repeat itself); texts of
@@ -42,6 +49,8 @@ from tierline.llm.shared import SHINGLE, SIMILAR_PCT, WORD_RE, as_long, cut, low
 
 MIN_WORDS = 50
 BANDS, ROWS = 16, 2
+GRAM = 12  # words of a run that parts alike are found by, at most
+DRIFT = 2  # words inserted or left out within a stretch
 _HASHES = seeds(BANDS * ROWS, 2001)
 _BAND_SEEDS = seeds(ROWS, 2101)
 _STRETCH_SEEDS = seeds(2 * 256, 3001).reshape(2, 256)
@@ -102,6 +111,48 @@ class Paragraphs:
             begin = end
         return out
 
+    def grams(self) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, first word) of the least run of words in every half stretch."""
+        half = max(self.min_words // 2 - 1, 1)
+        size = min(GRAM, half)
+        width = half - size + 1
+        if len(self.hashes) < self.min_words:
+            return self.hashes[:0], np.zeros(0, dtype=np.int64)
+        grams = shingles(self.hashes, size)
+        pad = np.zeros(width - 1, dtype=np.uint64)
+        at = np.flatnonzero(grams == ~window_min(~np.concatenate((pad, window_min(grams, width), pad)), width))
+        if len(np.unique(grams[at])) < len(at):  # what comes again at once is listed once per half stretch
+            last, keep = {}, []
+            for k, g in zip(at.tolist(), grams[at].tolist()):
+                if k - last.get(g, -half) >= half:
+                    last[g] = k
+                    keep.append(k)
+            at = np.array(keep, dtype=np.int64)
+        return grams[at], at
+
+
+def alike_spans(a: np.ndarray, b: np.ndarray, lead: int, pct: int, min_words: int) -> list[tuple[int, int]]:
+    """(begin, end) of words of ``a`` in stretches alike to ``b``, whose word k - lead lies beside word k."""
+    if min(len(a), len(b)) < max(SHINGLE, min_words - DRIFT) or len(a) < min_words or min_words < SHINGLE:
+        return []
+    x, y = shingles(a), shingles(b)
+    same = np.zeros(len(x), dtype=bool)
+    for drift in range(-DRIFT, DRIFT + 1):
+        at = np.arange(len(x)) - lead + drift
+        lo, hi = np.searchsorted(at, [0, len(y)])
+        same[lo:hi] |= x[lo:hi] == y[at[lo:hi]]
+    size = min_words - SHINGLE + 1
+    sums = np.concatenate(([0], np.cumsum(same)))
+    common = sums[size:] - sums[:-size]
+    starts = np.flatnonzero((100 * common >= pct * (2 * size - common)) & same[:len(common)] & same[size - 1:])
+    out: list[tuple[int, int]] = []
+    for k in starts.tolist():
+        if out and k <= out[-1][1]:
+            out[-1] = (out[-1][0], k + min_words)
+        else:
+            out.append((k, k + min_words))
+    return out
+
 
 def line_bands(sets: list[np.ndarray]) -> np.ndarray:
     """The band keys of each set: (sets, BANDS), all sets hashed together."""
@@ -128,13 +179,15 @@ def listed(docs: DataFrame, kind, min_words: int) -> DataFrame:
         made = [Paragraphs(t, min_words) for t in pdf["text"]]
         runs = [p.runs() for p in made]
         lines = [p.lines() for p in made]
+        grams = [p.grams() for p in made]
         sets = [x[3] for row in lines for x in row]
         keys = iter(as_long(np.ascontiguousarray(line_bands(sets))) if sets else [])
         return pd.DataFrame({
             "doc": pdf["doc"].to_list(), "least": [as_long(r[0]) for r in runs], "first": [r[1].astype(np.int32) for r in runs],
             "last": [r[2].astype(np.int32) for r in runs], "run": [r[3][:, 0].copy() for r in runs], "check": [r[3][:, 1].copy() for r in runs],
+            "gram": [as_long(g[0]) for g in grams], "place": [g[1].astype(np.int32) for g in grams],
             "lines": [[{"line": d, "begin": b, "end": e, "n": len(s), "bands": next(keys)} for d, b, e, s in row] for row in lines]})
-    return _run(docs, [F.col("text")], make, "least array<long>, first array<int>, last array<int>, run array<long>, check array<long>, "
+    return _run(docs, [F.col("text")], make, "least array<long>, first array<int>, last array<int>, run array<long>, check array<long>, gram array<long>, place array<int>, "
                 "lines array<struct<line: string, begin: int, end: int, n: long, bands: array<long>>>", kind)
 
 
@@ -186,6 +239,52 @@ def _similar_lines(rows: DataFrame, docs: DataFrame, kind, pct: int, min_words:
     return lines.select("doc", "line", "begin", "end").join(keeper, "line").where("doc <> keeper").select("doc", "begin", "end", "keeper")
 
 
+def _alike_stretches(rows: DataFrame, docs: DataFrame, equal: DataFrame, kind, pct: int, min_words: int) -> DataFrame:
+    """(doc, begin, end, keeper) of stretches that are alike to one of an earlier document."""
+    grams = rows.select("doc", F.inline(F.arrays_zip("gram", "place")))
+    first = cut(grams.groupBy("gram").agg(F.min(F.struct("doc", "place")).alias("first"), F.max("doc").alias("hi")).where("first.doc <> hi")
+                .select("gram", F.col("first.doc").alias("keeper"), F.col("first.place").alias("there")), "first-grams")
+    beside = (grams.join(first, "gram").where("doc <> keeper").groupBy("doc", "keeper", (F.col("place") - F.col("there")).alias("shift"))
+              .agg(F.min("place").alias("lo"), F.max("place").alias("hi")))
+    wanted = beside.groupBy("doc").agg(F.collect_list(F.struct(F.col("keeper").cast("string").alias("keeper"), "shift", "lo", "hi")).alias("wanted"))
+    gone = equal.groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("gone"))
+    wanted = cut(wanted.join(gone, "doc", "left"), "wanted-alike")
+
+    def make(pdf):
+        out = []
+        for doc, text, parts, spans in zip(pdf["doc"], pdf["text"], pdf["wanted"], pdf["gone"]):
+            hashes = word_hashes(lowered(text))[0]
+            open_ = np.ones(len(hashes), dtype=bool)
+            for s in spans if spans is not None else ():
+                open_[s["begin"]:s["end"]] = False
+            left = np.concatenate(([0], np.cumsum(open_)))
+            for w in parts:
+                begin, end = max(0, w["lo"] - min_words), min(len(hashes), w["hi"] + min_words + GRAM)
+                if left[end] > left[begin]:
+                    out.append((doc, w["keeper"], begin, begin - w["shift"], as_long(hashes[begin:end])))
+        return pd.DataFrame(out, columns=["doc", "keeper", "begin", "there", "words"], dtype=object)
+    parts = _run(docs.join(wanted, "doc"), [F.col("text"), F.col("wanted"), F.col("gone")], make, "keeper string, begin int, there int, words array<long>", kind)
+    parts = cut(parts.withColumn("keeper", F.col("keeper").cast(kind)), "parts")
+
+    def whole(pdf):
+        return pd.DataFrame({"doc": pdf["doc"].to_list(), "held": [as_long(word_hashes(lowered(t))[0]) for t in pdf["text"]]})
+    asked = cut(parts.select(F.col("keeper").alias("doc")).distinct(), "asked")
+    # a keeper's id may be repeated: any of its rows may hold the part
+    held = _run(docs.join(asked, "doc", "left_semi").distinct(), [F.col("text")], whole, "held array<long>", kind).withColumnRenamed("doc", "keeper")
+    begin = F.greatest(F.col("there") - DRIFT, F.lit(0))
+    size = F.greatest(F.size("words") + DRIFT + F.col("there") - begin, F.lit(0))
+    both = parts.join(held, "keeper").select("doc", "keeper", "begin", "words", F.slice("held", begin + 1, size).alias("held"), (begin - F.col("there")).alias("lead"))
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = [(doc, at + b, at + e, keeper) for doc, keeper, at, words, held, lead in pdf.itertuples(index=False)
+                   for b, e in alike_spans(np.asarray(words).view(np.uint64), np.asarray(held).view(np.uint64), lead, pct, min_words)]
+            yield pd.DataFrame(out, columns=["doc", "begin", "end", "keeper"], dtype=object)
+    both = both.withColumns({c: F.col(c).cast("string") for c in ("doc", "keeper")})
+    found = both.mapInPandas(search, "doc string, begin int, end int, keeper string")
+    return found.withColumns({c: F.col(c).cast(kind) for c in ("doc", "keeper")})
+
+
 def cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, pct: int = SIMILAR_PCT) -> DataFrame:
     """(doc, spans, keepers): the word ranges to cut out of each document that loses any, and the documents that hold them."""
     kind = docs.schema[id_col].dataType
@@ -193,6 +292,8 @@ def cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wo
     rows = cut(listed(texts, kind, min_words), "listed")
     equal = settled(docs.sparkSession, lambda: _equal_stretches(rows, texts, kind, min_words), "equal")
     alike = equal.unionByName(settled(docs.sparkSession, lambda: _similar_lines(rows, texts, kind, pct, min_words), "alike-lines"))
+    if pct < 100:
+        alike = alike.unionByName(settled(docs.sparkSession, lambda: _alike_stretches(rows, texts, alike, kind, pct, min_words), "alike-stretches"))
     return alike.groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("spans"), F.collect_set("keeper").alias("keepers"))
 
 
