@@ -6,12 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import bpe, chat, mixing, near_dedup, quality_rules, sharding, substring_dedup, topk, toxicity, wrappers
+from tierline.llm import (bpe, byte_bpe, chat, hard_negatives, mixing, near_dedup, quality_rules, sharding, substring_dedup, topk, toxicity, whitening,
+                          wrappers)
 from tierline.llm.oracle import ORACLES
 from tierline.llm.shared import table
 
 SHARDS = 8
 TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +62,23 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_sharding, op3_topk, op4_quality_rules, op5_chat, op6_substring_dedup, op7_wrappers, op8_near_dedup, op9_toxicity, op10_bpe)}
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, vec_id, label = table(spark, sf_dir, "embeddings"), F.col("vec_id"), F.col("label")
+    label = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(rows, "vec_id", label, topk.scaled(F.col("embedding")), vec_id % 100 == 0)
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = whitening.whiten(table(spark, sf_dir, "embeddings"), F.col("embedding"))
+    return made.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_sharding, op3_topk, op4_quality_rules, op5_chat, op6_substring_dedup, op7_wrappers, op8_near_dedup, op9_toxicity, op10_bpe,
+                                  op11_hard_negatives, op12_byte_bpe, op13_whitening)}
 
 
 def oracles() -> dict[str, str]:
