@@ -201,7 +201,7 @@ def test_whitening_of_messy_rows(spark):
     one = whitening.whiten(flat.where("vec_id = 1"), F.col("embedding")).collect()
     assert [(r.whitened, r.explained, r.identity_error, r.deviation) for r in one] == [(None, None, None, 0)] * 6
     none = whitening.whiten(flat.where("embedding is null"), F.col("embedding"))
-    assert none.collect() == [] and none.schema == whitening.whiten(flat, F.col("embedding")).schema
+    assert none.collect() == [] and none.dtypes == whitening.whiten(flat, F.col("embedding")).dtypes
     with pytest.raises(ValueError, match="several lengths"):
         whitening.whiten(spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], "vec_id long, embedding array<double>"), F.col("embedding"))
     huge = whitening.Whitening(1 << 40, [5, 3], np.zeros(0), np.zeros((2, 0)), 0.0)
