@@ -232,6 +232,9 @@ def _positives(rows: DataFrame, k: int) -> DataFrame:
 
 def _blocks(anchors: DataFrame, blocks: int) -> DataFrame:
     """``anchors`` with a block ``b``: those of alike directions share one, where many agree they take several."""
+    if blocks == 1:
+        return anchors.withColumn("b", F.lit(0))
+
     def projection(s: int) -> Column:   # on a fixed random direction
         turned = F.transform("vector", lambda x, i: x * F.when(F.pmod(F.xxhash64(i, F.lit(s)), F.lit(2)) == 0, 1.0).otherwise(-1.0))
         return F.aggregate(turned, F.lit(0.0), lambda total, x: total + x)
