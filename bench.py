@@ -6,10 +6,10 @@ BENCH_REPEAT (default 3), BENCH_SILVER_REPEAT (default 1). Prints one JSON line:
 
 What is timed, as a daily pipeline runs it:
 * silver_<table>: run 2 of the table, i.e. the SCD2 merge of the day-2 extract into
-  the published run-1 snapshot (or the full refresh), *published* as Parquet;
+  the published run-1 table (or the full refresh), *published* as Parquet;
   silver_initial_load_all: run 1 of the five SCD2 tables. Silver is timed
   after one untimed warm-up replay (median of BENCH_SILVER_REPEAT replays);
-* gold marts over the published silver snapshots (median of BENCH_REPEAT runs
+* gold marts over the published silver tables (median of BENCH_REPEAT runs
   after one warm-up), including the naive GD3/GD4 forms for comparison;
 * ingest-side operators: landing round trips, extracts, batch stats (median of
   BENCH_REPEAT runs after one warm-up);
@@ -32,7 +32,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tierline.operators import gold  # noqa: E402
 from tierline.plans import queries as Q  # noqa: E402
-from tierline.plans.publish import SnapshotStore  # noqa: E402
+from tierline.plans.publish import SilverTables  # noqa: E402
 from tierline.plans.retail import publish_run  # noqa: E402
 from tierline.schemas import REGISTRY, SCD2  # noqa: E402
 from tierline.session import get_session, scratch_root  # noqa: E402
@@ -58,7 +58,7 @@ def timed(fn) -> float:
 
 def replay_silver(spark, sf_dir: str, label: str) -> tuple[dict[str, float], dict]:
     """Silver run 1 of every SCD2 table (published), then run 2 of every table, timed."""
-    store = SnapshotStore(spark, scratch_root(spark, label))
+    store = SilverTables(spark, scratch_root(spark, label))
     times: dict[str, float] = {}
     t_run1 = 0.0
     for name, spec in REGISTRY.items():

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from seed import source
 from tierline.operators.audit import read_audit
 from tierline.plans.pipeline import LOAD_TIME, Layout, archive, ingest, ingest_config, refine_table, run_all, silver
-from tierline.plans.publish import SnapshotStore, create_if_absent, overwrite
+from tierline.plans.publish import SilverTables, create_if_absent, overwrite
 from tierline.schemas import REGISTRY
 from tierline.sources.jdbc import JdbcSource, ParquetSource
 from tierline.sources.landing import landed_runs
@@ -107,8 +107,8 @@ def test_two_ingests_before_one_refine_lose_nothing(spark, workdir):
     _write(more, url, "retailer", "orders")
     ingest(spark, _sources(url, None), [spec], layout, DAY2)
     refine_table(spark, spec, layout, DAY2)
-    store = SnapshotStore(spark, layout.silver)
-    assert store.read("orders", spec.silver_schema()).count() == 11
+    store = SilverTables(spark, layout.silver)
+    assert store.read("orders", spec).count() == 11
 
 
 def _land(spark, layout, spec, df, when):
@@ -127,13 +127,13 @@ def test_a_run_that_lands_late_is_refined_and_archived(spark, workdir):
     archive(spark, layout, ["orders"])
     assert len(landed_runs(spark, layout.landing, "orders")) == 1      # silver still owes the late run
     refine_table(spark, spec, layout, DAY2)
-    store = SnapshotStore(spark, layout.silver)
-    assert store.read("orders", spec.silver_schema()).count() == orders.count()
+    store = SilverTables(spark, layout.silver)
+    assert store.read("orders", spec).count() == orders.count()
     archive(spark, layout, ["orders"])
     assert landed_runs(spark, layout.landing, "orders") == []
     _land(spark, layout, spec, orders.limit(0), DAY2 + dt.timedelta(days=1))
     refine_table(spark, spec, layout, DAY2)
-    assert store.read("orders", spec.silver_schema()).count() == orders.count()
+    assert store.read("orders", spec).count() == orders.count()
 
 
 def test_an_empty_extract_does_not_replace_a_table(spark, workdir):
@@ -144,7 +144,7 @@ def test_an_empty_extract_does_not_replace_a_table(spark, workdir):
     _land(spark, layout, spec, products.limit(0), DAY2)
     with pytest.raises(ValueError, match="empty batch"):
         refine_table(spark, spec, layout, DAY2)
-    assert SnapshotStore(spark, layout.silver).read("products", spec.silver_schema()).count() == products.count()
+    assert SilverTables(spark, layout.silver).read("products", spec).count() == products.count()
 
 
 def test_a_failed_refresh_leaves_the_mart(spark, workdir):

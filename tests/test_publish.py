@@ -1,12 +1,14 @@
-"""SCD2 snapshot publishing: one job, staged renames, commit marker."""
+"""Silver tables: buckets a run doesn't touch stay, interrupted runs are repeated, refreshes survive a crash."""
 
 import datetime as dt
 import os
 
+import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.operators.scd2 import scd2_merge
-from tierline.plans.publish import SnapshotStore
+from tierline.plans import publish as P
+from tierline.plans.publish import SilverTables, overwrite
 from tierline.schemas import SCD2, TableSpec
 
 from conftest import rows
@@ -15,40 +17,101 @@ SPEC = TableSpec("t", T.StructType([T.StructField("k", T.LongType()), T.StructFi
                  keys=("k",), tracked=("attr",), silver_policy=SCD2, dedup=True)
 DAY1 = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)
 DAY2 = dt.datetime(2025, 1, 2, tzinfo=dt.timezone.utc)
+COLUMNS = ("k", "attr", "is_active")
 
 
 def batch(spark, data):
     return spark.createDataFrame(data, SPEC.schema)
 
 
-def publish(spark, store, data, run, as_of):
-    target = store.read("t", SPEC.silver_schema())
-    result = scd2_merge(target, batch(spark, data), SPEC, as_of)
-    return store.publish_scd2("t", result, run, SPEC.silver_schema())
+def merge(spark, store, data, run, as_of, **kwargs):
+    return store.merge("t", batch(spark, data), run, SPEC, as_of, **kwargs)
+
+
+def files(root):
+    return {os.path.relpath(os.path.join(d, f), root): os.stat(os.path.join(d, f)).st_ino
+            for d, _, names in os.walk(root) for f in names if f.endswith(".parquet")}
 
 
 def test_runs_without_closed_versions_and_with_changes(spark, workdir):
-    store = SnapshotStore(spark, workdir)
-    first = publish(spark, store, [(1, "a"), (2, "b")], "run1", DAY1)
-    assert rows(first, "k", "attr", "is_active") == [(1, "a", True), (2, "b", True)]
-    assert not os.path.exists(f"{workdir}/t/history/run=run1")          # nothing closed
-    assert not os.path.exists(f"{workdir}/t/_staging/run=run1")         # staging removed
-    second = publish(spark, store, [(1, "a2"), (3, "c")], "run2", DAY2)
-    assert rows(second, "k", "attr", "is_active") == [
-        (1, "a", False), (1, "a2", True), (2, "b", True), (3, "c", True)]
-    assert store.snapshots("t") == ["run1", "run2"]
-    # an older snapshot still reads as it was: history of later runs is filtered out
-    assert rows(store.read("t", SPEC.silver_schema(), "run1"), "k", "attr", "is_active") == [
-        (1, "a", True), (2, "b", True)]
-
-
-def test_uncommitted_run_is_invisible_and_retry_replaces_it(spark, workdir):
-    store = SnapshotStore(spark, workdir)
-    publish(spark, store, [(1, "a")], "run1", DAY1)
-    publish(spark, store, [(1, "b")], "run2", DAY2)
-    os.remove(f"{workdir}/t/active/snapshot=run2/_SUCCESS")             # crash before the commit
-    assert store.latest_id("t") == "run1"
-    assert rows(store.read("t", SPEC.silver_schema()), "k", "attr", "is_active") == [(1, "a", True)]
-    again = publish(spark, store, [(1, "b")], "run2", DAY2)             # retry of the same run
-    assert rows(again, "k", "attr", "is_active") == [(1, "a", False), (1, "b", True)]
-    assert store.latest_id("t") == "run2"
+    store = SilverTables(spark, workdir)
+    assert store.read("t", SPEC) is None
+    first = merge(spark, store, [(1, "a"), (2, "b"), (None, "n")], "run1", DAY1)
+    assert rows(first, *COLUMNS) == [(1, "a", True), (2, "b", True), (None, "n", True)]
+    assert not os.path.exists(f"{workdir}/t/is_active=false")           # nothing closed
+    second = merge(spark, store, [(1, "a2"), (3, "c"), (None, "n")], "run2", DAY2)
+    assert rows(second, *COLUMNS) == [(1, "a", False), (1, "a2", True), (2, "b", True), (3, "c", True), (None, "n", True), (None, "n", True)]
+    assert store.runs("t") == ["run1", "run2"] and os.listdir(f"{workdir}/t/_merge") == []
+    assert os.listdir(f"{workdir}/t/is_active=false") == ["slot=rrun2"]
+    again = merge(spark, store, [(1, "zz")], "run2", DAY2)              # a run already taken in
+    assert rows(again, *COLUMNS) == rows(second, *COLUMNS)
+
+
+def test_a_run_reads_and_replaces_only_the_buckets_it_touches(spark, workdir):
+    store = SilverTables(spark, workdir)
+    merge(spark, store, [(k, "a") for k in range(2000)] + [(None, "n")], "run1", DAY1, buckets=50)
+    before = files(f"{workdir}/t")
+    slots = {r.k: r.slot for r in store._slots("t", SPEC).where("k is not null").collect()}
+    merge(spark, store, [(7, "b"), (5000, "new"), (None, "m")], "run2", DAY2, buckets=99)    # a table keeps its buckets
+    after = files(f"{workdir}/t")
+    slots |= {r.k: r.slot for r in store._slots("t", SPEC).where("k = 5000").collect()}
+    touched = {f"is_active=true/slot={slots[7]}", f"is_active=true/slot={slots[5000]}"}
+    assert {os.path.dirname(f) for f in before if after.get(f) != before[f]} <= touched and store.buckets("t") == 50
+    assert {os.path.dirname(f) for f in after if f not in before} == touched | {"is_active=false/slot=rrun2", "is_active=true/slot=nrun2"}
+    live = store.read("t", SPEC).where("is_active")
+    assert live.count() == 2003 and rows(live.where("k in (7, 5000)"), *COLUMNS) == [(5000, "new", True), (7, "b", True)]
+    # the merge of a run scans a fraction of the live rows
+    target = store._slots("t", SPEC).where(F.col("is_active") & F.col("slot").isin([slots[7]]))
+    assert 0 < target.count() < 2003 / 10 and target.select(F.input_file_name()).distinct().count() == 1
+    assert "slot" in target._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_a_failed_run_leaves_the_table_and_is_repeated(spark, workdir):
+    store = SilverTables(spark, workdir)
+    merge(spark, store, [(1, "a"), (2, "b")], "run1", DAY1)
+    before = files(f"{workdir}/t")
+    with pytest.raises(Exception, match="several batch rows"):
+        merge(spark, store, [(1, "x"), (1, "y"), (2, "z")], "run2", DAY2)
+    assert {f: i for f, i in files(f"{workdir}/t").items() if "_merge" not in f} == before and store.runs("t") == ["run1"]
+    got = merge(spark, store, [(1, "x"), (2, "z")], "run2", DAY2)
+    assert rows(got, *COLUMNS) == [(1, "a", False), (1, "x", True), (2, "b", False), (2, "z", True)]
+
+
+@pytest.mark.parametrize("replaced", [0, 1, 2])
+def test_a_run_interrupted_while_buckets_are_replaced_is_finished(spark, workdir, monkeypatch, replaced):
+    """A crash after some buckets, with one of them deleted, then another run: the first one is finished before."""
+    store = SilverTables(spark, workdir)
+    merge(spark, store, [(1, "a"), (2, "b"), (None, "n")], "run1", DAY1)
+    monkeypatch.setattr(SilverTables, "finish", lambda self, table, spec: None)
+    merge(spark, store, [(1, "a2"), (2, "b2"), (None, "n")], "run3", DAY2)      # merged, not yet put in place
+    monkeypatch.undo()
+    written = f"{workdir}/t/_merge/run3"
+    assert rows(store.read("t", SPEC), *COLUMNS) == [(1, "a", True), (2, "b", True), (None, "n", True)] and store.runs("t") == ["run1"]
+    for slot in sorted(os.listdir(f"{written}/is_active=true"))[:replaced]:
+        P.delete_path(spark, f"{workdir}/t/is_active=true/{slot}")
+    late = merge(spark, store, [(3, "late"), (2, "b2")], "run2", DAY2)
+    assert rows(late, *COLUMNS) == [(1, "a", False), (1, "a2", True), (2, "b", False), (2, "b2", True), (3, "late", True), (None, "n", True), (None, "n", True)]
+    assert store.runs("t") == ["run1", "run2", "run3"] and not os.path.exists(written)
+
+
+def test_an_interrupted_first_load_is_repeated(spark, workdir):
+    store = SilverTables(spark, workdir)
+    os.makedirs(f"{workdir}/t/is_active=true/slot=b00001-7")
+    spark.range(3).selectExpr("id k", "'old' attr").write.mode("overwrite").parquet(f"{workdir}/t/is_active=true/slot=b00001-7")
+    assert store.read("t", SPEC) is None
+    assert rows(merge(spark, store, [(1, "a")], "run1", DAY1), *COLUMNS) == [(1, "a", True)]
+
+
+def test_a_refresh_interrupted_between_its_renames_is_undone(spark, workdir):
+    path = f"{workdir}/mart"
+    overwrite(spark.range(5), path)
+    os.rename(path, f"{workdir}/_before-mart")          # the crash: the old folder is aside, the new one not in place
+    assert P.create_if_absent(spark.range(9), path).count() == 5
+    os.rename(path, f"{workdir}/_before-mart")
+    with pytest.raises(Exception, match="boom"):
+        overwrite(spark.range(3).select(F.raise_error(F.lit("boom")).cast("long").alias("id")), path)
+    assert spark.read.parquet(path).count() == 5 and overwrite(spark.range(9), path).count() == 9
+
+
+def test_buckets_follow_the_size_of_the_first_batch():
+    assert P.buckets_for(0) == P.BUCKETS and P.buckets_for(1 << 40) == 4096

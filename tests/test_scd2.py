@@ -2,6 +2,8 @@
 property test against DuckDB's own MERGE statements."""
 
 import datetime as dt
+import random
+import re
 
 import duckdb
 import pytest
@@ -9,6 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import types as T
 
+from tierline.operators import scd2
 from tierline.operators.scd2 import scd2_merge
 from tierline.schemas import SCD2, TableSpec
 
@@ -93,6 +96,47 @@ def test_null_safe_option(spark):
     assert res.closed.count() == 1 and res.opened.count() == 1
 
 
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_classes_of_many_random_keys(spark, null_safe):
+    """Each key by itself against all pairs of its live versions and batch rows, conflicts included."""
+    rng = random.Random(11)
+
+    def some(n):
+        return [(rng.choice([None, "a", "b", "c"]), rng.choice([None, 1, 2, 3])) for _ in range(n)]
+    live, new = {k: some(rng.randint(0, 3)) for k in range(1500)}, {k: some(rng.choice([0, 1, 1, 2, 3, 5])) for k in range(1500)}
+
+    def differ(t, s):
+        return any((a is None) != (b is None) if null_safe and (a is None or b is None) else a is not None and b is not None and a != b for a, b in zip(t, s))
+    want = []
+    for k in live:
+        changes = [sum(differ(t, s) for s in new[k]) for t in live[k]]
+        want += [(k, *t, False, c > 0, c > 1) for t, c in zip(live[k], changes)] + [(k, *s, True, 0 in changes, False) for s in new[k]]
+    rows = [(k, *t, False, None) for k in live for t in live[k]] + [(k, *s, True, i) for k in new for i, s in enumerate(new[k])]
+    df = spark.createDataFrame(rows, "k long, attr string, upd long, _batch boolean, _row long")
+    from pyspark.sql import Window
+    got = scd2._classified(df, Window.partitionBy("k"), SPEC, True, null_safe).collect()
+    assert sorted(((r.k, r.attr, r.upd, r._batch, r._n_kept > 0 if r._batch else r._changed, r._conflict) for r in got), key=repr) == sorted(want, key=repr)
+    assert sum(w[5] for w in want) > 200
+
+
+def test_the_target_is_exchanged_once(spark, workdir):
+    target_df(spark, TARGET).write.parquet(f"{workdir}/target")
+    batch_df(spark, BATCH).write.parquet(f"{workdir}/batch")
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for c, v in zip(before, ("-1", "false")):
+            spark.conf.set(c, v)
+        res = scd2_merge(spark.read.parquet(f"{workdir}/target"), spark.read.parquet(f"{workdir}/batch"), SPEC, AS_OF)
+        plan = res.merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert "Join" not in plan
+    assert len(re.findall(r"Exchange hashpartitioning\(k#\d+L, \d+\)", plan)) == 1 and len(re.findall(r"Sort \[k#\d+L ASC NULLS FIRST\]", plan)) == 1
+    # the others are the DISTINCT of the batch, of rows with a key and of those without
+    assert len(re.findall(r"Exchange hashpartitioning\(k#\d+L, attr", plan)) == plan.count("Exchange") - 1 == 2
+
+
 def test_history_is_never_touched(spark):
     tgt = target_df(spark, [(1, "old", 0, False), (1, "cur", 1, True)])
     res = scd2_merge(tgt, batch_df(spark, [(1, "next", 2)]), SPEC, AS_OF)

@@ -14,53 +14,69 @@ table (expire, then insert), written in closed form:
    ``effective_start_date = effective_end_date = as_of``, ``is_active``.
 5. result = history + closed + kept + opened.
 
-Physical shape: a run is three joins of two inputs on the key, the live
-target and the keyed batch: closed (semi join on key and change), kept (anti
-join on the same condition) and opened (batch anti join on the kept keys).
-When the batch is small next to the target, Spark's size-checked automatic
-broadcast (static estimate, then AQE's measured sizes) makes them broadcast
-hash joins, so the big target is never shuffled, and the change predicate is
-evaluated only for key matches. When the batch is big (initial or full
-loads) they run as sort-merge joins: each side is shuffled by key once, the
-exchanges are reused, and the anti join's output keeps its key partitioning
-for the opened join. Rows with a NULL key can never match, so they skip
-the joins entirely; millions of NULL keys would otherwise all hash into one
-shuffle partition.
+Physical shape: live versions and batch rows are one tagged union that is
+exchanged by key once. Inside a key's rows, window aggregates classify every version:
+
+* a live version changes if a batch row differs from it in some tracked column. That
+  is so exactly when the least or the greatest value of that column among the
+  key's batch rows differs from its own (both ignore NULLs, as the comparison does);
+* a batch row opens a version if no live version of its key is kept;
+* two batch rows change the same version if two different rows are among the two
+  least and two greatest of each column that differ from it. That finds every
+  conflict: rows that differ in one column are on one side of the
+  version's value (then its two least or two greatest do) or on both (its least and greatest do),
+  and a row that alone differs in its column is the least or greatest there.
+
+So the target is exchanged and sorted once, however large the batch; no list of a
+key's rows is ever built, and windows spill. Rows with a NULL key can never
+match, so they skip the exchange; millions of them would otherwise all hash
+into one shuffle partition.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tierline.functions.predicates import changed
 from tierline.operators.quality import with_quarantine
 from tierline.schemas import EFFECTIVE_END, EFFECTIVE_START, IS_ACTIVE, IS_QUARANTINED, TableSpec
 
-_SRC = "__src_"
+FATE = "_fate"
+CLOSED, KEPT, OPENED = "closed", "kept", "opened"
+_BATCH, _ROW, _N, _KEPT, _CHANGED, _CONFLICT = "_batch", "_row", "_n", "_n_kept", "_changed", "_conflict"
 
 
 @dataclass
 class Scd2Result:
     history: DataFrame   # inactive versions of the target, untouched
-    closed: DataFrame    # versions expired by this batch
-    kept: DataFrame      # active versions the batch did not change
-    opened: DataFrame    # new versions opened by this batch
+    merged: DataFrame    # the other versions after the batch, with their FATE
+    columns: list[str]   # of the silver table
 
-    def active(self) -> DataFrame:
-        return self.kept.unionByName(self.opened)
+    def _of(self, fate: str) -> DataFrame:
+        return self.merged.where(F.col(FATE) == fate).select(*self.columns)
 
-    def expired(self) -> DataFrame:
-        return self.history.unionByName(self.closed)
+    @property
+    def closed(self) -> DataFrame:
+        """Versions expired by this batch."""
+        return self._of(CLOSED)
+
+    @property
+    def kept(self) -> DataFrame:
+        """Live versions the batch did not change."""
+        return self._of(KEPT)
+
+    @property
+    def opened(self) -> DataFrame:
+        """New versions opened by this batch."""
+        return self._of(OPENED)
 
     def all_versions(self) -> DataFrame:
-        return self.history.unionByName(self.closed).unionByName(self.kept).unionByName(self.opened)
+        return self.history.unionByName(self.merged.select(*self.columns))
 
 
 def payload_columns(spec: TableSpec) -> list[str]:
@@ -88,127 +104,115 @@ def _keys_present(keys) -> Column:
     return reduce(and_, [F.col(k).isNotNull() for k in keys])
 
 
-def _opened(src: DataFrame, cols: list[str], as_of: Column) -> DataFrame:
-    return src.select(*[F.col(c) for c in cols], as_of.alias(EFFECTIVE_START),
-                      as_of.alias(EFFECTIVE_END), F.lit(True).alias(IS_ACTIVE))
+def _versions(src: DataFrame, cols: list[str], as_of: Column, fate: str, extra: list[str]) -> DataFrame:
+    return src.select(*cols, as_of.alias(EFFECTIVE_START), as_of.alias(EFFECTIVE_END), F.lit(True).alias(IS_ACTIVE), *extra, F.lit(fate).alias(FATE))
 
 
 def scd2_merge(target: DataFrame | None, batch: DataFrame, spec: TableSpec, as_of: dt.datetime,
                strict: bool = True, null_safe: bool = False,
-               prepared: bool = False,
-               cut: Callable[[DataFrame, str], DataFrame] | None = None) -> Scd2Result:
+               prepared: bool = False, spread: str | None = None) -> Scd2Result:
     """Apply one batch to an SCD2 table; see the module docstring.
 
     ``target=None`` is the first load of a table that does not exist yet:
-    every batch row opens a version, so no join is planned and the batch
+    every batch row opens a version, so nothing is exchanged and the batch
     is derived once (see ``initial_load``).
 
     ``strict``: fail the job (lazily, inside the plan) when two batch rows
     would both expire the same active version, which MERGE rejects; with
     ``strict=False`` that version is closed once and both rows open.
     ``null_safe``: count NULL <-> value as a change (not the reference's rule).
-    ``cut``: optional ``(df, label) -> df`` applied to the prepared batch
-    (e.g. ``Scratch.cut``, which writes it once under the shared checkpoint
-    folder). Use it when the batch is expensive to derive again, such as a
-    live JDBC extract. Without it (the default, and what the pipelines do)
-    the whole run is one query when its outputs are written together: each
-    side is shuffled by key once, the exchanges are reused across the
-    joins, and the join outputs keep their key partitioning.
+    ``spread``: a column of target and (prepared) batch that follows from the key; rows are exchanged
+    by it rather than by the key, and it is kept in ``merged`` (a table stored by buckets of the key
+    is then written with one file a bucket).
     """
-    keys, tracked = list(spec.keys), list(spec.tracked)
-    cols = payload_columns(spec)
+    keys, cols = list(spec.keys), payload_columns(spec)
     silver = spec.silver_schema().names
+    extra = [spread] if spread else []
     stamp = F.lit(as_of).cast("timestamp")
 
     if target is None:
-        return initial_load(batch, spec, as_of, prepared=prepared)
+        return initial_load(batch, spec, as_of, prepared=prepared, spread=spread)
     src = batch if prepared else prepare_batch(batch, spec)
-    if cut is not None:
-        src = cut(src, "batch")
-    target = target.select(*silver)
+    target = target.select(*silver, *extra)
     is_active = F.col(IS_ACTIVE) == F.lit(True)
     active = target.where(is_active)
-    history = target.where(~F.coalesce(is_active, F.lit(False)))
-
+    history = target.where(~F.coalesce(is_active, F.lit(False))).select(*silver)
     present = _keys_present(keys)
-    src_keyed, src_null = src.where(present), src.where(~present)
-    act_keyed, act_null = active.where(present), active.where(~present)
-
-    # One projection of the keyed batch feeds every join, and closed and kept
-    # versions are the semi and anti join of the live target with it on the
-    # same condition: each side is shuffled by key once per query and the
-    # exchanges reused. "Kept" needs no separate key join: a version is kept
-    # when no batch row both shares its key and changes it, which covers keys
-    # absent from the batch and keys whose batch rows change nothing alike.
-    s = src_keyed.select(*[F.col(c).alias(_SRC + c) for c in cols])
-    match = reduce(and_, [F.col(k) == F.col(_SRC + k) for k in keys])
-    differs = changed([F.col(c) for c in tracked], [F.col(_SRC + c) for c in tracked], null_safe)
-    cond = match & differs
-
-    closed = act_keyed.join(s, cond, "left_semi").select(
-        *[F.col(c) for c in cols], F.col(EFFECTIVE_START), stamp.alias(EFFECTIVE_END),
-        F.lit(False).alias(IS_ACTIVE))
-    kept_keyed = act_keyed.join(s, cond, "left_anti")
-    # a batch row opens a version unless its key still has a live one
-    opened_keyed = s.join(kept_keyed.select(*keys), match, "left_anti") \
-        .select(*[F.col(_SRC + c).alias(c) for c in cols])
-
-    if strict:
-        closed = closed.unionByName(_conflict_guard(s, act_keyed, cond, keys, silver, spec))
-
-    return Scd2Result(
-        history=history,
-        closed=closed.select(*silver),
-        kept=kept_keyed.unionByName(act_null).select(*silver),
-        opened=_opened(opened_keyed.unionByName(src_null), cols, stamp).select(*silver))
+
+    live = active.where(present).select(*cols, EFFECTIVE_START, EFFECTIVE_END, *extra, F.lit(False).alias(_BATCH), F.lit(None).cast("long").alias(_ROW))
+    new = src.where(present).select(*cols, stamp.alias(EFFECTIVE_START), stamp.alias(EFFECTIVE_END), *extra, F.lit(True).alias(_BATCH),
+                                    F.monotonically_increasing_id().alias(_ROW))
+    rows = live.unionByName(new)
+    if spread:
+        rows = rows.repartition(spread)
+    rows = _fated(_classified(rows, Window.partitionBy(*extra, *keys), spec, strict, null_safe), spec)
+    merged = rows.where(F.col(FATE).isNotNull()).select(
+        *cols, EFFECTIVE_START, F.when(F.col(FATE) == CLOSED, stamp).otherwise(F.col(EFFECTIVE_END)).alias(EFFECTIVE_END),
+        (F.col(FATE) != CLOSED).alias(IS_ACTIVE), *extra, FATE)
+    merged = merged.unionByName(active.where(~present).withColumn(FATE, F.lit(KEPT))).unionByName(
+        _versions(src.where(~present), cols, stamp, OPENED, extra))
+    return Scd2Result(history, merged, silver)
 
 
 def initial_load(batch: DataFrame, spec: TableSpec, as_of: dt.datetime,
-                 prepared: bool = False) -> Scd2Result:
+                 prepared: bool = False, spread: str | None = None) -> Scd2Result:
     """``scd2_merge`` into an absent table: every batch row opens a live version.
 
     This is what the closed form gives for an empty target (nothing to close
     or keep, and no active version two batch rows could both change), but it
-    plans one pass over the batch instead of semi/anti joins against nothing,
-    each of which would re-derive the batch (and its DISTINCT) from the source.
+    is one pass over the batch.
     """
     src = batch if prepared else prepare_batch(batch, spec)
-    silver = spec.silver_schema().names
-    none = empty_target(batch.sparkSession, spec)
-    return Scd2Result(history=none, closed=none, kept=none,
-                      opened=_opened(src, payload_columns(spec), F.lit(as_of).cast("timestamp"))
-                      .select(*silver))
-
-
-def _conflict_guard(s: DataFrame, active: DataFrame, cond: Column, keys: list[str],
-                    silver: list[str], spec: TableSpec) -> DataFrame:
-    """Zero rows, or a job failure naming the first key two batch rows both change.
-
-    A conflict needs two batch rows with one key, so the batch is first
-    reduced to its duplicated keys (an aggregate over the batch alone, combined
-    map-side); only those rows are then matched against the active versions.
-    In clean data that input is empty and the check costs one small aggregate.
-    """
-    src_keys = [_SRC + k for k in keys]
-    dup_keys = s.groupBy(*src_keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1) \
-        .select(*src_keys)
-    hits = s.join(dup_keys, src_keys, "left_semi").join(active, cond, "left_semi")
-    per_key = hits.groupBy(*[F.col(_SRC + k).alias(k) for k in keys]) \
-        .agg(F.count(F.lit(1)).alias("n"))
-    message = F.concat(F.lit(f"scd2_merge({spec.name}): several batch rows change one active "
-                             "version, key="), F.to_json(F.struct(*keys)))
-    # The predicate reads the aggregate's output (n), so the optimizer cannot
-    # push it below the aggregate: it fails only for a real conflict.
-    fail_on_conflict = F.when(F.col("n") > 1, F.raise_error(message)).otherwise(F.lit(False))
-    schema = spec.silver_schema()
-    return per_key.where(fail_on_conflict).select(
-        *[F.lit(None).cast(schema[c].dataType).alias(c) for c in silver])
-
-
-def scd2_apply(spark: SparkSession, target: DataFrame | None, batches: list[tuple[DataFrame, dt.datetime]],
-               spec: TableSpec, **kwargs) -> DataFrame:
-    """Fold several batches, in run order, into a target (all versions; None = no table yet)."""
-    current = target
-    for batch, as_of in batches:
-        current = scd2_merge(current, batch, spec, as_of, **kwargs).all_versions()
-    return current
+    opened = _versions(src, payload_columns(spec), F.lit(as_of).cast("timestamp"), OPENED, [spread] if spread else [])
+    return Scd2Result(empty_target(batch.sparkSession, spec), opened, spec.silver_schema().names)
+
+
+def _classified(rows: DataFrame, key: Window, spec: TableSpec, strict: bool, null_safe: bool) -> DataFrame:
+    """``rows`` (live versions and batch rows of keys) with whether each version changes, is in conflict, and how many of its key are kept."""
+    tracked, is_batch = list(spec.tracked), F.col(_BATCH)
+
+    def of_batch(c: str) -> Column:
+        return F.when(is_batch, F.col(c))
+
+    rows = rows.withColumns({_N: F.count(F.when(is_batch, 1)).over(key),
+                             **{f"_lo_{c}": F.min(of_batch(c)).over(key) for c in tracked},
+                             **{f"_hi_{c}": F.max(of_batch(c)).over(key) for c in tracked},
+                             **({f"_nn_{c}": F.count(of_batch(c)).over(key) for c in tracked} if null_safe else {})})
+
+    def differs(c: str) -> Column:
+        """Does some batch row of the key differ in column ``c``?"""
+        other = (F.col(c) != F.col(f"_lo_{c}")) | (F.col(c) != F.col(f"_hi_{c}"))
+        if not null_safe:
+            return F.coalesce(other, F.lit(False))
+        some = F.col(f"_nn_{c}")
+        return F.when(F.col(c).isNull(), some > 0).otherwise((some < F.col(_N)) | F.coalesce(other, F.lit(False)))
+
+    rows = rows.withColumn(_CHANGED, ~is_batch & reduce(or_, [differs(c) for c in tracked], F.lit(False)))
+    kept = F.count(F.when(~is_batch & ~F.col(_CHANGED), 1)).over(key)
+    if not strict:
+        return rows.withColumns({_KEPT: kept, _CONFLICT: F.lit(False)})
+
+    # Only keys with several batch rows can conflict; for all others these are NULLs.
+    several = is_batch & (F.col(_N) > 1)
+    value = {c: F.when(several if null_safe else several & F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), F.col(_ROW).alias("row"))) for c in tracked}
+    rows = rows.withColumns({_KEPT: kept, **{f"_min_{c}": F.min(value[c]).over(key) for c in tracked}, **{f"_max_{c}": F.max(value[c]).over(key) for c in tracked}})
+
+    def beside(c: str, end: str) -> Column:
+        """The values but the one at that end."""
+        return F.when(value[c] != F.col(f"_{end}_{c}"), value[c])
+
+    rows = rows.withColumns({**{f"_min2_{c}": F.min(beside(c, "min")).over(key) for c in tracked}, **{f"_max2_{c}": F.max(beside(c, "max")).over(key) for c in tracked}})
+    changing = []
+    for c in tracked:
+        for end in ("min", "min2", "max", "max2"):
+            seen = F.col(f"_{end}_{c}")
+            other = ~seen["v"].eqNullSafe(F.col(c)) if null_safe else seen["v"] != F.col(c)
+            changing.append(F.when(seen.isNotNull() & other, seen["row"]))
+    return rows.withColumn(_CONFLICT, F.col(_CHANGED) & (F.col(_N) > 1) & (F.size(F.array_distinct(F.array_compact(F.array(*changing)))) > 1))
+
+
+def _fated(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """``rows`` with their FATE, null for batch rows that open nothing; a conflict fails the job."""
+    message = F.concat(F.lit(f"scd2_merge({spec.name}): several batch rows change one active version, key="), F.to_json(F.struct(*spec.keys)))
+    fate = F.when(F.col(_BATCH), F.when(F.col(_KEPT) == 0, OPENED)).when(F.col(_CHANGED), CLOSED).otherwise(KEPT)
+    return rows.withColumn(FATE, F.when(F.col(_CONFLICT), F.raise_error(message).cast("string")).otherwise(fate))

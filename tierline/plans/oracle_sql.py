@@ -3,7 +3,7 @@
 Each query's oracle is plain SQL over the driver's tables (pre-registered
 views ``customer orders lineitem part supplier nation events``): the
 retail extracts as CTEs, silver as the closed form of the two MERGE
-statements (expire via EXISTS, insert via NOT EXISTS), gold as the
+statements (expire and insert as plain equi-joins on the key), gold as the
 reference's mart SQL with exact money sums. Nothing here is executed by
 the library; it is the independent statement of what each query returns.
 """
@@ -127,11 +127,11 @@ def silver_ctes(table: str) -> list[tuple[str, str]]:
         return [(f"{t}_b2", batch_sql(t, 2)), (f"{t}_silver", _prepared(spec, f"{t}_b2"))]
     pay = _payload(spec)
     cols = ", ".join(pay)
-    acols = ", ".join(f"a.{c}" for c in pay)
     scols = ", ".join(f"s.{c}" for c in pay)
     keyeq = " AND ".join(f"s.{k} = a.{k}" for k in spec.keys)
     chg = " OR ".join(f"a.{c} <> s.{c}" for c in spec.tracked)
-    hit = f"EXISTS (SELECT 1 FROM {t}_s2 s WHERE {keyeq} AND ({chg}))"
+    # live versions by number, so that the changed ones are found by one join on the key
+    same_key = " AND ".join(f"s.{k} = k.{k}" for k in spec.keys)
     return [
         (f"{t}_b1", batch_sql(t, 1)),
         (f"{t}_s1", _prepared(spec, f"{t}_b1")),
@@ -139,17 +139,17 @@ def silver_ctes(table: str) -> list[tuple[str, str]]:
                     f"TIMESTAMP '{TS1}' AS effective_end_date, TRUE AS is_active FROM {t}_s1"),
         (f"{t}_b2", batch_sql(t, 2)),
         (f"{t}_s2", _prepared(spec, f"{t}_b2")),
-        (f"{t}_act", f"SELECT * FROM {t}_v1 WHERE is_active = TRUE"),
-        (f"{t}_kept", f"SELECT * FROM {t}_act a WHERE NOT {hit}"),
+        (f"{t}_act", f"SELECT *, row_number() OVER () AS rn FROM {t}_v1 WHERE is_active = TRUE"),
+        (f"{t}_hit", f"SELECT DISTINCT a.rn FROM {t}_act a JOIN {t}_s2 s ON {keyeq} WHERE {chg}"),
+        (f"{t}_now", f"SELECT a.*, h.rn IS NOT NULL AS hit FROM {t}_act a LEFT JOIN {t}_hit h ON a.rn = h.rn"),
+        (f"{t}_keptkeys", f"SELECT DISTINCT {', '.join(spec.keys)}, TRUE AS held FROM {t}_now WHERE NOT hit"),
         (f"{t}_silver", f"""SELECT {cols}, effective_start_date, effective_end_date, is_active
   FROM {t}_v1 WHERE NOT coalesce(is_active = TRUE, FALSE)
 UNION ALL
-SELECT {acols}, a.effective_start_date, TIMESTAMP '{TS2}', FALSE FROM {t}_act a WHERE {hit}
-UNION ALL
-SELECT {cols}, effective_start_date, effective_end_date, is_active FROM {t}_kept
+SELECT {cols}, effective_start_date, CASE WHEN hit THEN TIMESTAMP '{TS2}' ELSE effective_end_date END, NOT hit FROM {t}_now
 UNION ALL
 SELECT {scols}, TIMESTAMP '{TS2}', TIMESTAMP '{TS2}', TRUE FROM {t}_s2 s
-  WHERE NOT EXISTS (SELECT 1 FROM {t}_kept a WHERE {keyeq})"""),
+  LEFT JOIN {t}_keptkeys k ON {same_key} WHERE k.held IS NULL"""),
     ]
 
 

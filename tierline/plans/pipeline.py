@@ -8,9 +8,9 @@
 * ``refine_table``: silver consumes *every* landed run that its ledger doesn't
   list, in run order, also one that landed late (never just "the latest files", which
   would lose an increment when two ingests run before one refine). Each
-  run is published as its own snapshot, so a crash resumes where it stopped.
+  run is merged by itself, so a crash resumes where it stopped.
   A full-refresh table takes its newest run and refuses an empty one.
-* ``serve``: the five gold marts from the current silver snapshots,
+* ``serve``: the five gold marts from the current silver tables,
   created once (``CREATE TABLE IF NOT EXISTS ... AS``) or refreshed.
 * ``archive``: move runs already published to silver out of landing.
 
@@ -28,9 +28,9 @@ from tierline.functions.time import run_metadata
 from tierline.operators import gold
 from tierline.operators.audit import FAILED, SUCCESS, append, audit_row, log_rows, read_audit, status_row
 from tierline.operators.refresh import full_refresh
-from tierline.operators.scd2 import empty_target, scd2_merge
+from tierline.operators.scd2 import empty_target
 from tierline.operators.watermark import last_id_value, latest_watermark_value, observed
-from tierline.plans.publish import SnapshotStore, create_if_absent, overwrite
+from tierline.plans.publish import SilverTables, buckets_for, create_if_absent, overwrite
 from tierline.schemas import INCREMENTAL, REGISTRY, SCD2, TableSpec
 from tierline.session import input_bytes, size_shuffle_partitions
 from tierline.sources.bronze import read_bronze_runs
@@ -165,42 +165,32 @@ def ingest_config(spark: SparkSession, sources: dict, config_path: str, layout:
 
 def refine_table(spark: SparkSession, spec: TableSpec, layout: Layout, as_of: dt.datetime,
                  allow_empty: bool = False, **merge_kwargs) -> str | None:
-    """Publish silver for every pending landed run of ``spec``; returns the current snapshot id."""
-    store = SnapshotStore(spark, layout.silver)
+    """Take every pending landed run of ``spec`` into silver; returns the latest run of the table."""
+    store = SilverTables(spark, layout.silver)
     runs = _pending(spark, store, layout, spec.name)
-    if not runs:
-        return store.latest_id(spec.name)
     if spec.silver_policy == SCD2:
-        schema = spec.silver_schema()
-        target = store.read(spec.name, schema)
         for run in runs:
-            # one query from the landed files and the silver snapshot: a lost
-            # executor recomputes a short stage chain, so nothing is cut
             batch = read_bronze_runs(spark, layout.landing, spec, runs=[run])
             if batch.isEmpty():         # an increment without rows changes nothing
                 store.record(spec.name, run)
                 continue
-            result = scd2_merge(target, batch, spec, as_of, **merge_kwargs)
-            target = store.publish_scd2(spec.name, result, store.next_id(spec.name, run), schema)
-        return store.latest_id(spec.name)
-    newest, last = runs[-1], store.latest_id(spec.name)
-    if last is not None and newest < last:
-        # late runs of a table that is replaced whole: a newer extract is published already
-        for run in runs:
+            store.merge(spec.name, batch, run, spec, as_of, buckets_for(input_bytes(spark, [layout.landing])), **merge_kwargs)
+    elif runs:
+        newest, done = runs[-1], store.runs(spec.name)
+        # late runs of a table that is replaced whole: a newer extract may be published already
+        if not done or newest > done[-1]:
+            batch = read_bronze_runs(spark, layout.landing, spec, runs=[newest])
+            if not allow_empty and batch.isEmpty():
+                raise ValueError(f"refusing to replace silver {spec.name} with an empty batch (run {newest})")
+            store.refresh(spec.name, full_refresh(batch, spec), newest, spec)
+        for run in runs:                # the older ones are replaced by the newest
             store.record(spec.name, run)
-        return last
-    batch = read_bronze_runs(spark, layout.landing, spec, runs=[newest])
-    if not allow_empty and batch.isEmpty():
-        raise ValueError(f"refusing to replace silver {spec.name} with an empty batch (run {newest})")
-    store.publish(spec.name, full_refresh(batch, spec), newest)
-    for run in runs:                    # the older ones are replaced by the newest
-        store.record(spec.name, run)
-    return newest
+    return next(reversed(store.runs(spec.name)), None)
 
 
-def _pending(spark: SparkSession, store: SnapshotStore, layout: Layout, table: str) -> list[str]:
+def _pending(spark: SparkSession, store: SilverTables, layout: Layout, table: str) -> list[str]:
     """Landed runs that silver hasn't taken in, in order, whenever they landed."""
-    return pending_runs(spark, layout.landing, table, store.published(table))
+    return pending_runs(spark, layout.landing, table, set(store.runs(table)))
 
 
 def refine(spark: SparkSession, layout: Layout, as_of: dt.datetime, tables=None, **kwargs) -> dict:
@@ -211,10 +201,10 @@ def refine(spark: SparkSession, layout: Layout, as_of: dt.datetime, tables=None,
 
 
 def silver(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    store = SnapshotStore(spark, layout.silver)
+    store = SilverTables(spark, layout.silver)
     out = {}
     for name, spec in REGISTRY.items():
-        df = store.read(name, spec.silver_schema())
+        df = store.read(name, spec)
         out[name] = df if df is not None else (
             empty_target(spark, spec) if spec.silver_policy == SCD2 else spark.createDataFrame([], spec.silver_schema()))
     return out
@@ -234,7 +224,7 @@ def serve(spark: SparkSession, layout: Layout, as_of: dt.date, refresh: bool = F
 
 def archive(spark: SparkSession, layout: Layout, tables=None) -> dict[str, list[str]]:
     """Move landed runs that silver has already published to the archive."""
-    store = SnapshotStore(spark, layout.silver)
+    store = SilverTables(spark, layout.silver)
     moved = {}
     for name in (tables or REGISTRY):
         keep = _pending(spark, store, layout, name)

@@ -1,38 +1,36 @@
-"""Publishing layer tables as Parquet (no MERGE-capable format needed).
-
-* ``materialize``: write a DataFrame once under the shared checkpoint root
-  and read it back. It cuts lineage (a retry after a lost executor re-reads
-  files instead of recomputing the whole upstream), and the reader gets
-  column pruning, filter pushdown and real size statistics.
-* ``SnapshotStore``: versioned silver tables. A full-refresh table writes a
-  complete snapshot per run. An SCD2 table is stored as two parts:
-  ``history/run=<id>/`` holds only the versions that run *closed* (history is
-  append-only, never rewritten), and ``active/snapshot=<id>/`` holds the live
-  versions after the run. The newest snapshot with a ``_SUCCESS`` marker is
-  current; history of later (uncommitted) runs is ignored by a partition
-  filter. A job that dies half-way leaves no marker, so the publish is
-  atomic for readers, and a retry overwrites its own run folders. Readers
-  see ``is_active`` as a constant per part, so a query on live versions
-  prunes the history part at planning time and reads none of its files.
-* ``Scratch``: intermediate results written once under the shared
-  checkpoint root (lineage cuts), deleted when the run has published.
-  ``_runs/<id>`` is the ledger of runs a table has taken in. A run that lands
-  late, with an id before the newest snapshot's, is published after it under
-  the id ``<newest>.<run>``, so snapshots always sort in the order of publishing.
+"""Publishing layer tables as plain Parquet folders (no MERGE-capable format needed).
+
+* ``SilverTables``: the silver tables. An SCD2 table is one Parquet table
+  partitioned by ``is_active`` and ``slot``. A live version lies in the slot of
+  its key's hash bucket (``b<bucket>-<buckets>``), a version that run <id> closed
+  in ``r<id>``, and live rows without a key, which nothing can match again,
+  in the slot ``n<id>`` of the run that brought them. A run reads the live rows
+  of the buckets its batch touches, merges, and replaces those buckets only, by
+  a dynamic partition overwrite: all other files stay as they are. A query
+  on live versions prunes the closed ones, and a run the buckets it doesn't touch, at planning time.
+* Runs can be repeated. The merged buckets are written to ``_merge/<run>``
+  first, which also cuts the lineage; once that write has completed, the buckets are replaced from it, as
+  often as it takes, before any other run is merged. A job that fails
+  before leaves the table as it was. ``_runs/<id>`` lists the runs a table has
+  taken in. While buckets are replaced a reader may see some of them
+  before and some after the run, as with any overwrite of Parquet folders.
 * ``create_if_absent`` / ``overwrite``: CTAS-if-absent (the reference's
   gold ``CREATE TABLE IF NOT EXISTS ... AS``) and refresh, both written to a
-  staging folder and renamed: a failed job leaves what was there.
+  staging folder and renamed. The folder that was there stays beside it until then, and is
+  put back if a crash came in between: a failed job leaves what was there.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.schemas import IS_ACTIVE
-from tierline.session import scratch_root
+from tierline.operators.scd2 import CLOSED, FATE, prepare_batch, scd2_merge
+from tierline.schemas import IS_ACTIVE, TableSpec
 
 
 def _jvm_fs(spark: SparkSession, path: str):
@@ -69,11 +67,6 @@ def make_dirs(spark: SparkSession, path: str) -> None:
     fs.mkdirs(hpath)
 
 
-def touch(spark: SparkSession, path: str) -> None:
-    fs, hpath, _ = _jvm_fs(spark, path)
-    fs.create(hpath, True).close()
-
-
 def move_dir(spark: SparkSession, src: str, dst: str) -> bool:
     """Rename folder ``src`` to ``dst`` (replacing ``dst``); False when ``src`` is absent.
 
@@ -95,173 +88,133 @@ def move_dir(spark: SparkSession, src: str, dst: str) -> bool:
 def publish_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
     """``write`` a complete folder beside ``path``, then rename it into place; a failed write changes nothing."""
     parent, _, name = path.rstrip("/").rpartition("/")
-    staging = f"{parent}/{STAGING}-{name}"
+    staging, before = f"{parent}/_staging-{name}", f"{parent}/_before-{name}"
+    restore(spark, path)
     delete_path(spark, staging)
     write(staging)
+    move_dir(spark, path, before)
     move_dir(spark, staging, path)
+    delete_path(spark, before)
 
 
-def read_with_schema(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
-
+def restore(spark: SparkSession, path: str) -> None:
+    """Put back the folder that ``publish_folder`` had moved aside when it crashed before the new one was in place."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    if not path_exists(spark, path):
+        move_dir(spark, f"{parent}/_before-{name}", path)
 
-def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None,
-                path: str | None = None) -> DataFrame:
-    spark = df.sparkSession
-    path = path or scratch_root(spark, label)
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return read_with_schema(spark, path, df.schema)
 
+def read_with_schema(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
-class Scratch:
-    """Lineage cuts for one run: written under the shared checkpoint root, then removed."""
 
-    def __init__(self, spark: SparkSession, label: str = "run"):
-        self.spark = spark
-        self.root = scratch_root(spark, label)
-        self._n = 0
+SLOT = "slot"
+BUCKETS = 32                # of a new table, at least
+BUCKET_BYTES = 256 << 20    # of landed rows a bucket of a new table is meant for
+_RUNS, _MERGE = "_runs", "_merge"   # leading underscore: ignored by Parquet readers of the table
 
-    def cut(self, df: DataFrame, label: str) -> DataFrame:
-        self._n += 1
-        return materialize(df, label, path=f"{self.root}/{self._n:03d}-{label}")
 
-    def cleanup(self) -> None:
-        fs, hpath, _ = _jvm_fs(self.spark, self.root)
-        if fs.exists(hpath):
-            fs.delete(hpath, True)
+def buckets_for(total_bytes: int) -> int:
+    """Buckets of a new table from the size of its first batch."""
+    return max(BUCKETS, -(-total_bytes // BUCKET_BYTES))
 
 
-HISTORY = "history"
-ACTIVE = "active"
-RUN = "run"
-STAGING = "_staging"    # leading underscore: ignored by Parquet readers of the table
-_DEST = "_dest"
-LEDGER = "_runs"
+def bucket_slot(keys, buckets: int) -> Column:
+    """The slot of a live version; null if a key column is."""
+    named = F.format_string(f"b%05d-{buckets}", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+    return F.when(F.concat(*[F.col(k).cast("string") for k in keys]).isNotNull(), named)
 
 
-class SnapshotStore:
-    """Versioned tables under ``root/<table>/`` (see the module docstring)."""
+class SilverTables:
+    """Silver tables under ``root/<table>/`` (see the module docstring)."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _table_dir(self, table: str) -> str:
+    def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _snap_parent(self, table: str) -> str:
-        scd2 = f"{self._table_dir(table)}/{ACTIVE}"
-        return scd2 if path_exists(self.spark, scd2) else self._table_dir(table)
+    def runs(self, table: str) -> list[str]:
+        """The runs the table has taken in, in the order of their ids."""
+        return list_dirs(self.spark, f"{self.path(table)}/{_RUNS}")
 
-    def snapshots(self, table: str) -> list[str]:
-        """Completed snapshot ids, oldest first."""
-        parent = self._snap_parent(table)
-        done = []
-        for name in list_dirs(self.spark, parent):
-            if name.startswith("snapshot=") and path_exists(self.spark, f"{parent}/{name}/_SUCCESS"):
-                done.append(name.split("=", 1)[1])
-        return done
+    def record(self, table: str, run: str) -> None:
+        make_dirs(self.spark, f"{self.path(table)}/{_RUNS}/{run}")
 
-    def published(self, table: str) -> set[str]:
-        """The runs the table has taken in: the ledger, and snapshots whose ledger entry a crash prevented."""
-        ledger = list_dirs(self.spark, f"{self._table_dir(table)}/{LEDGER}")
-        return {*ledger, *(s.rpartition(".")[2] for s in self.snapshots(table))}
+    def read(self, table: str, spec: TableSpec) -> DataFrame | None:
+        """The table, or None before its first run."""
+        rows = self._slots(table, spec)
+        return None if rows is None else rows.select(*spec.silver_schema().names)
 
-    def record(self, table: str, run: str) -> None:
-        make_dirs(self.spark, f"{self._table_dir(table)}/{LEDGER}/{run}")
+    def _slots(self, table: str, spec: TableSpec) -> DataFrame | None:
+        base, schema = self.path(table), spec.silver_schema()
+        if not self.runs(table):
+            return None
+        if IS_ACTIVE not in schema.names:
+            restore(self.spark, f"{base}/current")
+            return self.spark.read.schema(schema).parquet(f"{base}/current")
+        return self.spark.read.schema(_stored(spec)).parquet(base)
 
-    def next_id(self, table: str, run: str) -> str:
-        """The snapshot id for ``run``: its own, or one after the newest if it comes late."""
-        last = self.latest_id(table)
-        return run if last is None or run > last else f"{last}.{run}"
+    def refresh(self, table: str, df: DataFrame, run: str, spec: TableSpec) -> DataFrame:
+        """Replace a full-refresh table by the rows of a run."""
+        publish_folder(self.spark, f"{self.path(table)}/current", df.write.parquet)
+        self.record(table, run)
+        return self.read(table, spec)
 
-    def latest_id(self, table: str) -> str | None:
-        snaps = self.snapshots(table)
-        return snaps[-1] if snaps else None
+    def merge(self, table: str, batch: DataFrame, run: str, spec: TableSpec, as_of: dt.datetime, buckets: int = BUCKETS, **kwargs) -> DataFrame:
+        """Merge the batch of a run into an SCD2 table; a run already taken in changes nothing.
 
-    def read(self, table: str, schema: T.StructType, snapshot: str | None = None) -> DataFrame | None:
-        snapshot = snapshot or self.latest_id(table)
-        if snapshot is None:
-            return None
-        if path_exists(self.spark, f"{self._table_dir(table)}/{ACTIVE}"):
-            return self._read_scd2(table, schema, snapshot)
-        return read_with_schema(self.spark, f"{self._table_dir(table)}/snapshot={snapshot}", schema)
-
-    def _read_scd2(self, table: str, schema: T.StructType, snapshot: str) -> DataFrame:
-        from pyspark.sql import functions as F
-        base = self._table_dir(table)
-        payload = T.StructType([f for f in schema.fields if f.name != IS_ACTIVE])
-        active = self.spark.read.schema(payload).parquet(f"{base}/{ACTIVE}/snapshot={snapshot}") \
-            .withColumn(IS_ACTIVE, F.lit(True))
-        out = active.select(*schema.names)
-        if path_exists(self.spark, f"{base}/{HISTORY}"):
-            hist_schema = T.StructType(list(payload.fields) + [T.StructField(RUN, T.StringType(), True)])
-            hist = self.spark.read.schema(hist_schema).parquet(f"{base}/{HISTORY}") \
-                .where(F.col(RUN) <= F.lit(snapshot)).withColumn(IS_ACTIVE, F.lit(False))
-            out = out.unionByName(hist.select(*schema.names))
-        return out
-
-    def publish_scd2(self, table: str, result, snapshot: str, schema: T.StructType) -> DataFrame:
-        """Publish one SCD2 run from an ``Scd2Result`` as a single job.
-
-        Closed and live versions are written together, partitioned by their
-        destination, into a staging folder; the two partitions are then
-        renamed into place (``history/run=<id>``, ``active/snapshot=<id>``)
-        and the snapshot's ``_SUCCESS`` marker is created last. One query
-        plans both outputs, so Spark reuses each exchange of the batch and
-        of the target across the semi/anti joins that feed them (two separate
-        writes would shuffle both sides again). A crash before the marker
-        leaves the run invisible; a retry overwrites staging and replaces
-        whatever folders the crashed attempt moved.
+        ``buckets`` counts for a new table only.
         """
-        from pyspark.sql import functions as F
-        base = self._table_dir(table)
-        first = self.latest_id(table) is None
-        closed = result.closed.unionByName(result.history) if first else result.closed
-        rows = closed.drop(IS_ACTIVE).withColumn(_DEST, F.lit(HISTORY)).unionByName(
-            result.active().drop(IS_ACTIVE).withColumn(_DEST, F.lit(ACTIVE)))
-        staging = f"{base}/{STAGING}/{RUN}={snapshot}"
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "static") \
-            .partitionBy(_DEST).parquet(staging)
-        history_dir = f"{base}/{HISTORY}/{RUN}={snapshot}"
-        active_dir = f"{base}/{ACTIVE}/snapshot={snapshot}"
-        if not move_dir(self.spark, f"{staging}/{_DEST}={HISTORY}", history_dir):
-            delete_path(self.spark, history_dir)    # what a crashed attempt at this run has left
-        if not move_dir(self.spark, f"{staging}/{_DEST}={ACTIVE}", active_dir):
-            make_dirs(self.spark, active_dir)       # no live version: an empty snapshot
-        touch(self.spark, f"{active_dir}/_SUCCESS")  # the commit
-        self.record(table, snapshot.rpartition(".")[2])
-        delete_path(self.spark, staging)
-        return self._read_scd2(table, schema, snapshot)
-
-    def vacuum(self, table: str, keep: int = 2) -> list[str]:
-        """Delete all but the newest ``keep`` committed snapshots (history is never deleted)."""
-        snaps = self.snapshots(table)
-        parent = self._snap_parent(table)
-        dropped = snaps[:-keep] if keep > 0 else snaps
-        for snap in dropped:
-            fs, hpath, _ = _jvm_fs(self.spark, f"{parent}/snapshot={snap}")
-            fs.delete(hpath, True)
-        return dropped
-
-    def publish(self, table: str, df: DataFrame, snapshot: str) -> DataFrame:
-        """Write a full snapshot (idempotent per snapshot id) and return it, read back."""
-        path = f"{self._table_dir(table)}/snapshot={snapshot}"
-        # A snapshot is written whole: static overwrite, which also leaves the
-        # job's _SUCCESS marker at the snapshot root (the commit flag readers use).
-        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        if IS_ACTIVE in df.columns:
-            writer = writer.partitionBy(IS_ACTIVE)
-        writer.parquet(path)
-        self.record(table, snapshot.rpartition(".")[2])
-        return read_with_schema(self.spark, path, df.schema)
+        base = self.path(table)
+        self.finish(table, spec)
+        if run in self.runs(table):
+            return self.read(table, spec)
+        stored = self._slots(table, spec)
+        src, target = prepare_batch(batch, spec), None
+        if stored is None:
+            delete_path(self.spark, base)       # what a crashed first load has left
+        else:
+            buckets = self.buckets(table) or buckets
+            # the names of the buckets the batch touches: at most as many as there are
+            touched = [r[0] for r in batch.select(bucket_slot(spec.keys, buckets).alias(SLOT)).where(f"{SLOT} is not null").distinct().collect()]
+            target = stored.where(F.col(IS_ACTIVE) & F.col(SLOT).isin(touched))
+        src = src.withColumn(SLOT, F.coalesce(bucket_slot(spec.keys, buckets), F.lit(f"n{run}")))
+        merged = scd2_merge(target, src, spec, as_of, prepared=True, spread=SLOT, **kwargs).merged
+        merged = merged.withColumn(SLOT, F.when(F.col(FATE) == CLOSED, f"r{run}").otherwise(F.col(SLOT))).drop(FATE)
+        if stored is None:
+            merged.repartition(SLOT).write.partitionBy(IS_ACTIVE, SLOT).parquet(base)
+            self.record(table, run)
+        else:
+            merged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(IS_ACTIVE, SLOT).parquet(f"{base}/{_MERGE}/{run}")
+            self.finish(table, spec)
+        return self.read(table, spec)
+
+    def finish(self, table: str, spec: TableSpec) -> None:
+        """Replace the buckets of a merged run by what it has written; whatever was interrupted before that is dropped."""
+        base, done = self.path(table), set(self.runs(table))
+        for run in list_dirs(self.spark, f"{base}/{_MERGE}"):
+            written = f"{base}/{_MERGE}/{run}"
+            if run not in done and path_exists(self.spark, f"{written}/_SUCCESS"):
+                self.spark.read.schema(_stored(spec)).parquet(written).write.mode("overwrite") \
+                    .option("partitionOverwriteMode", "dynamic").partitionBy(IS_ACTIVE, SLOT).parquet(base)
+                self.record(table, run)
+            delete_path(self.spark, written)
+
+    def buckets(self, table: str) -> int | None:
+        """How many buckets a stored table has, from the name of one."""
+        named = [n for n in list_dirs(self.spark, f"{self.path(table)}/{IS_ACTIVE}=true") if n.startswith(f"{SLOT}=b")]
+        return int(named[0].rpartition("-")[2]) if named else None
+
+
+def _stored(spec: TableSpec) -> T.StructType:
+    return T.StructType([*spec.silver_schema().fields, T.StructField(SLOT, T.StringType())])
 
 
 def create_if_absent(df: DataFrame, path: str) -> DataFrame:
     """``CREATE TABLE IF NOT EXISTS ... AS``: a no-op if a job has completed the table."""
+    restore(df.sparkSession, path)
     if not path_exists(df.sparkSession, f"{path}/_SUCCESS"):
         return overwrite(df, path)
     return read_with_schema(df.sparkSession, path, df.schema)

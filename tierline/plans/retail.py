@@ -15,37 +15,28 @@ from pyspark.sql import functions as F
 from tierline.functions.time import ts_text
 from tierline.operators import gold
 from tierline.operators.refresh import full_refresh
-from tierline.operators.scd2 import scd2_merge
-from tierline.plans.publish import SnapshotStore
+from tierline.plans.publish import SilverTables
 from tierline.schemas import EFFECTIVE_END, EFFECTIVE_START, SCD2
 from tierline.session import scratch_root
 from tierline.sources import retail
 from tierline.sources.retail import AS_OF_1, AS_OF_2, GOLD_AS_OF, SPECS
 
 
-def publish_run(spark: SparkSession, sf_dir: str, store: SnapshotStore, table: str, number: int,
+def publish_run(spark: SparkSession, sf_dir: str, store: SilverTables, table: str, number: int,
                 **kwargs) -> DataFrame:
-    """Run ``number`` (1 or 2) of silver ``table``: merge its extract and publish it.
-
-    SCD2 tables write only the closed versions and the new live set, in one
-    job (``SnapshotStore.publish_scd2``): its lineage is a single query from
-    Parquet files, so no intermediate cut is written.
-    """
+    """Run ``number`` (1 or 2) of silver ``table``: merge its extract and publish it."""
     spec = SPECS[table]
     batch = retail.batch(spark, sf_dir, table, number)
     run_id = f"run{number}"
     if spec.silver_policy != SCD2:
-        return store.publish(table, full_refresh(batch, spec), run_id)
-    as_of = AS_OF_1 if number == 1 else AS_OF_2
-    target = store.read(table, spec.silver_schema())
-    result = scd2_merge(target, batch, spec, as_of, **kwargs)
-    return store.publish_scd2(table, result, run_id, spec.silver_schema())
+        return store.refresh(table, full_refresh(batch, spec), run_id, spec)
+    return store.merge(table, batch, run_id, spec, AS_OF_1 if number == 1 else AS_OF_2, **kwargs)
 
 
-def silver_table(spark: SparkSession, sf_dir: str, table: str, store: SnapshotStore | None = None,
+def silver_table(spark: SparkSession, sf_dir: str, table: str, store: SilverTables | None = None,
                  **kwargs) -> DataFrame:
     """Silver ``table`` after runs 1 and 2, each published as a daily pipeline does."""
-    store = store or SnapshotStore(spark, scratch_root(spark, "silver"))
+    store = store or SilverTables(spark, scratch_root(spark, "silver"))
     if SPECS[table].silver_policy == SCD2:
         publish_run(spark, sf_dir, store, table, 1, **kwargs)
     return publish_run(spark, sf_dir, store, table, 2, **kwargs)
@@ -53,7 +44,7 @@ def silver_table(spark: SparkSession, sf_dir: str, table: str, store: SnapshotSt
 
 def silver_tables(spark: SparkSession, sf_dir: str, tables=None) -> dict[str, DataFrame]:
     """All (or some) silver tables after run 2, published under one store."""
-    store = SnapshotStore(spark, scratch_root(spark, "silver"))
+    store = SilverTables(spark, scratch_root(spark, "silver"))
     return {name: silver_table(spark, sf_dir, name, store) for name in (tables or SPECS)}
 
 

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from tierline.operators.refresh import full_refresh
-from tierline.operators.scd2 import Scd2Result, scd2_merge
+from tierline.operators.scd2 import scd2_merge
 from tierline.schemas import FULL_REFRESH_TABLES, REGISTRY, SCD2, SCD2_TABLES
 
 
@@ -26,11 +26,6 @@ def refine(spark: SparkSession, table: str, target: DataFrame | None, batch: Dat
     return full_refresh(batch, spec)
 
 
-def refine_scd2(spark: SparkSession, table: str, target: DataFrame | None, batch: DataFrame,
-                as_of: dt.datetime, **kwargs) -> Scd2Result:
-    return scd2_merge(target, batch, REGISTRY[table], as_of, **kwargs)
-
-
 def replay(spark: SparkSession, table: str, runs: list[tuple[DataFrame, dt.datetime]],
            target: DataFrame | None = None, **kwargs) -> DataFrame:
     """Apply runs in order (SCD2), or take the last run (full refresh)."""
@@ -43,4 +38,4 @@ def replay(spark: SparkSession, table: str, runs: list[tuple[DataFrame, dt.datet
     return current
 
 
-__all__ = ["refine", "refine_scd2", "replay", "SCD2_TABLES", "FULL_REFRESH_TABLES"]
+__all__ = ["refine", "replay", "SCD2_TABLES", "FULL_REFRESH_TABLES"]
