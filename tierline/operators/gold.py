@@ -174,9 +174,15 @@ def product_performance(silver: Mapping[str, DataFrame], mode: str = FAITHFUL,
         (F.coalesce("n_texts", F.lit(0)) * review_mult).cast("bigint").alias("total_reviews"))
 
 
+def _spread(dim: DataFrame, key: str) -> DataFrame:
+    """A dimension in as many partitions as a shuffle has: if the facts are small enough to be broadcast, its few files would make few tasks of the whole fan-out."""
+    return dim.repartition(int(dim.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _product_performance_naive(silver: Mapping[str, DataFrame], mode: str) -> DataFrame:
     """The reference's literal six-way left join, for comparison and tests."""
     p, c, ps, s = _gd3_dims(silver, mode)
+    p = _spread(p, "product_id")
     lines = _lines(silver, mode).select("product_id", "quantity", "value")
     reviews = _live(silver["customer_reviews"], mode).select("product_id", "rating", "review_text")
     joined = p.join(c, "category_id", "left").join(ps, "product_id", "left") \
@@ -203,7 +209,7 @@ def supplier_analysis(silver: Mapping[str, DataFrame], mode: str = FAITHFUL,
     ps = _live(silver["product_suppliers"], mode).select("supplier_id", "product_id")
     lines = _lines(silver, mode)
     if strategy == "naive":
-        joined = s.join(ps, "supplier_id", "left").join(
+        joined = _spread(s, "supplier_id").join(ps, "supplier_id", "left").join(
             lines.select("product_id", "quantity", "value"), "product_id", "left")
         return joined.groupBy("supplier_id", "supplier_name").agg(
             F.countDistinct("product_id").alias("total_products_supplied"),

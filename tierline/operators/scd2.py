@@ -17,15 +17,15 @@ table (expire, then insert), written in closed form:
 Physical shape: live versions and batch rows are one tagged union that is
 exchanged by key once. Inside a key's rows, window aggregates classify every version:
 
-* a live version changes if a batch row differs from it in some tracked column. That
-  is so exactly when the least or the greatest value of that column among the
-  key's batch rows differs from its own (both ignore NULLs, as the comparison does);
-* a batch row opens a version if no live version of its key is kept;
-* two batch rows change the same version if two different rows are among the two
-  least and two greatest of each column that differ from it. That finds every
-  conflict: rows that differ in one column are on one side of the
-  version's value (then its two least or two greatest do) or on both (its least and greatest do),
-  and a row that alone differs in its column is the least or greatest there.
+* a live version whose key has one batch row changes if that row differs from it;
+* of the few keys with several batch rows, an extra row of the union carries, for each
+  tracked column, the two least and the two greatest values with the rows they
+  are from (made from the batch alone). A live version changes if the least or greatest value differs from
+  its own (both ignore NULLs, as the comparison does), which is so exactly when any does. Two batch rows change the same version if two
+  different rows are among those that differ. That finds every conflict: rows that differ in one
+  column are on one side of the version's value (then its two least or two greatest do) or on both
+  (its least and greatest do), and a row that alone differs in its column is the least or greatest there;
+* a batch row opens a version if no live version of its key is kept.
 
 So the target is exchanged and sorted once, however large the batch; no list of a
 key's rows is ever built, and windows spill. Rows with a NULL key can never
@@ -48,7 +48,8 @@ from tierline.schemas import EFFECTIVE_END, EFFECTIVE_START, IS_ACTIVE, IS_QUARA
 
 FATE = "_fate"
 CLOSED, KEPT, OPENED = "closed", "kept", "opened"
-_BATCH, _ROW, _N, _KEPT, _CHANGED, _CONFLICT = "_batch", "_row", "_n", "_n_kept", "_changed", "_conflict"
+_KIND, _LIVE, _NEW, _ENDS = "_kind", "live", "new", "ends"
+_N, _ONE, _KEPT, _CHANGED, _CONFLICT = "_n", "_one", "_n_kept", "_changed", "_conflict"
 
 
 @dataclass
@@ -139,13 +140,13 @@ def scd2_merge(target: DataFrame | None, batch: DataFrame, spec: TableSpec, as_o
     history = target.where(~F.coalesce(is_active, F.lit(False))).select(*silver)
     present = _keys_present(keys)
 
-    live = active.where(present).select(*cols, EFFECTIVE_START, EFFECTIVE_END, *extra, F.lit(False).alias(_BATCH), F.lit(None).cast("long").alias(_ROW))
-    new = src.where(present).select(*cols, stamp.alias(EFFECTIVE_START), stamp.alias(EFFECTIVE_END), *extra, F.lit(True).alias(_BATCH),
-                                    F.monotonically_increasing_id().alias(_ROW))
-    rows = live.unionByName(new)
+    keyed = src.where(present)
+    live = active.where(present).select(F.lit(_LIVE).alias(_KIND), *cols, EFFECTIVE_START, EFFECTIVE_END, *extra)
+    new = keyed.select(F.lit(_NEW).alias(_KIND), *cols, stamp.alias(EFFECTIVE_START), stamp.alias(EFFECTIVE_END), *extra)
+    rows = live.unionByName(new).unionByName(_ends(keyed, [*extra, *keys], spec, null_safe), allowMissingColumns=True)
     if spread:
         rows = rows.repartition(spread)
-    rows = _fated(_classified(rows, Window.partitionBy(*extra, *keys), spec, strict, null_safe), spec)
+    rows = _fated(_classified(rows, Window.partitionBy(*extra, *keys), spec, null_safe), spec, strict)
     merged = rows.where(F.col(FATE).isNotNull()).select(
         *cols, EFFECTIVE_START, F.when(F.col(FATE) == CLOSED, stamp).otherwise(F.col(EFFECTIVE_END)).alias(EFFECTIVE_END),
         (F.col(FATE) != CLOSED).alias(IS_ACTIVE), *extra, FATE)
@@ -167,52 +168,55 @@ def initial_load(batch: DataFrame, spec: TableSpec, as_of: dt.datetime,
     return Scd2Result(empty_target(batch.sparkSession, spec), opened, spec.silver_schema().names)
 
 
-def _classified(rows: DataFrame, key: Window, spec: TableSpec, strict: bool, null_safe: bool) -> DataFrame:
-    """``rows`` (live versions and batch rows of keys) with whether each version changes, is in conflict, and how many of its key are kept."""
-    tracked, is_batch = list(spec.tracked), F.col(_BATCH)
+def _ends(src: DataFrame, keys: list[str], spec: TableSpec, null_safe: bool) -> DataFrame:
+    """One row for each key with several batch rows: of each tracked column the two least and greatest values, each with the row it is from.
 
-    def of_batch(c: str) -> Column:
-        return F.when(is_batch, F.col(c))
-
-    rows = rows.withColumns({_N: F.count(F.when(is_batch, 1)).over(key),
-                             **{f"_lo_{c}": F.min(of_batch(c)).over(key) for c in tracked},
-                             **{f"_hi_{c}": F.max(of_batch(c)).over(key) for c in tracked},
-                             **({f"_nn_{c}": F.count(of_batch(c)).over(key) for c in tracked} if null_safe else {})})
-
-    def differs(c: str) -> Column:
-        """Does some batch row of the key differ in column ``c``?"""
-        other = (F.col(c) != F.col(f"_lo_{c}")) | (F.col(c) != F.col(f"_hi_{c}"))
-        if not null_safe:
-            return F.coalesce(other, F.lit(False))
-        some = F.col(f"_nn_{c}")
-        return F.when(F.col(c).isNull(), some > 0).otherwise((some < F.col(_N)) | F.coalesce(other, F.lit(False)))
-
-    rows = rows.withColumn(_CHANGED, ~is_batch & reduce(or_, [differs(c) for c in tracked], F.lit(False)))
-    kept = F.count(F.when(~is_batch & ~F.col(_CHANGED), 1)).over(key)
-    if not strict:
-        return rows.withColumns({_KEPT: kept, _CONFLICT: F.lit(False)})
-
-    # Only keys with several batch rows can conflict; for all others these are NULLs.
-    several = is_batch & (F.col(_N) > 1)
-    value = {c: F.when(several if null_safe else several & F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), F.col(_ROW).alias("row"))) for c in tracked}
-    rows = rows.withColumns({_KEPT: kept, **{f"_min_{c}": F.min(value[c]).over(key) for c in tracked}, **{f"_max_{c}": F.max(value[c]).over(key) for c in tracked}})
+    A column NULL in every batch row has none, unless NULL counts as a value.
+    """
+    several = src.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N)).where(F.col(_N) > 1).select(*keys)
+    rows = src.join(several, keys, "left_semi").withColumn("_row", F.monotonically_increasing_id())
+    key = Window.partitionBy(*keys)
+    value = {c: F.when(F.lit(null_safe) | F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), F.col("_row").alias("row"))) for c in spec.tracked}
 
     def beside(c: str, end: str) -> Column:
         """The values but the one at that end."""
         return F.when(value[c] != F.col(f"_{end}_{c}"), value[c])
 
-    rows = rows.withColumns({**{f"_min2_{c}": F.min(beside(c, "min")).over(key) for c in tracked}, **{f"_max2_{c}": F.max(beside(c, "max")).over(key) for c in tracked}})
-    changing = []
-    for c in tracked:
-        for end in ("min", "min2", "max", "max2"):
-            seen = F.col(f"_{end}_{c}")
-            other = ~seen["v"].eqNullSafe(F.col(c)) if null_safe else seen["v"] != F.col(c)
-            changing.append(F.when(seen.isNotNull() & other, seen["row"]))
-    return rows.withColumn(_CONFLICT, F.col(_CHANGED) & (F.col(_N) > 1) & (F.size(F.array_distinct(F.array_compact(F.array(*changing)))) > 1))
-
-
-def _fated(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    """``rows`` with their FATE, null for batch rows that open nothing; a conflict fails the job."""
-    message = F.concat(F.lit(f"scd2_merge({spec.name}): several batch rows change one active version, key="), F.to_json(F.struct(*spec.keys)))
-    fate = F.when(F.col(_BATCH), F.when(F.col(_KEPT) == 0, OPENED)).when(F.col(_CHANGED), CLOSED).otherwise(KEPT)
-    return rows.withColumn(FATE, F.when(F.col(_CONFLICT), F.raise_error(message).cast("string")).otherwise(fate))
+    rows = rows.withColumns({**{f"_min_{c}": F.min(v).over(key) for c, v in value.items()}, **{f"_max_{c}": F.max(v).over(key) for c, v in value.items()}})
+    found = {c: [F.col(f"_min_{c}"), F.min(beside(c, "min")), F.col(f"_max_{c}"), F.max(beside(c, "max"))] for c in spec.tracked}
+    ends = [F.struct(*[(e if k % 2 == 0 else e.over(key)).alias(n) for k, (n, e) in enumerate(zip(("min", "min2", "max", "max2"), found[c]))]).alias(c)
+            for c in spec.tracked]
+    return rows.select(F.lit(_ENDS).alias(_KIND), *keys, F.struct(*ends).alias(_ENDS), (F.col("_row") == F.min("_row").over(key)).alias("_one")) \
+        .where("_one").drop("_one")
+
+
+def _classified(rows: DataFrame, key: Window, spec: TableSpec, null_safe: bool) -> DataFrame:
+    """``rows`` (live versions, batch rows, ends) with whether each version changes, is in conflict, and how many of its key are kept."""
+    tracked, live, new = list(spec.tracked), F.col(_KIND) == _LIVE, F.col(_KIND) == _NEW
+    rows = rows.withColumns({_N: F.count(F.when(new, 1)).over(key), _ENDS: F.first(_ENDS, ignorenulls=True).over(key),
+                             _ONE: F.first(F.when(new, F.struct(*tracked)), ignorenulls=True).over(key)})
+
+    def other(value: Column, c: str) -> Column:
+        return ~value.eqNullSafe(F.col(c)) if null_safe else F.coalesce(value != F.col(c), F.lit(False))
+
+    def end(c: str, which: str) -> Column:
+        """Where a version differs from that value, the row the value is from."""
+        seen = F.col(_ENDS)[c][which]
+        return F.when(seen.isNotNull() & other(seen["v"], c), seen["row"])
+
+    by_one = reduce(or_, [other(F.col(_ONE)[c], c) for c in tracked], F.lit(False))
+    by_ends = reduce(or_, [end(c, "min").isNotNull() | end(c, "max").isNotNull() for c in tracked], F.lit(False))
+    changed = F.when(F.col(_N) == 1, by_one).when(F.col(_N) > 1, by_ends).otherwise(F.lit(False))
+    changing = F.array(*[end(c, which) for c in tracked for which in ("min", "min2", "max", "max2")])
+    conflict = F.when((F.col(_N) > 1) & by_ends, F.size(F.array_distinct(F.array_compact(changing))) > 1).otherwise(F.lit(False))
+    rows = rows.withColumns({_CHANGED: live & changed, _CONFLICT: live & conflict}).drop(_ENDS, _ONE)
+    return rows.where(F.col(_KIND) != _ENDS).withColumn(_KEPT, F.count(F.when(live & ~F.col(_CHANGED), 1)).over(key))
+
+
+def _fated(rows: DataFrame, spec: TableSpec, strict: bool) -> DataFrame:
+    """``rows`` with their FATE, null for batch rows that open nothing; if ``strict``, a conflict fails the job."""
+    fate = F.when(F.col(_KIND) == _NEW, F.when(F.col(_KEPT) == 0, OPENED)).when(F.col(_CHANGED), CLOSED).otherwise(KEPT)
+    if strict:
+        message = F.concat(F.lit(f"scd2_merge({spec.name}): several batch rows change one active version, key="), F.to_json(F.struct(*spec.keys)))
+        fate = F.when(F.col(_CONFLICT), F.raise_error(message).cast("string")).otherwise(fate)
+    return rows.withColumn(FATE, fate)

@@ -109,9 +109,9 @@ def read_with_schema(spark: SparkSession, path: str, schema: T.StructType) -> Da
 
 
 SLOT = "slot"
-BUCKETS = 32                # of a new table, at least
+BUCKETS = 16                # of a new table, at least
 BUCKET_BYTES = 256 << 20    # of landed rows a bucket of a new table is meant for
-_RUNS, _MERGE = "_runs", "_merge"   # leading underscore: ignored by Parquet readers of the table
+_RUNS, _BATCH, _MERGE = "_runs", "_batch", "_merge"    # leading underscore: ignored by Parquet readers of the table
 
 
 def buckets_for(total_bytes: int) -> int:
@@ -172,15 +172,18 @@ class SilverTables:
         if run in self.runs(table):
             return self.read(table, spec)
         stored = self._slots(table, spec)
-        src, target = prepare_batch(batch, spec), None
+        src, target, written = prepare_batch(batch, spec), None, f"{base}/{_BATCH}/{run}"
         if stored is None:
             delete_path(self.spark, base)       # what a crashed first load has left
         else:
             buckets = self.buckets(table) or buckets
-            # the names of the buckets the batch touches: at most as many as there are
-            touched = [r[0] for r in batch.select(bucket_slot(spec.keys, buckets).alias(SLOT)).where(f"{SLOT} is not null").distinct().collect()]
-            target = stored.where(F.col(IS_ACTIVE) & F.col(SLOT).isin(touched))
         src = src.withColumn(SLOT, F.coalesce(bucket_slot(spec.keys, buckets), F.lit(f"n{run}")))
+        if stored is not None:
+            # the batch is derived once: what it touches, and the merge, read it from here
+            src.write.mode("overwrite").parquet(written)
+            src = self.spark.read.schema(src.schema).parquet(written)
+            touched = [r[0] for r in src.select(SLOT).distinct().collect()]     # names of buckets, one slot for rows without a key
+            target = stored.where(F.col(IS_ACTIVE) & F.col(SLOT).isin(touched))
         merged = scd2_merge(target, src, spec, as_of, prepared=True, spread=SLOT, **kwargs).merged
         merged = merged.withColumn(SLOT, F.when(F.col(FATE) == CLOSED, f"r{run}").otherwise(F.col(SLOT))).drop(FATE)
         if stored is None:
@@ -201,6 +204,7 @@ class SilverTables:
                     .option("partitionOverwriteMode", "dynamic").partitionBy(IS_ACTIVE, SLOT).parquet(base)
                 self.record(table, run)
             delete_path(self.spark, written)
+        delete_path(self.spark, f"{base}/{_BATCH}")
 
     def buckets(self, table: str) -> int | None:
         """How many buckets a stored table has, from the name of one."""
