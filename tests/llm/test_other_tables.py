@@ -4,6 +4,8 @@ import hashlib
 import json
 import math
 import random
+import re
+import time
 
 import numpy as np
 import pandas as pd
@@ -39,7 +41,7 @@ def test_top_k_of_messy_vectors(spark):
             (1, [1.0, 0.0], "x"), (2, [1.0, 0.0], "x"), (2, [1.0, 0.0], "x"), (3, [1.0], "x"), (250, [2.0], "x"), (4, [1e6, 3.0], "x"), (5, [2.0 ** 40, 1.0], "x"), (300, [], "x")]
     df = spark.createDataFrame(rows, "vec_id long, v array<double>, score string")
     got = topk.top_k(df, F.col("vec_id") % 50 == 0, "vec_id", F.col("v")).collect()
-    assert [tuple(r) for r in got if r.query_id == 0] == [(0, 1, 5, 2 ** 40 + 2), (0, 2, 4, 10 ** 6 + 6), (0, 3, 1, 1), (0, 4, 2, 1)]
+    assert [tuple(r) for r in got if r.query_id == 0] == [(0, 1, 5, 2 ** 40 + 2), (0, 2, 4, 10 ** 6 + 6), (0, 3, None, 15), (0, 4, 1, 1), (0, 5, 2, 1)]
     assert [tuple(r) for r in got if r.query_id == 250] == [(250, 1, 3, 2)]
     assert {r.query_id for r in got} == {0, 250}
     assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0, "vec_id", F.col("v")).collect() == []
@@ -47,6 +49,14 @@ def test_top_k_of_messy_vectors(spark):
     assert [(q, list(i), list(s)) for q, i, s in topk.search(np.array([1, 2]), large, np.array([9]), np.array([[2.0 ** 29, 1.0]]))] == [(9, [1, 2], [2 ** 59 + 3, 2 ** 29 + 1])]
 
 
+def test_top_k_keeps_all_rows_of_an_id(spark):
+    rows = [(0, [1.0, 1.0]), (1, [1.0, 0.0]), (1, [0.0, 5.0]), (2, [1.0, 1.0]), (50, [2.0, 0.0]), (50, [2.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    got = sorted(map(tuple, topk.top_k(df, F.col("vec_id") % 50 == 0, "vec_id", F.col("v")).collect()))
+    assert got == sorted([(0, 1, 1, 5), (0, 2, 2, 2), (0, 3, 50, 2), (0, 4, 50, 2), (0, 5, 1, 1)]
+                         + 2 * [(50, 1, 50, 4), (50, 2, 0, 2), (50, 3, 1, 2), (50, 4, 2, 2), (50, 5, 1, 0)])
+
+
 # --- chat ------------------------------------------------------------------------------
 
 def want_digest(turns):
@@ -110,6 +120,29 @@ def page(body, n=1, extra=""):
             f"<header><h1>Site</h1></header><nav><ul>{links}</ul></nav><!-- <p>x</p> --><div class=\"ad\">Buy {n}</div>{body}{extra}<footer>&copy; all</footer></body></html>")
 
 
+def test_hostile_pages_are_read_in_linear_time():
+    n = 1 << 20
+    pages = ["<a" * (n // 2), "<" + "a" * n, "<a " * (n // 3) + 'x=">"', "<a =\"" * (n // 5), "<a ='\"" * (n // 6) + ">", "<!--" * (n // 4), "<!" * (n // 2), "<svg>" * (n // 5),
+             "<p>x" + "<div>" * 20_000 + "deep" + "</div>" * 20_000, "<custom-tag>" * 20_000 + "</b></i></section>" * 20_000, "<p>" * 100_000, "=" * n + "<p a" + "=" * n, "< " * (n // 2),
+             "<li>" * 50_000 + "<article>" * 2_000]
+    for page in pages:
+        start = time.perf_counter()
+        blocks = wrappers.read(page)
+        assert time.perf_counter() - start < 4, page[:20]       # seconds on this class of machine: well under one each
+        assert sum(len(path) for path, *_ in blocks) < 20 * len(page)
+    assert [b[2] for b in wrappers.read(pages[8])] == ["x", "deep"]
+
+
+def test_tags_end_where_the_expression_says():
+    """The tokeniser against the (backtracking) expression it stands for, on short random markup."""
+    rng = random.Random(9)
+    token = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/><]*)((?:[^>=]++|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)>|<[!?][^>]*>|[^<]+|<", re.S)
+    for _ in range(20_000):
+        page = "".join(rng.choice(["<", ">", "=", '"', "'", "a", "b ", " ", "/", "!--", "-->", "!", "<a ", "</a>"]) for _ in range(rng.randint(0, 18)))
+        want = [(m[1] or "", m[2], m[3] or "", m[0] if m[2] is None and (m[0][0] != "<" or m[0] == "<") else "", m.start(), m.end()) for m in token.finditer(page)]
+        assert list(wrappers._Tokens(page)) == want, page
+
+
 def test_main_text_of_pages(spark):
     article = "<article><h1>Head &amp; one</h1><p><b>First   line.<br><p>Second <a href='x'>li\nnk</a>\n end&nbsp;&#233;.</p><ul><li>item a<li>item b</ul><form><p>Name</p></form><aside>side</aside>" \
               "<section class='comments'><p>Nice!</p></section><div id='cookie-notice'>We use</div></article>"

@@ -4,14 +4,14 @@ _W = r"[^\x20\x09-\x0D]+"
 
 _OP3 = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS e FROM embeddings
+  SELECT vec_id, row_number() OVER () AS rn, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+  SELECT q.rn, q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.rn <> q.rn
 )
 SELECT query_id, row_number() OVER w::INTEGER AS rank, vec_id, score FROM s
-WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+WINDOW w AS (PARTITION BY rn ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER w <= 5
 """
 

@@ -8,16 +8,16 @@ shows which candidates can no longer reach the k-th best score known so far;
 the survivors are compacted, and only their columns are read further on.
 Dimensions are visited in descending order of the query block's mass, so that
 bounds get tight early. A candidate that ties with the k-th best survives, so
-results are exact, ties included.
+results are exact, ties included. Columns are compacted when less than half of them survive.
 
 Layout over the cluster: candidates are dealt by hash of their id into groups
-of at most about ``GROUP`` rows (``LEAST`` groups at least, so that small tables use
+of at most about ``GROUP`` rows (rows are prepared once, in the shared folder; ``LEAST`` groups at least, so that small tables use
 all cores) and queries into groups of about ``QUERIES`` rows; each pair of groups is one bounded unit of work that returns at most k rows
 per query. A window then keeps the best k of those. Nothing is broadcast.
 
 Defined results: vectors that are null, or hold a null or non-finite
-component, take no part, nor do rows with a null id; the id stands for the
-vector, so if it repeats, the greatest of its vectors counts; a query meets
+component, take no part; each row is itself only: rows that share an id are
+candidates and queries each, and only a query's own row isn't its candidate; a row without an id is a candidate (last in ties, with a null id) and no query; a query meets
 candidates of its own dimension only; other columns are ignored; an empty table gives an
 empty result; a score beyond 64 bits raises.
 """
@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierline.llm.shared import cut
+
 K = 5
 GROUP = 16_384
 LEAST = 32
@@ -55,7 +57,13 @@ def _best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int = K):
-    """Yield (query id, candidate ids, scores) with the k best of ``vectors`` (n x d) for each of ``queries`` (m x d).
+    """Yield (query id, candidate ids, scores) with the k best of ``vectors`` (n x d) for each of ``queries`` (m x d), which aren't their own candidates."""
+    for n, at, score in places(ids, ids, vectors, query_ids, queries, k):
+        yield query_ids[n], ids[at], score
+
+
+def places(rows: np.ndarray, order: np.ndarray, vectors: np.ndarray, query_rows: np.ndarray, queries: np.ndarray, k: int = K):
+    """Yield (number of the query, places of its k best candidates, scores); a candidate whose row is the query's is left out, ties go by ``order``.
 
     Components are whole numbers. While all sums stay below 2**53 they are
     exact doubles; beyond that the scores are Python integers without pruning.
@@ -65,42 +73,46 @@ def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries:
     if largest * largest * max(d, 1) >= _EXACT:
         big, bigq = vectors.astype(object), queries.astype(object)
         big, bigq = (np.vectorize(int, otypes=[object])(x) if x.size else x for x in (big, bigq))
-        for qid, q in zip(query_ids, bigq):
+        for n, q in enumerate(bigq):
             score = [int(sum(a * b for a, b in zip(q, c))) for c in big]
-            order = sorted((i for i in range(len(ids)) if ids[i] != qid), key=lambda i: (-score[i], ids[i]))[:k]
-            yield qid, ids[order], [score[i] for i in order]
+            best = sorted((i for i in range(len(rows)) if rows[i] != query_rows[n]), key=lambda i: (-score[i], order[i]))[:k]
+            yield n, np.array(best, dtype=np.int64), [score[i] for i in best]
         return
-    order = np.argsort(-np.abs(queries).sum(axis=0), kind="stable") if len(queries) else np.arange(d)
-    columns = np.ascontiguousarray(vectors.T[order])  # vertical: one row per dimension
-    asked = queries[:, order]
+    dims = np.argsort(-np.abs(queries).sum(axis=0), kind="stable") if len(queries) else np.arange(d)
+    columns = np.ascontiguousarray(vectors.T[dims])  # vertical: one row per dimension
+    asked = queries[:, dims]
     left, left_q = (_remaining(columns), _remaining(np.ascontiguousarray(asked.T))) if d else (None, None)
-    starts = range(0, d, BLOCK)
     # Exact scores of a slice of candidates give a first k-th best to prune against.
-    probe = slice(0, min(len(ids), max(256, 8 * k)))
-    for n, (qid, q) in enumerate(zip(query_ids, asked)):
-        known = (q @ columns[:, probe])[ids[probe] != qid]
+    probe = slice(0, min(len(rows), max(256, 8 * k)))
+    known_scores = asked @ columns[:, probe]
+    for n, q in enumerate(asked):
+        own = rows == query_rows[n]
+        known = known_scores[n][~own[probe]]
         kth = np.partition(known, len(known) - k)[len(known) - k] if len(known) >= k else -np.inf
-        alive = np.flatnonzero(ids != qid)
-        partial = np.zeros(len(alive))
-        for b, at in enumerate(starts):
-            reach = partial + left_q[b, n] * left[b, alive]
-            keep = reach + 0.5 >= kth  # scores are whole numbers, bounds are doubles
-            if not keep.all():
-                alive, partial = alive[keep], partial[keep]
-            partial = partial + q[at:at + BLOCK] @ columns[at:at + BLOCK, alive]
+        alive, partial, held, rest, first = np.arange(len(rows)), np.where(own, -np.inf, 0.0), columns, left, 0
+        for b, at in enumerate(range(0, d, BLOCK)):
+            keep = partial + left_q[b, n] * rest[b - first // BLOCK] + 0.5 >= kth  # scores are whole numbers, bounds are doubles
+            if 2 * np.count_nonzero(keep) < len(keep):  # compact: what follows reads only the survivors' columns
+                some = np.flatnonzero(keep)
+                alive, partial, held, rest, first = alive[some], partial[some], held[at - first:, some], rest[b - first // BLOCK:, some], at
+            partial = partial + q[at:at + BLOCK] @ held[at - first:at - first + BLOCK]
             if len(partial) > k:  # the lower ends of what is possible raise the k-th best as well
-                low = partial - (left_q[b + 1, n] * left[b + 1, alive] if b + 1 < len(left) else 0)
+                after = b + 1 - first // BLOCK
+                low = partial - (left_q[b + 1, n] * rest[after] if after < len(rest) else 0)
                 kth = max(kth, np.floor(np.partition(low, len(low) - k)[len(low) - k]))
-        best = _best(partial, ids[alive], k)
-        yield qid, ids[alive[best]], partial[best].astype(np.int64)
+        some = np.flatnonzero(partial > -np.inf)
+        alive, partial = alive[some], partial[some]
+        best = _best(partial, order[alive], k)
+        yield n, alive[best], partial[best].astype(np.int64)
 
 
 def _units(rows: DataFrame, groups: int, blocks: int) -> DataFrame:
-    group = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(groups)).cast("int")
-    block = F.pmod(F.xxhash64("id", F.lit(2)), F.lit(blocks)).cast("int")
-    candidates = rows.select(F.lit(False).alias("asks"), "id", "vector", group.alias("g"),
+    group = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(groups)).cast("int")
+    block = F.pmod(F.xxhash64("row", F.lit(2)), F.lit(blocks)).cast("int")
+    columns = ["row", "id", "anon", "vector"]
+    candidates = rows.select(F.lit(False).alias("asks"), *columns, group.alias("g"),
                              F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"))
-    queries = rows.where("is_query").select(F.lit(True).alias("asks"), "id", "vector",
+    queries = rows.where("is_query").select(F.lit(True).alias("asks"), *columns,
                                             F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), block.alias("b"))
     return candidates.unionByName(queries)
 
@@ -112,9 +124,11 @@ def top_k(table: DataFrame, is_query: Column, id_col: str, vector: Column, k: in
     """
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = (table.select(table[id_col].cast("long").alias("id"), vector.cast("array<double>").alias("vector"), is_query.alias("is_query"))
-            .where(F.col("id").isNotNull() & F.col("vector").isNotNull()).where(finite)
-            .groupBy("id").agg(F.max("vector").alias("vector"), F.max("is_query").alias("is_query")))
-    n, m = rows.agg(F.count(F.lit(1)), F.count(F.when(F.col("is_query"), 1))).first()
+            .where(F.col("vector").isNotNull()).where(finite)
+            .select(F.monotonically_increasing_id().alias("row"), F.coalesce("id", F.lit(0)).alias("id"), F.col("id").isNull().alias("anon"), "vector",
+                    (F.coalesce("is_query", F.lit(False)) & F.col("id").isNotNull()).alias("is_query")))
+    rows = cut(rows, "top-k")
+    n, m = rows.agg(F.count(F.lit(1)), F.count_if("is_query")).first()
     groups, blocks = max(LEAST, -(-n // GROUP)), max(1, -(-m // QUERIES))
 
     def unit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -122,15 +136,19 @@ def top_k(table: DataFrame, is_query: Column, id_col: str, vector: Column, k: in
         for _, same in pdf.groupby(pdf["vector"].map(len)):  # by dimension
             asks = same["asks"].to_numpy(dtype=bool)
             if asks.any() and not asks.all():
-                ids, vectors = same["id"].to_numpy(), np.stack(same["vector"].to_numpy())
-                for qid, found, score in search(ids[~asks], vectors[~asks], ids[asks], vectors[asks], k):
-                    out += [(qid, i, s) for i, s in zip(found, score)]
-        return pd.DataFrame(out, columns=["query_id", "id", "score"])
-
-    best = _units(rows, groups, blocks).groupBy("g", "b").applyInPandas(unit, "query_id long, id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+                held, asking = same[~asks], same[asks]
+                ids, anon = held["id"].to_numpy(), held["anon"].to_numpy(dtype=bool)
+                order = np.empty(len(ids), dtype=np.int64)
+                order[np.lexsort((ids, anon))] = np.arange(len(ids))
+                names, query_ids = asking["row"].to_numpy(), asking["id"].to_numpy()
+                for q, at, score in places(held["row"].to_numpy(), order, np.stack(held["vector"].to_numpy()), names, np.stack(asking["vector"].to_numpy()), k):
+                    out += [(names[q], query_ids[q], ids[i], anon[i], s) for i, s in zip(at, score)]
+        return pd.DataFrame(out, columns=["row", "query_id", "id", "anon", "score"])
+
+    best = _units(rows, groups, blocks).groupBy("g", "b").applyInPandas(unit, "row long, query_id long, id long, anon boolean, score long")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "anon", "id")
     return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", F.col("id").alias(id_col), "score"))
+            .select("query_id", "rank", F.when(~F.col("anon"), F.col("id")).alias(id_col), "score"))
 
 
 def scaled(vector: Column, factor: int = 256) -> Column:

@@ -18,7 +18,7 @@ the vocabulary, both bounded by those parameters, are all that the driver
 holds. Scoring runs over every document.
 
 Defined results: a null or empty text has no features and gets the models'
-base rates; labels of null count as unlabelled, labels of unknown documents are ignored, and of
+base rates; labels of null count as unlabelled for their category only, labels of unknown documents are ignored, and of
 labels that repeat for a document the highest counts; rows are scored
 one by one, so repeats and null ids change nothing; without labelled documents, or if a category
 has one class only, its probability is that class's share (0 without labels); an empty
@@ -45,6 +45,8 @@ FOLDS = 3
 THRESHOLD = 0.5
 PREFIXES = (3, 4, 5)
 PENALTY = 1.0
+PART = 250              # texts whose features are held at a time while scoring
+CACHE_BYTES = 16 << 20  # of words met lately
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -125,21 +127,28 @@ class Chain:
 
 
 def fit_chain(categories: tuple[str, ...], vocabulary: dict[str, int], rows: np.ndarray, columns: np.ndarray, labels: np.ndarray, fold: np.ndarray) -> Chain:
-    """Fit each category on the words and the out-of-fold probabilities of those before it."""
+    """Fit each category on the words and the out-of-fold probabilities of those before it.
+
+    A link is fitted on the rows that have its own label (not NaN); rows without it still get its probability, from a model
+    that hasn't seen them.
+    """
     n, size = len(labels), len(vocabulary)
     before, chain = np.zeros((n, 0)), Chain(categories, vocabulary)
+
+    def fit_on(some: np.ndarray, y: np.ndarray) -> Logistic:
+        place, ones = np.cumsum(some) - 1, some[rows]
+        return fit(place[rows[ones]], columns[ones], size, before[some], y[some])
+
     for c in range(len(categories)):
         y = labels[:, c].astype(float)
-        chain.models.append(fit(rows, columns, size, before, y))
+        known = ~np.isnan(y)
+        chain.models.append(fit_on(known, y))
         if c + 1 == len(categories):
             break
         held_out = np.zeros(n)
         for f in range(FOLDS):
-            train, held = fold != f, fold == f
-            place = np.cumsum(train) - 1
-            ones = train[rows]
-            model = fit(place[rows[ones]], columns[ones], size, before[train], y[train])
-            held_out[held] = _sigmoid(model.logit(rows, columns, n, before))[held]
+            held = fold == f
+            held_out[held] = _sigmoid(fit_on(known & ~held, y).logit(rows, columns, n, before))[held]
         before = np.hstack([before, held_out[:, None]])
     return chain
 
@@ -155,7 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_
 def _train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_col: str, text_col: str) -> Chain:
     names = tuple(categories)
     marked = (labels.select(labels[id_col].alias("doc"), *[c.cast("int").alias(f"y{k}") for k, c in enumerate(categories.values())])
-              .where(" and ".join(f"y{k} is not null" for k in range(len(names)))).where("doc is not null")
+              .where(" or ".join(f"y{k} is not null" for k in range(len(names)))).where("doc is not null")
               .groupBy("doc").agg(*[F.max(f"y{k}").alias(f"y{k}") for k in range(len(names))]))
     sample = cut(marked.withColumn("h", F.xxhash64("doc")).orderBy("h", "doc").limit(SAMPLE), "sample")
     ys = [f"y{k}" for k in range(len(names))]
@@ -167,21 +176,20 @@ def _train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id
                 part = pdf.iloc[k:k + 500]
                 yield part[["h", *ys]].assign(features=[sorted(features(t)) for t in part["text"]])
     rows = cut(texts.select("h", *ys, "text").mapInPandas(run, "h long, " + ", ".join(f"{y} int" for y in ys) + ", features array<string>"), "features")
-    total = rows.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(y), F.lit(0)).alias(y) for y in ys]).first()
-    n = total["n"]
+    total = rows.agg(*[F.count(y).alias(f"n_{y}") for y in ys], *[F.coalesce(F.sum(y), F.lit(0)).alias(y) for y in ys]).first()
     counted = (rows.select(F.explode("features").alias("feature"), *ys).groupBy("feature")
-               .agg(F.count(F.lit(1)).alias("d"), *[F.sum(y).alias(y) for y in ys]).where(f"d >= {SUPPORT}"))
+               .agg(*[F.count(y).alias(f"d_{y}") for y in ys], *[F.sum(y).alias(y) for y in ys]))
     chosen = []
     for k, y in enumerate(ys):
-        # chi-square of presence against the category; absent classes choose nothing
-        p = total[y]
+        # chi-square of presence against the category, over the rows that have its label; absent classes choose nothing
+        n, p, d = total[f"n_{y}"], total[y], F.col(f"d_{y}")
         if n and 0 < p < n:
-            expected = F.col("d") * p / n
-            gain = (F.col(y) - expected) ** 2 / (expected * (1 - F.lit(p) / n) * (1 - F.col("d") / (n + 1)))
-            chosen.append(counted.withColumn("gain", gain).orderBy(F.desc("gain"), "feature").limit(VOCABULARY).select("feature"))
+            expected = d * p / n
+            gain = (F.col(y) - expected) ** 2 / (expected * (1 - F.lit(p) / n) * (1 - d / (n + 1)))
+            chosen.append(counted.where(d >= SUPPORT).withColumn("gain", gain).orderBy(F.desc("gain"), "feature").limit(VOCABULARY).select("feature"))
     if not chosen:
-        return fit_chain(names, {}, np.zeros(0, int), np.zeros(0, int), np.array([[r[y] for y in ys] for r in rows.select(*ys).collect()]).reshape(-1, len(ys)),
-                         np.zeros(n, int))
+        marks = _marks(rows.select(*ys).collect(), ys)
+        return fit_chain(names, {}, np.zeros(0, int), np.zeros(0, int), marks, np.zeros(len(marks), int))
     kept = chosen[0]
     for more in chosen[1:]:
         kept = kept.union(more)
@@ -195,7 +203,12 @@ def _train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id
     lengths = np.array([len(r["features"]) for r in matrix])
     columns = np.array([c for r in matrix for c in r["features"]], dtype=np.int64)
     fold = np.array([r["h"] % FOLDS for r in matrix])
-    return fit_chain(names, vocabulary, np.repeat(np.arange(len(matrix)), lengths), columns, np.array([[r[y] for y in ys] for r in matrix]), fold)
+    return fit_chain(names, vocabulary, np.repeat(np.arange(len(matrix)), lengths), columns, _marks(matrix, ys), fold)
+
+
+def _marks(rows: list, ys: list[str]) -> np.ndarray:
+    """Labels by row and category, NaN where a row has none."""
+    return np.array([[r[y] for y in ys] for r in rows], dtype=float).reshape(-1, len(ys))
 
 
 def scores(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -208,23 +221,29 @@ def _scored(rows: DataFrame, chain: Chain) -> DataFrame:
     """``rows`` with the array ``p`` of probabilities of their ``text``."""
     @F.pandas_udf("array<double>")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known: dict[str, list[int]] = {}  # the vocabulary's part of each word met lately
+        known: dict[str, tuple[int, ...]] = {}  # the vocabulary's part of each word met lately
+        held = 0
         vocabulary = chain.vocabulary
         for texts in batches:
-            found = []
-            for t in texts:
-                here: set[int] = set()
-                for w in set(_LETTERS.findall((t or "").lower())):
-                    at = known.get(w)
-                    if at is None:
-                        if len(known) > 200_000:
-                            known.clear()
-                        at = known[w] = [vocabulary[f] for f in features_of(w) if f in vocabulary]
-                    here.update(at)
-                found.append(sorted(here))
-            columns = np.array([c for f in found for c in f], dtype=np.int64)
-            at = np.repeat(np.arange(len(found)), [len(f) for f in found]).astype(np.int64)
-            yield pd.Series(list(chain.predict(at, columns, len(found))))
+            made = []
+            for start in range(0, len(texts), PART):    # features of some texts at a time
+                found = []
+                for t in texts.iloc[start:start + PART]:
+                    here: set[int] = set()
+                    for w in set(_LETTERS.findall((t or "").lower())):
+                        at = known.get(w)
+                        if at is None:
+                            if held > CACHE_BYTES:
+                                known.clear()
+                                held = 0
+                            at = known[w] = tuple([vocabulary[f] for f in features_of(w) if f in vocabulary])
+                            held += 200 + len(w) + 8 * len(at)
+                        here.update(at)
+                    found.append(np.fromiter(sorted(here), dtype=np.int64, count=len(here)))
+                columns = np.concatenate(found)
+                at = np.repeat(np.arange(len(found)), [len(f) for f in found])
+                made += list(chain.predict(at, columns, len(found)))
+            yield pd.Series(made)
     return rows.withColumn("p", predict("text"))
 
 

@@ -34,7 +34,7 @@ are then read again and the texts of their slots are put out.
 
 Defined results: a null or empty page has an empty text; a null url (or one
 without a host) is a host of its own name, the empty one; unclosed blocks end where
-HTML says or at the end of the page; a page that fits no rule has an empty text; repeated rows are extracted each; other columns
+HTML says or at the end of the page; blocks nested deeper than ``DEPTH`` belong to the block at that depth, with their texts; a page that fits no rule has an empty text; repeated rows are extracted each; other columns
 are ignored; an empty table gives an empty result.
 """
 
@@ -43,6 +43,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -54,8 +55,12 @@ from tierline.llm.shared import cut, settled
 FAN_IN = 64  # partial wrappers aligned in one group, on average
 HOSTS = 512  # hosts whose wrappers a task holds before it puts them out
 
-# Quotes of a tag count after "=" only.
-_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)>|<[!?][^>]*>|[^<]+|<", re.S)
+DEPTH = 256  # blocks nested deeper belong to the path of the block at that depth
+
+# What a "<" may begin: a tag (its name), a comment or a declaration.
+_START = re.compile(r"<(?:(/?)([a-zA-Z][^\s/><]*+)|(!--)|[!?])")
+_EVENT, _QUOTE = re.compile(r"[>=]"), re.compile(r"\s*([\"'])")
+_COMMENT_END = re.compile(r"--!?>")
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NAME = re.compile(r"[a-z]+")
 # Elements whose content isn't markup: it ends at their own closing tag, whatever stands before.
@@ -96,6 +101,76 @@ def _attributes(text: str) -> dict[str, str]:
     return out
 
 
+class _Tokens:
+    """The tags and texts of a page from ``at`` on, in linear time: (closing slash, tag or None, attributes, text, start, end).
+
+    Where a tag ends depends only on the next ">" or "=" outside quotes, so each of those is looked at once in a page,
+    however many "<" come before it.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.at = page, 0
+        self.ends: dict[int, int] = {}              # by place of a ">" or "=" outside quotes: the end of the tag it is in, -1 if none
+        self.last = {mark: page.rfind(mark) for mark in ">\"'"}
+        self.quiet = (0, -1)                        # a stretch without ">" and "=", and the place after it
+        self.closings: dict[str, int] = {}          # the last closing tag of an element
+
+    def _tag_end(self, at: int) -> int:
+        """The place of the ">" that ends a tag whose attributes begin at ``at``, -1 if there is none; quotes count after "=" only."""
+        page, seen, end = self.page, [], -1
+        if not self.quiet[0] <= at <= self.quiet[1]:
+            m = _EVENT.search(page, at)
+            self.quiet = (at, m.start() if m else len(page))
+        at = self.quiet[1]
+        while (m := _EVENT.search(page, at)) is not None:
+            place = m.start()
+            if place in self.ends:
+                end = self.ends[place]
+                break
+            seen.append(place)
+            if page[place] == ">":
+                end = place
+                break
+            at = place + 1
+            if (quoted := _QUOTE.match(page, at)) is not None:
+                if self.last[quoted[1]] >= quoted.end():
+                    at = page.index(quoted[1], quoted.end()) + 1
+        self.ends.update(dict.fromkeys(seen, end))
+        return end
+
+    def closes(self, tag: str, at: int) -> bool:
+        """Whether a closing tag of ``tag`` comes at or after ``at``."""
+        if tag not in self.closings:
+            self.closings[tag] = max((m.start() for m in _SKIPPED_END[tag].finditer(self.page)), default=-1)
+        return self.closings[tag] >= at
+
+    def __iter__(self) -> Iterator[tuple[str, str | None, str, str, int, int]]:
+        page = self.page
+        while self.at < len(page):
+            start = page.find("<", self.at)
+            start = len(page) if start < 0 else start
+            if start > self.at:
+                at, self.at = self.at, start
+                yield "", None, "", page[at:start], at, start
+                continue
+            m = _START.match(page, start)
+            if m is None:
+                end = -1
+            elif m[3]:
+                empty = next((x for x in (">", "->") if page.startswith(x, m.end())), None)
+                close = None if empty else _COMMENT_END.search(page, m.end())
+                end = m.end() + len(empty) if empty else close.end() if close else len(page)
+            else:
+                end = self._tag_end(m.end()) if m[2] else page.find(">", m.end()) if m.end() <= self.last[">"] else -1
+                end = end + 1 or -1
+            if end < 0:             # no tag: the "<" is text
+                self.at = start + 1
+                yield "", None, "", "<", start, start + 1
+            else:
+                self.at = end
+                yield m[1] or "", m[2], page[m.end():end - 1] if m[2] else "", "", start, end
+
+
 def _hints(value: str) -> bool:
     """Whether a name of a class, role or id says that a block lies outside a main text."""
     for name in value.lower().split():
@@ -174,68 +249,73 @@ def read(page: str | None) -> list[tuple[str, int, str, int]]:
             closed[k] = ends > starts + sum(block[0] == tag for block in stack[k + 1:])
         return closed[k]
 
-    tokens = _TOKEN.finditer(page)
-    while (m := next(tokens, None)) is not None:
-        tag = m[2]
+    def close(k: int):
+        for block in stack[k:]:
+            opened[block[0]] -= 1
+        del stack[k:]
+
+    opened: Counter[str] = Counter()  # the tags of the open blocks
+    tokens = _Tokens(page)
+    for slash, tag, attributes, piece, start, end in tokens:
         if tag is None and not skipped:
-            piece = m[0]
-            if piece[0] != "<" or piece == "<":
+            if piece:
                 held.append(piece)
                 if links:
                     link_chars += len(piece)
             continue
         tag = tag.lower() if tag else ""
         if tag in RAW:
-            if not m[1]:
+            if not slash:
                 flush()
-                end = _CLOSING[tag].search(page, m.end())
-                tokens = _TOKEN.finditer(page, end.end() if end else len(page))
+                closing = _CLOSING[tag].search(page, end)
+                tokens.at = closing.end() if closing else len(page)
             continue
         if skipped:
-            if tag == skipped and not (tag in ("svg", "math") and m[3].endswith("/")):
-                depth += -1 if m[1] else 1
+            if tag == skipped and not (tag in ("svg", "math") and attributes.endswith("/")):
+                depth += -1 if slash else 1
                 skipped = skipped if depth else ""
             continue
         if tag in INLINE:
             if tag == "a":
-                links = 0 if m[1] else 1
+                links = 0 if slash else 1
             elif tag == "br":
                 held.append(" ")
             continue
         if tag in SKIPPED:  # one that is never closed holds nothing
             flush()
-            if not m[1] and not (tag in ("svg", "math") and m[3].endswith("/")) and _SKIPPED_END[tag].search(page, m.end()):
+            if not slash and not (tag in ("svg", "math") and attributes.endswith("/")) and tokens.closes(tag, end):
                 skipped, depth = tag, 1
             continue
         flush()
-        if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+        if slash:
+            if opened[tag]:
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag))
             continue
         if tag in VOID:
             continue
         if tag in MAIN and stack[-1][2]:  # an article starts outside what was left open before it, and outside forms
             first = next(k for k, block in enumerate(stack) if block[2])
-            if not any(apart(k, m.start()) for k in range(first, len(stack)) if stack[k][4]):
-                del stack[first:]
+            if not any(apart(k, start) for k in range(first, len(stack)) if stack[k][4]):
+                close(first)
         closes = ENDS.get(tag, {"p"}) | (HEADINGS if tag in HEADINGS else set())
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in closes:
-                del stack[k:]
-            elif stack[k][0] in SCOPE:
-                break
+        if any(opened[t] for t in closes):
+            for k in range(len(stack) - 1, 0, -1):
+                if stack[k][0] in closes:
+                    close(k)
+                elif stack[k][0] in SCOPE:
+                    break
         _, path, above, within, _ = stack[-1]
-        key = (tag, m[3], within)
+        key = (tag, attributes, within)
         if key not in known:
-            known[key] = _label(tag, m[3], within)
+            known[key] = _label(tag, attributes, within)
         label, own = known[key]
         if tag == "header" and within and "hidden" not in label:
             own = 0  # its headings are the article's; see rules()
-        path = f"{path}>{label}"
+        if len(stack) <= DEPTH:
+            path = f"{path}>{label}"
         outside = -1 if above == -1 or own == 1 else above or (len(path) if own else 0)
         closed.pop(len(stack), None)
+        opened[tag] += 1
         stack.append((tag, path, outside, within or _main(label) is not None, own))
     flush()
     return out
