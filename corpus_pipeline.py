@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tierline.llm import bpe, mixing, near_dedup, substring_dedup, toxicity
 from tierline.llm.queries import TOKENIZER
 from tierline.llm.shared import cut, table
+from tierline.session import configure
 
 # Weights of sources in code point order; a source is repeated CAP times at most.
 WEIGHTS, CAP = (5, 2, 1), 3
@@ -44,8 +45,15 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, public_tokenizers.path(TOKENIZER), keep_ids=True)
 
 
-STAGES = [("toxicity", drop_toxic), ("near_dedup", drop_near_duplicates), ("substring_dedup", cut_repeats),
-          ("mixing", mix_sources), ("bpe", encode)]
+def _configured(stage):
+    """``stage`` with the library's session settings, whoever calls it."""
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(configure(spark), docs, sf_dir)
+    return run
+
+
+STAGES = [(name, _configured(stage)) for name, stage in (
+    ("toxicity", drop_toxic), ("near_dedup", drop_near_duplicates), ("substring_dedup", cut_repeats), ("mixing", mix_sources), ("bpe", encode))]
 
 # Trained models, sketches and Newton iterations can't be put in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

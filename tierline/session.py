@@ -38,6 +38,9 @@ DEFAULTS = {
     # split reads: both well inside an executor's memory share per task.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # Rows a Python worker gets at once: whole texts of many kB stay far below
+    # what an executor leaves to its workers.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 # Least shuffle partitions per core (see size_shuffle_partitions).
