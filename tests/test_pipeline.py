@@ -210,6 +210,7 @@ def test_ingest_from_a_config_with_one_failing_table(spark, workdir, dialect):
     status = {r["tablename"]: r["status"] for r in spark.read.parquet(layout.status).collect()}
     assert status == {n: "FAILED" if n == "products" else "SUCCESS" for n in names}
     assert {r["table_name"] for r in read_audit(spark, layout.audit).collect()} == set(names) - {"products"}
+    assert landed_runs(spark, f"{workdir}/landing/retailer-db", "customers") and not landed_runs(spark, layout.landing, "customers")    # the config's target path
     logged = spark.read.json(f"{layout.log_files}/pipeline_log_20250328050000.json").collect()
     assert sorted(r["event_type"] for r in logged) == ["ERROR"] + ["INFO"] * (len(names) - 1)
 

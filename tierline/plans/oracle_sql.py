@@ -317,6 +317,26 @@ def audit_query(incremental: list[str], full: list[str], days: list) -> str:
     return with_ctes(ctes, "\nUNION ALL\n".join(rows))
 
 
+def config_query(incremental: list[str], full: list[str], failing: list[str], days: list) -> str:
+    """Status, log and landed rows of two ingests; the first run of orders is in the archive."""
+    ctes, rows = [], []
+    for t in incremental + full:
+        ctes += [(f"{t}_b1", batch_sql(t, 1)), (f"{t}_b2", batch_sql(t, 2))]
+    for n, now in enumerate(days, 1):
+        day = f"'{now:%Y-%m-%d}' AS run"
+        for t in incremental + full + failing:
+            load, ok = "incremental" if t in incremental else "full", t not in failing
+            wm = f"CAST({REGISTRY[t].watermark_col} AS BIGINT)"
+            later = f" WHERE {wm} > (SELECT max({wm}) FROM {t}_b1)" if t in incremental and n == 2 else ""
+            count = f"(SELECT count(*) FROM {t}_b{n}{later})" if ok else "0"
+            rows.append(f"SELECT 'status' AS kind, {day}, '{t}' AS table_name, '{load}' AS load_type, {count} AS n_rows, '{'SUCCESS' if ok else 'FAILED'}' AS state")
+            rows += [f"SELECT '{kind}', {day}, '{t}', NULL, NULL, '{'INFO' if ok else 'ERROR'}'" for kind in ("log", "log_file")]
+            if ok:
+                kind = "archived" if t == "orders" and n == 1 else "landed"
+                rows.append(f"SELECT * FROM (SELECT '{kind}', {day}, '{t}', NULL, {count} AS n_rows, NULL) WHERE n_rows > 0")
+    return with_ctes(ctes, "\nUNION ALL\n".join(rows))
+
+
 def quarantine_report_query(tables: list[str]) -> str:
     ctes = []
     for t in tables:

@@ -54,6 +54,16 @@ class Layout:
     def landing(self) -> str:
         return self._p("landing")
 
+    def landing_of(self, spec: TableSpec) -> str:
+        """The folder under which ``spec`` lands: the parent of its config's target path, or the common landing folder."""
+        target = (spec.extra.get("target_path") or "").strip("/")
+        if not target:
+            return self.landing
+        parent, _, name = target.rpartition("/")
+        if name != spec.name:
+            raise ValueError(f"the target path of {spec.name!r} must end in the table's name: {target!r}")
+        return self._p(parent)
+
     @property
     def archive(self) -> str:
         return self._p("archive")
@@ -112,7 +122,7 @@ def ingest_table(spark: SparkSession, source, spec: TableSpec, layout: Layout, n
     df, obs = observed(df, spec.watermark_col if spec.load_type == INCREMENTAL else None,
                        name=f"ingest_{spec.name}_{meta['run_id']}",
                        id_col=keyset_id if watermark_source == DATA else None)
-    write_landing(df, layout.landing, spec.name, meta["run_id"], meta["load_date"], encoding,
+    write_landing(df, layout.landing_of(spec), spec.name, meta["run_id"], meta["load_date"], encoding,
                   fmt=spec.landing_format)
     stats = obs.get
     info = RunInfo(spec.name, meta["run_id"], spec.load_type, int(stats.get("rows_loaded") or 0),
@@ -159,7 +169,7 @@ def ingest(spark: SparkSession, sources: dict, specs: list[TableSpec], layout: L
 
 def ingest_config(spark: SparkSession, sources: dict, config_path: str, layout: Layout,
                   now: dt.datetime, **kwargs) -> list[RunInfo]:
-    """Ingest the active tables of a config with its load types and watermark columns."""
+    """Ingest the active tables of a config with its load types and watermark columns, each into its target path."""
     return ingest(spark, sources, configured(read_config(spark, config_path)), layout, now, **kwargs)
 
 
@@ -167,19 +177,19 @@ def refine_table(spark: SparkSession, spec: TableSpec, layout: Layout, as_of: dt
                  allow_empty: bool = False, **merge_kwargs) -> str | None:
     """Take every pending landed run of ``spec`` into silver; returns the latest run of the table."""
     store = SilverTables(spark, layout.silver)
-    runs = _pending(spark, store, layout, spec.name)
+    runs = _pending(spark, store, layout, spec)
     if spec.silver_policy == SCD2:
         for run in runs:
-            batch = read_bronze_runs(spark, layout.landing, spec, runs=[run])
+            batch = read_bronze_runs(spark, layout.landing_of(spec), spec, runs=[run])
             if batch.isEmpty():         # an increment without rows changes nothing
                 store.record(spec.name, run)
                 continue
-            store.merge(spec.name, batch, run, spec, as_of, buckets_for(input_bytes(spark, [layout.landing])), **merge_kwargs)
+            store.merge(spec.name, batch, run, spec, as_of, buckets_for(input_bytes(spark, [layout.landing_of(spec)])), **merge_kwargs)
     elif runs:
         newest, done = runs[-1], store.runs(spec.name)
         # late runs of a table that is replaced whole: a newer extract may be published already
         if not done or newest > done[-1]:
-            batch = read_bronze_runs(spark, layout.landing, spec, runs=[newest])
+            batch = read_bronze_runs(spark, layout.landing_of(spec), spec, runs=[newest])
             if not allow_empty and batch.isEmpty():
                 raise ValueError(f"refusing to replace silver {spec.name} with an empty batch (run {newest})")
             store.refresh(spec.name, full_refresh(batch, spec), newest, spec)
@@ -188,16 +198,21 @@ def refine_table(spark: SparkSession, spec: TableSpec, layout: Layout, as_of: dt
     return next(reversed(store.runs(spec.name)), None)
 
 
-def _pending(spark: SparkSession, store: SilverTables, layout: Layout, table: str) -> list[str]:
+def _pending(spark: SparkSession, store: SilverTables, layout: Layout, spec: TableSpec) -> list[str]:
     """Landed runs that silver hasn't taken in, in order, whenever they landed."""
-    return pending_runs(spark, layout.landing, table, set(store.runs(table)))
+    return pending_runs(spark, layout.landing_of(spec), spec.name, set(store.runs(spec.name)))
+
+
+def _specs(tables) -> list[TableSpec]:
+    return [REGISTRY[t] if isinstance(t, str) else t for t in (tables or REGISTRY)]
 
 
 def refine(spark: SparkSession, layout: Layout, as_of: dt.datetime, tables=None, **kwargs) -> dict:
+    """Refine tables given by name or spec (a config's specs know their target paths)."""
+    specs = _specs(tables)
     # landing + silver bound what the merges shuffle; size the shuffle to it
-    size_shuffle_partitions(spark, input_bytes(spark, [layout.landing, layout.silver]))
-    return {name: refine_table(spark, REGISTRY[name], layout, as_of, **kwargs)
-            for name in (tables or REGISTRY)}
+    size_shuffle_partitions(spark, input_bytes(spark, {layout.silver, *map(layout.landing_of, specs)}))
+    return {s.name: refine_table(spark, s, layout, as_of, **kwargs) for s in specs}
 
 
 def silver(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
@@ -226,9 +241,9 @@ def archive(spark: SparkSession, layout: Layout, tables=None) -> dict[str, list[
     """Move landed runs that silver has already published to the archive."""
     store = SilverTables(spark, layout.silver)
     moved = {}
-    for name in (tables or REGISTRY):
-        keep = _pending(spark, store, layout, name)
-        moved[name] = archive_runs(spark, layout.landing, layout.archive, name, keep=keep)
+    for spec in _specs(tables):
+        keep = _pending(spark, store, layout, spec)
+        moved[spec.name] = archive_runs(spark, layout.landing_of(spec), layout.archive, spec.name, keep=keep)
     return moved
 
 
@@ -237,7 +252,7 @@ def run_all(spark: SparkSession, sources: dict, layout: Layout, now: dt.datetime
     """One daily cycle: ingest every table, refine silver, serve gold, archive consumed runs."""
     specs = specs or list(REGISTRY.values())
     runs = ingest(spark, sources, specs, layout, now, **kwargs)
-    published = refine(spark, layout, now, tables=[s.name for s in specs])
+    published = refine(spark, layout, now, tables=specs)
     marts = serve(spark, layout, now.date(), refresh=refresh_gold)
-    archived = archive(spark, layout, tables=[s.name for s in specs])
+    archived = archive(spark, layout, tables=specs)
     return {"runs": runs, "silver": published, "gold": marts, "archived": archived}

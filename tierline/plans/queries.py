@@ -7,25 +7,27 @@ driver tables found in ``sf_dir``; its DuckDB oracle is in ``oracles()``.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.functions.predicates import DEFAULT_WATERMARK
-from tierline.functions.time import epoch_ms_text, parse_event_ts, ts_text
+from tierline.functions.time import epoch_ms_text, parse_event_ts, run_metadata, ts_text
 from tierline.operators import gold
 from tierline.operators.audit import audit_from_stats, read_audit
 from tierline.operators.quality import quarantine_report
 from tierline.operators.watermark import batch_stats, latest_watermark
 from tierline.plans import oracle_sql as O
-from tierline.plans.pipeline import Layout, ingest
+from tierline.plans.pipeline import Layout, ingest, ingest_config
 from tierline.plans.retail import mart, silver_report, silver_table, silver_tables
+from tierline.schemas import CONFIG_CSV_SCHEMA, LOG_SCHEMA
 from tierline.session import scratch_root
 from tierline.sources import retail
 from tierline.sources.bronze import read_bronze_daily, read_bronze_json
 from tierline.sources.jdbc import ParquetSource, extract
-from tierline.sources.landing import (EPOCH_MS, ISO, archive_daily, archived_daily_glob, write_daily_landing,
+from tierline.sources.landing import (EPOCH_MS, ISO, archive_daily, archive_runs, archived_daily_glob, write_daily_landing,
                                      write_landing)
 from tierline.sources.reviews import read_review_landing, write_review_landing
 
@@ -173,6 +175,48 @@ def audit_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         ts_text(F.col("watermark")).alias("watermark"))
 
 
+# Fixed values of the fixture: an ingest config (table, load type, watermark, active); products has no source, so its ingest fails.
+CONFIG = [("products", "Full Load", "", "1"), ("categories", "full", "", "1"), ("customers", "Incremental", "updated_at", "1"),
+          ("orders", "incremental load", "updated_at", "1"), ("order_items", "Incremental", "updated_at", "0")]
+
+
+def config_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IN1 / SRC6 / SRC7 / FLT5 / FN12 / SNK4 / SNK6 / SNK7 / SNK12: two ingests steered by a config, day 1 from its CSV and day 2 from its JSON form.
+
+    Returns the status rows, the log table, the dated JSON logs, and what lies in
+    the target paths and in the archive after the first run of orders was archived.
+    """
+    layout = Layout(_scratch(spark, "config"))
+    rows = spark.createDataFrame([("retailer", "retailer_db", t, load, wm, on, f"landing/retailer-db/{t}") for t, load, wm, on in CONFIG], CONFIG_CSV_SCHEMA)
+    rows.coalesce(1).write.option("header", True).csv(f"{layout.root}/config.csv")
+    tables = [{"name": t, "load_type": load, "watermark": wm, "is_active": on == "1", "target_path": f"landing/retailer-db/{t}"} for t, load, wm, on in CONFIG]
+    spark.createDataFrame([(json.dumps({"source_name": "retailer", "tables": tables}),)], "value string").coalesce(1).write.text(f"{layout.root}/config.json")
+    days = (retail.AS_OF_1, retail.AS_OF_2)
+    for number, (now, config) in enumerate(zip(days, ("config.csv", "config.json")), 1):
+        sources = {t: lambda spark, t=t, n=number: retail.source(spark, sf_dir, t, n) for t in ("categories", "customers", "orders")}
+        ingest_config(spark, {"retailer": ParquetSource(sources)}, f"{layout.root}/{config}", layout, now, on_error="log")
+    landing = f"{layout.root}/landing/retailer-db"
+    archive_runs(spark, landing, layout.archive, "orders", keep=[run_metadata(days[1])["run_id"]])
+
+    def report(df: DataFrame, kind: str, run: Column, table: str, state: Column | None = None, load_type: Column | None = None, n: Column | None = None) -> DataFrame:
+        none = F.lit(None).cast("string")
+        return df.select(F.lit(kind).alias("kind"), run.alias("run"), F.col(table).alias("table_name"), (none if load_type is None else load_type).alias("load_type"),
+                         (none if n is None else n).cast("long").alias("n_rows"), (none if state is None else state).alias("state"))
+
+    def day(stamp: Column) -> Column:
+        return F.date_format(stamp.cast("timestamp"), "yyyy-MM-dd")
+
+    out = [report(spark.read.parquet(layout.status), "status", day(F.col("load_timestamp")), "tablename", F.col("status"), F.col("load_type"), F.col("record_count"))]
+    logs = {"log": spark.read.schema(LOG_SCHEMA).parquet(layout.logs), "log_file": spark.read.schema(LOG_SCHEMA).json(f"{layout.log_files}/*.json")}
+    out += [report(df, kind, day(F.col("timestamp")), "table", F.col("event_type")) for kind, df in logs.items()]
+    for kind, root, names in (("landed", landing, ("categories", "customers", "orders")), ("archived", layout.archive, ("orders",))):
+        for t in names:
+            found = read_bronze_json(spark, f"{root}/{t}", retail.SPECS[t], keep_run=True)
+            counted = found.groupBy(F.col("load_date").cast("string").alias("run")).agg(F.count(F.lit(1)).alias("n")).withColumn("t", F.lit(t))
+            out.append(report(counted, kind, F.col("run"), "t", n=F.col("n")))
+    return reduce(DataFrame.unionByName, out)
+
+
 def quarantine_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT9 over the four flagged silver tables."""
     return quarantine_report(silver_tables(spark, sf_dir, tables=QUARANTINE_TABLES))
@@ -188,6 +232,7 @@ QUERIES.update({
     "batch_stats": batch_stats_query,
     "latest_watermark": latest_watermark_query,
     "audit_roundtrip": audit_roundtrip,
+    "config_ingest": config_ingest,
     "quarantine_report": quarantine_report_query,
 })
 
@@ -217,6 +262,7 @@ def oracles() -> dict[str, str]:
     out["latest_watermark"] = O.latest_watermark_query(
         STATS_TABLES, FULL_TABLES, DEFAULT_WATERMARK.strftime("%Y-%m-%d %H:%M:%S"))
     out["audit_roundtrip"] = O.audit_query(STATS_TABLES, FULL_TABLES, [retail.AS_OF_1, retail.AS_OF_2])
+    out["config_ingest"] = O.config_query(["customers", "orders"], ["categories"], ["products"], [retail.AS_OF_1, retail.AS_OF_2])
     out["quarantine_report"] = O.quarantine_report_query(QUARANTINE_TABLES)
     return out
 

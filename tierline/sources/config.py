@@ -71,7 +71,7 @@ def configured(config: DataFrame, registry: dict[str, TableSpec] = REGISTRY) ->
     """The registry's specs of the active tables, in file order, with the config's source, load type and watermark column.
 
     A table the registry doesn't know, or an incremental one without a watermark column, is an error.
-    The target path is kept in ``extra``; runs land under the layout's landing folder.
+    The target path is kept in ``extra``: the folder the table lands in, below the layout's root.
     """
     specs = []
     for row in active_tables(config):
