@@ -59,6 +59,8 @@ DEPTH = 256  # blocks nested deeper belong to the path of the block at that dept
 
 # What a "<" may begin: a tag (its name), a comment or a declaration.
 _START = re.compile(r"<(?:(/?)([a-zA-Z][^\s/><]*+)|(!--)|[!?])")
+# A whole tag, if its values are quoted and hold no "<" or ">"; others are read step by step.
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/><]*+)((?:[^<>=\"']++|=\"[^\"<>]*+\"|='[^'<>]*+')*+)>")
 _EVENT, _QUOTE = re.compile(r"[>=]"), re.compile(r"\s*([\"'])")
 _COMMENT_END = re.compile(r"--!?>")
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -153,6 +155,10 @@ class _Tokens:
                 at, self.at = self.at, start
                 yield "", None, "", page[at:start], at, start
                 continue
+            if (m := _PLAIN_TAG.match(page, start)) is not None:
+                self.at = m.end()
+                yield m[1], m[2], m[3], "", start, self.at
+                continue
             m = _START.match(page, start)
             if m is None:
                 end = -1
