@@ -111,7 +111,7 @@ def _versions(src: DataFrame, cols: list[str], as_of: Column, fate: str, extra:
 
 def scd2_merge(target: DataFrame | None, batch: DataFrame, spec: TableSpec, as_of: dt.datetime,
                strict: bool = True, null_safe: bool = False,
-               prepared: bool = False, spread: str | None = None) -> Scd2Result:
+               prepared: bool = False, spread: str | None = None, unique: bool = False) -> Scd2Result:
     """Apply one batch to an SCD2 table; see the module docstring.
 
     ``target=None`` is the first load of a table that does not exist yet:
@@ -124,7 +124,8 @@ def scd2_merge(target: DataFrame | None, batch: DataFrame, spec: TableSpec, as_o
     ``null_safe``: count NULL <-> value as a change (not the reference's rule).
     ``spread``: a column of target and (prepared) batch that follows from the key; rows are exchanged
     by it rather than by the key, and it is kept in ``merged`` (a table stored by buckets of the key
-    is then written with one file a bucket).
+    is then written with one file a bucket). ``unique``: the caller has seen that no key occurs twice in the
+    batch, so nothing is made of such keys.
     """
     keys, cols = list(spec.keys), payload_columns(spec)
     silver = spec.silver_schema().names
@@ -143,7 +144,9 @@ def scd2_merge(target: DataFrame | None, batch: DataFrame, spec: TableSpec, as_o
     keyed = src.where(present)
     live = active.where(present).select(F.lit(_LIVE).alias(_KIND), *cols, EFFECTIVE_START, EFFECTIVE_END, *extra)
     new = keyed.select(F.lit(_NEW).alias(_KIND), *cols, stamp.alias(EFFECTIVE_START), stamp.alias(EFFECTIVE_END), *extra)
-    rows = live.unionByName(new).unionByName(_ends(keyed, [*extra, *keys], spec, null_safe), allowMissingColumns=True)
+    ends = _ends(keyed, [*extra, *keys], spec, null_safe)
+    rows = live.unionByName(new)
+    rows = rows.withColumn(_ENDS, F.lit(None).cast(ends.schema[_ENDS].dataType)) if unique else rows.unionByName(ends, allowMissingColumns=True)
     if spread:
         rows = rows.repartition(spread)
     rows = _fated(_classified(rows, Window.partitionBy(*extra, *keys), spec, null_safe), spec, strict)

@@ -182,8 +182,10 @@ class SilverTables:
             # the batch is derived once: what it touches, and the merge, read it from here
             src.write.mode("overwrite").parquet(written)
             src = self.spark.read.schema(src.schema).parquet(written)
-            touched = [r[0] for r in src.select(SLOT).distinct().collect()]     # names of buckets, one slot for rows without a key
-            target = stored.where(F.col(IS_ACTIVE) & F.col(SLOT).isin(touched))
+            keys = src.groupBy(SLOT, *spec.keys).agg(F.count(F.lit(1)).alias("n"))
+            touched = {r[SLOT]: r["n"] for r in keys.groupBy(SLOT).agg(F.max("n").alias("n")).collect()}    # one entry a bucket, one for rows without a key
+            target = stored.where(F.col(IS_ACTIVE) & F.col(SLOT).isin(list(touched)))
+            kwargs["unique"] = all(n == 1 for slot, n in touched.items() if slot.startswith("b"))
         merged = scd2_merge(target, src, spec, as_of, prepared=True, spread=SLOT, **kwargs).merged
         merged = merged.withColumn(SLOT, F.when(F.col(FATE) == CLOSED, f"r{run}").otherwise(F.col(SLOT))).drop(FATE)
         if stored is None:
