@@ -19,7 +19,7 @@ FAST = ["sales_summary", "customer_engagement", "product_performance", "supplier
         "silver_product_suppliers", "silver_products", "bronze_roundtrip_json", "bronze_roundtrip_iso",
         "bronze_roundtrip_order_items", "bronze_roundtrip_product_suppliers", "bronze_roundtrip_suppliers",
         "bronze_roundtrip_customers", "bronze_roundtrip_categories", "bronze_roundtrip_products",
-        "bronze_roundtrip_parquet", "bronze_roundtrip_daily", "incremental_extract", "keyset_extract",
+        "bronze_roundtrip_parquet", "bronze_roundtrip_daily", "review_feed", "distinct_sketches", "mart_table", "incremental_extract", "keyset_extract",
         "batch_stats",
         "latest_watermark", "audit_roundtrip", "quarantine_report"]
 

@@ -277,6 +277,13 @@ def _ms_to_text(expr: str) -> str:
     return f"strftime(make_timestamp(({expr}) * 1000), '%Y-%m-%d %H:%M:%S')"
 
 
+def distinct_query() -> str:
+    return f"""SELECT strftime(make_timestamp(CAST(order_date AS BIGINT) * 1000), '%Y-%m') AS month,
+  COUNT(DISTINCT customer_id) AS n_customers, TRUE AS within
+FROM ({batch_sql('orders', 1)} UNION ALL {batch_sql('orders', 2)}) loads
+GROUP BY 1"""
+
+
 def batch_stats_query(tables: list[str]) -> str:
     parts = []
     for t in tables:

@@ -10,15 +10,16 @@ import datetime as dt
 import json
 from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierline.functions.predicates import DEFAULT_WATERMARK
 from tierline.functions.time import epoch_ms_text, parse_event_ts, run_metadata, ts_text
-from tierline.operators import gold
+from tierline.operators import gold, sketches
 from tierline.operators.audit import audit_from_stats, read_audit
 from tierline.operators.quality import quarantine_report
 from tierline.operators.watermark import batch_stats, latest_watermark
+from tierline.plans import catalog
 from tierline.plans import oracle_sql as O
 from tierline.plans.pipeline import Layout, ingest, ingest_config
 from tierline.plans.retail import mart, silver_report, silver_table, silver_tables
@@ -29,7 +30,7 @@ from tierline.sources.bronze import read_bronze_daily, read_bronze_json
 from tierline.sources.jdbc import ParquetSource, extract
 from tierline.sources.landing import (EPOCH_MS, ISO, archive_daily, archive_runs, archived_daily_glob, write_daily_landing,
                                      write_landing)
-from tierline.sources.reviews import read_review_landing, write_review_landing
+from tierline.sources.reviews import ingest_reviews, read_review_landing, write_review_landing
 
 
 def _mart(name: str, spark: SparkSession, sf_dir: str, **kwargs) -> DataFrame:
@@ -120,6 +121,51 @@ def bronze_roundtrip_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_review_landing(spark, root)
 
 
+def review_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC10 / IN3: a feed of JSON arrays, one file a day, landed as the day's Parquet and read back.
+
+    Every text is wrapped in characters that mark records elsewhere, and unwrapped when it is back.
+    """
+    root = _scratch(spark, "review-feed")
+    opening, closing = '{"[\\', '},\n{"'
+    rows = retail.batch(spark, sf_dir, "customer_reviews", 2).withColumn("review_text", F.concat(F.lit(opening), "review_text", F.lit(closing)))
+    page = F.to_date(F.timestamp_millis(F.col("review_date").cast("long")))
+    own = Window.partitionBy("page")
+    rows = (rows.select(page.alias("page"), F.to_json(F.struct(*rows.columns)).alias("json"))
+            .withColumn("n", F.row_number().over(own.orderBy("json"))).withColumn("last", F.count(F.lit(1)).over(own)))
+    rows = rows.select("page", "n", F.concat(F.when(F.col("n") == 1, "[").otherwise(","), "json", F.when(F.col("n") == F.col("last"), "]").otherwise("")).alias("value"))
+    rows.sortWithinPartitions("page", "n").drop("n").write.partitionBy("page").text(f"{root}/feed")
+    day = retail.AS_OF_2.date()
+    ingest_reviews(spark, f"{root}/feed", root, day)
+    back = read_review_landing(spark, root, day)
+    return back.withColumn("review_text", F.expr(f"substring(review_text, {len(opening) + 1}, length(review_text) - {len(opening) + len(closing)})"))
+
+
+def distinct_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG3: customers with orders per month, from the sketches of two loads, beside the exact count; ``within`` five standard errors (one at least)."""
+    path = _scratch(spark, "sketches")
+    loads = [retail.source(spark, sf_dir, "orders", n).select("order_date", "customer_id") for n in (1, 2)]
+    for df, now in zip(loads, (retail.AS_OF_1, retail.AS_OF_2)):
+        sketches.store(sketches.daily(df, F.col("order_date"), F.col("customer_id")), path, now.date().isoformat())
+
+    def month(c: str) -> Column:
+        return F.date_format(c, "yyyy-MM")
+    estimated = sketches.merged(spark.read.parquet(path), {"month": month("day")})
+    exact = reduce(DataFrame.unionByName, loads).groupBy(month("order_date").alias("month")).agg(F.count_distinct("customer_id").alias("n_customers"))
+    slack = F.greatest(F.lit(1.0), F.lit(5 * sketches.STANDARD_ERROR) * F.col("n_customers"))
+    return exact.join(estimated, "month").select("month", "n_customers", (F.abs(F.col("estimate") - F.col("n_customers")) <= slack).alias("within"))
+
+
+def mart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK10: a mart as a managed table, created once (a second run is a no-op) and read by its name."""
+    root = _scratch(spark, "gold-tables")
+    database = root.rpartition("/")[2].replace("-", "_")
+    catalog.create_database(spark, database, root)
+    catalog.create_table_if_absent(customer_reviews_summary(spark, sf_dir), database, "customer_reviews_summary")
+    made = spark.table(f"{database}.customer_reviews_summary")
+    return catalog.create_table_if_absent(made.limit(0), database, "customer_reviews_summary")
+
+
 def _orders_source(sf_dir: str) -> ParquetSource:
     return ParquetSource({"orders": lambda spark: retail.source(spark, sf_dir, "orders", 2)})
 
@@ -227,6 +273,9 @@ QUERIES.update({
     "bronze_roundtrip_iso": partial(bronze_roundtrip, encoding=ISO),
     "bronze_roundtrip_parquet": bronze_roundtrip_parquet,
     "bronze_roundtrip_daily": bronze_roundtrip_daily,
+    "review_feed": review_feed,
+    "distinct_sketches": distinct_sketches,
+    "mart_table": mart_table,
     "incremental_extract": incremental_extract,
     "keyset_extract": keyset_extract,
     "batch_stats": batch_stats_query,
@@ -255,6 +304,9 @@ def oracles() -> dict[str, str]:
     out["bronze_roundtrip_parquet"] = O.bronze_query("customer_reviews")
     out["bronze_roundtrip_daily"] = O.daily_landing_query("orders", [(1, retail.AS_OF_1.date()),
                                                                      (2, retail.AS_OF_2.date())])
+    out["review_feed"] = O.bronze_query("customer_reviews")
+    out["distinct_sketches"] = O.distinct_query()
+    out["mart_table"] = O.gold_query("customer_reviews_summary")
     out["incremental_extract"] = O.extract_query("orders", "updated_at", EXTRACT_MARK)
     out["keyset_extract"] = O.extract_query("orders", "updated_at", EXTRACT_MARK,
                                             ("order_id", KEYSET_LAST_ID))

@@ -2,8 +2,7 @@
 
 The reference fetches the array over HTTP into pandas on one machine. Here
 the dumped payload (one or many JSON-array files, e.g. one per page) is
-read by Spark directly; each file is one task (a JSON array is not
-splittable), so a large feed should be dumped as several pages. The
+read by Spark directly, a large file by many tasks (``json_array``). The
 landing file is ``customer_reviews_<yyyyMMdd>.parquet``, written by the
 executors and replaced on a same-day rerun.
 """
@@ -19,13 +18,14 @@ from tierline.operators.watermark import observed
 from tierline.plans.publish import overwrite
 from tierline.schemas import CUSTOMER_REVIEWS, TableSpec
 from tierline.sources.bronze import read_bronze_parquet
+from tierline.sources.json_array import read_json_array
 
 REVIEW_FILE_PREFIX = "customer_reviews_"
 
 
 def read_review_feed(spark: SparkSession, path: str, spec: TableSpec = CUSTOMER_REVIEWS) -> DataFrame:
     """Records of JSON-array file(s) under ``path`` with the bronze schema."""
-    raw = spark.read.option("multiLine", True).option("mode", "FAILFAST").schema(spec.schema).json(path)
+    raw = read_json_array(spark, path, spec.schema)
     return raw.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields])
 
 
