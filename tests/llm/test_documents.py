@@ -298,6 +298,23 @@ def test_all_stretches_that_come_again_are_cut(spark):
         assert words(r.text) == [x for k, x in enumerate(w) if k not in want[r.doc_id]]
 
 
+def brute_alike(rows):
+    """The words of each document that stand in a 50-word stretch that is alike (0.75) to one of an earlier document, and begins and ends as it does."""
+    grams = {i: [tuple(w[k:k + 5]) for k in range(len(w) - 4)] for i, t in rows for w in [words(t)]}
+    want = {i: set() for i, _ in rows}
+    for i, g in grams.items():
+        for j in range(i):
+            h = grams[j]
+            for k in range(len(g) - 45):
+                one = g[k:k + 46]
+                mine = set(one)
+                for m in [m for m in range(len(h) - 45) if one[0] in h[m:m + 3]]:
+                    common = len(mine & set(h[m:m + 46]))
+                    if 100 * common >= 75 * (92 - common) and one[-1] in h[m + 43:m + 49]:
+                        want[i] |= set(range(k, k + 50))
+    return want
+
+
 def test_stretches_alike_are_cut_wherever_they_stand(spark):
     """Against all pairs of 50-word stretches at 0.75 that begin and end alike; passages are wrapped, embedded and edited."""
     rng = random.Random(21)
@@ -312,18 +329,7 @@ def test_stretches_alike_are_cut_wherever_they_stand(spark):
             w = [x + "\n" * (k % 9 == 8) for k, x in enumerate(w)]  # wrapped over short lines
         rows.append((i, " ".join([prose(rng.randint(3, 40), 9000 + i), *w, prose(rng.randint(0, 30), 9500 + i)])))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    grams = {i: [tuple(w[k:k + 5]) for k in range(len(w) - 4)] for i, t in rows for w in [words(t)]}
-    want = {i: set() for i, _ in rows}
-    for i, g in grams.items():
-        for j in range(i):
-            h = grams[j]
-            for k in range(len(g) - 45):
-                one = g[k:k + 46]
-                mine = set(one)
-                for m in [m for m in range(len(h) - 45) if one[0] in h[m:m + 3]]:
-                    common = len(mine & set(h[m:m + 46]))
-                    if 100 * common >= 75 * (92 - common) and one[-1] in h[m + 43:m + 49]:
-                        want[i] |= set(range(k, k + 50))
+    want = brute_alike(rows)
     got = {r.doc_id: r for r in substring_dedup.trimmed(docs).collect()}
     assert sum(map(len, want.values())) > 1000 and all(want[i] for i in range(5, 24))
     for i, t in rows:
@@ -331,6 +337,27 @@ def test_stretches_alike_are_cut_wherever_they_stand(spark):
         assert words(got[i].text) == [x for k, x in enumerate(w) if k not in want[i]], i
 
 
+def test_halves_held_first_elsewhere_hide_no_passage(spark):
+    """Documents that come first hold the pieces of a passage far apart; later ones hold it whole, and edited: nothing may hide behind the pieces."""
+    rng = random.Random(33)
+    rows = []
+    for n in (56, 56, 60, 70, 96):
+        w = prose(n, 4000 + len(rows)).split()
+        k = n // 2 if n < 96 else 48
+        rows.append((len(rows), " ".join([prose(9, len(rows)), *w[:k], prose(80, 5000 + len(rows)), *w[k:], prose(9, 6000 + len(rows))])))
+        rows.append((len(rows), " ".join([prose(7, len(rows)), *w, prose(5, 7000 + len(rows))])))
+        for _ in range(3):
+            e = list(w)
+            e[rng.randrange(n // 2 - 4, n // 2 + 4)] = "edit%d" % rng.randrange(10 ** 6)
+            rows.append((len(rows), " ".join([prose(rng.randint(3, 30), 8000 + len(rows)), *e, prose(5, 9000 + len(rows))])))
+    want = brute_alike(rows)
+    got = {r.doc_id: r for r in substring_dedup.trimmed(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    cut = {i: len(words(t)) - len(words(got[i].text)) for i, t in rows}
+    assert all(cut[i] <= len(want[i]) for i, _ in rows)
+    assert all(len(want[5 * g + 2]) >= 50 and cut[5 * g + 2] == len(want[5 * g + 2]) for g in range(5)), (cut, {i: len(x) for i, x in want.items()})
+    assert sum(cut.values()) >= 0.95 * sum(map(len, want.values()))
+
+
 # --- toxicity --------------------------------------------------------------------------
 
 def test_chain_on_held_out_documents(spark):

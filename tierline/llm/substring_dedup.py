@@ -23,9 +23,13 @@ A cluster stays in the document of least id that holds it; in all other
 documents its words are cut. Whatever is cut thus stands somewhere in a document
 that comes before. Stretches repeated only inside one document stay.
 
+  A run may be common, and the document that lists it first hold no more than the run. So what is
+  still uncut then is tried again, by the runs left over and by pairs of close ones: a
+  pair stands in few documents besides those that share the passage.
+
 Texts are read again only for documents that hold runs that differ, lines to be verified, or parts
-alike that are not cut as equal ones. Such a part is laid along one document per listed run, the first: where that
-one holds no more than the run and the others of the part aren't shared with a better one, the part stays.
+alike that are not cut yet. A part stays if, of all its runs and pairs, each is held first by
+a document that is not alike (recall on random edits and splits: see the tests).
 
 Defined results: a null text is empty; ids stand for documents, rows with a
 null id are left as they are; rows that repeat an id are cut alike (a document does not repeat itself); texts of
@@ -50,6 +54,8 @@ from tierline.llm.shared import SHINGLE, SIMILAR_PCT, WORD_RE, as_long, cut, low
 MIN_WORDS = 50
 BANDS, ROWS = 16, 2
 GRAM = 12  # words of a run that parts alike are found by, at most
+PAIRED = 4  # next runs that a run left over is paired with
+PART_CHARS = 500_000  # of texts that are worked on together
 DRIFT = 2  # words inserted or left out within a stretch
 _HASHES = seeds(BANDS * ROWS, 2001)
 _BAND_SEEDS = seeds(ROWS, 2101)
@@ -66,16 +72,28 @@ def window_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 class Paragraphs:
-    """The paragraphs of a text."""
+    """The paragraphs of some texts, whose words lie in one array, so that each step is one operation over all of them."""
 
-    def __init__(self, text: str | None, min_words: int = MIN_WORDS):
+    def __init__(self, texts, min_words: int = MIN_WORDS):
         self.min_words = min_words
-        data = lowered(text)
+        data = [lowered(t) for t in texts]
+        bytes_at = np.cumsum([0] + [len(d) + 1 for d in data])
+        data = b"\n".join(data)
         self.hashes, starts = word_hashes(data)
+        self.at = np.searchsorted(starts, bytes_at)  # the first word of each text, and the end
+        self.owner = np.repeat(np.arange(len(texts)), np.diff(self.at))
         breaks = np.flatnonzero(np.frombuffer(data, dtype=np.uint8) == ord("\n"))
-        self.ends = [*np.searchsorted(starts, breaks), len(starts)]
+        self.ends = np.append(np.searchsorted(starts, breaks), len(starts))
         self.shingles = shingles(self.hashes) if len(self.hashes) >= SHINGLE else self.hashes[:0]
 
+    def _within(self, size: int) -> np.ndarray:
+        """Whether the ``size`` words from each word on are of one text."""
+        return self.owner[:max(len(self.owner) - size + 1, 0)] == self.owner[size - 1:]
+
+    def _split(self, at: np.ndarray) -> np.ndarray:
+        """Where the places of each text begin in ``at``."""
+        return np.searchsorted(at, self.at)
+
     def _sums(self, at: np.ndarray, size: int) -> np.ndarray:
         """Two hashes (2 x n) of the ``size`` words from each of ``at`` on."""
         sums = np.zeros((2, len(at)), dtype=np.uint64)
@@ -83,52 +101,66 @@ class Paragraphs:
             sums += self.shingles[at + o][None, :] * _STRETCH_SEEDS[:, k % 256, None] + np.uint64(k)
         return as_long(mix64(sums))
 
-    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(least shingle, first start, last start, 128-bit digest of the words as two longs) of each run of stretches with one least shingle."""
-        width = self.min_words - SHINGLE + 1
+    def runs(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(least shingle, first start, last start, 128-bit digest of the words as two longs) of each run of stretches with one least shingle, by text."""
         if len(self.hashes) < self.min_words:
-            return self.hashes[:0], self.hashes[:0], self.hashes[:0], np.zeros((0, 2), dtype=np.int64)
-        least = window_min(self.shingles, width)
-        first = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1))
-        last = np.concatenate((first[1:] - 1, [len(least) - 1]))
+            return [(self.hashes[:0], self.hashes[:0], self.hashes[:0], np.zeros((0, 2), dtype=np.int64))] * (len(self.at) - 1)
+        least, here = window_min(self.shingles, self.min_words - SHINGLE + 1), self._within(self.min_words)
+        on = np.concatenate(([False], here[1:] & here[:-1] & (least[1:] == least[:-1]), [False]))  # a start goes on with the run of the one before
+        first, last = np.flatnonzero(here & ~on[:-1]), np.flatnonzero(here & ~on[1:])
         data = self.hashes.tobytes()
-        digests = b"".join(xxhash.xxh3_128_digest(data[8 * b:8 * (e + self.min_words)]) for b, e in zip(first, last))
-        return least[first], first, last, np.frombuffer(digests, dtype="<i8").reshape(-1, 2)
-
-    def stretches(self, runs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, hash, other hash) of the stretches of some runs (first, last start)."""
-        at = [np.arange(r["first"], min(r["last"], len(self.hashes) - self.min_words) + 1) for r in runs]
+        digests = b"".join(xxhash.xxh3_128_digest(data[8 * b:8 * (e + self.min_words)]) for b, e in zip(first.tolist(), last.tolist()))
+        digests, cut_at = np.frombuffer(digests, dtype="<i8").reshape(-1, 2), self._split(first)
+        return [(least[first[b:e]], first[b:e] - w, last[b:e] - w, digests[b:e]) for b, e, w in zip(cut_at, cut_at[1:], self.at)]
+
+    def stretches(self, k: int, runs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, hash, other hash) of the stretches of some runs (first, last start) of text ``k``."""
+        n = self.at[k + 1] - self.at[k]
+        at = [np.arange(r["first"], min(r["last"], n - self.min_words) + 1) for r in runs]
         at = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *at]).astype(np.int64))
-        sums = self._sums(at, self.min_words)
+        sums = self._sums(at + self.at[k], self.min_words)
         return at, sums[0], sums[1]
 
-    def lines(self) -> list[tuple[str, int, int, np.ndarray]]:
-        """(digest, first word, word after the last, shingle set) of the lines that are long enough."""
-        out, begin, data = [], 0, self.hashes.tobytes()
-        for end in self.ends:
-            if end - begin >= self.min_words:
-                out.append((xxhash.xxh3_128_hexdigest(data[8 * begin:8 * end]), int(begin), int(end), np.unique(self.shingles[begin:end - SHINGLE + 1])))
-            begin = end
+    def lines(self) -> list[list[tuple[str, int, int, np.ndarray]]]:
+        """(digest, first word, word after the last, shingle set) of the lines that are long enough, by text."""
+        out, data = [[] for _ in self.at[1:]], self.hashes.tobytes()
+        begins = np.concatenate(([0], self.ends[:-1]))
+        for k in np.flatnonzero(self.ends - begins >= self.min_words).tolist():
+            begin, end = int(begins[k]), int(self.ends[k])
+            text = int(self.owner[begin])
+            out[text].append((xxhash.xxh3_128_hexdigest(data[8 * begin:8 * end]), begin - int(self.at[text]), end - int(self.at[text]),
+                              np.unique(self.shingles[begin:end - SHINGLE + 1])))
         return out
 
-    def grams(self) -> tuple[np.ndarray, np.ndarray]:
-        """(hash, first word) of the least run of words in every half stretch."""
+    def grams(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(hash, first word) of the least run of words in every half stretch, by text."""
         half = max(self.min_words // 2 - 1, 1)
         size = min(GRAM, half)
         width = half - size + 1
         if len(self.hashes) < self.min_words:
-            return self.hashes[:0], np.zeros(0, dtype=np.int64)
+            return [(self.hashes[:0], np.zeros(0, dtype=np.int64))] * (len(self.at) - 1)
         grams = shingles(self.hashes, size)
         pad = np.zeros(width - 1, dtype=np.uint64)
-        at = np.flatnonzero(grams == ~window_min(~np.concatenate((pad, window_min(grams, width), pad)), width))
-        if len(np.unique(grams[at])) < len(at):  # what comes again at once is listed once per half stretch
-            last, keep = {}, []
-            for k, g in zip(at.tolist(), grams[at].tolist()):
-                if k - last.get(g, -half) >= half:
-                    last[g] = k
-                    keep.append(k)
-            at = np.array(keep, dtype=np.int64)
-        return grams[at], at
+        least = np.where(self._within(half), window_min(grams, width), np.uint64(0))
+        long = np.diff(self.at) >= self.min_words
+        at = np.flatnonzero((grams == ~window_min(~np.concatenate((pad, least, pad)), width)) & self._within(size) & long[self.owner[:len(grams)]])
+        cut_at = self._split(at)
+        owner = self.owner[at]
+        order = np.lexsort((grams[at], owner))
+        again = (grams[at][order][1:] == grams[at][order][:-1]) & (owner[order][1:] == owner[order][:-1])
+        again = set(owner[order][1:][again].tolist())
+        out = []
+        for k, (b, e, w) in enumerate(zip(cut_at, cut_at[1:], self.at)):
+            places = at[b:e]
+            if k in again:  # what comes again at once is listed once per half stretch
+                last, keep = {}, []
+                for p, g in zip(places.tolist(), grams[places].tolist()):
+                    if p - last.get(g, -half) >= half:
+                        last[g] = p
+                        keep.append(p)
+                places = np.array(keep, dtype=np.int64)
+            out.append((grams[places], places - w))
+        return out
 
 
 def alike_spans(a: np.ndarray, b: np.ndarray, lead: int, pct: int, min_words: int) -> list[tuple[int, int]]:
@@ -165,21 +197,20 @@ def line_bands(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _run(docs: DataFrame, columns: list[Column], make, out: str, kind) -> DataFrame:
-    """``make(pdf)`` over small parts of batches; ids (``doc``) pass through Python as strings."""
+    """``make(pdf)`` over parts of batches of some 500 KB of text; ids (``doc``) pass through Python as strings."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for k in range(0, len(pdf), 500):
-                yield make(pdf.iloc[k:k + 500])
+            before = pdf["text"].str.len().fillna(0).cumsum().shift(fill_value=0)
+            for _, part in pdf.groupby(before // PART_CHARS, sort=True):
+                yield make(part)
     return docs.select(F.col("doc").cast("string").alias("doc"), *columns).mapInPandas(run, f"doc string, {out}").withColumn("doc", F.col("doc").cast(kind))
 
 
 def listed(docs: DataFrame, kind, min_words: int) -> DataFrame:
     """(doc, runs, lines) of (doc, text)."""
     def make(pdf):
-        made = [Paragraphs(t, min_words) for t in pdf["text"]]
-        runs = [p.runs() for p in made]
-        lines = [p.lines() for p in made]
-        grams = [p.grams() for p in made]
+        made = Paragraphs(list(pdf["text"]), min_words)
+        runs, lines, grams = made.runs(), made.lines(), made.grams()
         sets = [x[3] for row in lines for x in row]
         keys = iter(as_long(np.ascontiguousarray(line_bands(sets))) if sets else [])
         return pd.DataFrame({
@@ -205,7 +236,8 @@ def _equal_stretches(rows: DataFrame, docs: DataFrame, kind, min_words: int) ->
     wanted = cut(named.where("doc = keeper and differ").groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("wanted")), "wanted")
 
     def make(pdf):
-        found = [Paragraphs(t, min_words).stretches(w) for t, w in zip(pdf["text"], pdf["wanted"])]
+        made = Paragraphs(list(pdf["text"]), min_words)
+        found = [made.stretches(k, w) for k, w in enumerate(pdf["wanted"])]
         return pd.DataFrame({"doc": pdf["doc"].to_list(), "at": [f[0].astype(np.int32) for f in found], "h": [f[1] for f in found], "g": [f[2] for f in found]})
     found = _run(docs.join(wanted, "doc"), [F.col("text"), F.col("wanted")], make, "at array<int>, h array<long>, g array<long>", kind)
     stretches = cut(found.select("doc", F.inline(F.arrays_zip("at", "h", "g"))), "stretches")
@@ -226,9 +258,9 @@ def _similar_lines(rows: DataFrame, docs: DataFrame, kind, pct: int, min_words:
 
         def make(pdf):
             out = []
-            for t, w in zip(pdf["text"], pdf["wanted"]):
+            for lines, w in zip(Paragraphs(list(pdf["text"]), min_words).lines(), pdf["wanted"]):
                 w = set(w)
-                out += [(d, as_long(s)) for d, _, _, s in Paragraphs(t, min_words).lines() if d in w]
+                out += [(d, as_long(s)) for d, _, _, s in lines if d in w]
             return pd.DataFrame({"doc": [None] * len(out), "id": [x[0] for x in out], "elements": [x[1] for x in out]}, dtype=object)
         return (_run(docs.join(asked, "doc"), [F.col("text"), F.col("wanted")], make, "id string, elements array<long>", kind)
                 .select("id", "elements").distinct())
@@ -239,15 +271,36 @@ def _similar_lines(rows: DataFrame, docs: DataFrame, kind, pct: int, min_words:
     return lines.select("doc", "line", "begin", "end").join(keeper, "line").where("doc <> keeper").select("doc", "begin", "end", "keeper")
 
 
-def _alike_stretches(rows: DataFrame, docs: DataFrame, equal: DataFrame, kind, pct: int, min_words: int) -> DataFrame:
-    """(doc, begin, end, keeper) of stretches that are alike to one of an earlier document."""
-    grams = rows.select("doc", F.inline(F.arrays_zip("gram", "place")))
-    first = cut(grams.groupBy("gram").agg(F.min(F.struct("doc", "place")).alias("first"), F.max("doc").alias("hi")).where("first.doc <> hi")
-                .select("gram", F.col("first.doc").alias("keeper"), F.col("first.place").alias("there")), "first-grams")
-    beside = (grams.join(first, "gram").where("doc <> keeper").groupBy("doc", "keeper", (F.col("place") - F.col("there")).alias("shift"))
+def _first_places(keyed: DataFrame, key: str) -> DataFrame:
+    """(key, keeper, there): the first document that holds a key, and where, for keys of several documents."""
+    return (keyed.groupBy(key).agg(F.min(F.struct("doc", "place")).alias("first"), F.max("doc").alias("hi")).where("first.doc <> hi")
+            .select(key, F.col("first.doc").alias("keeper"), F.col("first.place").alias("there")))
+
+
+def _left_over(near: DataFrame, gone: DataFrame, min_words: int) -> DataFrame:
+    """(doc, key, place): single runs of words and pairs of close ones, of those that are still uncut in several documents besides their first."""
+    rest = near.where("doc <> keeper or place <> there").groupBy("doc").agg(F.collect_list(F.struct("place", "gram")).alias("left")).join(gone, "doc", "left")
+    inside = F.filter("left", lambda x: ~F.coalesce(F.exists("gone", lambda g: (g["begin"] <= x["place"]) & (x["place"] + GRAM <= g["end"])), F.lit(False)))
+    rest = cut(rest.select("doc", inside.alias("left")).where(F.size("left") > 0), "left-over")
+    rows = rest.select("doc", F.inline("left"))
+    several = rows.groupBy("gram").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("gram")
+    rest = rows.join(several, "gram").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("place", "gram"))).alias("left"))
+    # the run itself, and with each that follows within a stretch
+    pairs = F.flatten(F.transform("left", lambda x, k: F.transform(
+        F.filter(F.slice("left", k + 1, PAIRED + 1), lambda y: y["place"] - x["place"] < min_words),
+        lambda y: F.struct(F.xxhash64(x["gram"], y["gram"]).alias("key"), x["place"].alias("place")))))
+    return cut(rest.select("doc", F.inline(pairs)), "left-keys")
+
+
+def _spans(found: DataFrame, name: str = "gone") -> DataFrame:
+    return found.groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias(name))
+
+
+def _laid_along(keyed: DataFrame, docs: DataFrame, gone: DataFrame, kind, pct: int, min_words: int) -> DataFrame:
+    """(doc, begin, end, keeper) of stretches of documents that are alike to one of their keepers; ``keyed``: (doc, place, keeper, there)."""
+    beside = (keyed.where("doc <> keeper").groupBy("doc", "keeper", (F.col("place") - F.col("there")).alias("shift"))
               .agg(F.min("place").alias("lo"), F.max("place").alias("hi")))
     wanted = beside.groupBy("doc").agg(F.collect_list(F.struct(F.col("keeper").cast("string").alias("keeper"), "shift", "lo", "hi")).alias("wanted"))
-    gone = equal.groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("gone"))
     wanted = cut(wanted.join(gone, "doc", "left"), "wanted-alike")
 
     def make(pdf):
@@ -285,6 +338,18 @@ def _alike_stretches(rows: DataFrame, docs: DataFrame, equal: DataFrame, kind, p
     return found.withColumns({c: F.col(c).cast(kind) for c in ("doc", "keeper")})
 
 
+def _alike_stretches(rows: DataFrame, docs: DataFrame, equal: DataFrame, kind, pct: int, min_words: int) -> DataFrame:
+    """(doc, begin, end, keeper) of stretches that are alike to one of an earlier document: first along the first
+    document of each run, then, for what is still uncut, along the first document of each run and pair of runs that is left."""
+    grams = rows.select("doc", F.inline(F.arrays_zip("gram", "place")))
+    near = cut(grams.join(cut(_first_places(grams, "gram"), "first-grams"), "gram"), "near")
+    found = cut(_laid_along(near, docs, _spans(equal), kind, pct, min_words), "laid-along")
+    gone = cut(_spans(equal.unionByName(found)), "gone")
+    keys = _left_over(near, gone, min_words)
+    again = keys.join(cut(_first_places(keys, "key"), "first-keys"), "key")
+    return found.unionByName(_laid_along(again, docs, gone, kind, pct, min_words))
+
+
 def cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, pct: int = SIMILAR_PCT) -> DataFrame:
     """(doc, spans, keepers): the word ranges to cut out of each document that loses any, and the documents that hold them."""
     kind = docs.schema[id_col].dataType
