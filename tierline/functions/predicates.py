@@ -55,4 +55,10 @@ def after_keyset(column: str, id_column: str, mark, last_id) -> Column:
     return (wm > F.lit(mark)) | ((wm == F.lit(mark)) & (ident > F.lit(last_id)))
 
 
+def up_to_keyset(column: str, id_column: str, mark, last_id) -> Column:
+    """``(wm < mark) OR (wm = mark AND id <= last_id)``: the rows that ``after_keyset`` leaves out, but those with NULLs."""
+    wm, ident = F.col(column), F.col(id_column)
+    return (wm < F.lit(mark)) | ((wm == F.lit(mark)) & (ident <= F.lit(last_id)))
+
+
 DEFAULT_WATERMARK = dt.datetime(1900, 1, 1, tzinfo=dt.timezone.utc)

@@ -4,6 +4,8 @@
   audited high-water mark) landed as run ``run_id``; row count and max
   watermark are observed during the landing write (one pass), then one
   audit row is appended. The mark only moves after the landing commit.
+* ``ingest_pages``: an increment as pages of bounded size by (watermark, id),
+  each landed and audited by itself; a failed run goes on behind its last audited page.
 * ``ingest_config``: ``ingest`` of the active tables of a CSV or JSON config.
 * ``refine_table``: silver consumes *every* landed run that its ledger doesn't
   list, in run order, also one that landed late (never just "the latest files", which
@@ -23,6 +25,7 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierline.functions.time import run_metadata
 from tierline.operators import gold
@@ -36,7 +39,8 @@ from tierline.session import input_bytes, size_shuffle_partitions
 from tierline.sources.bronze import read_bronze_runs
 from tierline.sources.config import configured, read_config
 from tierline.sources.jdbc import extract
-from tierline.sources.landing import archive_runs, pending_runs, write_landing
+from tierline.sources.landing import archive_runs, discard_run, pending_runs, write_landing
+from tierline.sources.paging import page_ends
 
 # Where the next mark comes from: the greatest watermark extracted, or the clock of the run.
 # With the latter, rows stamped before the run that become visible after it are missed.
@@ -107,10 +111,19 @@ class RunInfo:
 
 def ingest_table(spark: SparkSession, source, spec: TableSpec, layout: Layout, now: dt.datetime,
                  encoding: str = "iso", keyset_id: str | None = None, num_partitions: int = 1,
-                 partition_column: str | None = None, watermark_source: str = DATA) -> RunInfo:
+                 partition_column: str | None = None, watermark_source: str = DATA, equal_depth: bool = False,
+                 page_rows: int | None = None) -> RunInfo:
+    """One extract of one table; with ``page_rows`` an increment is taken as pages (see ``ingest_pages``), which needs ``keyset_id``."""
     if watermark_source not in (DATA, LOAD_TIME):
         raise ValueError(f"unknown watermark source {watermark_source!r}")
     meta = run_metadata(now)
+    if page_rows is not None and spec.load_type == INCREMENTAL:
+        if not keyset_id or watermark_source != DATA:
+            raise ValueError("pages follow the data's watermark and an id column")
+        pages = ingest_pages(spark, source, spec, layout, now, keyset_id, page_rows, encoding,
+                             num_partitions=num_partitions, partition_column=partition_column, equal_depth=equal_depth)
+        return RunInfo(spec.name, meta["run_id"], spec.load_type, sum(p.rows_loaded for p in pages),
+                       pages[-1].max_watermark if pages else None)
     mark = keyset = None
     if spec.load_type == INCREMENTAL:
         audit = read_audit(spark, layout.audit)
@@ -118,7 +131,7 @@ def ingest_table(spark: SparkSession, source, spec: TableSpec, layout: Layout, n
         if keyset_id:
             keyset = (keyset_id, last_id_value(audit, spec.name, mark, spec.schema[keyset_id].dataType))
     df = extract(spark, source, spec.name, spec.load_type, spec.watermark_col, mark, keyset=keyset,
-                 columns=None, partition_column=partition_column, num_partitions=num_partitions)
+                 columns=None, partition_column=partition_column, num_partitions=num_partitions, equal_depth=equal_depth)
     df, obs = observed(df, spec.watermark_col if spec.load_type == INCREMENTAL else None,
                        name=f"ingest_{spec.name}_{meta['run_id']}",
                        id_col=keyset_id if watermark_source == DATA else None)
@@ -132,6 +145,46 @@ def ingest_table(spark: SparkSession, source, spec: TableSpec, layout: Layout, n
     return info
 
 
+PAGE = "P"      # between a run's id and the number of its page; sorts behind the run
+
+
+def _page_run(run_id: str, number: int) -> str:
+    return f"{run_id}{PAGE}{number:08d}"
+
+
+def ingest_pages(spark: SparkSession, source, spec: TableSpec, layout: Layout, now: dt.datetime, keyset_id: str,
+                 page_rows: int, encoding: str = "iso", **read_kwargs) -> list[RunInfo]:
+    """The rows behind the audited position as pages of ``page_rows`` rows, one landed run and audit row each.
+
+    If it fails, the next call, with the same clock or a later one, takes up behind the last
+    audited page. A page that landed without its audit row is taken out first, unless silver has
+    it already (merging its rows again changes nothing there, save for rows without a key).
+    """
+    if spec.load_type != INCREMENTAL:
+        raise ValueError(f"{spec.name!r} isn't loaded by increments")
+    meta, root = run_metadata(now), layout.landing_of(spec)
+    audit = read_audit(spark, layout.audit)
+    mark = latest_watermark_value(audit, spec.name)
+    last = last_id_value(audit, spec.name, mark, spec.schema[keyset_id].dataType)
+    audited = set() if audit is None else {
+        r["run_id"] for r in audit.where((F.col("table_name") == spec.name) & F.col("run_id").contains(PAGE)).select("run_id").collect()}
+    for run in pending_runs(spark, root, spec.name, set(SilverTables(spark, layout.silver).runs(spec.name))):
+        if PAGE in run and run not in audited:
+            discard_run(spark, root, spec.name, run)
+    done = sum(run.startswith(meta["run_id"] + PAGE) for run in audited)
+    out = []
+    for end in page_ends(spark, source, spec.name, spec.watermark_col, keyset_id, mark, last, page_rows, **read_kwargs):
+        run_id = _page_run(meta["run_id"], done + len(out) + 1)
+        df = extract(spark, source, spec.name, INCREMENTAL, spec.watermark_col, mark, keyset=(keyset_id, last), until=end, **read_kwargs)
+        df, obs = observed(df, spec.watermark_col, name=f"page_{spec.name}_{run_id}")
+        write_landing(df, root, spec.name, run_id, meta["load_date"], encoding, fmt=spec.landing_format)
+        info = RunInfo(spec.name, run_id, spec.load_type, int(obs.get.get("rows_loaded") or 0), end[0])
+        append(audit_row(spark, run_id, meta["load_date"], spec.name, spec.load_type, info.rows_loaded, spec.watermark_col, end[0], str(end[1])), layout.audit)
+        out.append(info)
+        mark, last = end
+    return out
+
+
 def ingest(spark: SparkSession, sources: dict, specs: list[TableSpec], layout: Layout,
            now: dt.datetime, on_error: str = "raise", **kwargs) -> list[RunInfo]:
     """Ingest tables one after another; ``on_error="log"`` records a failure and goes on.

@@ -11,6 +11,11 @@ bounds come from a pushed-down MIN/MAX (one row returns to the driver) over
 the rows of the extract, so the connections share an increment evenly.
 The reference reads every table on a single connection.
 
+Equal strides share a skewed key badly (most ids in one narrow range, or one
+far outlier). With ``equal_depth`` the connections read ranges between
+quantiles of the column instead: one more read of that column alone, over
+the same strides, into a bounded quantile sketch per task; only the bounds reach the driver.
+
 ``ParquetSource`` offers the same interface over Parquet tables (the
 driver's tables in tests and benchmarks); the extract logic is shared.
 """
@@ -18,17 +23,41 @@ driver's tables in tests and benchmarks); the extract logic is shared.
 from __future__ import annotations
 
 import datetime as dt
+import decimal
 import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.functions.predicates import after_keyset, after_watermark
+from tierline.functions.predicates import after_keyset, after_watermark, up_to_keyset
 from tierline.schemas import FULL, INCREMENTAL
 
 LOAD_TYPES = (FULL, INCREMENTAL)
 
+# A quantile is off by at most (rows / QUANTILE_ACCURACY) rows in rank.
+QUANTILE_ACCURACY = 10_000
+
+
+def sql_literal(value) -> str:
+    """A bound read back from the source, as SQL text: numbers, and dates and instants by JDBC's escapes."""
+    if isinstance(value, dt.datetime):
+        return f"{{ts '{value:%Y-%m-%d %H:%M:%S.%f}'}}"
+    if isinstance(value, dt.date):
+        return f"{{d '{value:%Y-%m-%d}'}}"
+    if isinstance(value, bool) or not isinstance(value, (int, float, decimal.Decimal)):
+        raise TypeError(f"can't split a read by values of {type(value).__name__}")
+    return str(value)
+
+
+def ranges(column: str, bounds: list) -> list[str]:
+    """Disjoint SQL predicates that together hold every row: below, between and from the ascending ``bounds``; NULLs are in the first."""
+    if not bounds:
+        return ["1 = 1"]
+    texts = [sql_literal(b) for b in bounds]
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(texts, texts[1:])]
+    return [f"{column} < {texts[0]} OR {column} IS NULL", *inner, f"{column} >= {texts[-1]}"]
+
 
 @dataclass
 class JdbcSource:
@@ -66,15 +95,38 @@ class JdbcSource:
             F.min(column).alias("lo"), F.max(column).alias("hi")).first()
         return row["lo"], row["hi"]
 
-    def read(self, spark: SparkSession, table: str, partition_column: str | None = None,
-             num_partitions: int = 1, bounds: tuple | None = None, where: Column | None = None) -> DataFrame:
+    def _strided(self, spark: SparkSession, table: str, column: str, num_partitions: int, bounds: tuple) -> DataFrame:
         r = self._reader(spark).option("dbtable", self.qualified(table))
+        if None not in bounds:
+            r = r.option("partitionColumn", column).option("lowerBound", str(bounds[0])) \
+                .option("upperBound", str(bounds[1])).option("numPartitions", str(num_partitions))
+        return r.load()
+
+    def quantiles(self, spark: SparkSession, table: str, column: str, num_partitions: int,
+                  bounds: tuple, where: Column | None = None) -> list:
+        """At most ``num_partitions - 1`` ascending values of ``column`` that part the extract into ranges of like numbers of rows.
+
+        A value that alone fills several ranges is one bound: its rows can't be parted by this column.
+        """
+        df = self._strided(spark, table, column, num_partitions, bounds)
+        shares = [k / num_partitions for k in range(1, num_partitions)]
+        row = (df if where is None else df.where(where)).agg(
+            F.array_distinct(F.percentile_approx(column, shares, QUANTILE_ACCURACY)).alias("at")).first()
+        return sorted(row["at"] or [])
+
+    def read(self, spark: SparkSession, table: str, partition_column: str | None = None,
+             num_partitions: int = 1, bounds: tuple | None = None, where: Column | None = None,
+             equal_depth: bool = False) -> DataFrame:
         if partition_column and num_partitions > 1:
-            lo, hi = bounds or self.bounds(spark, table, partition_column, where)
-            if lo is not None and hi is not None:
-                r = r.option("partitionColumn", partition_column).option("lowerBound", str(lo)) \
-                    .option("upperBound", str(hi)).option("numPartitions", str(num_partitions))
-        df = r.load()
+            bounds = bounds or self.bounds(spark, table, partition_column, where)
+            if equal_depth:
+                found = self.quantiles(spark, table, partition_column, num_partitions, bounds, where)
+                name = f"{self.quote}{partition_column}{self.quote}"
+                df = self._reader(spark).jdbc(self.url, self.qualified(table), predicates=ranges(name, found))
+            else:
+                df = self._strided(spark, table, partition_column, num_partitions, bounds)
+        else:
+            df = self._reader(spark).option("dbtable", self.qualified(table)).load()
         return df if where is None else df.where(where)
 
 
@@ -84,7 +136,8 @@ class ParquetSource:
     tables: dict
 
     def read(self, spark: SparkSession, table: str, partition_column: str | None = None,
-             num_partitions: int = 1, bounds: tuple | None = None, where: Column | None = None) -> DataFrame:
+             num_partitions: int = 1, bounds: tuple | None = None, where: Column | None = None,
+             equal_depth: bool = False) -> DataFrame:
         src = self.tables[table]
         df = src(spark) if callable(src) else spark.read.parquet(src)
         return df if where is None else df.where(where)
@@ -103,7 +156,8 @@ def normalize_load_type(value: str | None) -> str:
 def extract(spark: SparkSession, source, table: str, load_type: str = FULL,
             watermark_col: str | None = None, mark: dt.datetime | None = None,
             keyset: tuple[str, object] | None = None, columns: list[str] | None = None,
-            partition_column: str | None = None, num_partitions: int = 1) -> DataFrame:
+            partition_column: str | None = None, num_partitions: int = 1, equal_depth: bool = False,
+            until: tuple | None = None) -> DataFrame:
     """One extract of ``table``.
 
     * ``full``: every row;
@@ -111,6 +165,9 @@ def extract(spark: SparkSession, source, table: str, load_type: str = FULL,
       reference), or with ``keyset=(id_col, last_id)`` the tie-safe
       predicate ``wm > mark OR (wm = mark AND id > last_id)``.
 
+    ``until=(mark, id)`` ends a keyset extract there, that row included (a page, see ``sources.paging``).
+    ``equal_depth``: connections read ranges between quantiles of ``partition_column``.
+
     An incremental spec without a watermark column is rejected instead of
     silently becoming a full load.
     """
@@ -122,5 +179,8 @@ def extract(spark: SparkSession, source, table: str, load_type: str = FULL,
         if mark is not None:
             cond = (after_keyset(watermark_col, keyset[0], mark, keyset[1]) if keyset
                     else after_watermark(watermark_col, mark))
-    df = source.read(spark, table, partition_column=partition_column, num_partitions=num_partitions, where=cond)
+            if keyset and until:
+                cond = cond & up_to_keyset(watermark_col, keyset[0], *until)
+    df = source.read(spark, table, partition_column=partition_column, num_partitions=num_partitions, where=cond,
+                     equal_depth=equal_depth)
     return df.select(*columns) if columns else df

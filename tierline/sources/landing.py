@@ -113,6 +113,14 @@ def pending_runs(spark: SparkSession, root: str, table: str, published: set[str]
     return sorted({r for _, r in landed_runs(spark, root, table)} - set(published))
 
 
+def discard_run(spark: SparkSession, root: str, table: str, run_id: str) -> None:
+    """Take a run's folders out of landing (an extract that was never audited and will be made again)."""
+    for load_date, run in landed_runs(spark, root, table):
+        if run == run_id:
+            fs, path, _ = _jvm_fs(spark, f"{table_path(root, table)}/{LOAD_DATE}={load_date}/{RUN_ID}={run}")
+            fs.delete(path, True)
+
+
 def archive_runs(spark: SparkSession, root: str, archive_root: str, table: str,
                  keep: list[str] | None = None) -> list[str]:
     """Move every run of ``table`` except ``keep`` to the archive, preserving the layout.
