@@ -21,7 +21,7 @@ FAST = ["sales_summary", "customer_engagement", "product_performance", "supplier
         "bronze_roundtrip_customers", "bronze_roundtrip_categories", "bronze_roundtrip_products",
         "bronze_roundtrip_parquet", "bronze_roundtrip_daily", "review_feed", "distinct_sketches", "mart_table", "incremental_extract", "keyset_extract",
         "batch_stats",
-        "latest_watermark", "audit_roundtrip", "quarantine_report"]
+        "latest_watermark", "audit_roundtrip", "paged_ingest", "quarantine_report"]
 
 
 @pytest.fixture(scope="module")

@@ -10,6 +10,7 @@ the library; it is the independent statement of what each query returns.
 
 from __future__ import annotations
 
+from tierline.functions.time import RUN_ID_FORMAT
 from tierline.schemas import IS_QUARANTINED, REGISTRY, SCD2, TableSpec
 from tierline.sources import retail as R
 
@@ -277,6 +278,22 @@ def _ms_to_text(expr: str) -> str:
     return f"strftime(make_timestamp(({expr}) * 1000), '%Y-%m-%d %H:%M:%S')"
 
 
+def pages_query(table: str, wm: str, ident: str, page_rows: int, days) -> str:
+    """Pages of two days' extracts by (wm, ident), the second behind the last row of the first."""
+    loads = [f"SELECT CAST({wm} AS BIGINT) AS wm, {ident} AS id FROM (\n{batch_sql(table, n)}\n) b{n} WHERE {wm} IS NOT NULL" for n in (1, 2)]
+    runs = [now.strftime(RUN_ID_FORMAT) for now in days]
+    return f"""WITH d1 AS ({loads[0]}), d2 AS ({loads[1]}),
+last AS (SELECT wm, id FROM d1 ORDER BY wm DESC, id DESC LIMIT 1),
+extracts AS (
+  SELECT '{runs[0]}' AS run, wm, id FROM d1
+  UNION ALL
+  SELECT '{runs[1]}', d2.wm, d2.id FROM d2, last WHERE d2.wm > last.wm OR (d2.wm = last.wm AND d2.id > last.id)),
+placed AS (SELECT *, (ROW_NUMBER() OVER (PARTITION BY run ORDER BY wm, id) - 1) // {page_rows} + 1 AS page FROM extracts)
+SELECT run || 'P' || lpad(CAST(page AS VARCHAR), 8, '0') AS run_id, COUNT(*) AS rows_loaded, {_ms_to_text('MAX(wm)')} AS watermark,
+  arg_max(id, (wm, id)) AS last_id, COUNT(*) AS n_landed, MIN(id) AS least_id, CAST(SUM(id) AS BIGINT) AS sum_ids
+FROM placed GROUP BY run, page"""
+
+
 def distinct_query() -> str:
     return f"""SELECT strftime(make_timestamp(CAST(order_date AS BIGINT) * 1000), '%Y-%m') AS month,
   COUNT(DISTINCT customer_id) AS n_customers, TRUE AS within

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tierline.functions.predicates import DEFAULT_WATERMARK
 from tierline.functions.time import epoch_ms_text, parse_event_ts, run_metadata, ts_text
 from tierline.operators import gold, sketches
-from tierline.operators.audit import audit_from_stats, read_audit
+from tierline.operators.audit import append, audit_from_stats, read_audit
 from tierline.operators.quality import quarantine_report
 from tierline.operators.watermark import batch_stats, latest_watermark
 from tierline.plans import catalog
@@ -192,21 +192,25 @@ def batch_stats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_watermark_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG9 / SNK5 / SRC11: audit rows of two ingest runs -> latest mark per table."""
-    rows = []
-    for t in STATS_TABLES:
-        wm = retail.SPECS[t].watermark_col
-        day1 = retail.source(spark, sf_dir, t, 1)
-        mark1 = day1.select(F.max(wm)).scalar()          # uncorrelated scalar subquery
-        day2 = retail.source(spark, sf_dir, t, 2).where(F.col(wm) > mark1)
-        for run, df in (("run1", day1), ("run2", day2)):
+    """AGG9 / SNK5 / SRC11: two runs append their audit rows, the second from the first's marks; the latest mark per table, read back.
+
+    Each source is scanned once a run, and all rows of a run are one job.
+    """
+    path = _scratch(spark, "marks")
+    marks: dict[str, dt.datetime] = {}
+    for number, run in ((1, "run1"), (2, "run2")):
+        tables = {t: lambda spark, t=t, n=number: retail.source(spark, sf_dir, t, n) for t in STATS_TABLES}
+        rows = []
+        for t in STATS_TABLES:
+            wm = retail.SPECS[t].watermark_col
+            df = extract(spark, ParquetSource(tables), t, "incremental", wm, marks.get(t, DEFAULT_WATERMARK))
             rows.append(audit_from_stats(batch_stats(df, wm, t), run, "2002-01-02", "incremental", wm))
-    for t in FULL_TABLES:
-        for run in ("run1", "run2"):
-            rows.append(audit_from_stats(batch_stats(retail.source(spark, sf_dir, t, 2), None, t),
-                                         run, "2002-01-02", "full", None))
-    audit = reduce(DataFrame.unionByName, rows)
-    return latest_watermark(audit).withColumn("latest_watermark", ts_text(F.col("latest_watermark")))
+        for t in FULL_TABLES:
+            rows.append(audit_from_stats(batch_stats(retail.source(spark, sf_dir, t, 2), None, t), run, "2002-01-02", "full", None))
+        append(reduce(DataFrame.unionByName, rows), path)
+        latest = latest_watermark(read_audit(spark, path))
+        marks = {r["table_name"]: r["latest_watermark"].replace(tzinfo=dt.timezone.utc) for r in latest.collect()} if number == 1 else marks
+    return latest.withColumn("latest_watermark", ts_text(F.col("latest_watermark")))
 
 
 def audit_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,6 +225,21 @@ def audit_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         ts_text(F.col("watermark")).alias("watermark"))
 
 
+PAGE_ROWS = 10_000
+
+
+def paged_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC5 / SNK1 / SNK5: orders of two days as keyset pages; each page's audit row beside what lies in its landed run."""
+    layout, spec = Layout(_scratch(spark, "pages")), retail.SPECS["orders"]
+    for number, now in ((1, retail.AS_OF_1), (2, retail.AS_OF_2)):
+        source = ParquetSource({"orders": lambda spark, n=number: retail.source(spark, sf_dir, "orders", n)})
+        ingest(spark, {spec.source: source}, [spec], layout, now, keyset_id="order_id", page_rows=PAGE_ROWS)
+    landed = read_bronze_json(spark, f"{layout.landing}/orders", spec, keep_run=True).groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("n_landed"), F.min("order_id").alias("least_id"), F.sum("order_id").alias("sum_ids"))
+    audited = read_audit(spark, layout.audit).select("run_id", "rows_loaded", ts_text(F.col("watermark")).alias("watermark"), F.col("last_id").cast("long").alias("last_id"))
+    return audited.join(landed, "run_id")
+
+
 # Fixed values of the fixture: an ingest config (table, load type, watermark, active); products has no source, so its ingest fails.
 CONFIG = [("products", "Full Load", "", "1"), ("categories", "full", "", "1"), ("customers", "Incremental", "updated_at", "1"),
           ("orders", "incremental load", "updated_at", "1"), ("order_items", "Incremental", "updated_at", "0")]
@@ -281,6 +300,7 @@ QUERIES.update({
     "batch_stats": batch_stats_query,
     "latest_watermark": latest_watermark_query,
     "audit_roundtrip": audit_roundtrip,
+    "paged_ingest": paged_ingest,
     "config_ingest": config_ingest,
     "quarantine_report": quarantine_report_query,
 })
@@ -314,6 +334,7 @@ def oracles() -> dict[str, str]:
     out["latest_watermark"] = O.latest_watermark_query(
         STATS_TABLES, FULL_TABLES, DEFAULT_WATERMARK.strftime("%Y-%m-%d %H:%M:%S"))
     out["audit_roundtrip"] = O.audit_query(STATS_TABLES, FULL_TABLES, [retail.AS_OF_1, retail.AS_OF_2])
+    out["paged_ingest"] = O.pages_query("orders", "updated_at", "order_id", PAGE_ROWS, [retail.AS_OF_1, retail.AS_OF_2])
     out["config_ingest"] = O.config_query(["customers", "orders"], ["categories"], ["products"], [retail.AS_OF_1, retail.AS_OF_2])
     out["quarantine_report"] = O.quarantine_report_query(QUARANTINE_TABLES)
     return out
