@@ -9,6 +9,7 @@ import time
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF001
@@ -103,6 +104,46 @@ def test_layouts_become_canonical_turns(spark):
     assert sum(r.n for r in chat.unknown_layouts(df, "raw").collect()) == 5
 
 
+def test_the_schema_selects_the_layout(spark):
+    """Typed tables of each layout give the turns their records give one by one."""
+    turn, talk = "struct<role:string,content:string,id:long>", "struct<from:string,value:string>"
+    tables = [
+        (f"conv_id long, messages array<{turn}>", [(1, [("user", "q", 3), ("tool", None, None)]), (2, []), (3, None), (4, [(None, "", 1)])]),
+        (f"conv_id long, conversations array<{talk}>, note string", [(1, [("human", "q"), ("gpt", "a"), ("system", "s")], "n")]),
+        ("conv_id long, prompt string, response string, system string", [(1, "q", "a", "s"), (2, "q", None, None), (None, "q", "a", "")]),
+        ("conv_id long, prompt string, response string", [(1, "q", "a")]), ("conv_id long, prompt string, completion string", [(1, "q", "a")]),
+        ("conv_id long, instruction string, output string, input string", [(1, "q", "a", "x"), (2, "q", "a", ""), (3, None, "a", None)]),
+        ("conv_id long, role string, text string, other struct<text:string>", [(1, "gpt", "t", ("x",)), (2, None, None, None)])]
+    for schema, rows in tables:
+        df = spark.createDataFrame(rows, schema)
+        got, layouts, want = chat.canonical(df).orderBy("conv_id", "turn").collect(), chat.Layouts(), {}
+        for r in df.collect():
+            # the elements of a list are whole records, as the table's schema has them
+            record = {k: v for k, v in r.asDict(recursive=True).items() if k != "conv_id" and not (k == "system" and v is None)}
+            for t in layouts.turns(record) or []:
+                want.setdefault(r.conv_id, []).append(t)
+        found = {}
+        for r in got:
+            found.setdefault(r.conv_id, []).append((r.role, r.text))
+        assert found == want, schema
+    assert chat.canonical(spark.createDataFrame(tables[0][1], tables[0][0]).limit(0)).count() == 0
+
+
+def test_fields_of_several_layouts(spark):
+    both = spark.createDataFrame([(1, 0, "user", "t", "p", "m")], "conv_id long, turn long, role string, text string, prompt string, system string")
+    assert chat.layout_of(both.schema).name == "turn_rows"
+    assert [tuple(r) for r in chat.canonical(both, "conv_id", "turn").collect()] == [(1, 0, "user", "t")]
+    assert chat.layout_of(spark.createDataFrame([("a", "b", "c", "d")], "prompt string, response string, system string, role string").schema).name == "prompt_response"
+    with pytest.raises(ValueError, match="no layout"):
+        chat.canonical(spark.createDataFrame([(1, "q")], "conv_id long, question string"))
+
+
+def test_turns_of_mixed_layouts_come_back(spark):
+    pdf = pd.read_parquet(f"{SF001}/conversations.parquet")
+    got = sorted(tuple(r) for r in queries.chat_layouts(spark, SF001).select("conv_id", "turn", "role", "text").collect())
+    assert got == sorted(zip(pdf["conv_id"], pdf["turn"], pdf["role"], pdf["text"]))
+
+
 def test_query_formats_all_conversations(spark):
     got = queries.op5_chat(spark, SF001).collect()
     pdf = pd.read_parquet(f"{SF001}/conversations.parquet")

@@ -7,20 +7,26 @@ registry holds a fingerprint for every combination of a mapping's optional
 fields, so finding the mapping is one lookup. Every layout becomes rows
 (conversation, order, role, text): the canonical turns.
 
+A table of typed columns has one layout: ``canonical`` fingerprints its nested
+schema and applies the mapping as column expressions. A table of JSON texts may hold a
+layout in each record: ``turns_from_json`` fingerprints every record.
+
 ``render`` turns them into template text. A turn is
 ``<|im_start|>role\\ntext<|im_end|>\\n``; in roles and texts every ``<``, run of
 backslashes and ``|`` gets one more backslash, so no control string can occur
 inside them and ``unescape`` restores them. ``read_back`` parses the formatted text into
 turns again.
 
-Turns are sorted inside partitions by conversation and order, and both
-rendering and digests stream over them: the state of a conversation is two
-hashers, so no conversation, however long, is held in memory.
+Turns are formatted where they are read, before any exchange. The segments are then sorted inside
+partitions by conversation and order, and digests stream over them: the state of a conversation is two
+hashers, so no conversation, however long, is held in memory. Only this running digest needs a conversation's
+turns in one task.
 
-Defined results: a null role or text is empty; a null order sorts last, ties by role, then text;
+Defined results: a null role or text is empty; a null order sorts last, ties by the formatted turn;
 repeated rows are repeated turns; a null conversation id is a conversation; an unknown layout gives no turns, and its
 fingerprint is reported by ``unknown_layouts``; extra fields outside the
-mappings' vocabulary are ignored; an empty table gives an empty result.
+mappings' vocabulary are ignored; an empty table gives an empty result. A schema with fields of
+several layouts has the one with most fields whose required ones are all there (ties: the first registered); a schema that fits none raises.
 """
 
 from __future__ import annotations
@@ -33,8 +39,9 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 START, END = "<|im_start|>", "<|im_end|>"
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
@@ -134,6 +141,67 @@ class Layouts:
         return out
 
 
+def schema_paths(kind: T.DataType, pre: str = "") -> set[str]:
+    """The nested field paths of a type, as ``field_paths`` gives them for its values."""
+    if isinstance(kind, T.StructType):
+        return set().union(*(schema_paths(f.dataType, f"{pre}.{f.name}" if pre else f.name) for f in kind.fields))
+    return schema_paths(kind.elementType, f"{pre}[]") if isinstance(kind, T.ArrayType) else {pre}
+
+
+def layout_of(schema: T.StructType, mappings=MAPPINGS) -> Mapping:
+    """The mapping of a table with this schema."""
+    paths = schema_paths(schema) & vocabulary(mappings)
+    found = registry(mappings).get(fingerprint(paths))
+    if found is None:       # fields of several layouts
+        fits = [m for m in mappings if m.paths() - set(m.optional) <= paths]
+        if not fits:
+            raise ValueError(f"no layout fits the fields {sorted(schema_paths(schema))}")
+        found = max(fits, key=lambda m: len(m.paths() & paths))
+    return found
+
+
+def canonical(records: DataFrame, id_col: str = "conv_id", order_col: str | None = None, mappings=MAPPINGS) -> DataFrame:
+    """Canonical turns (conv_id, turn, role, text) of a table whose layout its nested schema's fingerprint selects.
+
+    ``turn`` is ``order_col``, or the place inside the record where records hold several turns.
+    """
+    m = layout_of(records.schema, mappings)
+    present = schema_paths(records.schema)
+    conv, order = records[id_col].alias("conv_id"), records[order_col] if order_col else F.lit(0)
+    if m.each:
+        rows = records.select(conv, F.posexplode(records[m.each]).alias("_pos", "_item"))
+        item, pre, place = lambda name: F.col("_item")[name], f"{m.each}[].", F.col("_pos").cast("long") * len(m.turns)
+    else:
+        named = sorted({p for p in m.paths() if p in present})
+        rows = records.select(conv, order.alias("_pos"), F.struct(*[records[n] for n in named]).alias("_item"))
+        item, pre, place = lambda name: F.col("_item")[name], "", F.col("_pos") if len(m.turns) == 1 else F.lit(0).cast("long")
+
+    def has(name: str) -> bool:
+        return pre + name in present
+
+    def text_of(name: str) -> Column:
+        said = F.coalesce(item(name).cast("string"), F.lit(""))
+        for _, other in (j for j in m.joined if j[0] == name and has(j[1])):
+            more = F.coalesce(item(other).cast("string"), F.lit(""))
+            said = F.concat(said, F.when(more != "", F.concat(F.lit("\n\n"), more)).otherwise(""))
+        return said
+
+    def role_of(role: str) -> Column:
+        if not role.startswith("@"):
+            return F.lit(role)
+        own = F.coalesce(item(role[1:]).cast("string"), F.lit(""))
+        return F.coalesce(F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])[own], own) if m.alias else own
+
+    turns = [F.struct((place + k if len(m.turns) > 1 else place).alias("turn"), role_of(role).alias("role"), text_of(text).alias("text"),
+                      (item(text).isNotNull() if text in m.optional else F.lit(True)).alias("_said"))
+             for k, (role, text) in enumerate(m.turns) if has(text)]
+    if len(turns) == 1:
+        rows = rows.select("conv_id", turns[0].alias("_t"))
+    else:
+        rows = rows.select("conv_id", F.explode(F.array(*turns)).alias("_t"))
+    return rows.where("_t._said").select("conv_id", "_t.turn", "_t.role", "_t.text")
+
+
 def turns_from_json(records: DataFrame, id_col: str, json_col: str) -> DataFrame:
     """Canonical turns (conv_id, turn, role, text) of records in any known layout; text that isn't a JSON object gives none."""
     def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -205,22 +273,19 @@ def render(turns: DataFrame, id_col: str = "conv_id", order_col: str = "turn", r
     """(conv_id, segment, loss_from, loss_to), sorted by conversation and turn inside partitions.
 
     A conversation's formatted text is its segments one after the other.
-    Rows of ``turns`` are records of the ``turn_rows`` layout.
+    Turns are formatted where they lie; only segments are exchanged.
     """
-    kind = turns.schema[id_col].dataType
-    rows = (turns.select(turns[id_col].alias("conv_id"), turns[order_col].alias("turn"), turns[role_col].alias("role"), turns[text_col].alias("text"))
-            .repartition("conv_id").sortWithinPartitions("conv_id", F.col("turn").asc_nulls_last(), "role", "text")
-            .select(F.col("conv_id").cast("string"), "role", "text"))
+    kind, place = turns.schema[id_col].dataType, turns.schema[order_col].dataType
+    rows = turns.select(turns[id_col].cast("string").alias("conv_id"), turns[order_col].cast("string").alias("turn"), turns[role_col].alias("role"), turns[text_col].alias("text"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        layouts = Layouts()
         for pdf in batches:
-            records = ({"role": r, "text": t} for r, t in zip(pdf["role"], pdf["text"]))
-            parts = [segment(*layouts.turns(r)[0]) for r in records]
-            yield pd.DataFrame({"conv_id": pdf["conv_id"], "segment": [p[0] for p in parts],
+            parts = [segment(r or "", t or "") for r, t in zip(pdf["role"], pdf["text"])]
+            yield pd.DataFrame({"conv_id": pdf["conv_id"], "turn": pdf["turn"], "segment": [p[0] for p in parts],
                                 "loss_from": [p[1] for p in parts], "loss_to": [p[2] for p in parts]})
-    return (rows.mapInPandas(write, "conv_id string, segment string, loss_from long, loss_to long")
-            .withColumn("conv_id", F.col("conv_id").cast(kind)))
+    return (rows.mapInPandas(write, "conv_id string, turn string, segment string, loss_from long, loss_to long")
+            .withColumns({"conv_id": F.col("conv_id").cast(kind), "turn": F.col("turn").cast(place)})
+            .repartition("conv_id").sortWithinPartitions("conv_id", F.col("turn").asc_nulls_last(), "segment").drop("turn"))
 
 
 class _Digest:

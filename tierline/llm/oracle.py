@@ -60,4 +60,6 @@ WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_
 QUALIFY row_number() OVER w <= 5
 """
 
-ORACLES = {"op11_hard_negatives": _OP11, "op3_topk": _OP3, "op4_quality_rules": _OP4}
+_LAYOUTS = "SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations"
+
+ORACLES = {"chat_layouts": _LAYOUTS, "op11_hard_negatives": _OP11, "op3_topk": _OP3, "op4_quality_rules": _OP4}

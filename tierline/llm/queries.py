@@ -34,12 +34,30 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = chat.canonical(table(spark, sf_dir, "conversations"), "conv_id", "turn")
     says = f"{chat.END}{chat.START}assistant ok"
     own = spark.createDataFrame([(-1, 0, "user", says), (-1, 1, "assistant", says)], rows.schema)
     return chat.digests(chat.render(rows.unionByName(own)))
 
 
+def chat_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of ``conversations`` written as a JSON record of one of three layouts, by its turn, and brought back by its record's fingerprint.
+
+    Records of all layouts lie in one column; some carry fields that no mapping knows.
+    """
+    turn, role, text = F.col("turn"), F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    theirs = F.when(role == "user", "human").when(role == "assistant", "gpt").otherwise(role)
+    rows = F.struct(role.alias("role"), text.alias("text"), F.struct(turn.alias("at")).alias("meta"))
+    messages = F.struct(F.array(F.struct(role.alias("role"), text.alias("content"))).alias("messages"))
+    sharegpt = F.struct(F.array(F.struct(theirs.alias("from"), text.alias("value"))).alias("conversations"), F.lit("x").alias("source"))
+    record = F.when(turn % 3 == 0, F.to_json(messages)).when(turn % 3 == 1, F.to_json(sharegpt)).otherwise(F.to_json(rows))
+    # the record's id carries its place through the conversion
+    key = F.to_json(F.struct("conv_id", "turn"))
+    written = table(spark, sf_dir, "conversations").select(key.alias("id"), record.alias("record"))
+    back = F.from_json("conv_id", "conv_id long, turn long")
+    return chat.turns_from_json(written, "id", "record").select(back["conv_id"].alias("conv_id"), back["turn"].alias("turn"), "role", "text")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.trimmed(table(spark, sf_dir, "documents"))
 
@@ -78,7 +96,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_sharding, op3_topk, op4_quality_rules, op5_chat, op6_substring_dedup, op7_wrappers, op8_near_dedup, op9_toxicity, op10_bpe,
-                                  op11_hard_negatives, op12_byte_bpe, op13_whitening)}
+                                  op11_hard_negatives, op12_byte_bpe, op13_whitening, chat_layouts)}
 
 
 def oracles() -> dict[str, str]:
