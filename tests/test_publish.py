@@ -11,7 +11,7 @@ from tierline.plans import publish as P
 from tierline.plans.publish import SilverTables, overwrite
 from tierline.schemas import SCD2, TableSpec
 
-from conftest import rows
+from conftest import SF001, rows
 
 SPEC = TableSpec("t", T.StructType([T.StructField("k", T.LongType()), T.StructField("attr", T.StringType())]),
                  keys=("k",), tracked=("attr",), silver_policy=SCD2, dedup=True)
@@ -115,3 +115,24 @@ def test_a_refresh_interrupted_between_its_renames_is_undone(spark, workdir):
 
 def test_buckets_follow_the_size_of_the_first_batch():
     assert P.buckets_for(0) == P.BUCKETS and P.buckets_for(1 << 40) == 4096
+
+
+def test_buckets_of_the_retail_tables_follow_their_source(spark, workdir, monkeypatch):
+    """A fixed number of buckets would make the tasks of a merge grow with the table."""
+    from tierline.plans import retail as R
+    monkeypatch.setattr(R, "SOURCE_BUCKET_BYTES", 4096)
+    store = SilverTables(spark, workdir)
+    live = R.silver_table(spark, SF001, "order_items", store).where("is_active")
+    assert store.buckets("order_items") > P.BUCKETS
+    slots = [d for d in os.listdir(f"{workdir}/order_items/is_active=true") if d.startswith("slot=b")]
+    assert all(len([f for f in os.listdir(f"{workdir}/order_items/is_active=true/{d}") if f.endswith(".parquet")]) == 1 for d in slots)
+    assert live.groupBy("order_item_id").count().where("count > 1").count() == 0
+
+
+@pytest.mark.parametrize("derive_once", [True, False])
+def test_a_key_twice_in_a_batch_is_merged_as_distinct_rows(spark, workdir, derive_once):
+    store = SilverTables(spark, workdir)
+    merge(spark, store, [(1, "a"), (1, "a"), (2, "b"), (None, "n"), (None, "n")], "run1", DAY1)
+    got = merge(spark, store, [(1, "a2"), (1, "a2"), (3, "c"), (3, "d"), (None, "n"), (None, "n")], "run2", DAY2, derive_once=derive_once)
+    assert rows(got, *COLUMNS) == [(1, "a", False), (1, "a2", True), (2, "b", True), (3, "c", True), (3, "d", True), (None, "n", True), (None, "n", True)]
+    assert os.listdir(f"{workdir}/t/_merge") == [] and not os.path.exists(f"{workdir}/t/_try")
