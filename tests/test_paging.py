@@ -116,3 +116,15 @@ def test_ingest_takes_increments_as_pages(spark, workdir):
     assert ingest(spark, {"retailer": more}, [SPEC], layout, DAY2, keyset_id="customer_id", page_rows=12)[0].rows_loaded == 5
     with pytest.raises(ValueError):
         ingest(spark, {"retailer": more}, [SPEC], layout, DAY2, page_rows=12)
+
+
+def test_many_pages_land_in_a_bounded_number_of_reads(spark, workdir):
+    """Each page as an extract of its own would read the source once a page."""
+    source, layout = _Failing(ParquetSource({"customers": lambda s: _rows(s, range(200))}), -1), Layout(workdir)
+    pages = ingest_pages(spark, source, SPEC, layout, DAY1, "customer_id", 3)
+    assert len(pages) == 67 and [p.rows_loaded for p in pages] == [3] * 66 + [2]
+    assert source.reads <= 17 and _landed(spark, layout) == list(range(200))
+    landed = read_bronze_json(spark, f"{layout.landing}/customers", SPEC, keep_run=True).groupBy("run_id").agg({"customer_id": "max"}).orderBy("run_id").collect()
+    assert [r[1] for r in landed] == [*range(2, 199, 3), 199]
+    assert [r["last_id"] for r in read_audit(spark, layout.audit).orderBy("run_id").collect()] == [str(r[1]) for r in landed]
+    assert ingest_pages(spark, source, SPEC, layout, DAY2, "customer_id", 3) == []

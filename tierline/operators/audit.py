@@ -22,10 +22,15 @@ FAILED = "FAILED"
 def audit_row(spark: SparkSession, run_id: str, load_date: str | dt.date, table_name: str,
               load_type: str, rows_loaded: int, watermark_col_name: str | None,
               watermark: dt.datetime | None, last_id: str | None = None) -> DataFrame:
-    ld = load_date if isinstance(load_date, dt.date) else dt.date.fromisoformat(str(load_date))
-    wm = to_utc(watermark) if watermark is not None else None
-    return spark.createDataFrame(
-        [(run_id, ld, table_name, load_type, int(rows_loaded), watermark_col_name, wm, last_id)], AUDIT_SCHEMA)
+    return audit_rows(spark, [(run_id, load_date, table_name, load_type, rows_loaded, watermark_col_name, watermark, last_id)])
+
+
+def audit_rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """Audit rows from the arguments of ``audit_row``, written as one file."""
+    def typed(run_id, load_date, table_name, load_type, rows_loaded, watermark_col_name, watermark, last_id):
+        ld = load_date if isinstance(load_date, dt.date) else dt.date.fromisoformat(str(load_date))
+        return run_id, ld, table_name, load_type, int(rows_loaded), watermark_col_name, None if watermark is None else to_utc(watermark), last_id
+    return spark.createDataFrame([typed(*r) for r in rows], AUDIT_SCHEMA).coalesce(1)
 
 
 def audit_from_stats(stats: DataFrame, run_id: str, load_date: str | dt.date, load_type: str,

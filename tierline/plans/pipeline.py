@@ -5,7 +5,7 @@
   watermark are observed during the landing write (one pass), then one
   audit row is appended. The mark only moves after the landing commit.
 * ``ingest_pages``: an increment as pages of bounded size by (watermark, id),
-  each landed and audited by itself; a failed run goes on behind its last audited page.
+  each a run with an audit row of its own, many landed by one job; a failed run goes on behind its last audited page.
 * ``ingest_config``: ``ingest`` of the active tables of a CSV or JSON config.
 * ``refine_table``: silver consumes *every* landed run that its ledger doesn't
   list, in run order, also one that landed late (never just "the latest files", which
@@ -29,18 +29,18 @@ from pyspark.sql import functions as F
 
 from tierline.functions.time import run_metadata
 from tierline.operators import gold
-from tierline.operators.audit import FAILED, SUCCESS, append, audit_row, log_rows, read_audit, status_row
+from tierline.operators.audit import FAILED, SUCCESS, append, audit_row, audit_rows, log_rows, read_audit, status_row
 from tierline.operators.refresh import full_refresh
 from tierline.operators.scd2 import empty_target
 from tierline.operators.watermark import last_id_value, latest_watermark_value, observed
 from tierline.plans.publish import SilverTables, buckets_for, create_if_absent, overwrite
 from tierline.schemas import INCREMENTAL, REGISTRY, SCD2, TableSpec
-from tierline.session import input_bytes, size_shuffle_partitions
+from tierline.session import input_bytes, scratch_root, size_shuffle_partitions
 from tierline.sources.bronze import read_bronze_runs
 from tierline.sources.config import configured, read_config
 from tierline.sources.jdbc import extract
-from tierline.sources.landing import archive_runs, discard_run, pending_runs, write_landing
-from tierline.sources.paging import page_ends
+from tierline.sources.landing import RUN_ID, archive_runs, discard_runs, make_run, pending_runs, write_landing
+from tierline.sources.paging import PAGE_NO, page_ends, stored_pages
 
 # Where the next mark comes from: the greatest watermark extracted, or the clock of the run.
 # With the latter, rows stamped before the run that become visible after it are missed.
@@ -145,6 +145,7 @@ def ingest_table(spark: SparkSession, source, spec: TableSpec, layout: Layout, n
     return info
 
 
+LANDINGS = 16   # jobs in which the pages of an increment land, at most
 PAGE = "P"      # between a run's id and the number of its page; sorts behind the run
 
 
@@ -156,6 +157,8 @@ def ingest_pages(spark: SparkSession, source, spec: TableSpec, layout: Layout, n
                  page_rows: int, encoding: str = "iso", **read_kwargs) -> list[RunInfo]:
     """The rows behind the audited position as pages of ``page_rows`` rows, one landed run and audit row each.
 
+    At most ``LANDINGS`` jobs land them, each a like number of pages in a row, so that the source is read that
+    many times at most however many pages there are. The audit rows of a job's pages are appended once all of them landed.
     If it fails, the next call, with the same clock or a later one, takes up behind the last
     audited page. A page that landed without its audit row is taken out first, unless silver has
     it already (merging its rows again changes nothing there, save for rows without a key).
@@ -168,20 +171,27 @@ def ingest_pages(spark: SparkSession, source, spec: TableSpec, layout: Layout, n
     last = last_id_value(audit, spec.name, mark, spec.schema[keyset_id].dataType)
     audited = set() if audit is None else {
         r["run_id"] for r in audit.where((F.col("table_name") == spec.name) & F.col("run_id").contains(PAGE)).select("run_id").collect()}
-    for run in pending_runs(spark, root, spec.name, set(SilverTables(spark, layout.silver).runs(spec.name))):
-        if PAGE in run and run not in audited:
-            discard_run(spark, root, spec.name, run)
+    pending = pending_runs(spark, root, spec.name, set(SilverTables(spark, layout.silver).runs(spec.name)))
+    discard_runs(spark, root, spec.name, {run for run in pending if PAGE in run and run not in audited})
     done = sum(run.startswith(meta["run_id"] + PAGE) for run in audited)
-    out = []
-    for end in page_ends(spark, source, spec.name, spec.watermark_col, keyset_id, mark, last, page_rows, **read_kwargs):
-        run_id = _page_run(meta["run_id"], done + len(out) + 1)
-        df = extract(spark, source, spec.name, INCREMENTAL, spec.watermark_col, mark, keyset=(keyset_id, last), until=end, **read_kwargs)
-        df, obs = observed(df, spec.watermark_col, name=f"page_{spec.name}_{run_id}")
-        write_landing(df, root, spec.name, run_id, meta["load_date"], encoding, fmt=spec.landing_format)
-        info = RunInfo(spec.name, run_id, spec.load_type, int(obs.get.get("rows_loaded") or 0), end[0])
-        append(audit_row(spark, run_id, meta["load_date"], spec.name, spec.load_type, info.rows_loaded, spec.watermark_col, end[0], str(end[1])), layout.audit)
-        out.append(info)
-        mark, last = end
+    ends = page_ends(spark, source, spec.name, spec.watermark_col, keyset_id, mark, last, page_rows, **read_kwargs)
+    out, size = [], -(-len(ends) // LANDINGS) or 1
+    for group in (ends[i:i + size] for i in range(0, len(ends), size)):
+        run_ids = [_page_run(meta["run_id"], done + len(out) + k) for k in range(1, len(group) + 1)]
+        df = extract(spark, source, spec.name, INCREMENTAL, spec.watermark_col, mark, keyset=(keyset_id, last), until=group[-1], **read_kwargs)
+        # the rows are read once: counting a page and landing it both take them from here
+        rows = stored_pages(df, spec.watermark_col, keyset_id, group, scratch_root(spark, f"landing-{spec.name}"))
+        counts = {r[PAGE_NO]: r["count"] for r in rows.groupBy(PAGE_NO).count().collect()}      # one row a page
+        names = F.element_at(F.lit(run_ids), F.col(PAGE_NO) + 1)
+        write_landing(rows.withColumn(RUN_ID, names).drop(PAGE_NO), root, spec.name, None, meta["load_date"], encoding, fmt=spec.landing_format)
+        infos = [RunInfo(spec.name, run, spec.load_type, int(counts.get(k, 0)), end[0]) for k, (run, end) in enumerate(zip(run_ids, group))]
+        for k, run in enumerate(run_ids):
+            if k not in counts:         # its rows went away since the ends were read: it took place all the same
+                make_run(spark, root, spec.name, run, meta["load_date"])
+        append(audit_rows(spark, [(i.run_id, meta["load_date"], spec.name, spec.load_type, i.rows_loaded, spec.watermark_col, end[0], str(end[1]))
+                                  for i, end in zip(infos, group)]), layout.audit)
+        out += infos
+        mark, last = group[-1]
     return out
 
 

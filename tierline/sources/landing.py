@@ -74,12 +74,13 @@ def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
-def write_landing(df: DataFrame, root: str, table: str, run_id: str, load_date: str | dt.date,
+def write_landing(df: DataFrame, root: str, table: str, run_id: str | None, load_date: str | dt.date,
                   encoding: str = ISO, fmt: str = "json") -> str:
-    """Land one extract of ``table`` as run ``run_id``; returns the table's landing path."""
+    """Land one extract of ``table`` as run ``run_id``, or as the runs of its column ``run_id`` if that is None; returns the table's landing path."""
     out = encode(df, encoding, instants_as_text=(fmt == "parquet")) \
-        .withColumn(LOAD_DATE, F.lit(str(load_date)).cast("date")) \
-        .withColumn(RUN_ID, F.lit(run_id))
+        .withColumn(LOAD_DATE, F.lit(str(load_date)).cast("date"))
+    if run_id is not None:
+        out = out.withColumn(RUN_ID, F.lit(run_id))
     path = table_path(root, table)
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(LOAD_DATE, RUN_ID)
@@ -91,10 +92,16 @@ def write_landing(df: DataFrame, root: str, table: str, run_id: str, load_date:
     else:
         raise ValueError(f"unknown landing format {fmt!r}")
     # a run without rows leaves its folder all the same: it took place
-    make_dirs(df.sparkSession, f"{path}/{LOAD_DATE}={load_date}/{RUN_ID}={run_id}")
+    if run_id is not None:
+        make_run(df.sparkSession, root, table, run_id, load_date)
     return path
 
 
+def make_run(spark: SparkSession, root: str, table: str, run_id: str, load_date: str | dt.date) -> None:
+    """The folder of a run, also of one without rows."""
+    make_dirs(spark, f"{table_path(root, table)}/{LOAD_DATE}={load_date}/{RUN_ID}={run_id}")
+
+
 def landed_runs(spark: SparkSession, root: str, table: str) -> list[tuple[str, str]]:
     """Committed runs of ``table`` as (load_date, run_id), in run order."""
     base = table_path(root, table)
@@ -113,10 +120,10 @@ def pending_runs(spark: SparkSession, root: str, table: str, published: set[str]
     return sorted({r for _, r in landed_runs(spark, root, table)} - set(published))
 
 
-def discard_run(spark: SparkSession, root: str, table: str, run_id: str) -> None:
-    """Take a run's folders out of landing (an extract that was never audited and will be made again)."""
-    for load_date, run in landed_runs(spark, root, table):
-        if run == run_id:
+def discard_runs(spark: SparkSession, root: str, table: str, run_ids: set[str]) -> None:
+    """Take the folders of runs out of landing (extracts that were never audited and will be made again)."""
+    for load_date, run in landed_runs(spark, root, table) if run_ids else []:
+        if run in run_ids:
             fs, path, _ = _jvm_fs(spark, f"{table_path(root, table)}/{LOAD_DATE}={load_date}/{RUN_ID}={run}")
             fs.delete(path, True)
 

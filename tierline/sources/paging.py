@@ -18,13 +18,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline.schemas import INCREMENTAL
 from tierline.session import scratch_root
 from tierline.sources.jdbc import extract
 
+PAGE_NO = "_page"
+_EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
 _RANGE, _IN_RANGE, _BEFORE = "_range", "_in_range", "_before"
 
 
@@ -56,3 +59,29 @@ def page_ends(spark: SparkSession, source, table: str, watermark_col: str, id_co
     ends = found.where((F.col("n") % page_rows == 0) | (F.col("n") == F.col("total")))
     rows = ends.select(F.col(watermark_col).cast("timestamp"), id_col).distinct().orderBy(watermark_col, id_col).collect()
     return [(wm if wm.tzinfo else wm.replace(tzinfo=dt.timezone.utc), ident) for wm, ident in rows]
+
+
+def page_number(watermark_col: str, id_col: str, id_type: T.DataType, ends: list[tuple[dt.datetime, object]]) -> Column:
+    """The number, from 0, of the page a row is in: the first of the ascending ``ends`` that isn't before the row."""
+    marks = F.lit([round((wm - _EPOCH) / dt.timedelta(microseconds=1)) for wm, _ in ends])
+    idents = F.lit([ident for _, ident in ends]).cast(T.ArrayType(id_type))
+    at = F.unix_micros(F.col(watermark_col).cast("timestamp"))
+
+    def halved(found: Column, _: Column) -> Column:
+        """``found`` = 2**32 * low + high: the page is one of these or between."""
+        low, high = F.shiftright(found, 32), found.bitwiseAND(F.lit(0xFFFFFFFF))
+        mid = F.floor((low + high) / 2)
+        place = (mid + 1).cast("int")
+        mark, ident = F.element_at(marks, place), F.element_at(idents, place)
+        before = (mark < at) | ((mark == at) & (ident < F.col(id_col)))
+        return F.when(low >= high, found).when(before, F.shiftleft(mid + 1, 32).bitwiseOR(high)).otherwise(F.shiftleft(low, 32).bitwiseOR(mid))
+    steps = F.sequence(F.lit(0), F.lit(len(ends).bit_length()))
+    return F.shiftright(F.aggregate(steps, F.lit(len(ends) - 1).cast("long"), halved), 32).cast("int")
+
+
+def stored_pages(df: DataFrame, watermark_col: str, id_col: str, ends: list[tuple[dt.datetime, object]], path: str) -> DataFrame:
+    """``df``, the rows up to the last of ``ends``, read once, with PAGE_NO; each page's rows lie in one file of ``path``."""
+    page = page_number(watermark_col, id_col, df.schema[id_col].dataType, ends)
+    tasks = min(len(ends), 4 * df.sparkSession.sparkContext.defaultParallelism)
+    df.withColumn(PAGE_NO, page).repartition(tasks, PAGE_NO).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
