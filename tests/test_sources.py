@@ -165,3 +165,14 @@ def test_permissive_bronze_flags_lines_that_are_not_json_and_long_integers(spark
         f.write('{"order_id": 1, "customer_id": 2}\nnot json\n{"order_id": 123456789012345678901234, "customer_id": 2}\n')
     got = read_bronze_json(spark, f"{workdir}/orders", ORDERS, mode=PERMISSIVE).collect()
     assert sorted((str(r["order_id"]), r["_malformed"]) for r in got) == [("1", False), ("None", True), ("None", True)]
+
+
+def test_landed_lines_are_compressed_and_files_bounded(spark, workdir, monkeypatch):
+    from tierline.sources import landing
+    monkeypatch.setattr(landing, "MAX_FILE_ROWS", 1000)
+    df = spark.range(2500).selectExpr("id order_id", "id customer_id", "timestamp'2025-03-27 10:00:00' order_date", "1.5D total_amount", "timestamp'2025-03-27 10:00:00' updated_at")
+    plain = df.coalesce(1).selectExpr("sum(length(to_json(struct(*)))) n").first()["n"]
+    path = write_landing(df.coalesce(1), workdir, "orders", "r1", "2025-03-27")
+    found = [os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.startswith("part-")]
+    assert len(found) == 3 and sum(map(os.path.getsize, found)) < plain / 4
+    assert read_bronze_json(spark, path, ORDERS).count() == 2500

@@ -29,6 +29,9 @@ LOAD_DATE = "load_date"
 RUN_ID = "run_id"
 ISO = "iso"
 EPOCH_MS = "epoch_ms"
+# JSON lines repeat every column's name: they are compressed. A gzip file is read by one task, so it has this many rows at most.
+COMPRESSION = "gzip"
+MAX_FILE_ROWS = 1_000_000
 # Fixed format: Spark's JSON instant encoding (UTC renders as 'Z').
 ISO_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
 
@@ -86,6 +89,7 @@ def write_landing(df: DataFrame, root: str, table: str, run_id: str | None, load
         .partitionBy(LOAD_DATE, RUN_ID)
     if fmt == "json":
         writer.option("timestampFormat", ISO_TIMESTAMP_FORMAT) \
+            .option("compression", COMPRESSION).option("maxRecordsPerFile", MAX_FILE_ROWS) \
             .option("ignoreNullFields", str(encoding == ISO).lower()).json(path)
     elif fmt == "parquet":
         writer.parquet(path)
