@@ -3,6 +3,7 @@ on random small silver tables (including empty children, duplicate rows,
 NULL keys and superseded versions)."""
 
 import datetime as dt
+import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -48,3 +49,14 @@ def test_eager_equals_naive(spark, products, links, suppliers, lines, reviews):
         rows(gold.product_performance(silver, strategy="naive"))
     assert rows(gold.supplier_analysis(silver, strategy="eager")) == \
         rows(gold.supplier_analysis(silver, strategy="naive"))
+
+
+def test_the_literal_join_sums_longs_exactly(spark):
+    """The rows of the fan-out add no wide decimals, and large, negative and absent values still come out exact."""
+    lines = [(1, 2, 0.01), (1, 10 ** 12, 9999999999.99), (1, -3, 9999999999.99), (1, 7, None), (2, None, 1.5), (2, -10 ** 12, 12345678.91), (3, 4, -0.07)]
+    reviews = [(1, 5, "ok"), (1, None, None), (2, 1, None)]
+    silver = silver_frames(spark, [(k, 1, False) for k in (1, 2, 3, 4)], [(1, 1, True), (2, 1, True), (1, 2, True)], [(1, "s", False)], lines, reviews)
+    naive = gold.product_performance(silver, strategy="naive")
+    assert rows(naive) == rows(gold.product_performance(silver, strategy="eager"))
+    sums = re.findall(r"partial_sum\((\w+)#\d+(L?)\)", naive._jdf.queryExecution().executedPlan().toString())
+    assert len(sums) >= 5 and all(long or name in ("rating", "has_text") for name, long in sums)
