@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -439,3 +440,28 @@ def test_pipeline_stages(spark):
     assert len(got) == after.count() and all(r.decoded_sha256 == sent[r.doc_id] and len(r.ids) == r.n_tokens for r in got)
     toxic = {r.doc_id for r in spark.read.parquet(f"{SF001}/labels.parquet").where(F.col("toxic") == 1).collect()}
     assert len(toxic & set(sent)) <= 0.1 * len(toxic)
+
+
+def test_cells_are_met_whole_and_compared_alike_by_either_way(spark, monkeypatch):
+    """Cells run over batches of rows as dealt; the product of small cells finds the links that the index finds; no group is a call of its own."""
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.choice(40, 25)).astype(np.int64) for _ in range(30)]
+    labels = [k % 4 for k in range(30)]
+    for side in (np.zeros(30, dtype=int), np.arange(30) % 2):
+        found = []
+        for dense in (0, 10 ** 6):
+            monkeypatch.setattr(linking, "DENSE", dense)
+            found.append(linking.find_links(list(range(30)), labels, sets, side, 35))
+        assert found[0] == found[1] and found[0]
+    cells = pd.DataFrame({"bucket": [1, 1, 1, 2, 2, 5], "i": [0, 0, 1, 0, 0, 0], "id": range(6)})
+    for size in (1, 2, 3, 4, 6):
+        runs = linking.runs_of((cells.iloc[k:k + size] for k in range(0, 6, size)), ["bucket", "i"])
+        assert [list(r["id"]) for r in runs] == [[0, 1], [2], [3, 4], [5]]
+    nodes = spark.createDataFrame([(k, 3, [7]) for k in range(4)], "id long, n long, bands array<long>")
+    sets = spark.createDataFrame([(k, [1, 2, 3 + k]) for k in range(4)], "id long, elements array<long>")
+    buckets = nodes.select("id", F.lit(7).cast("long").alias("bucket"))
+    pivots = spark.createDataFrame([(7, 0)], "bucket long, pivot long")
+    labels = spark.createDataFrame([], "id long, component long")
+    more = linking._rest(buckets, pivots, labels, nodes, lambda ids: sets.join(ids, "id"), 50)
+    assert {x for r in more.collect() for x in r} == {1, 2, 3}
+    assert "FlatMapGroupsInPandas" not in more._jdf.queryExecution().executedPlan().toString()

@@ -25,7 +25,7 @@ already known to be in one component.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -36,6 +36,8 @@ from tierline.llm.shared import SIMILAR_PCT, cut, settled
 
 # Elements of all sets of a block together, on average: 4 MB of 64-bit hashes.
 BLOCK_ELEMENTS = 500_000
+# Cells of the matrix of members and elements up to which a block is compared as one product: 4 MB.
+DENSE = 1_000_000
 MAX_ROUNDS = 60
 
 
@@ -95,6 +97,7 @@ def find_links(ids: list, labels: list, sets: list[np.ndarray], side: np.ndarray
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
     both = bool(side.any()) and not bool(side.all())
+    asked = [i for i, label in enumerate(labels) if label != common]
     parent = {label: label for label in counts}
 
     def root(x):
@@ -103,22 +106,51 @@ def find_links(ids: list, labels: list, sets: list[np.ndarray], side: np.ndarray
             x = parent[x]
         return x
 
+    number = np.concatenate(([0], np.cumsum(flat[1:] != flat[:-1])))  # of each element
+    width = int(number[-1]) + 1
+    if len(sets) * width <= DENSE:
+        # few and small sets: what they share, all at once, as a product of 0/1 matrices (below 2 ** 24, so exact)
+        held = np.zeros((len(sets), width), dtype=np.float32)
+        held[owner, number] = 1
+        counted = (held[asked] @ held.T).astype(np.int64)
     out = []
-    for i, s in enumerate(sets):
-        if labels[i] == common:
-            continue
-        begin, end = np.searchsorted(flat, s, "left"), np.searchsorted(flat, s, "right")
-        n = end - begin
-        at = np.repeat(begin - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        shared = np.bincount(owner[at], minlength=len(sets))
+    for k, i in enumerate(asked):
+        s = sets[i]
+        if len(sets) * width <= DENSE:
+            shared = counted[k]
+        else:
+            begin, end = np.searchsorted(flat, s, "left"), np.searchsorted(flat, s, "right")
+            n = end - begin
+            at = np.repeat(begin - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+            shared = np.bincount(owner[at], minlength=len(sets))
         hits = np.flatnonzero((shared > 0) & (100 * shared >= pct * (sizes + len(s) - shared)))
-        for j in hits:
+        for j in hits.tolist():
             if j != i and not (both and side[i] == side[j]) and (a := root(labels[i])) != (b := root(labels[j])):
                 parent[a] = b
                 out.append((ids[i], ids[j]))
     return out
 
 
+def runs_of(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The rows of each run of equal (integer) ``keys`` in sorted rows, however they are dealt into batches."""
+    held: list[pd.DataFrame] = []  # of the run that the next batch may go on with
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        at = pdf[keys].to_numpy()
+        edges = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1).tolist(), len(pdf)]
+        if held and (at[0] != held[0][keys].iloc[0].to_numpy()).any():
+            yield pd.concat(held) if len(held) > 1 else held[0]
+            held = []
+        for begin, end in zip(edges, edges[1:]):
+            if held and begin:
+                yield pd.concat(held) if len(held) > 1 else held[0]
+                held = []
+            held.append(pdf.iloc[begin:end])
+    if held:
+        yield pd.concat(held) if len(held) > 1 else held[0]
+
+
 def _rest(buckets: DataFrame, pivots: DataFrame, labels: DataFrame, nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], pct: int) -> DataFrame:
     """Links (a, b) among members that no star has compared."""
     kind = nodes.schema["id"].dataType.simpleString()
@@ -137,11 +169,14 @@ def _rest(buckets: DataFrame, pivots: DataFrame, labels: DataFrame, nodes: DataF
     sets = fetch(members.select("id").distinct())
     cells = cells.join(sets, "id")
 
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        side = (pdf["k"] != pdf["i"]).to_numpy().astype(int)
-        found = find_links(list(pdf["id"]), list(pdf["label"]), [np.asarray(x) for x in pdf["elements"]], side, pct)
-        return pd.DataFrame(found, columns=["a", "b"])
-    return cells.groupBy("bucket", "i", "j").applyInPandas(search, f"a {kind}, b {kind}")
+    # Most cells hold a few members, so a batch of rows holds many cells: they are met in the order of sorted rows.
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for cell in runs_of(batches, ["bucket", "i", "j"]):
+            side = (cell["k"] != cell["i"]).to_numpy().astype(int)
+            if found := find_links(list(cell["id"]), list(cell["label"]), [np.asarray(x) for x in cell["elements"]], side, pct):
+                yield pd.DataFrame(found, columns=["a", "b"])
+    cells = cells.select("bucket", "i", "j", "k", "id", "label", "elements").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return cells.mapInPandas(search, f"a {kind}, b {kind}")
 
 
 def _similar(nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], pct: int = SIMILAR_PCT) -> DataFrame:
