@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import corpus_pipeline
-from tests.conftest import SF001
+from tests.conftest import SF001, rows
 from tierline.llm import bpe, linking, mixing, near_dedup, quality_rules, sharding, substring_dedup, toxicity
 from tierline.llm.shared import WORD_RE, lowered, word_hashes
 
@@ -465,3 +465,17 @@ def test_cells_are_met_whole_and_compared_alike_by_either_way(spark, monkeypatch
     more = linking._rest(buckets, pivots, labels, nodes, lambda ids: sets.join(ids, "id"), 50)
     assert {x for r in more.collect() for x in r} == {1, 2, 3}
     assert "FlatMapGroupsInPandas" not in more._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_places_need_no_sorted_aggregate(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    data = [(int(d), int(k), int(p)) for d, k, p in zip(rng.integers(0, 9, 300), rng.integers(0, 60, 300), rng.integers(0, 99, 300))]
+    plans, cut = [], substring_dedup.cut
+    monkeypatch.setattr(substring_dedup, "cut", lambda df, name: (plans.append(df._jdf.queryExecution().executedPlan().toString()), cut(df, name))[1])
+    got = substring_dedup._beside_first(spark.createDataFrame(data, "doc long, key long, place int"), "key", "keys")
+    first, several = {}, {}
+    for d, k, p in data:
+        first[k] = min(first.get(k, (d, p)), (d, p))
+        several.setdefault(k, set()).add(d)
+    assert rows(got, "doc", "key", "place", "keeper", "there") == sorted([(d, k, p, *first[k]) for d, k, p in data if len(several[k]) > 1], key=repr)
+    assert plans and not any("SortAggregate" in p for p in plans)

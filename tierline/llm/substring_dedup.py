@@ -271,10 +271,15 @@ def _similar_lines(rows: DataFrame, docs: DataFrame, kind, pct: int, min_words:
     return lines.select("doc", "line", "begin", "end").join(keeper, "line").where("doc <> keeper").select("doc", "begin", "end", "keeper")
 
 
-def _first_places(keyed: DataFrame, key: str) -> DataFrame:
-    """(key, keeper, there): the first document that holds a key, and where, for keys of several documents."""
-    return (keyed.groupBy(key).agg(F.min(F.struct("doc", "place")).alias("first"), F.max("doc").alias("hi")).where("first.doc <> hi")
-            .select(key, F.col("first.doc").alias("keeper"), F.col("first.place").alias("there")))
+def _beside_first(keyed: DataFrame, key: str, name: str) -> DataFrame:
+    """``keyed`` rows of keys of several documents, with the first document that holds the key (``keeper``) and where (``there``).
+
+    The least of plain values is found by hashing; the least (document, place) would need sorted rows.
+    """
+    several = keyed.groupBy(key).agg(F.min("doc").alias("keeper"), F.max("doc").alias("hi")).where("keeper <> hi").select(key, "keeper")
+    rows = cut(keyed.join(cut(several, f"several-{name}"), key), f"keyed-{name}")
+    first = cut(rows.where("doc = keeper").groupBy(key).agg(F.min("place").alias("there")), f"first-{name}")
+    return rows.join(first, key)
 
 
 def _left_over(near: DataFrame, gone: DataFrame, min_words: int) -> DataFrame:
@@ -342,11 +347,11 @@ def _alike_stretches(rows: DataFrame, docs: DataFrame, equal: DataFrame, kind, p
     """(doc, begin, end, keeper) of stretches that are alike to one of an earlier document: first along the first
     document of each run, then, for what is still uncut, along the first document of each run and pair of runs that is left."""
     grams = rows.select("doc", F.inline(F.arrays_zip("gram", "place")))
-    near = cut(grams.join(cut(_first_places(grams, "gram"), "first-grams"), "gram"), "near")
+    near = cut(_beside_first(grams, "gram", "grams"), "near")
     found = cut(_laid_along(near, docs, _spans(equal), kind, pct, min_words), "laid-along")
     gone = cut(_spans(equal.unionByName(found)), "gone")
     keys = _left_over(near, gone, min_words)
-    again = keys.join(cut(_first_places(keys, "key"), "first-keys"), "key")
+    again = _beside_first(keys, "key", "keys")
     return found.unionByName(_laid_along(again, docs, gone, kind, pct, min_words))
 
 
