@@ -479,3 +479,23 @@ def test_first_places_need_no_sorted_aggregate(spark, monkeypatch):
         several.setdefault(k, set()).add(d)
     assert rows(got, "doc", "key", "place", "keeper", "there") == sorted([(d, k, p, *first[k]) for d, k, p in data if len(several[k]) > 1], key=repr)
     assert plans and not any("SortAggregate" in p for p in plans)
+
+
+def test_texts_are_exchanged_once_and_overlapping_spans_are_one(spark):
+    """Joins by the id read the bucketed texts as they lie; a long passage that differs around its middle is a few spans, not one per stretch."""
+    passage = prose(400, 77)
+    texts = [(i, f"{prose(30, 60 + i)} {passage} {prose(30, 80 + i)}") for i in range(3)] + [(9, None)]
+    docs = spark.createDataFrame(texts, "doc long, text string")
+    placed = substring_dedup.cut_by(docs, "texts", "doc")
+    assert rows(placed) == rows(docs) and not [t for t in spark.catalog.listTables() if t.name.startswith("texts_")]
+    asked = spark.createDataFrame([(1, [2])], "doc long, wanted array<long>").groupBy("doc").agg(F.first("wanted").alias("wanted"))
+    plan = substring_dedup.by_hash(placed, asked, "doc")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+    listed = substring_dedup.cut(substring_dedup.listed(docs, docs.schema["doc"].dataType, 50), "listed")
+    found = substring_dedup._equal_stretches(listed, docs, docs.schema["doc"].dataType, 50).collect()
+    covered = {i: set() for i in range(3)}
+    for r in found:
+        assert r.keeper == 0
+        covered[r.doc] |= set(range(r.begin, r.end))
+    assert covered == {0: set(), 1: set(range(30, 430)), 2: set(range(30, 430))}
+    assert len(found) <= 2 * 9  # of one document, one at most for each 50 words that spans begin in

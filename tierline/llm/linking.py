@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.shared import SIMILAR_PCT, cut, settled
+from tierline.llm.shared import SIMILAR_PCT, by_hash, cut, settled
 
 # Elements of all sets of a block together, on average: 4 MB of 64-bit hashes.
 BLOCK_ELEMENTS = 500_000
@@ -182,7 +182,7 @@ def _rest(buckets: DataFrame, pivots: DataFrame, labels: DataFrame, nodes: DataF
 def _similar(nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], pct: int = SIMILAR_PCT) -> DataFrame:
     keyed = nodes.where("n > 0").select("id", F.posexplode("bands").alias("band", "key")).select("id", F.xxhash64("band", "key").alias("bucket"))
     shared = cut(keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "shared")
-    buckets = cut(keyed.join(shared, "bucket"), "buckets")
+    buckets = cut(by_hash(keyed, shared, "bucket"), "buckets")
     score = buckets.groupBy("id").agg(F.sum("m").alias("score"))
     scored = buckets.join(score, "id")
     pivots = cut(scored.groupBy("bucket").agg(F.max_by("id", F.struct("score", "id")).alias("pivot")), "pivots")

@@ -56,6 +56,23 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_by(df: DataFrame, name: str, key: str) -> DataFrame:
+    """``cut`` with the rows of a key in one bucket: joins by the key read them as they lie, without another exchange.
+
+    Buckets need a catalog table. Its entry goes at once; the frame goes on reading the files.
+    """
+    spark = df.sparkSession
+    n, made = int(spark.conf.get("spark.sql.shuffle.partitions")), f"{name}_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{made}"
+    df.repartition(n, key).write.format("parquet").bucketBy(n, key).option("path", path).saveAsTable(made)
+    out = spark.table(made)
+    spark.sql(f"DROP TABLE {made}")
+    fs, hpath = _path(spark, path)
+    fs.deleteOnExit(hpath)
+    _made.append(path)
+    return out
+
+
 def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
     """``cut(make(), name)``; the tables that ``make`` cut on its way are deleted then, as nothing needs them any more."""
     before = len(_made)
@@ -75,6 +92,11 @@ def release(spark: SparkSession, before: int, keep: int = 0) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def by_hash(rows: DataFrame, keys: DataFrame, on, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``keys``, which has one row per key: these are hashed, partition by partition, and ``rows`` need not be sorted."""
+    return rows.join(keys.hint("shuffle_hash"), on, how)
+
+
 def cuts_made() -> int:
     return len(_made)
 
@@ -102,12 +124,12 @@ def seeds(n: int, start: int = 1) -> np.ndarray:
     return mix64(raw) | np.uint64(1)
 
 
-def lowered(text: str | None) -> bytes:
+def lowered(text: str | bytes | None) -> bytes:
     """A text in UTF-8 with A-Z in lower case, everything else as it is; ``split()`` of it gives its words."""
-    return (text or "").encode("utf-8", "surrogatepass").lower()
+    return (text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")).lower()
 
 
-_PIECE = 1 << 20  # bytes of a text that are hashed at a time, to bound memory
+_PIECE = 1 << 20  # bytes of a word that are hashed at a time, to bound memory
 _INSIDE = np.array([chr(b) not in SPACES for b in range(256)])
 
 
@@ -116,7 +138,16 @@ def _place_seeds(place: np.ndarray) -> np.ndarray:
     return mix64((place.astype(np.uint64) + np.uint64(1)) * np.uint64(_GOLDEN)) | np.uint64(1)
 
 
-_PLACES = _place_seeds(np.arange(256))
+_SHORT = 32  # bytes of words that are hashed place by place, all words at once
+_TIMES = (np.arange(256, dtype=np.uint64) + np.uint64(1))[None, :] * _place_seeds(np.arange(_SHORT))[:, None]
+
+
+def word_places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The byte each word of a text in UTF-8 starts at, and the byte after its last."""
+    inside = np.zeros(len(data) + 2, dtype=bool)
+    inside[1:-1] = _INSIDE[np.frombuffer(data, dtype=np.uint8)]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return edges[::2], edges[1::2]
 
 
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -125,21 +156,23 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     A hash is the mixed sum of the word's bytes (plus one), each times a constant of its place.
     """
     raw = np.frombuffer(data, dtype=np.uint8)
-    inside = np.zeros(len(raw) + 2, dtype=bool)
-    inside[1:-1] = _INSIDE[raw]
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    sums = np.zeros(len(starts), dtype=np.uint64)
-    pieces = [*np.searchsorted(starts, np.arange(0, len(raw), _PIECE)), len(starts)]
-    for a, b in zip(pieces, pieces[1:]):
-        if a == b:
-            continue
-        sizes = ends[a:b] - starts[a:b]
-        first = np.cumsum(sizes) - sizes
-        place = np.arange(sizes.sum()) - np.repeat(first, sizes)
-        chars = raw[starts[a]:ends[b - 1]][inside[1 + starts[a]:1 + ends[b - 1]]]
-        times = _PLACES[place] if sizes.max() <= len(_PLACES) else _place_seeds(place)
-        sums[a:b] = np.add.reduceat((chars.astype(np.uint64) + np.uint64(1)) * times, first)
+    starts, ends = word_places(data)
+    sizes = ends - starts
+    # the longest first, so that the words that have a place are always the first ones
+    short = np.minimum(sizes, _SHORT).astype(np.uint8)
+    order = np.argsort(np.uint8(_SHORT) - short, kind="stable")
+    having = len(starts) - np.searchsorted(short[order][::-1], np.arange(_SHORT), "right")
+    at, ordered = starts[order], np.zeros(len(starts), dtype=np.uint64)
+    for place, n in enumerate(having.tolist()):
+        if not n:
+            break
+        ordered[:n] += _TIMES[place][raw[at[:n] + place]]
+    sums = np.empty_like(ordered)
+    sums[order] = ordered
+    for w in np.flatnonzero(sizes > _SHORT).tolist():
+        for k in range(_SHORT, int(sizes[w]), _PIECE):
+            chars = raw[starts[w] + k:min(starts[w] + k + _PIECE, ends[w])]
+            sums[w:w + 1] += np.sum((chars.astype(np.uint64) + np.uint64(1)) * _place_seeds(np.arange(k, k + len(chars))))
     return mix64(sums), starts
 
 

@@ -44,18 +44,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline.llm.linking import similar
-from tierline.llm.shared import SHINGLE, SIMILAR_PCT, WORD_RE, as_long, cut, lowered, mix64, seeds, settled, shingles, word_hashes
+from tierline.llm.shared import SHINGLE, SIMILAR_PCT, as_long, by_hash, cut, cut_by, lowered, mix64, seeds, settled, shingles, word_hashes, word_places
 
 MIN_WORDS = 50
 BANDS, ROWS = 16, 2
 GRAM = 12  # words of a run that parts alike are found by, at most
 PAIRED = 4  # next runs that a run left over is paired with
-PART_CHARS = 500_000  # of texts that are worked on together
+PART_BYTES = 500_000  # of texts that are worked on together
 DRIFT = 2  # words inserted or left out within a stretch
 _HASHES = seeds(BANDS * ROWS, 2001)
 _BAND_SEEDS = seeds(ROWS, 2101)
@@ -71,14 +73,23 @@ def window_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:len(x) - rest], x[rest:])
 
 
+def joined_texts(texts) -> tuple[bytes, np.ndarray]:
+    """Texts as one, a line break between them, and where each begins and the one after the last would."""
+    at = np.cumsum([0] + [len(t) + 1 for t in texts])
+    return b"\n".join(texts), at
+
+
+def ranges(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``sizes`` numbers from each of ``begin`` on."""
+    return np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
 class Paragraphs:
     """The paragraphs of some texts, whose words lie in one array, so that each step is one operation over all of them."""
 
     def __init__(self, texts, min_words: int = MIN_WORDS):
         self.min_words = min_words
-        data = [lowered(t) for t in texts]
-        bytes_at = np.cumsum([0] + [len(d) + 1 for d in data])
-        data = b"\n".join(data)
+        data, bytes_at = joined_texts([lowered(t) for t in texts])
         self.hashes, starts = word_hashes(data)
         self.at = np.searchsorted(starts, bytes_at)  # the first word of each text, and the end
         self.owner = np.repeat(np.arange(len(texts)), np.diff(self.at))
@@ -113,23 +124,24 @@ class Paragraphs:
         digests, cut_at = np.frombuffer(digests, dtype="<i8").reshape(-1, 2), self._split(first)
         return [(least[first[b:e]], first[b:e] - w, last[b:e] - w, digests[b:e]) for b, e, w in zip(cut_at, cut_at[1:], self.at)]
 
-    def stretches(self, k: int, runs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, hash, other hash) of the stretches of some runs (first, last start) of text ``k``."""
-        n = self.at[k + 1] - self.at[k]
-        at = [np.arange(r["first"], min(r["last"], n - self.min_words) + 1) for r in runs]
-        at = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *at]).astype(np.int64))
-        sums = self._sums(at + self.at[k], self.min_words)
-        return at, sums[0], sums[1]
+    def stretches(self, text: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(text, start, hash, other hash) of the stretches of some runs (text, first, last start), in order."""
+        sizes = np.maximum(np.minimum(last, np.diff(self.at)[text] - self.min_words) - first + 1, 0)
+        at = np.unique(ranges(self.at[text] + first, sizes))
+        sums, text = self._sums(at, self.min_words), self.owner[at]
+        return text, at - self.at[text], sums[0], sums[1]
 
-    def lines(self) -> list[list[tuple[str, int, int, np.ndarray]]]:
-        """(digest, first word, word after the last, shingle set) of the lines that are long enough, by text."""
+    def lines(self, wanted: list[set[str]] | None = None) -> list[list[tuple[str, int, int, np.ndarray]]]:
+        """(digest, first word, word after the last, shingle set) of the lines that are long enough, or of the ``wanted`` ones of these, by text."""
         out, data = [[] for _ in self.at[1:]], self.hashes.tobytes()
         begins = np.concatenate(([0], self.ends[:-1]))
         for k in np.flatnonzero(self.ends - begins >= self.min_words).tolist():
             begin, end = int(begins[k]), int(self.ends[k])
             text = int(self.owner[begin])
-            out[text].append((xxhash.xxh3_128_hexdigest(data[8 * begin:8 * end]), begin - int(self.at[text]), end - int(self.at[text]),
-                              np.unique(self.shingles[begin:end - SHINGLE + 1])))
+            digest = xxhash.xxh3_128_hexdigest(data[8 * begin:8 * end])
+            if wanted is None or digest in wanted[text]:
+                held = np.sort(self.shingles[begin:end - SHINGLE + 1])
+                out[text].append((digest, begin - int(self.at[text]), end - int(self.at[text]), held[np.concatenate(([True], held[1:] != held[:-1]))]))
         return out
 
     def grams(self) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -170,9 +182,10 @@ def alike_spans(a: np.ndarray, b: np.ndarray, lead: int, pct: int, min_words: in
     x, y = shingles(a), shingles(b)
     same = np.zeros(len(x), dtype=bool)
     for drift in range(-DRIFT, DRIFT + 1):
-        at = np.arange(len(x)) - lead + drift
-        lo, hi = np.searchsorted(at, [0, len(y)])
-        same[lo:hi] |= x[lo:hi] == y[at[lo:hi]]
+        off = drift - lead
+        lo, hi = max(0, -off), min(len(x), len(y) - off)
+        if lo < hi:
+            same[lo:hi] |= x[lo:hi] == y[lo + off:hi + off]
     size = min_words - SHINGLE + 1
     sums = np.concatenate(([0], np.cumsum(same)))
     common = sums[size:] - sums[:-size]
@@ -197,55 +210,93 @@ def line_bands(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _run(docs: DataFrame, columns: list[Column], make, out: str, kind) -> DataFrame:
-    """``make(pdf)`` over parts of batches of some 500 KB of text; ids (``doc``) pass through Python as strings."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            before = pdf["text"].str.len().fillna(0).cumsum().shift(fill_value=0)
-            for _, part in pdf.groupby(before // PART_CHARS, sort=True):
-                yield make(part)
-    return docs.select(F.col("doc").cast("string").alias("doc"), *columns).mapInPandas(run, f"doc string, {out}").withColumn("doc", F.col("doc").cast(kind))
+    """``make(part)`` over parts of Arrow batches of some 500 KB of text; ids (``doc``) pass through Python as strings."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = _numpy(pc.fill_null(pc.binary_length(batch.column("text")), 0)).astype(np.int64)
+            part = (np.cumsum(sizes) - sizes) // PART_BYTES
+            edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+            for begin, end in zip(edges, edges[1:]):
+                if begin < end:
+                    yield pa.RecordBatch.from_pydict(make(batch.slice(begin, end - begin)))
+    return docs.select(F.col("doc").cast("string").alias("doc"), *columns).mapInArrow(run, f"doc string, {out}").withColumn("doc", F.col("doc").cast(kind))
+
+
+def _numpy(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False)
+
+
+def _texts(part: pa.RecordBatch) -> list[bytes]:
+    return [t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()]
+
+
+def _inside(column: pa.ListArray) -> tuple[np.ndarray, list[pa.Array]]:
+    """The row that each struct of a column of lists stands in, and the fields of all structs."""
+    sizes = _numpy(pc.fill_null(pc.list_value_length(column), 0))
+    return np.repeat(np.arange(len(column)), sizes), column.flatten().flatten()
+
+
+def _lists(sizes, values: pa.Array) -> pa.ListArray:
+    """Lists of ``sizes`` values each."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), values)
+
+
+def _structs(**fields) -> pa.StructArray:
+    return pa.StructArray.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in fields.values()], names=list(fields))
 
 
 def listed(docs: DataFrame, kind, min_words: int) -> DataFrame:
-    """(doc, runs, lines) of (doc, text)."""
-    def make(pdf):
-        made = Paragraphs(list(pdf["text"]), min_words)
+    """(doc, runs, grams, lines) of (doc, text)."""
+    def make(part):
+        made = Paragraphs(_texts(part), min_words)
         runs, lines, grams = made.runs(), made.lines(), made.grams()
-        sets = [x[3] for row in lines for x in row]
-        keys = iter(as_long(np.ascontiguousarray(line_bands(sets))) if sets else [])
-        return pd.DataFrame({
-            "doc": pdf["doc"].to_list(), "least": [as_long(r[0]) for r in runs], "first": [r[1].astype(np.int32) for r in runs],
-            "last": [r[2].astype(np.int32) for r in runs], "run": [r[3][:, 0].copy() for r in runs], "check": [r[3][:, 1].copy() for r in runs],
-            "gram": [as_long(g[0]) for g in grams], "place": [g[1].astype(np.int32) for g in grams],
-            "lines": [[{"line": d, "begin": b, "end": e, "n": len(s), "bands": next(keys)} for d, b, e, s in row] for row in lines]})
-    return _run(docs, [F.col("text")], make, "least array<long>, first array<int>, last array<int>, run array<long>, check array<long>, gram array<long>, place array<int>, "
+        least, first, last, digests = (np.concatenate(x) for x in zip(*runs))
+        gram, place = (np.concatenate(x) for x in zip(*grams))
+        found = [x for row in lines for x in row]
+        bands = as_long(np.ascontiguousarray(line_bands([x[3] for x in found]))).ravel() if found else np.zeros(0, dtype=np.int64)
+        return {
+            "doc": part.column("doc"),
+            "runs": _lists([len(r[0]) for r in runs], _structs(least=as_long(least), first=first.astype(np.int32), last=last.astype(np.int32),
+                                                               run=digests[:, 0].copy(), check=digests[:, 1].copy())),
+            "grams": _lists([len(g[0]) for g in grams], _structs(gram=as_long(gram), place=place.astype(np.int32))),
+            "lines": _lists([len(row) for row in lines], _structs(
+                line=pa.array([x[0] for x in found], pa.string()), begin=pa.array([x[1] for x in found], pa.int32()), end=pa.array([x[2] for x in found], pa.int32()),
+                n=pa.array([len(x[3]) for x in found], pa.int64()), bands=_lists([BANDS] * len(found), pa.array(bands))))}
+    return _run(docs, [F.col("text")], make, "runs array<struct<least: long, first: int, last: int, run: long, check: long>>, grams array<struct<gram: long, place: int>>, "
                 "lines array<struct<line: string, begin: int, end: int, n: long, bands: array<long>>>", kind)
 
 
+def _joined(found: DataFrame, min_words: int, *keys: str) -> DataFrame:
+    """Spans (begin, end) of equal ``keys`` that begin in the same ``min_words`` words as one: as none is shorter, they overlap."""
+    return (found.groupBy(*keys, F.expr(f"begin div {min_words}").alias("block")).agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
+            .select("doc", "begin", "end", *[k for k in keys if k != "doc"]))
+
+
 def _equal_stretches(rows: DataFrame, docs: DataFrame, kind, min_words: int) -> DataFrame:
     """(doc, begin, end, keeper) of stretches that an earlier document holds."""
-    runs = rows.select("doc", F.inline(F.arrays_zip("least", "first", "last", "run", "check")))
+    runs = rows.select("doc", F.inline("runs"))
     differ = (F.min("run") != F.max("run")) | (F.min("check") != F.max("check"))
     shared = cut(runs.groupBy("least").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), differ.alias("differ"))
                  .where("lo <> hi").select("least", "differ"), "shared")
-    runs = cut(runs.join(shared, "least").select("doc", "first", "last", "run", "check", "differ"), "runs")
-    keepers = cut(runs.groupBy("run", "check").agg(F.min("doc").alias("keeper")), "run-keepers")
-    named = runs.join(keepers, ["run", "check"])
+    runs = cut(by_hash(runs, shared, "least").select("doc", "first", "last", "run", "check", "differ"), "runs")
+    keepers = runs.groupBy("run", "check").agg(F.min("doc").alias("keeper"))
+    named = cut(by_hash(runs, keepers, ["run", "check"]).select("doc", "first", "last", "differ", "keeper"), "named-runs")
     whole = named.where("doc <> keeper").select("doc", F.col("first").alias("begin"), (F.col("last") + min_words).alias("end"), "keeper")
     # a run of each kind, where there is more than one kind: stretch by stretch
     wanted = cut(named.where("doc = keeper and differ").groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("wanted")), "wanted")
 
-    def make(pdf):
-        made = Paragraphs(list(pdf["text"]), min_words)
-        found = [made.stretches(k, w) for k, w in enumerate(pdf["wanted"])]
-        return pd.DataFrame({"doc": pdf["doc"].to_list(), "at": [f[0].astype(np.int32) for f in found], "h": [f[1] for f in found], "g": [f[2] for f in found]})
-    found = _run(docs.join(wanted, "doc"), [F.col("text"), F.col("wanted")], make, "at array<int>, h array<long>, g array<long>", kind)
-    stretches = cut(found.select("doc", F.inline(F.arrays_zip("at", "h", "g"))), "stretches")
+    def make(part):
+        made = Paragraphs(_texts(part), min_words)
+        text, runs = _inside(part.column("wanted"))
+        text, at, h, g = made.stretches(text, *[_numpy(x).astype(np.int64) for x in runs])
+        return {"doc": part.column("doc"), "found": _lists(np.bincount(text, minlength=part.num_rows), _structs(at=at.astype(np.int32), h=h, g=g))}
+    found = _run(by_hash(docs, wanted, "doc"), [F.col("text"), F.col("wanted")], make, "found array<struct<at: int, h: long, g: long>>", kind)
+    stretches = cut(found.select("doc", F.inline("found")), "stretches")
     clusters = cut(stretches.groupBy("h", "g").agg(F.min("doc").alias("keeper"), F.max("doc").alias("hi")).where("keeper <> hi")
                    .select("h", "g", "keeper"), "clusters")
-    single = (stretches.join(clusters, ["h", "g"]).where("doc <> keeper")
+    single = (by_hash(stretches, clusters, ["h", "g"]).where("doc <> keeper")
               .select("doc", F.col("at").alias("begin"), (F.col("at") + min_words).alias("end"), "keeper"))
-    return whole.unionByName(single)
+    return _joined(whole.unionByName(single), min_words, "doc", "keeper")
 
 
 def _similar_lines(rows: DataFrame, docs: DataFrame, kind, pct: int, min_words: int) -> DataFrame:
@@ -256,13 +307,13 @@ def _similar_lines(rows: DataFrame, docs: DataFrame, kind, pct: int, min_words:
     def fetch(ids: DataFrame) -> DataFrame:
         asked = nodes.select("id", "doc").join(ids, "id").groupBy("doc").agg(F.collect_set("id").alias("wanted"))
 
-        def make(pdf):
-            out = []
-            for lines, w in zip(Paragraphs(list(pdf["text"]), min_words).lines(), pdf["wanted"]):
-                w = set(w)
-                out += [(d, as_long(s)) for d, _, _, s in lines if d in w]
-            return pd.DataFrame({"doc": [None] * len(out), "id": [x[0] for x in out], "elements": [x[1] for x in out]}, dtype=object)
-        return (_run(docs.join(asked, "doc"), [F.col("text"), F.col("wanted")], make, "id string, elements array<long>", kind)
+        def make(part):
+            wanted = [set(w) for w in part.column("wanted").to_pylist()]
+            found = [x for row in Paragraphs(_texts(part), min_words).lines(wanted) for x in row]
+            elements = np.concatenate([np.zeros(0, dtype=np.uint64), *[x[3] for x in found]])
+            return {"doc": pa.nulls(len(found), pa.string()), "id": pa.array([x[0] for x in found], pa.string()),
+                    "elements": _lists([len(x[3]) for x in found], pa.array(as_long(elements)))}
+        return (_run(by_hash(docs, asked, "doc"), [F.col("text"), F.col("wanted")], make, "id string, elements array<long>", kind)
                 .select("id", "elements").distinct())
     member = cut(similar(nodes.select("id", "n", "bands"), fetch, pct), "alike")
     held = nodes.select("id", "doc").join(member, "id")
@@ -277,9 +328,9 @@ def _beside_first(keyed: DataFrame, key: str, name: str) -> DataFrame:
     The least of plain values is found by hashing; the least (document, place) would need sorted rows.
     """
     several = keyed.groupBy(key).agg(F.min("doc").alias("keeper"), F.max("doc").alias("hi")).where("keeper <> hi").select(key, "keeper")
-    rows = cut(keyed.join(cut(several, f"several-{name}"), key), f"keyed-{name}")
+    rows = cut(by_hash(keyed, cut(several, f"several-{name}"), key), f"keyed-{name}")
     first = cut(rows.where("doc = keeper").groupBy(key).agg(F.min("place").alias("there")), f"first-{name}")
-    return rows.join(first, key)
+    return by_hash(rows, first, key)
 
 
 def _left_over(near: DataFrame, gone: DataFrame, min_words: int) -> DataFrame:
@@ -297,8 +348,8 @@ def _left_over(near: DataFrame, gone: DataFrame, min_words: int) -> DataFrame:
     return cut(rest.select("doc", F.inline(pairs)), "left-keys")
 
 
-def _spans(found: DataFrame, name: str = "gone") -> DataFrame:
-    return found.groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias(name))
+def _spans(found: DataFrame, min_words: int, name: str = "gone") -> DataFrame:
+    return _joined(found, min_words, "doc").groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias(name))
 
 
 def _laid_along(keyed: DataFrame, docs: DataFrame, gone: DataFrame, kind, pct: int, min_words: int) -> DataFrame:
@@ -308,27 +359,32 @@ def _laid_along(keyed: DataFrame, docs: DataFrame, gone: DataFrame, kind, pct: i
     wanted = beside.groupBy("doc").agg(F.collect_list(F.struct(F.col("keeper").cast("string").alias("keeper"), "shift", "lo", "hi")).alias("wanted"))
     wanted = cut(wanted.join(gone, "doc", "left"), "wanted-alike")
 
-    def make(pdf):
-        out = []
-        for doc, text, parts, spans in zip(pdf["doc"], pdf["text"], pdf["wanted"], pdf["gone"]):
-            hashes = word_hashes(lowered(text))[0]
-            open_ = np.ones(len(hashes), dtype=bool)
-            for s in spans if spans is not None else ():
-                open_[s["begin"]:s["end"]] = False
-            left = np.concatenate(([0], np.cumsum(open_)))
-            for w in parts:
-                begin, end = max(0, w["lo"] - min_words), min(len(hashes), w["hi"] + min_words + GRAM)
-                if left[end] > left[begin]:
-                    out.append((doc, w["keeper"], begin, begin - w["shift"], as_long(hashes[begin:end])))
-        return pd.DataFrame(out, columns=["doc", "keeper", "begin", "there", "words"], dtype=object)
-    parts = _run(docs.join(wanted, "doc"), [F.col("text"), F.col("wanted"), F.col("gone")], make, "keeper string, begin int, there int, words array<long>", kind)
+    def make(part):
+        data, bytes_at = joined_texts([lowered(t) for t in _texts(part)])
+        hashes, starts = word_hashes(data)
+        at = np.searchsorted(starts, bytes_at)
+        n = np.diff(at)
+        text, spans = _inside(part.column("gone"))
+        begin, end = (at[text] + np.minimum(_numpy(x), n[text]) for x in spans)
+        closed = np.cumsum(np.bincount(begin, minlength=len(hashes) + 1) - np.bincount(end, minlength=len(hashes) + 1))[:len(hashes)] > 0
+        left = np.concatenate(([0], np.cumsum(~closed)))
+        text, (keeper, shift, lo, hi) = _inside(part.column("wanted"))
+        begin = np.minimum(np.maximum(0, _numpy(lo).astype(np.int64) - min_words), n[text])
+        end = np.maximum(np.minimum(n[text], _numpy(hi).astype(np.int64) + min_words + GRAM), begin)
+        keep = left[at[text] + end] > left[at[text] + begin]
+        text, begin, end, there = text[keep], begin[keep], end[keep], (begin - _numpy(shift))[keep]
+        return {"doc": part.column("doc").take(pa.array(text)), "keeper": keeper.filter(pa.array(keep)), "begin": pa.array(begin, pa.int32()),
+                "there": pa.array(there, pa.int32()), "words": _lists(end - begin, pa.array(as_long(hashes[ranges(at[text] + begin, end - begin)])))}
+    parts = _run(by_hash(docs, wanted, "doc"), [F.col("text"), F.col("wanted"), F.col("gone")], make, "keeper string, begin int, there int, words array<long>", kind)
     parts = cut(parts.withColumn("keeper", F.col("keeper").cast(kind)), "parts")
 
-    def whole(pdf):
-        return pd.DataFrame({"doc": pdf["doc"].to_list(), "held": [as_long(word_hashes(lowered(t))[0]) for t in pdf["text"]]})
+    def whole(part):
+        data, bytes_at = joined_texts([lowered(t) for t in _texts(part)])
+        hashes, starts = word_hashes(data)
+        return {"doc": part.column("doc"), "held": _lists(np.diff(np.searchsorted(starts, bytes_at)), pa.array(as_long(hashes)))}
     asked = cut(parts.select(F.col("keeper").alias("doc")).distinct(), "asked")
     # a keeper's id may be repeated: any of its rows may hold the part
-    held = _run(docs.join(asked, "doc", "left_semi").distinct(), [F.col("text")], whole, "held array<long>", kind).withColumnRenamed("doc", "keeper")
+    held = _run(by_hash(docs, asked, "doc", "left_semi").distinct(), [F.col("text")], whole, "held array<long>", kind).withColumnRenamed("doc", "keeper")
     begin = F.greatest(F.col("there") - DRIFT, F.lit(0))
     size = F.greatest(F.size("words") + DRIFT + F.col("there") - begin, F.lit(0))
     both = parts.join(held, "keeper").select("doc", "keeper", "begin", "words", F.slice("held", begin + 1, size).alias("held"), (begin - F.col("there")).alias("lead"))
@@ -346,10 +402,10 @@ def _laid_along(keyed: DataFrame, docs: DataFrame, gone: DataFrame, kind, pct: i
 def _alike_stretches(rows: DataFrame, docs: DataFrame, equal: DataFrame, kind, pct: int, min_words: int) -> DataFrame:
     """(doc, begin, end, keeper) of stretches that are alike to one of an earlier document: first along the first
     document of each run, then, for what is still uncut, along the first document of each run and pair of runs that is left."""
-    grams = rows.select("doc", F.inline(F.arrays_zip("gram", "place")))
+    grams = rows.select("doc", F.inline("grams"))
     near = cut(_beside_first(grams, "gram", "grams"), "near")
-    found = cut(_laid_along(near, docs, _spans(equal), kind, pct, min_words), "laid-along")
-    gone = cut(_spans(equal.unionByName(found)), "gone")
+    found = cut(_laid_along(near, docs, _spans(equal, min_words), kind, pct, min_words), "laid-along")
+    gone = cut(_spans(equal.unionByName(found), min_words), "gone")
     keys = _left_over(near, gone, min_words)
     again = _beside_first(keys, "key", "keys")
     return found.unionByName(_laid_along(again, docs, gone, kind, pct, min_words))
@@ -360,6 +416,7 @@ def cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wo
     kind = docs.schema[id_col].dataType
     texts = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("text")).where("doc is not null")
     rows = cut(listed(texts, kind, min_words), "listed")
+    texts = cut_by(texts, "texts", "doc")
     equal = settled(docs.sparkSession, lambda: _equal_stretches(rows, texts, kind, min_words), "equal")
     alike = equal.unionByName(settled(docs.sparkSession, lambda: _similar_lines(rows, texts, kind, pct, min_words), "alike-lines"))
     if pct < 100:
@@ -367,30 +424,31 @@ def cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wo
     return alike.groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("spans"), F.collect_set("keeper").alias("keepers"))
 
 
-def _trim(text: str, spans) -> tuple[str, int, int]:
-    """A text without the words of some spans, the number of words, and of those cut.
+def _trim(texts: list[bytes], text: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Texts without the words of some spans (text, begin, end), the number of words of each, and of those cut.
 
     A run of cut words goes from the start of its first word to the start of the next word that stays.
     """
-    if not len(spans):
-        return text, len(text.encode("utf-8", "surrogatepass").split()), 0
-    found = [m.span() for m in WORD_RE.finditer(text)]
-    gone = np.zeros(len(found) + 1, dtype=np.int64)
-    for s in spans:
-        begin, end = min(s["begin"], len(found)), min(s["end"], len(found))
-        gone[begin] += 1
-        gone[end] -= 1
-    gone = np.cumsum(gone[:-1]) > 0
-    out, at, inside = [], 0, False
-    for (b, _), g in zip(found, gone):
-        if g and not inside:
-            out.append(text[at:b])
-        elif inside and not g:
-            at = b
-        inside = g
-    if not inside:
-        out.append(text[at:])
-    return "".join(out), len(found), int(gone.sum())
+    data, bytes_at = joined_texts(texts)
+    starts = word_places(data)[0]
+    at = np.searchsorted(starts, bytes_at)
+    n = np.diff(at)
+    steps = np.zeros(len(starts) + 1, dtype=np.int64)
+    np.add.at(steps, at[text] + np.minimum(begin, n[text]), 1)
+    np.subtract.at(steps, at[text] + np.minimum(end, n[text]), 1)
+    gone = np.cumsum(steps)[:-1] > 0
+    removed = np.diff(np.concatenate(([0], np.cumsum(gone)))[at])
+    out = list(texts)
+    for k in np.flatnonzero(removed).tolist():
+        flags = np.concatenate(([False], gone[at[k]:at[k + 1]], [False]))
+        turns = np.flatnonzero(flags[1:] != flags[:-1]) + at[k]
+        last = bytes_at[k + 1] - 1
+        pieces, done = [], bytes_at[k]
+        for b, e in zip(turns[::2].tolist(), turns[1::2].tolist()):
+            pieces.append(data[done:starts[b]])
+            done = starts[e] if e < at[k + 1] else last
+        out[k] = b"".join([*pieces, data[done:last]])
+    return out, n, removed
 
 
 _TRIMMED = "struct<text: string, n_words: long, removed_words: long>"
@@ -398,17 +456,21 @@ _TRIMMED = "struct<text: string, n_words: long, removed_words: long>"
 
 def _trim_column(text: Column, spans: Column) -> Column:
     @F.pandas_udf(_TRIMMED)
-    def trim(texts: pd.Series, lists: pd.Series) -> pd.DataFrame:
-        made = [_trim(t or "", s if s is not None else []) for t, s in zip(texts, lists)]
-        return pd.DataFrame({"text": [m[0] if m[2] else t for t, m in zip(texts, made)],
-                             "n_words": [m[1] for m in made], "removed_words": [m[2] for m in made]})
-    return trim(text, spans)
+    def trim(texts: pd.Series, begins: pd.Series, ends: pd.Series) -> pd.DataFrame:
+        before = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+        lists = [(k, b, e) for k, (b, e) in enumerate(zip(begins, ends)) if b is not None]
+        none = [np.zeros(0, dtype=np.int64)]
+        owner = np.repeat([k for k, _, _ in lists], [len(b) for _, b, _ in lists]).astype(np.int64)
+        after, n, removed = _trim(before, owner, np.concatenate(none + [b for _, b, _ in lists]).astype(np.int64), np.concatenate(none + [e for _, _, e in lists]).astype(np.int64))
+        return pd.DataFrame({"text": [a.decode("utf-8", "surrogatepass") if r else t for t, a, r in zip(texts, after, removed)],
+                             "n_words": n, "removed_words": removed})
+    return trim(text, spans.getField("begin"), spans.getField("end"))
 
 
 def trimmed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, pct: int = SIMILAR_PCT) -> DataFrame:
     """One row per document: (id_col, n_words, removed_words, first_doc_ids, text without what is cut)."""
     found = settled(docs.sparkSession, lambda: cuts(docs, id_col, text_col, min_words, pct), "cuts")
-    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(found, F.col("id") == F.col("doc"), "left")
+    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(found.hint("shuffle_hash"), F.col("id") == F.col("doc"), "left")
     rows = rows.withColumn("new", _trim_column(F.col("text"), F.col("spans")))
     return rows.select(F.col("id").alias(id_col), "new.n_words", "new.removed_words",
                        F.array_sort(F.coalesce("keepers", F.array().cast(rows.schema["keepers"].dataType))).alias("first_doc_ids"), F.col("new.text").alias("text"))
@@ -422,7 +484,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
     """
     found = settled(docs.sparkSession, lambda: cuts(docs, id_col, text_col, min_words, pct), "cuts")
     row = F.struct(*[docs[c] for c in docs.columns])
-    rows = docs.select(row.alias("row"), docs[id_col].alias("id"), docs[text_col].alias("text")).join(found, F.col("id") == F.col("doc"), "left")
+    rows = docs.select(row.alias("row"), docs[id_col].alias("id"), docs[text_col].alias("text")).join(found.hint("shuffle_hash"), F.col("id") == F.col("doc"), "left")
     rows = rows.withColumn("new", _trim_column(F.col("text"), F.col("spans"))).where("new.removed_words = 0 or new.removed_words < new.n_words")
     out = {c: F.col("row").getField(c) for c in docs.columns}
     out[text_col] = F.col("new.text")
