@@ -70,6 +70,7 @@ def cut_by(df: DataFrame, name: str, key: str) -> DataFrame:
     fs, hpath = _path(spark, path)
     fs.deleteOnExit(hpath)
     _made.append(path)
+    release(spark, len(_made), keep=0)  # the exchange has served
     return out
 
 
