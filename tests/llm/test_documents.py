@@ -499,3 +499,10 @@ def test_texts_are_exchanged_once_and_overlapping_spans_are_one(spark):
         covered[r.doc] |= set(range(r.begin, r.end))
     assert covered == {0: set(), 1: set(range(30, 430)), 2: set(range(30, 430))}
     assert len(found) <= 2 * 9  # of one document, one at most for each 50 words that spans begin in
+
+
+def test_workers_keep_no_pieces_after_a_task(monkeypatch):
+    monkeypatch.setattr(bpe, "_over", lambda rows, run, *rest: run)
+    for task, given in ((bpe.digests(None, PATH), {"id": ["1"], "x": ["a few words"]}), (bpe.encoded(None, PATH), {"id": ["1"], "x": ["a few words"]})):
+        assert len(list(task(iter([pd.DataFrame(given)])))) == 1
+        assert not bpe.load(PATH).known

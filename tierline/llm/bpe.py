@@ -165,8 +165,11 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     """(id_col, ids array<int>) of every document."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = load(path)
-        for pdf in batches:
-            yield pd.DataFrame({"id": pdf["id"], "ids": [bpe.encode(t or "") for t in pdf["x"]]})
+        try:
+            for pdf in batches:
+                yield pd.DataFrame({"id": pdf["id"], "ids": [bpe.encode(t or "") for t in pdf["x"]]})
+        finally:
+            bpe.known.clear()  # as in ``digests``
     return _over(docs, run, id_col, text_col, "ids array<int>")
 
 
@@ -184,15 +187,18 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = load(path)
         decimal = [str(i) for i in range(bpe.size)]
-        for pdf in batches:
-            for k in range(0, len(pdf), 500):  # bounded output batches
-                part = pdf.iloc[k:k + 500]
-                made = []
-                for text in part["x"]:
-                    ids = bpe.encode(text or "")
-                    made.append((len(ids), hashlib.sha256(",".join([decimal[i] for i in ids]).encode()).hexdigest(),
-                                 hashlib.sha256(bpe.decode(ids).encode()).hexdigest(), np.array(ids, dtype=np.int32) if keep_ids else None))
-                out = pd.DataFrame({"id": part["id"].to_list(), **{c: [m[i] for m in made] for i, c in enumerate(columns)}})
-                yield out if keep_ids else out.drop(columns="ids")
+        try:
+            for pdf in batches:
+                for k in range(0, len(pdf), 500):  # bounded output batches
+                    part = pdf.iloc[k:k + 500]
+                    made = []
+                    for text in part["x"]:
+                        ids = bpe.encode(text or "")
+                        made.append((len(ids), hashlib.sha256(",".join([decimal[i] for i in ids]).encode()).hexdigest(),
+                                     hashlib.sha256(bpe.decode(ids).encode()).hexdigest(), np.array(ids, dtype=np.int32) if keep_ids else None))
+                    out = pd.DataFrame({"id": part["id"].to_list(), **{c: [m[i] for m in made] for i, c in enumerate(columns)}})
+                    yield out if keep_ids else out.drop(columns="ids")
+        finally:
+            bpe.known.clear()  # a worker lives on, and with it its pieces, through tasks that need the memory
     columns = ("n_tokens", "ids_sha256", "decoded_sha256", "ids")
     return _over(docs, run, id_col, text_col, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids)

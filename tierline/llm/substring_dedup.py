@@ -455,8 +455,7 @@ _TRIMMED = "struct<text: string, n_words: long, removed_words: long>"
 
 
 def _trim_column(text: Column, spans: Column) -> Column:
-    @F.pandas_udf(_TRIMMED)
-    def trim(texts: pd.Series, begins: pd.Series, ends: pd.Series) -> pd.DataFrame:
+    def of_part(texts: pd.Series, begins: pd.Series, ends: pd.Series) -> pd.DataFrame:
         before = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
         lists = [(k, b, e) for k, (b, e) in enumerate(zip(begins, ends)) if b is not None]
         none = [np.zeros(0, dtype=np.int64)]
@@ -464,6 +463,13 @@ def _trim_column(text: Column, spans: Column) -> Column:
         after, n, removed = _trim(before, owner, np.concatenate(none + [b for _, b, _ in lists]).astype(np.int64), np.concatenate(none + [e for _, _, e in lists]).astype(np.int64))
         return pd.DataFrame({"text": [a.decode("utf-8", "surrogatepass") if r else t for t, a, r in zip(texts, after, removed)],
                              "n_words": n, "removed_words": removed})
+
+    @F.pandas_udf(_TRIMMED)
+    def trim(texts: pd.Series, begins: pd.Series, ends: pd.Series) -> pd.DataFrame:
+        # some 500 KB of text at a time, to bound memory
+        part = texts.str.len().fillna(0).cumsum().shift(fill_value=0) // PART_BYTES
+        edges = [0, *(np.flatnonzero(part.to_numpy()[1:] != part.to_numpy()[:-1]) + 1).tolist(), len(texts)]
+        return pd.concat([of_part(texts.iloc[b:e], begins.iloc[b:e], ends.iloc[b:e]) for b, e in zip(edges, edges[1:])], ignore_index=True)
     return trim(text, spans.getField("begin"), spans.getField("end"))
 
 
