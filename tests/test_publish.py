@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,3 +137,52 @@ def test_a_key_twice_in_a_batch_is_merged_as_distinct_rows(spark, workdir, deriv
     got = merge(spark, store, [(1, "a2"), (1, "a2"), (3, "c"), (3, "d"), (None, "n"), (None, "n")], "run2", DAY2, derive_once=derive_once)
     assert rows(got, *COLUMNS) == [(1, "a", False), (1, "a2", True), (2, "b", True), (3, "c", True), (3, "d", True), (None, "n", True), (None, "n", True)]
     assert os.listdir(f"{workdir}/t/_merge") == [] and not os.path.exists(f"{workdir}/t/_try")
+
+
+def _above(plan, found):
+    """The operators above each scan of a plan whose line has ``found``: lines of less indentation."""
+    lines, out = plan.splitlines(), []
+    for at in (i for i, line in enumerate(lines) if "FileScan" in line and found in line):
+        depth, names = len(re.match(r"[ :+-]*", lines[at]).group()), []
+        for line in reversed(lines[:at]):
+            if (d := len(re.match(r"[ :+-]*", line).group())) < depth:
+                depth, names = d, [*names, line]
+        out.append(names)
+    return out
+
+
+def test_live_rows_and_aggregated_batches_are_not_exchanged_again(spark, workdir, monkeypatch):
+    """The live rows of a bucket meet the batch where they lie; a batch aggregated by its key is exchanged for that only."""
+    store, plans, write = SilverTables(spark, f"{workdir}/silver"), [], SilverTables._write
+
+    def recorded(self, merged, run, spec, buckets, path):
+        with P.setting(spark, "spark.sql.shuffle.partitions", buckets), P.setting(spark, "spark.sql.adaptive.enabled", "false"):
+            plans.append(merged._jdf.queryExecution().executedPlan().toString())
+        write(self, merged, run, spec, buckets, path)
+
+    monkeypatch.setattr(SilverTables, "_write", recorded)
+    spark.range(300).selectExpr("if(id % 50 = 0, null, id % 120) k", "cast(id % 3 as string) attr").write.parquet(f"{workdir}/source")
+    source = spark.read.parquet(f"{workdir}/source")
+    for number, day in ((1, DAY1), (2, DAY2)):
+        grouped = source.where(f"{number} = 2 or k < 100 or k is null").groupBy("k").agg(F.max(F.col("attr") * number).cast("string").alias("attr"))
+        got = store.merge("t", grouped, f"run{number}", SPEC, day, buckets=12, derive_once=False, batch_keys=source.select("k"))
+    for plan in plans:
+        keyed = [names for names in _above(plan, "source") if any("Union" in n for n in names)]
+        assert keyed and all(sum("Exchange" in n for n in names) <= 1 for names in keyed)
+    live = _above(plans[1], "Bucketed: true")
+    assert any("Window" in n for names in live for n in names) and not any("Exchange" in n for names in live for n in names)
+    want = {k: max(i % 3 for i in range(300) if i % 50 and i % 120 == k) for k in range(120) if any(i % 50 and i % 120 == k for i in range(300))}
+    null = max(i % 3 for i in range(0, 300, 50))
+    expected = [(k, str(v), v == 0) for k, v in want.items() if k < 100] + [(k, str(2 * v), True) for k, v in want.items() if k >= 100 or v] \
+        + [(None, str(null), True), (None, str(2 * null), True)]
+    assert rows(got, *COLUMNS) == sorted(expected, key=repr)
+
+
+def test_buckets_of_an_earlier_version_are_refused(spark, workdir):
+    """They hashed keys otherwise: a run would look for live rows in the wrong ones."""
+    store = SilverTables(spark, workdir)
+    merge(spark, store, [(1, "a")], "run1", DAY1)
+    slot = next(d for d in os.listdir(f"{workdir}/t/is_active=true") if d.startswith("slot=b"))
+    os.rename(f"{workdir}/t/is_active=true/{slot}", f"{workdir}/t/is_active=true/{slot.replace('-h', '-')}")
+    with pytest.raises(ValueError, match="earlier version"):
+        merge(spark, store, [(1, "b")], "run2", DAY2)
