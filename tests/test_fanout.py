@@ -60,3 +60,28 @@ def test_the_literal_join_sums_longs_exactly(spark):
     assert rows(naive) == rows(gold.product_performance(silver, strategy="eager"))
     sums = re.findall(r"partial_sum\((\w+)#\d+(L?)\)", naive._jdf.queryExecution().executedPlan().toString())
     assert len(sums) >= 5 and all(long or name in ("rating", "has_text") for name, long in sums)
+
+
+def test_rows_of_the_fan_out_are_summed_by_two_longs(spark):
+    """Not by six keys with names, nor exchanged with them again; products, suppliers and links that occur several times, with other or absent names, too."""
+    products = [(1, "a", 1, 1.0, "0", False), (1, "b", 1, 1.0, "0", False), (1, "b", 1, 1.0, "0", False), (1, None, 2, 1.0, "0", False),
+                (None, "n", 1, 1.0, "0", False), (None, "n", None, 1.0, "0", False), (2, "a", None, 1.0, "0", False), (3, "q", 1, 1.0, "0", True)]
+    suppliers = [(1, "s"), (1, "t"), (1, None), (2, "s"), (None, "u")]
+    lines = [(1, 2, 1.25), (1, None, 3.5), (1, 5, None), (2, 1, 9.99), (None, 4, 7.0)]
+    silver = silver_frames(spark, [], [(1, 1, True), (1, 1, False), (2, 1, True), (None, 1, True), (2, 2, True), (1, None, True)], [(s, n, False) for s, n in suppliers],
+                           lines, [(1, 4, "ok"), (1, None, None), (1, 2, None), (None, 5, "ok")])
+    silver["products"] = spark.createDataFrame(products, REGISTRY["products"].silver_schema())
+    naive = gold.product_performance(silver, strategy="naive")
+    assert rows(naive) == rows(gold.product_performance(silver, strategy="eager")) and naive.count() == 18
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = gold.product_performance(silver, strategy="naive")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    keys = re.findall(r"HashAggregate\(keys=\[([^]]*)\], functions=\[[^]]*partial_sum\(quantity", plan)
+    assert keys and all(re.fullmatch(r"product_id#\d+L, key_number#\d+", k) for k in keys)
+    # the sums and the values of the keys meet without an exchange
+    lines = plan.splitlines()
+    union = next(i for i, line in enumerate(lines) if re.search(r"\bUnion\b", line))
+    assert not any("Exchange" in line for line in lines[:union])
