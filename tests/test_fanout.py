@@ -85,3 +85,13 @@ def test_rows_of_the_fan_out_are_summed_by_two_longs(spark):
     lines = plan.splitlines()
     union = next(i for i, line in enumerate(lines) if re.search(r"\bUnion\b", line))
     assert not any("Exchange" in line for line in lines[:union])
+
+
+def test_the_literal_join_of_suppliers_sums_longs_exactly(spark):
+    lines = [(1, 2, 0.01), (1, 10 ** 12, 9999999999.99), (1, -3, 9999999999.99), (1, 7, None), (2, None, 1.5), (2, -10 ** 12, 12345678.91), (3, 4, None)]
+    silver = silver_frames(spark, [], [(1, 1, True), (1, 1, False), (2, 2, True), (2, 1, True), (3, 3, True), (4, 9, True)],
+                           [(s, "s", False) for s in (1, 2, 3, 4, 5)], lines, [])
+    naive = gold.supplier_analysis(silver, strategy="naive")
+    assert rows(naive) == rows(gold.supplier_analysis(silver, strategy="eager"))
+    sums = re.findall(r"partial_sum\((\w+)#\d+(L?)\)", naive._jdf.queryExecution().executedPlan().toString())
+    assert len(sums) >= 4 and all(long for _, long in sums)

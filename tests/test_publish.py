@@ -186,3 +186,8 @@ def test_buckets_of_an_earlier_version_are_refused(spark, workdir):
     os.rename(f"{workdir}/t/is_active=true/{slot}", f"{workdir}/t/is_active=true/{slot.replace('-h', '-')}")
     with pytest.raises(ValueError, match="earlier version"):
         merge(spark, store, [(1, "b")], "run2", DAY2)
+
+
+def test_a_slot_is_named_after_its_bucket(spark):
+    slots = spark.createDataFrame([(0,), (99999,), (None,)], "b int").select(P.slot_name(F.col("b"), 100000)).collect()
+    assert [s[0] for s in slots] == ["b00000-h100000", "b99999-h100000", None] and P.buckets_for(1 << 60) == 100000
